@@ -30,8 +30,8 @@ from daybook.functions._cols import as_col
 
 # JSON white space and the characters a plain JSON string may
 # hold without escapes (no quote, no backslash, no control character).
-_WS = r"[ \t\n\r]*"
-_PLAIN_STRING = r'"([^"\\\x00-\x1f]*)"'
+_WS = r"[ \t\n\r]*+"
+_PLAIN_STRING = r'"[^"\\\x00-\x1f]*+"'
 
 
 def canonical_pattern(field: str) -> str:
@@ -41,11 +41,6 @@ def canonical_pattern(field: str) -> str:
     return rf'^{_WS}\{{{_WS}"{field}"{_WS}:{_WS}{_PLAIN_STRING}{_WS}\}}{_WS}\z'
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and use it several times inside ``body``."""
-    return F.transform(F.array(value), body).getItem(0)
-
-
 def parse_json_strict(text: Column | str) -> Column:
     """The JSON value of ``text`` as a VARIANT; SQL NULL when ``text`` is not one JSON value.
 
@@ -57,37 +52,81 @@ def parse_json_strict(text: Column | str) -> Column:
     return F.when(as_element.isNotNull(), F.try_variant_get(as_member, "$.v", "variant"))
 
 
-def _field_of_document(doc: Column, field: str) -> Column:
-    """struct(ok, value) for an already parsed document (see module doc)."""
-    wanted = field.lower()
-
-    def with_members(members: Column) -> Column:
-        matching = F.map_values(F.map_filter(members, lambda k, _v: F.lower(k) == F.lit(wanted)))
-        types_ok = F.coalesce(
-            F.forall(matching, lambda v: F.schema_of_variant(v).isin("STRING", "VOID")),
-            F.lit(True),
-        )
-        ok = doc.isNotNull() & (members.isNotNull() | F.is_variant_null(doc)) & types_ok
-        exact = F.try_variant_get(F.try_element_at(members, F.lit(field)), "$", "string")
-        folded = F.try_element_at(
-            F.filter(F.transform(matching, lambda v: F.try_variant_get(v, "$", "string")),
-                     lambda s: s.isNotNull()),
-            F.lit(1),
-        )
-        value = F.coalesce(exact, folded, F.lit(""))
-        return F.struct(ok.alias("ok"), F.when(ok, value).alias("value"))
-
-    return let(doc.try_cast("map<string,variant>"), with_members)
+# The field lookup on a parsed document, as one SQL expression.  ``{doc}`` is a
+# column holding the document; ``transform(array(x), m -> ...)[0]`` binds a
+# value to a name so it is computed once.  Keys compare without case; every
+# matching key must hold a string or null; the exact key's string wins, then
+# any other matching key's string, else "".
+_FIELD_OF_DOCUMENT = """
+transform(array(try_cast({doc} AS map<string, variant>)), m ->
+  transform(array(
+    {doc} IS NOT NULL AND (m IS NOT NULL OR is_variant_null({doc}))
+    AND coalesce(forall(map_values(map_filter(m, (k, v) -> lower(k) = '{lower}')),
+                        v -> schema_of_variant(v) IN ('STRING', 'VOID')), true)), ok ->
+    named_struct(
+      'ok', ok,
+      'value', CASE WHEN ok THEN coalesce(
+          try_variant_get(try_element_at(m, '{field}'), '$', 'string'),
+          try_element_at(filter(transform(map_values(map_filter(m, (k, v) -> lower(k) = '{lower}')),
+                                          v -> try_variant_get(v, '$', 'string')),
+                                s -> s IS NOT NULL), 1),
+          '') END))[0])[0]
+"""
 
 
-def json_string_field(text: Column | str, field: str) -> Column:
-    """``struct<ok: boolean, value: string>`` for ``field`` of the JSON text ``text``.
+def field_of_document(doc_column: str, field: str) -> Column:
+    """``struct<ok, value>`` for ``field`` of the parsed document in column ``doc_column``."""
+    if not field.isidentifier():
+        raise ValueError(f"field name must be a plain identifier: {field!r}")
+    return F.expr(_FIELD_OF_DOCUMENT.format(doc=doc_column, field=field, lower=field.lower()))
+
+
+def json_field_scan(
+    text: Column | str,
+    field: str,
+    parse: Callable[[Column], Column] | None = None,
+    parsed_type: str = "double",
+) -> Column:
+    """First, cheap step of :func:`json_string_field`: ``struct<fast, doc[, parsed]>``.
+
+    ``fast`` is the field value when the text has the canonical one-key form
+    (found by a regex, with plain string functions to cut the value out);
+    otherwise ``doc`` holds the parsed document (SQL NULL when the text is not
+    one JSON value).  With ``parse``, ``parsed`` holds ``parse(fast)`` (of type
+``parsed_type``) for
+    canonical rows, so a value needed downstream is converted in the same
+    pass.  Everything here compiles to Java code, so it can sit in a
+    code-generated stage; :func:`json_field_resolve` finishes the rare
+    non-canonical rows.
+    """
+    text = as_col(text)
+    canonical = text.rlike(canonical_pattern(field))
+    # The canonical shape has exactly four quotes; the value sits between the 3rd and 4th.
+    value = F.substring_index(F.substring_index(text, '"', 4), '"', -1)
+    fast = [value.alias("fast"), F.lit(None).cast("variant").alias("doc")]
+    slow = [F.lit(None).cast("string").alias("fast"), parse_json_strict(text).alias("doc")]
+    if parse is not None:
+        fast.append(parse(value).alias("parsed"))
+        slow.append(F.lit(None).cast(parsed_type).alias("parsed"))
+    return F.when(canonical, F.struct(*fast)).otherwise(F.struct(*slow))
+
+
+def json_field_resolve(scan_column: str, field: str) -> Column:
+    """Second step of :func:`json_string_field`: ``struct<ok, value>`` from a
+    :func:`json_field_scan` result held in column ``scan_column``."""
+    fast = F.struct(F.lit(True).alias("ok"), F.col(f"{scan_column}.fast").alias("value"))
+    return F.when(F.col(f"{scan_column}.fast").isNotNull(), fast).otherwise(
+        field_of_document(f"{scan_column}.doc", field)
+    )
+
+
+def json_string_field(df, text_column: str, field: str, name: str):
+    """Add column ``name`` = ``struct<ok: boolean, value: string>`` for ``field`` of JSON text column
+    ``text_column`` of ``df``.
 
     ``ok`` is false when the text is not valid for the rule in the module
-    doc; ``value`` is then NULL.  NULL input is not ok.
+    doc; ``value`` is then NULL.  NULL text is not ok.
     """
-    text = as_col(text)
-    pattern = canonical_pattern(field)
-    fast = F.struct(F.lit(True).alias("ok"), F.regexp_extract(text, pattern, 1).alias("value"))
-    slow = let(parse_json_strict(text), lambda doc: _field_of_document(doc, field))
-    return F.when(text.rlike(pattern), fast).otherwise(slow)
+    scan = f"_{name}_scan"
+    return (df.withColumn(scan, json_field_scan(text_column, field))
+            .withColumn(name, json_field_resolve(scan, field)).drop(scan))

@@ -9,7 +9,7 @@ from daybook.functions._cols import as_col
 
 # Fixed values.  Decimal number text: optional sign, digits with an optional
 # point (or a point followed by digits), optional exponent; nothing around it.
-DECIMAL_SHAPE = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\z"
+DECIMAL_SHAPE = r"^[+-]?+(?:[0-9]++[.]?+[0-9]*+|[.][0-9]++)(?:[eE][+-]?+[0-9]++)?+\z"
 # The words for infinity (optionally signed) and not-a-number, in any case.
 INFINITY_WORD = r"^(?i)[+-]?inf(inity)?\z"
 NAN_WORD = r"^(?i)nan\z"

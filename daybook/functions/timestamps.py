@@ -11,7 +11,7 @@ from daybook.functions._cols import as_col
 # two-digit month and day, one or more spaces, one- or two-digit hour,
 # two-digit minute and second, then an optional fraction introduced by "." or
 # ",".  Nothing may follow ("\z", so a trailing newline is rejected too).
-TIMESTAMP_SHAPE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} +[0-9]{1,2}:[0-9]{2}:[0-9]{2}([.,][0-9]+)?\z"
+TIMESTAMP_SHAPE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} ++[0-9]{1,2}+:[0-9]{2}:[0-9]{2}(?:[.,][0-9]++)?+\z"
 TIMESTAMP_LAYOUT = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -25,7 +25,8 @@ def strict_timestamp(text: Column | str) -> Column:
     Fractions beyond microseconds are truncated; the calendar day is unaffected.
     """
     text = as_col(text)
-    normalized = F.regexp_replace(F.regexp_replace(text, " +", " "), ",", ".")
+    spaced = F.when(F.contains(text, F.lit("  ")), F.regexp_replace(text, " +", " ")).otherwise(text)
+    normalized = F.when(F.contains(text, F.lit(",")), F.translate(spaced, ",", ".")).otherwise(spaced)
     return F.when(text.rlike(TIMESTAMP_SHAPE), normalized.try_cast("timestamp_ntz"))
 
 

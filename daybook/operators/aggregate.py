@@ -18,14 +18,24 @@ from daybook.operators.convert import _lookup_side, fits_broadcast, strict_price
 AGG_COLUMNS = ("Date", "ProjectId", "NumberOfTransactions", "TotalVolumeUsd")
 
 
+def _with_date_text(agg: DataFrame) -> DataFrame:
+    """Turn the ``_day`` date key into ``Date`` text, once per group instead of once per row."""
+    return agg.select(day_key("_day").alias("Date"), *[c for c in AGG_COLUMNS if c != "Date"])
+
+
 def daily_totals(priced: DataFrame) -> DataFrame:
-    """Priced clean rows → Date, ProjectId, NumberOfTransactions, TotalVolumeUsd."""
-    return priced.groupBy(
-        day_key("ts").alias("Date"), F.col("project_id").alias("ProjectId")
+    """Priced clean rows → Date, ProjectId, NumberOfTransactions, TotalVolumeUsd.
+
+    Rows group on the calendar date (an int) and the date text is formatted
+    per group after the aggregate.
+    """
+    agg = priced.groupBy(
+        F.to_date("ts").alias("_day"), F.col("project_id").alias("ProjectId")
     ).agg(
         F.count(F.lit(1)).alias("NumberOfTransactions"),
         F.sum("usd").alias("TotalVolumeUsd"),
     )
+    return _with_date_text(agg)
 
 
 def merge_partials(partials: DataFrame) -> DataFrame:
@@ -55,14 +65,15 @@ def daily_volume(clean: DataFrame, lookup: DataFrame, broadcast: bool | None = N
         )
         return daily_totals(priced)
     partial = clean.groupBy(
-        day_key("ts").alias("Date"),
+        F.to_date("ts").alias("_day"),
         F.col("project_id").alias("ProjectId"),
         "currency_symbol",
     ).agg(F.count(F.lit(1)).alias("n"), F.sum("volume").alias("volume"))
     joined = partial.join(
         _lookup_side(lookup, False), F.col("currency_symbol") == F.col("_lookup_symbol"), "left"
     )
-    return joined.groupBy("Date", "ProjectId").agg(
+    agg = joined.groupBy("_day", "ProjectId").agg(
         F.sum("n").alias("NumberOfTransactions"),
         F.sum(strict_price(F.col("currency_symbol")) * F.col("volume")).alias("TotalVolumeUsd"),
     )
+    return _with_date_text(agg)

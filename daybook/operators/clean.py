@@ -10,9 +10,10 @@ reason:
 4. that amount text is a decimal number,
 5. the amount lies in ``[0, max_volume]``.
 
-All parsing happens once per row: :func:`evaluate_once` keeps the parse
-expressions under a one-row generator, because Catalyst would otherwise inline
-them into every filter placed on the reason and evaluate them again there.
+All regular parsing happens once per row: :func:`evaluate_once` keeps the
+parse expressions under a one-row generator, because Catalyst would otherwise
+inline them into every filter placed on the reason and evaluate them again
+there.
 """
 
 from __future__ import annotations
@@ -23,11 +24,11 @@ from pyspark.sql import functions as F
 from daybook.functions import (
     MAX_VOLUME,
     fixed_point_text,
-    json_string_field,
     outside_range,
     strict_double,
     strict_timestamp,
 )
+from daybook.functions.jsonfield import json_field_resolve, json_field_scan
 from daybook.functions.timestamps import TIMESTAMP_LAYOUT
 
 RAW_COLUMNS = ("ts", "project_id", "event", "props", "nums")
@@ -69,13 +70,25 @@ def classify(raw: DataFrame, max_volume: float = MAX_VOLUME) -> DataFrame:
     ``_volume`` (double), ``reason_code`` (NULL for a clean row) and
     ``Reason`` (category plus detail).  All input columns are kept.
     """
-    parsed = evaluate_once(
+    # One code-generated pass: timestamp, canonical JSON fast path with the
+    # amount already parsed, or the raw JSON parse for anything else.
+    scanned = evaluate_once(
         raw,
         _ts=strict_timestamp("ts"),
-        _nums=json_string_field("nums", NUMS_FIELD),
-        _props=json_string_field("props", PROPS_FIELD),
+        _nums_scan=json_field_scan("nums", NUMS_FIELD, parse=strict_double),
+        _props_scan=json_field_scan("props", PROPS_FIELD),
     )
-    parsed = evaluate_once(parsed, _volume=strict_double(F.col("_nums.value")))
+    # Non-canonical documents (rare rows) are resolved afterwards; a filter on
+    # the reason may inline these expressions, which only costs on those rows.
+    resolved = scanned.withColumns({
+        "_nums": json_field_resolve("_nums_scan", NUMS_FIELD),
+        "_props": json_field_resolve("_props_scan", PROPS_FIELD),
+    })
+    parsed = resolved.withColumn(
+        "_volume",
+        F.when(F.col("_nums_scan.fast").isNotNull(), F.col("_nums_scan.parsed"))
+        .otherwise(strict_double(F.col("_nums.value"))),
+    ).drop("_nums_scan", "_props_scan")
     volume = F.col("_volume")
     code = (
         F.when(F.col("_ts").isNull(), F.lit(INVALID_TIMESTAMP))

@@ -37,7 +37,11 @@ def latest_prices(
 
 
 def inline_prices(spark, prices: dict[str, float]) -> DataFrame:
-    """A lookup table from a small literal mapping (symbols used as given)."""
+    """A lookup table from a small literal mapping (symbols used as given).
+
+    Its size is known on the driver: pass ``broadcast=len(prices) <= limit``
+    to the join instead of counting it again.
+    """
     return spark.createDataFrame(
         [(s, float(p)) for s, p in prices.items()], "symbol string, price double"
-    )
+    ).coalesce(1)

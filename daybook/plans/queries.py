@@ -13,7 +13,12 @@ from pyspark.sql import functions as F
 
 from daybook.operators.aggregate import daily_totals, daily_volume, merge_partials
 from daybook.operators.clean import classify, clean, clean_rows, dead_letters, reject_counts
-from daybook.operators.convert import attach_prices, split_unknown, unknown_as_dead_letters
+from daybook.operators.convert import (
+    DEFAULT_MAX_BROADCAST_ROWS,
+    attach_prices,
+    split_unknown,
+    unknown_as_dead_letters,
+)
 from daybook.operators.prices import inline_prices
 from daybook.operators.replicate import replicate
 from daybook.session import configure
@@ -31,6 +36,11 @@ REPLICAS = 3
 TS_TEXT = T.TS_TEXT
 
 
+def _small(prices: dict[str, float]) -> bool:
+    """A literal price mapping's size is known without counting it."""
+    return len(prices) <= DEFAULT_MAX_BROADCAST_ROWS
+
+
 def _rounded(agg: DataFrame, places: int) -> DataFrame:
     return agg.withColumn("TotalVolumeUsd", F.round("TotalVolumeUsd", places))
 
@@ -39,7 +49,7 @@ def events_daily_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: events → clean → USD → daily volume per project."""
     configure(spark)
     raw = T.events_transactions(spark, sf_dir)
-    agg = daily_volume(clean(raw), inline_prices(spark, T.EVENT_PRICES))
+    agg = daily_volume(clean(raw), inline_prices(spark, T.EVENT_PRICES), broadcast=_small(T.EVENT_PRICES))
     return _rounded(agg, EVENT_USD_PLACES)
 
 
@@ -47,7 +57,7 @@ def lineitem_daily_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark job: 6M-rows-per-SF lineitem adapter through the same pipeline."""
     configure(spark)
     raw = T.lineitem_transactions(spark, sf_dir)
-    agg = daily_volume(clean(raw), inline_prices(spark, T.LINEITEM_PRICES))
+    agg = daily_volume(clean(raw), inline_prices(spark, T.LINEITEM_PRICES), broadcast=_small(T.LINEITEM_PRICES))
     return _rounded(agg, LINEITEM_USD_PLACES)
 
 
@@ -102,7 +112,7 @@ def volume_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def usd_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     cl = clean(T.events_transactions(spark, sf_dir))
-    priced = attach_prices(cl, inline_prices(spark, T.EVENT_PRICES))
+    priced = attach_prices(cl, inline_prices(spark, T.EVENT_PRICES), broadcast=_small(T.EVENT_PRICES))
     return priced.select(
         F.date_format("ts", TS_TEXT).alias("ts"),
         "project_id",
@@ -118,7 +128,7 @@ def unknown_currency(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     prices = {s: p for s, p in T.EVENT_PRICES.items() if s != "MATIC"}
     cl = clean(T.events_transactions(spark, sf_dir), keep_raw=True)
-    _, unknown = split_unknown(cl, inline_prices(spark, prices))
+    _, unknown = split_unknown(cl, inline_prices(spark, prices), broadcast=_small(prices))
     return unknown_as_dead_letters(unknown)
 
 
@@ -126,7 +136,7 @@ def merge_bucket_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Partials per hash bucket of event_id, then merged into final daily totals."""
     configure(spark)
     cl = clean(T.events_transactions(spark, sf_dir, keep=("event_id",)), keep=("event_id",))
-    priced = attach_prices(cl, inline_prices(spark, T.EVENT_PRICES))
+    priced = attach_prices(cl, inline_prices(spark, T.EVENT_PRICES), broadcast=_small(T.EVENT_PRICES))
     bucket = F.pmod(F.xxhash64("event_id"), F.lit(PARTIAL_BUCKETS))
     partials = (
         priced.groupBy(bucket.alias("bucket"), F.date_format("ts", "yyyy-MM-dd").alias("Date"),
@@ -140,7 +150,7 @@ def replicate_daily_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw events copied REPLICAS times, then the flagship aggregate."""
     configure(spark)
     raw = replicate(T.events_transactions(spark, sf_dir), REPLICAS)
-    agg = daily_volume(clean(raw), inline_prices(spark, T.EVENT_PRICES))
+    agg = daily_volume(clean(raw), inline_prices(spark, T.EVENT_PRICES), broadcast=_small(T.EVENT_PRICES))
     return _rounded(agg, EVENT_USD_PLACES)
 
 

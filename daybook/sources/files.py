@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from daybook.functions import strict_double
 from daybook.operators.clean import MALFORMED_ROW, RAW_COLUMNS
 from daybook.operators.prices import PRICE_CSV_COLUMNS, latest_prices
+from daybook.sources.balance import spread
 
 ON_MALFORMED = ("fail", "dead_letter")
 CORRUPT = "_corrupt_record"
@@ -82,7 +83,7 @@ def read_transactions(
         raise ValueError(f"on_malformed must be one of {ON_MALFORMED}")
     uri = resolve_path(path)
     if on_malformed == "fail":
-        return conform_raw(_csv_reader(spark, multi_line).option("mode", "FAILFAST").csv(uri))
+        return spread(conform_raw(_csv_reader(spark, multi_line).option("mode", "FAILFAST").csv(uri)))
     header = _csv_reader(spark, multi_line).csv(uri).columns
     schema = T.StructType(
         [T.StructField(c, T.StringType()) for c in header] + [T.StructField(CORRUPT, T.StringType())]
@@ -94,7 +95,7 @@ def read_transactions(
         .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(uri)
     )
-    rows = conform_raw(df.where(F.col(CORRUPT).isNull()))
+    rows = spread(conform_raw(df.where(F.col(CORRUPT).isNull())))
     bad = df.where(F.col(CORRUPT).isNotNull())
     malformed = conform_raw(bad).select(
         F.concat(F.lit(f"{MALFORMED_ROW}: "), F.coalesce(bad[CORRUPT], F.lit(""))).alias("Reason"),

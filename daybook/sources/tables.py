@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.operators.clean import RAW_COLUMNS
+from daybook.sources.balance import spread
 
 # Symbol per event type, and the prices used with them.
 EVENT_SYMBOLS = {"purchase": "USD", "click": "EUR", "view": "BTC", "signup": "SFL", "error": "MATIC"}
@@ -39,8 +40,12 @@ WIDE_CSV_COLUMNS = (
 TS_TEXT = "yyyy-MM-dd HH:mm:ss"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, columns: tuple[str, ...] | None = None) -> DataFrame:
+    """One shared table, pruned to ``columns`` and spread when its file arrives in too few splits."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if columns:
+        df = df.select(*columns)
+    return spread(df)
 
 
 def nums_text(value_text: Column) -> Column:
@@ -64,7 +69,7 @@ def _fill(*cols: Column) -> list[Column]:
 
 def events_transactions(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """``events`` as raw transactions, with deterministic bad rows (see module doc)."""
-    e = table(spark, sf_dir, "events")
+    e = table(spark, sf_dir, "events", ("event_id", "ts", "user_id", "event_type", "value"))
     eid = F.col("event_id")
     ts = F.when(eid % BAD_TS_MOD == 0, F.lit("invalid-timestamp")).otherwise(F.date_format("ts", TS_TEXT))
     props = F.when(eid % BAD_PROPS_MOD == 0, F.lit("invalid-json")).otherwise(
@@ -107,7 +112,8 @@ def events_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lineitem_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``lineitem`` as raw transactions: ship date, supplier bucket, flag+status symbol, price."""
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem",
+               ("l_shipdate", "l_suppkey", "l_returnflag", "l_linestatus", "l_extendedprice"))
     return li.select(
         *_fill(
             F.date_format("l_shipdate", TS_TEXT),
@@ -121,7 +127,7 @@ def lineitem_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def orders_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``orders`` as raw transactions: order date, customer bucket, USD amount = total price."""
-    o = table(spark, sf_dir, "orders")
+    o = table(spark, sf_dir, "orders", ("o_orderdate", "o_custkey", "o_orderstatus", "o_totalprice"))
     return o.select(
         *_fill(
             F.date_format("o_orderdate", TS_TEXT),
@@ -135,7 +141,7 @@ def orders_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def part_price_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``part`` as price rows (ID, Symbol, Name, Price (USD)) plus the order ``p_partkey``."""
-    p = table(spark, sf_dir, "part")
+    p = table(spark, sf_dir, "part", ("p_partkey", "p_brand", "p_name", "p_retailprice"))
     return p.select(
         F.col("p_partkey").cast("string").alias("ID"),
         F.col("p_brand").alias("Symbol"),
