@@ -1,16 +1,43 @@
-"""Column-level functions: each takes and returns a ``Column`` and stays JVM-side."""
+"""Column-level functions.
 
-from daybook.functions.jsonfield import json_string_field, parse_json_strict
-from daybook.functions.numbers import MAX_VOLUME, fixed_point_text, outside_range, strict_double
-from daybook.functions.timestamps import day_key, strict_timestamp
+Each function has a ``*_sql`` twin that returns Spark SQL text; the plain
+function wraps it in a single ``F.expr`` call.  Everything stays JVM-side.
+"""
+
+from daybook.functions.jsonfield import (
+    field_of_document_sql,
+    json_field_resolve_sql,
+    json_field_scan_sql,
+    json_string_field,
+    parse_json_strict,
+    parse_json_strict_sql,
+)
+from daybook.functions.numbers import (
+    MAX_VOLUME,
+    fixed_point_text,
+    fixed_point_text_sql,
+    outside_range,
+    outside_range_sql,
+    strict_double,
+    strict_double_sql,
+)
+from daybook.functions.timestamps import day_key, strict_timestamp, strict_timestamp_sql
 
 __all__ = [
     "MAX_VOLUME",
     "day_key",
+    "field_of_document_sql",
     "fixed_point_text",
+    "fixed_point_text_sql",
+    "json_field_resolve_sql",
+    "json_field_scan_sql",
     "json_string_field",
     "outside_range",
+    "outside_range_sql",
     "parse_json_strict",
+    "parse_json_strict_sql",
     "strict_double",
+    "strict_double_sql",
     "strict_timestamp",
+    "strict_timestamp_sql",
 ]

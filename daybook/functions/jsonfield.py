@@ -26,7 +26,6 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from daybook.functions._cols import as_col
 
 # JSON white space and the characters a plain JSON string may
 # hold without escapes (no quote, no backslash, no control character).
@@ -41,15 +40,18 @@ def canonical_pattern(field: str) -> str:
     return rf'^{_WS}\{{{_WS}"{field}"{_WS}:{_WS}{_PLAIN_STRING}{_WS}\}}{_WS}\z'
 
 
-def parse_json_strict(text: Column | str) -> Column:
-    """The JSON value of ``text`` as a VARIANT; SQL NULL when ``text`` is not one JSON value.
+def parse_json_strict_sql(text: str) -> str:
+    """SQL: the JSON value of ``text`` as a VARIANT; SQL NULL when ``text`` is not one JSON value.
 
     A JSON ``null`` document gives a variant null (``is_variant_null``), not SQL NULL.
     """
-    text = as_col(text)
-    as_member = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
-    as_element = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    return F.when(as_element.isNotNull(), F.try_variant_get(as_member, "$.v", "variant"))
+    as_element = f"try_parse_json(concat('[', {text}, ']'))"
+    as_member = f"""try_parse_json(concat('{{"v":', {text}, '}}'))"""
+    return f"CASE WHEN {as_element} IS NOT NULL THEN try_variant_get({as_member}, '$.v') END"
+
+
+def parse_json_strict(text: str) -> Column:
+    return F.expr(parse_json_strict_sql(text))
 
 
 # The field lookup on a parsed document, as one SQL expression.  ``{doc}`` is a
@@ -74,59 +76,52 @@ transform(array(try_cast({doc} AS map<string, variant>)), m ->
 """
 
 
-def field_of_document(doc_column: str, field: str) -> Column:
-    """``struct<ok, value>`` for ``field`` of the parsed document in column ``doc_column``."""
+def field_of_document_sql(doc: str, field: str) -> str:
+    """SQL: ``struct<ok, value>`` for ``field`` of the parsed document ``doc``."""
     if not field.isidentifier():
         raise ValueError(f"field name must be a plain identifier: {field!r}")
-    return F.expr(_FIELD_OF_DOCUMENT.format(doc=doc_column, field=field, lower=field.lower()))
+    return _FIELD_OF_DOCUMENT.format(doc=doc, field=field, lower=field.lower())
 
 
-def json_field_scan(
-    text: Column | str,
-    field: str,
-    parse: Callable[[Column], Column] | None = None,
-    parsed_type: str = "double",
-) -> Column:
-    """First, cheap step of :func:`json_string_field`: ``struct<fast, doc[, parsed]>``.
+def json_field_scan_sql(text: str, field: str, parse: Callable[[str], str] | None = None,
+                        parsed_type: str = "double") -> str:
+    """SQL for the first, cheap step of a field lookup: ``struct<fast, doc[, parsed]>``.
 
     ``fast`` is the field value when the text has the canonical one-key form
     (found by a regex, with plain string functions to cut the value out);
     otherwise ``doc`` holds the parsed document (SQL NULL when the text is not
-    one JSON value).  With ``parse``, ``parsed`` holds ``parse(fast)`` (of type
-``parsed_type``) for
-    canonical rows, so a value needed downstream is converted in the same
-    pass.  Everything here compiles to Java code, so it can sit in a
-    code-generated stage; :func:`json_field_resolve` finishes the rare
-    non-canonical rows.
+    one JSON value).  With ``parse`` (a SQL builder), ``parsed`` holds
+    ``parse(fast)`` for canonical rows, so a value needed downstream is
+    converted in the same pass.  All of it compiles to Java code, so it can
+    sit in a code-generated stage; :func:`json_field_resolve_sql` finishes the
+    rare non-canonical rows.
     """
-    text = as_col(text)
-    canonical = text.rlike(canonical_pattern(field))
     # The canonical shape has exactly four quotes; the value sits between the 3rd and 4th.
-    value = F.substring_index(F.substring_index(text, '"', 4), '"', -1)
-    fast = [value.alias("fast"), F.lit(None).cast("variant").alias("doc")]
-    slow = [F.lit(None).cast("string").alias("fast"), parse_json_strict(text).alias("doc")]
+    value = f"""substring_index(substring_index({text}, '"', 4), '"', -1)"""
+    fast = f"'fast', {value}, 'doc', CAST(NULL AS variant)"
+    slow = f"'fast', CAST(NULL AS string), 'doc', {parse_json_strict_sql(text)}"
     if parse is not None:
-        fast.append(parse(value).alias("parsed"))
-        slow.append(F.lit(None).cast(parsed_type).alias("parsed"))
-    return F.when(canonical, F.struct(*fast)).otherwise(F.struct(*slow))
+        fast += f", 'parsed', {parse(value)}"
+        slow += f", 'parsed', CAST(NULL AS {parsed_type})"
+    return (f"CASE WHEN {text} RLIKE r'{canonical_pattern(field)}' "
+            f"THEN named_struct({fast}) ELSE named_struct({slow}) END")
 
 
-def json_field_resolve(scan_column: str, field: str) -> Column:
-    """Second step of :func:`json_string_field`: ``struct<ok, value>`` from a
-    :func:`json_field_scan` result held in column ``scan_column``."""
-    fast = F.struct(F.lit(True).alias("ok"), F.col(f"{scan_column}.fast").alias("value"))
-    return F.when(F.col(f"{scan_column}.fast").isNotNull(), fast).otherwise(
-        field_of_document(f"{scan_column}.doc", field)
-    )
+def json_field_resolve_sql(scan: str, field: str) -> str:
+    """SQL for the second step: ``struct<ok, value>`` from a scan struct held in ``scan``."""
+    return (f"CASE WHEN {scan}.fast IS NOT NULL THEN named_struct('ok', true, 'value', {scan}.fast) "
+            f"ELSE {field_of_document_sql(f'{scan}.doc', field)} END")
 
 
-def json_string_field(df, text_column: str, field: str, name: str):
-    """Add column ``name`` = ``struct<ok: boolean, value: string>`` for ``field`` of JSON text column
-    ``text_column`` of ``df``.
+def json_string_field(text: str, field: str) -> Column:
+    """``struct<ok: boolean, value: string>`` for ``field`` of the JSON text ``text``.
 
     ``ok`` is false when the text is not valid for the rule in the module
-    doc; ``value`` is then NULL.  NULL text is not ok.
+    doc; ``value`` is then NULL.  NULL text is not ok.  (Inside a pipeline,
+    :func:`json_field_scan_sql` and :func:`json_field_resolve_sql` split this
+    so the expensive part is computed once per row.)
     """
-    scan = f"_{name}_scan"
-    return (df.withColumn(scan, json_field_scan(text_column, field))
-            .withColumn(name, json_field_resolve(scan, field)).drop(scan))
+    return F.expr(
+        f"transform(array({json_field_scan_sql(text, field)}), s -> "
+        f"{json_field_resolve_sql('s', field)})[0]"
+    )

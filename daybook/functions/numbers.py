@@ -5,20 +5,34 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from daybook.functions._cols import as_col
-
 # Fixed values.  Decimal number text: optional sign, digits with an optional
 # point (or a point followed by digits), optional exponent; nothing around it.
 DECIMAL_SHAPE = r"^[+-]?+(?:[0-9]++[.]?+[0-9]*+|[.][0-9]++)(?:[eE][+-]?+[0-9]++)?+\z"
 # The words for infinity (optionally signed) and not-a-number, in any case.
-INFINITY_WORD = r"^(?i)[+-]?inf(inity)?\z"
+INFINITY_WORD = r"^(?i)[+-]?inf(?:inity)?\z"
 NAN_WORD = r"^(?i)nan\z"
 
 # Fixed value: the largest accepted amount; negative amounts are rejected too.
 MAX_VOLUME = 1e15
 
 
-def strict_double(text: Column | str) -> Column:
+def _double(value: float) -> str:
+    return f"double('{float(value)!r}')"
+
+
+def strict_double_sql(text: str) -> str:
+    """SQL for :func:`strict_double` over the SQL expression ``text``."""
+    decimal = f"try_cast({text} AS double)"
+    finite = f"nullif(nullif({decimal}, double('inf')), double('-inf'))"
+    return (
+        f"CASE WHEN {text} RLIKE r'{DECIMAL_SHAPE}' THEN {finite} "
+        f"WHEN {text} RLIKE r'{INFINITY_WORD}' "
+        f"THEN CASE WHEN startswith({text}, '-') THEN double('-inf') ELSE double('inf') END "
+        f"WHEN {text} RLIKE r'{NAN_WORD}' THEN double('NaN') END"
+    )
+
+
+def strict_double(text: str) -> Column:
     """Parse ``text`` as a double; NULL when it is not a number.
 
     Decimal text that overflows a double (``1e400``) is NOT a number here (a
@@ -26,32 +40,28 @@ def strict_double(text: Column | str) -> Column:
     ``nan`` is NaN.  Surrounding spaces, type suffixes (``1d``), underscores and
     hexadecimal floats are rejected.
     """
-    text = as_col(text)
-    decimal = text.try_cast("double")
-    return (
-        F.when(text.rlike(DECIMAL_SHAPE), F.when(F.abs(decimal) != F.lit(float("inf")), decimal))
-        .when(text.rlike(INFINITY_WORD),
-              F.when(F.startswith(text, F.lit("-")), F.lit(float("-inf"))).otherwise(F.lit(float("inf"))))
-        .when(text.rlike(NAN_WORD), F.lit(float("nan")))
-    )
+    return F.expr(strict_double_sql(text))
 
 
-def outside_range(value: Column | str, max_volume: float = MAX_VOLUME) -> Column:
-    """True when an amount is negative or above ``max_volume``.
+def outside_range_sql(value: str, max_volume: float = MAX_VOLUME) -> str:
+    """SQL: the amount is negative or above ``max_volume`` (0 and max_volume pass).
 
-    Both bounds are inclusive for acceptance (0 and ``max_volume`` pass).  NaN
-    compares greater than every number in Spark, so it is rejected here.
+    NaN compares greater than every number in Spark, so it is rejected here.
     """
-    value = as_col(value)
-    return (value < F.lit(0.0)) | (value > F.lit(float(max_volume)))
+    return f"({value} < 0D OR {value} > {_double(max_volume)})"
+
 
+def outside_range(value: str, max_volume: float = MAX_VOLUME) -> Column:
+    return F.expr(outside_range_sql(value, max_volume))
 
-def fixed_point_text(value: Column | str) -> Column:
-    """``%f`` text of a double, with ``+Inf`` / ``-Inf`` / ``NaN`` for the special values."""
-    value = as_col(value)
+
+def fixed_point_text_sql(value: str) -> str:
+    """SQL: ``%f`` text of a double, with ``+Inf`` / ``-Inf`` / ``NaN`` for the special values."""
     return (
-        F.when(F.isnan(value), F.lit("NaN"))
-        .when(value == F.lit(float("inf")), F.lit("+Inf"))
-        .when(value == F.lit(float("-inf")), F.lit("-Inf"))
-        .otherwise(F.format_string("%f", value))
+        f"CASE WHEN isnan({value}) THEN 'NaN' WHEN {value} = double('inf') THEN '+Inf' "
+        f"WHEN {value} = double('-inf') THEN '-Inf' ELSE format_string('%f', {value}) END"
     )
+
+
+def fixed_point_text(value: str) -> Column:
+    return F.expr(fixed_point_text_sql(value))

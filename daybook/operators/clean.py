@@ -23,12 +23,13 @@ from pyspark.sql import functions as F
 
 from daybook.functions import (
     MAX_VOLUME,
-    fixed_point_text,
-    outside_range,
-    strict_double,
-    strict_timestamp,
+    fixed_point_text_sql,
+    json_field_resolve_sql,
+    json_field_scan_sql,
+    outside_range_sql,
+    strict_double_sql,
+    strict_timestamp_sql,
 )
-from daybook.functions.jsonfield import json_field_resolve, json_field_scan
 from daybook.functions.timestamps import TIMESTAMP_LAYOUT
 
 RAW_COLUMNS = ("ts", "project_id", "event", "props", "nums")
@@ -49,18 +50,18 @@ NUMS_FIELD = "currencyValueDecimal"
 PROPS_FIELD = "currencySymbol"
 
 
-def evaluate_once(df: DataFrame, **columns: Column) -> DataFrame:
-    """Append ``columns`` to ``df``, each evaluated exactly once per row.
+def evaluate_once(df: DataFrame, **columns: str) -> DataFrame:
+    """Append ``columns`` (name → SQL text) to ``df``, each evaluated exactly once per row.
 
     A generator over a one-element array is a plan boundary filters are not
     pushed through, so expressions above it read the materialised values.
     """
-    packed = F.struct(*[expr.alias(name) for name, expr in columns.items()])
-    return df.select("*", F.inline(F.array(packed)))
+    fields = ", ".join(f"'{name}', {sql}" for name, sql in columns.items())
+    return df.select("*", F.expr(f"inline(array(named_struct({fields})))"))
 
 
-def _quoted(c: Column) -> Column:
-    return F.concat(F.lit('"'), c, F.lit('"'))
+def _quoted(sql: str) -> str:
+    return f"""concat('"', {sql}, '"')"""
 
 
 def classify(raw: DataFrame, max_volume: float = MAX_VOLUME) -> DataFrame:
@@ -74,42 +75,36 @@ def classify(raw: DataFrame, max_volume: float = MAX_VOLUME) -> DataFrame:
     # amount already parsed, or the raw JSON parse for anything else.
     scanned = evaluate_once(
         raw,
-        _ts=strict_timestamp("ts"),
-        _nums_scan=json_field_scan("nums", NUMS_FIELD, parse=strict_double),
-        _props_scan=json_field_scan("props", PROPS_FIELD),
+        _ts=strict_timestamp_sql("ts"),
+        _nums_scan=json_field_scan_sql("nums", NUMS_FIELD, parse=strict_double_sql),
+        _props_scan=json_field_scan_sql("props", PROPS_FIELD),
     )
     # Non-canonical documents (rare rows) are resolved afterwards; a filter on
     # the reason may inline these expressions, which only costs on those rows.
-    resolved = scanned.withColumns({
-        "_nums": json_field_resolve("_nums_scan", NUMS_FIELD),
-        "_props": json_field_resolve("_props_scan", PROPS_FIELD),
-    })
-    parsed = resolved.withColumn(
-        "_volume",
-        F.when(F.col("_nums_scan.fast").isNotNull(), F.col("_nums_scan.parsed"))
-        .otherwise(strict_double(F.col("_nums.value"))),
-    ).drop("_nums_scan", "_props_scan")
-    volume = F.col("_volume")
-    code = (
-        F.when(F.col("_ts").isNull(), F.lit(INVALID_TIMESTAMP))
-        .when(~F.col("_nums.ok"), F.lit(INVALID_NUMS_JSON))
-        .when(~F.col("_props.ok"), F.lit(INVALID_PROPS_JSON))
-        .when(volume.isNull(), F.lit(INVALID_VOLUME))
-        .when(outside_range(volume, max_volume), F.lit(OVER_THRESHOLD))
+    nums = json_field_resolve_sql("_nums_scan", NUMS_FIELD)
+    resolved = scanned.select(
+        *raw.columns,
+        "_ts",
+        F.expr(nums).alias("_nums"),
+        F.expr(json_field_resolve_sql("_props_scan", PROPS_FIELD)).alias("_props"),
+        F.expr(f"CASE WHEN _nums_scan.fast IS NOT NULL THEN _nums_scan.parsed "
+               f"ELSE {strict_double_sql(f'({nums}).value')} END").alias("_volume"),
     )
-    detail = (
-        F.when(F.col("_ts").isNull(),
-               F.concat(F.lit("cannot parse "), _quoted(F.col("ts")), F.lit(f' as "{TIMESTAMP_LAYOUT}"')))
-        .when(~F.col("_nums.ok"), F.lit(f'not a JSON object with a text "{NUMS_FIELD}"'))
-        .when(~F.col("_props.ok"), F.lit(f'not a JSON object with a text "{PROPS_FIELD}"'))
-        .when(volume.isNull(),
-              F.concat(F.lit("cannot parse "), _quoted(F.col("_nums.value")), F.lit(" as a number")))
-        .otherwise(fixed_point_text(volume))
+    code = f"""CASE WHEN _ts IS NULL THEN '{INVALID_TIMESTAMP}'
+        WHEN NOT _nums.ok THEN '{INVALID_NUMS_JSON}'
+        WHEN NOT _props.ok THEN '{INVALID_PROPS_JSON}'
+        WHEN _volume IS NULL THEN '{INVALID_VOLUME}'
+        WHEN {outside_range_sql('_volume', max_volume)} THEN '{OVER_THRESHOLD}' END"""
+    detail = f"""CASE WHEN _ts IS NULL THEN concat('cannot parse ', {_quoted('ts')}, ' as "{TIMESTAMP_LAYOUT}"')
+        WHEN NOT _nums.ok THEN 'not a JSON object with a text "{NUMS_FIELD}"'
+        WHEN NOT _props.ok THEN 'not a JSON object with a text "{PROPS_FIELD}"'
+        WHEN _volume IS NULL THEN concat('cannot parse ', {_quoted('_nums.value')}, ' as a number')
+        ELSE {fixed_point_text_sql('_volume')} END"""
+    return resolved.select(
+        "*",
+        F.expr(code).alias("reason_code"),
+        F.expr(f"CASE WHEN ({code}) IS NOT NULL THEN concat({code}, ': ', {detail}) END").alias("Reason"),
     )
-    return parsed.withColumns({
-        "reason_code": code,
-        "Reason": F.when(code.isNotNull(), F.concat(code, F.lit(": "), detail)),
-    })
 
 
 def clean_rows(classified: DataFrame, keep: tuple[str, ...] = (), keep_raw: bool = False) -> DataFrame:

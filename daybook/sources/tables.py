@@ -9,7 +9,7 @@ data that grows with the scale factor.  The SQL oracles in
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.operators.clean import RAW_COLUMNS
@@ -48,94 +48,85 @@ def table(spark: SparkSession, sf_dir: str, name: str, columns: tuple[str, ...]
     return spread(df)
 
 
-def nums_text(value_text: Column) -> Column:
-    return F.concat(F.lit('{"currencyValueDecimal": "'), value_text, F.lit('"}'))
+def nums_text(value_sql: str) -> str:
+    return f"""concat('{{"currencyValueDecimal": "', {value_sql}, '"}}')"""
 
 
-def props_text(symbol: Column) -> Column:
-    return F.concat(F.lit('{"currencySymbol": "'), symbol, F.lit('"}'))
+def props_text(symbol_sql: str) -> str:
+    return f"""concat('{{"currencySymbol": "', {symbol_sql}, '"}}')"""
 
 
-def _event_symbol(event_type: Column) -> Column:
-    expr = None
-    for event, symbol in EVENT_SYMBOLS.items():
-        expr = (F.when if expr is None else expr.when)(event_type == F.lit(event), F.lit(symbol))
-    return expr
+def _event_symbol(event_type: str) -> str:
+    whens = " ".join(f"WHEN '{event}' THEN '{symbol}'" for event, symbol in EVENT_SYMBOLS.items())
+    return f"CASE {event_type} {whens} END"
 
 
-def _fill(*cols: Column) -> list[Column]:
-    return [F.coalesce(c, F.lit("")).alias(name) for c, name in zip(cols, RAW_COLUMNS)]
+def _raw_select(df: DataFrame, *exprs: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The five raw columns from SQL texts (NULL becomes ""), plus ``keep`` columns."""
+    return df.selectExpr(
+        *[f"coalesce({sql}, '') AS {name}" for sql, name in zip(exprs, RAW_COLUMNS)], *keep
+    )
 
 
 def events_transactions(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """``events`` as raw transactions, with deterministic bad rows (see module doc)."""
     e = table(spark, sf_dir, "events", ("event_id", "ts", "user_id", "event_type", "value"))
-    eid = F.col("event_id")
-    ts = F.when(eid % BAD_TS_MOD == 0, F.lit("invalid-timestamp")).otherwise(F.date_format("ts", TS_TEXT))
-    props = F.when(eid % BAD_PROPS_MOD == 0, F.lit("invalid-json")).otherwise(
-        props_text(_event_symbol(F.col("event_type")))
-    )
-    nums = (
-        F.when(eid % BAD_NUMS_JSON_MOD == 0, F.lit("invalid-json"))
-        .when(eid % BAD_NUMS_TEXT_MOD == 0, nums_text(F.lit("abc")))
-        .when(eid % NEGATIVE_MOD == 0, nums_text(F.lit("-100.0")))
-        .when(eid % HUGE_MOD == 0, nums_text(F.lit("1e20")))
-        .when(eid % BARE_NUMBER_MOD == 0, F.lit('{"currencyValueDecimal": 5}'))
-        .otherwise(nums_text(F.col("value").cast("string")))
-    )
-    return e.select(
-        *_fill(ts, (F.col("user_id") % 20).cast("string"), F.col("event_type"), props, nums),
-        *keep,
-    )
+    ts = (f"CASE WHEN event_id % {BAD_TS_MOD} = 0 THEN 'invalid-timestamp' "
+          f"ELSE date_format(ts, '{TS_TEXT}') END")
+    props = (f"CASE WHEN event_id % {BAD_PROPS_MOD} = 0 THEN 'invalid-json' "
+             f"ELSE {props_text(_event_symbol('event_type'))} END")
+    nums = f"""CASE WHEN event_id % {BAD_NUMS_JSON_MOD} = 0 THEN 'invalid-json'
+        WHEN event_id % {BAD_NUMS_TEXT_MOD} = 0 THEN {nums_text("'abc'")}
+        WHEN event_id % {NEGATIVE_MOD} = 0 THEN {nums_text("'-100.0'")}
+        WHEN event_id % {HUGE_MOD} = 0 THEN {nums_text("'1e20'")}
+        WHEN event_id % {BARE_NUMBER_MOD} = 0 THEN '{{"currencyValueDecimal": 5}}'
+        ELSE {nums_text('CAST(value AS string)')} END"""
+    return _raw_select(e, ts, "CAST(user_id % 20 AS string)", "event_type", props, nums, keep=keep)
 
 
 def events_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events adapter with the 11 extra columns of a full transaction export."""
     raw = events_transactions(spark, sf_dir, keep=("event_id", "user_id"))
     extra = {
-        "app": F.lit("daybook"),
-        "source": F.lit(""),
-        "ident": F.col("event_id").cast("string"),
-        "user_id": F.col("user_id").cast("string"),
-        "session_id": F.sha2(F.col("event_id").cast("string"), 256).substr(1, 16),
-        "country": F.lit("DE"),
-        "device_type": F.lit("desktop"),
-        "device_os": F.lit("linux"),
-        "device_os_ver": F.lit("x86_64"),
-        "device_browser": F.lit("chrome"),
-        "device_browser_ver": F.lit("122.0.0.0"),
+        "app": "'daybook'",
+        "source": "''",
+        "ident": "CAST(event_id AS string)",
+        "user_id": "CAST(user_id AS string)",
+        "session_id": "substr(sha2(CAST(event_id AS string), 256), 1, 16)",
+        "country": "'DE'",
+        "device_type": "'desktop'",
+        "device_os": "'linux'",
+        "device_os_ver": "'x86_64'",
+        "device_browser": "'chrome'",
+        "device_browser_ver": "'122.0.0.0'",
     }
-    cols = {c: F.col(c) for c in RAW_COLUMNS}
-    cols.update(extra)
-    return raw.select(*[cols[name].alias(name) for name in WIDE_CSV_COLUMNS])
+    return raw.selectExpr(*[f"{extra.get(name, name)} AS {name}" for name in WIDE_CSV_COLUMNS])
 
 
 def lineitem_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``lineitem`` as raw transactions: ship date, supplier bucket, flag+status symbol, price."""
     li = table(spark, sf_dir, "lineitem",
                ("l_shipdate", "l_suppkey", "l_returnflag", "l_linestatus", "l_extendedprice"))
-    return li.select(
-        *_fill(
-            F.date_format("l_shipdate", TS_TEXT),
-            (F.col("l_suppkey") % 50).cast("string"),
-            F.lit("SHIP"),
-            props_text(F.concat("l_returnflag", "l_linestatus")),
-            nums_text(F.col("l_extendedprice").cast("string")),
-        )
+    return _raw_select(
+        li,
+        f"date_format(l_shipdate, '{TS_TEXT}')",
+        "CAST(l_suppkey % 50 AS string)",
+        "'SHIP'",
+        props_text("concat(l_returnflag, l_linestatus)"),
+        nums_text("CAST(l_extendedprice AS string)"),
     )
 
 
 def orders_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``orders`` as raw transactions: order date, customer bucket, USD amount = total price."""
     o = table(spark, sf_dir, "orders", ("o_orderdate", "o_custkey", "o_orderstatus", "o_totalprice"))
-    return o.select(
-        *_fill(
-            F.date_format("o_orderdate", TS_TEXT),
-            (F.col("o_custkey") % 100).cast("string"),
-            F.col("o_orderstatus"),
-            props_text(F.lit("USD")),
-            nums_text(F.col("o_totalprice").cast("string")),
-        )
+    return _raw_select(
+        o,
+        f"date_format(o_orderdate, '{TS_TEXT}')",
+        "CAST(o_custkey % 100 AS string)",
+        "o_orderstatus",
+        props_text("'USD'"),
+        nums_text("CAST(o_totalprice AS string)"),
     )
 
 
