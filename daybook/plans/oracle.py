@@ -153,6 +153,21 @@ FROM ({EVENTS_CLEAN}) c
 WHERE c.symbol NOT IN ({", ".join(f"'{s}'" for s in T.EVENT_PRICES if s != "MATIC")})
 """,
     "merge_partials": _daily(EVENTS_CLEAN, T.EVENT_PRICES, Q.EVENT_USD_PLACES),
+    "scan_project": f"SELECT ts, project_id, event, props, nums FROM ({EVENTS_RAW}) r",
+    "price_last_wins": (
+        "SELECT upper(p_brand) AS symbol, arg_max(p_retailprice, p_partkey) AS price FROM part GROUP BY 1"
+    ),
+    "csv_round_trip": _daily(EVENTS_CLEAN, T.EVENT_PRICES, Q.EVENT_USD_PLACES),
+    "dead_letter_round_trip": (
+        f"SELECT Reason, ts, project_id, event, props, nums FROM ({EVENTS_CLASSIFIED}) c WHERE reason_code IS NOT NULL"
+    ),
+    "partitioned_table": _daily(EVENTS_CLEAN, T.EVENT_PRICES, Q.EVENT_USD_PLACES),
+    "stream_daily_volume": _daily(EVENTS_CLEAN, T.EVENT_PRICES, Q.EVENT_USD_PLACES),
+    "price_pages": (
+        "SELECT CAST(p_partkey AS VARCHAR) AS ID, lower(p_brand) AS Symbol, p_name AS Name, "
+        "p_retailprice AS price_usd FROM part"
+    ),
+    "job_daily_volume": _daily(EVENTS_CLEAN, T.EVENT_PRICES, Q.EVENT_USD_PLACES),
     "replicate": _daily(
         f"SELECT * FROM ({classified(f'SELECT r.* FROM ({EVENTS_RAW}) r, range({Q.REPLICAS}) t', 1e15)}) c "
         "WHERE reason_code IS NULL",

@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.operators.aggregate import daily_totals, daily_volume, merge_partials
-from daybook.operators.clean import classify, clean, clean_rows, dead_letters, reject_counts
+from daybook.operators.aggregate import daily_volume, merge_partials
+from daybook.operators.clean import classify, clean, dead_letters, reject_counts
 from daybook.operators.convert import (
     DEFAULT_MAX_BROADCAST_ROWS,
     attach_prices,
@@ -21,8 +21,18 @@ from daybook.operators.convert import (
 )
 from daybook.operators.prices import inline_prices
 from daybook.operators.replicate import replicate
-from daybook.session import configure
+from daybook.plans.jobs import daily_volume_job
+from daybook.session import configure, scratch_path
+from daybook.sinks.files import (
+    read_aggregates_csv,
+    read_dead_letters_csv,
+    write_aggregates_csv,
+    write_dead_letters_csv,
+)
+from daybook.sinks.table import write_table
 from daybook.sources import tables as T
+from daybook.sources.files import read_prices, read_price_pages, read_transactions
+from daybook.streaming.microbatch import merged_daily_volume, run_daily_volume_stream, transaction_stream
 
 # Decimal places kept in USD sums (see module doc).
 EVENT_USD_PLACES = 5
@@ -154,6 +164,116 @@ def replicate_daily_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(agg, EVENT_USD_PLACES)
 
 
+# --- queries over files staged from the tables -------------------------------------------
+
+# Number of CSV files a staged transaction export is written as (the stream reads one per batch).
+STAGED_FILES = 4
+# Rows per landed price page.
+PAGE_SIZE = 250
+
+
+def stage_events_csv(spark: SparkSession, sf_dir: str, files: int = STAGED_FILES) -> str:
+    """Write the 16-column events export as CSV under the shared folder; returns its path."""
+    path = scratch_path(spark, "events-csv")
+    (T.events_wide(spark, sf_dir).repartition(files)
+     .write.option("header", True).option("escape", '"').csv(path))
+    return path
+
+
+def stage_prices_csv(spark: SparkSession, prices: dict[str, float]) -> str:
+    """Write a literal price mapping as a price CSV (ID, Symbol, Name, Price (USD))."""
+    path = scratch_path(spark, "prices-csv")
+    rows = [(s.lower(), s.lower(), s, str(p)) for s, p in prices.items()]
+    (spark.createDataFrame(rows, "ID string, Symbol string, Name string, `Price (USD)` string").coalesce(1)
+     .write.option("header", True).option("escape", '"').csv(path))
+    return path
+
+
+def scan_project(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide export is read back by header name; only the five raw columns remain."""
+    configure(spark)
+    return read_transactions(spark, stage_events_csv(spark, sf_dir))
+
+
+def price_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part rows as a price file in p_partkey order; last row per upper-cased brand wins."""
+    configure(spark)
+    path = scratch_path(spark, "part-prices")
+    (T.part_price_rows(spark, sf_dir).orderBy("p_partkey").drop("p_partkey")
+     .write.option("header", True).option("escape", '"').csv(path))
+    return read_prices(spark, path)
+
+
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1: daily aggregates written as CSV with a header and read back."""
+    configure(spark)
+    path = scratch_path(spark, "agg-csv")
+    raw = T.events_transactions(spark, sf_dir)
+    agg = daily_volume(clean(raw), inline_prices(spark, T.EVENT_PRICES), broadcast=_small(T.EVENT_PRICES))
+    write_aggregates_csv(agg, path)
+    return _rounded(read_aggregates_csv(spark, path), EVENT_USD_PLACES)
+
+
+def dead_letter_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: dead letters written as header-less CSV (Reason first) and read back."""
+    configure(spark)
+    path = scratch_path(spark, "dead-csv")
+    write_dead_letters_csv(dead_letters(T.events_transactions(spark, sf_dir)), path)
+    return read_dead_letters_csv(spark, path)
+
+
+def partitioned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3/K4/K7: aggregates into a Date-partitioned catalog table, written twice (a replay)."""
+    configure(spark)
+    location = scratch_path(spark, "daily-table")
+    name = "daily_volume_" + location.rsplit("-", 1)[-1]
+    raw = T.events_transactions(spark, sf_dir)
+    agg = daily_volume(clean(raw), inline_prices(spark, T.EVENT_PRICES), broadcast=_small(T.EVENT_PRICES))
+    for _ in range(2):
+        write_table(agg, name, mode="replace", location=location)
+    table = spark.table(name)
+    return _rounded(table.select(F.date_format("Date", "yyyy-MM-dd").alias("Date"), "ProjectId",
+                                 "NumberOfTransactions", "TotalVolumeUsd"), EVENT_USD_PLACES)
+
+
+def stream_daily_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3/M1: the export streamed one file per micro-batch; partials merged at the end."""
+    configure(spark)
+    source = stage_events_csv(spark, sf_dir)
+    run = run_daily_volume_stream(
+        spark, transaction_stream(spark, source, max_files_per_trigger=1), inline_prices(spark, T.EVENT_PRICES)
+    )
+    return _rounded(merged_daily_volume(spark, run), EVENT_USD_PLACES)
+
+
+def price_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part rows landed as JSON pages of PAGE_SIZE coins, read back into price rows."""
+    configure(spark)
+    path = scratch_path(spark, "price-pages")
+    coins = T.part_price_rows(spark, sf_dir).select(
+        (F.col("p_partkey") / PAGE_SIZE).cast("bigint").alias("page"),
+        F.struct(F.col("ID").alias("id"), F.lower("Symbol").alias("symbol"), F.col("Name").alias("name"),
+                 F.col("`Price (USD)`").alias("current_price")).alias("coin"),
+    )
+    pages = coins.groupBy("page").agg(F.to_json(F.collect_list("coin")).alias("value"))
+    pages.select("value").write.text(path)
+    return read_price_pages(spark, path).withColumnRenamed("Price (USD)", "price_usd")
+
+
+def job_daily_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job from CSV files to an aggregate CSV, read back."""
+    configure(spark)
+    out = scratch_path(spark, "job-out")
+    daily_volume_job(
+        spark,
+        transactions=stage_events_csv(spark, sf_dir),
+        prices=stage_prices_csv(spark, T.EVENT_PRICES),
+        output=out,
+        errors=scratch_path(spark, "job-errors"),
+    )
+    return _rounded(read_aggregates_csv(spark, out), EVENT_USD_PLACES)
+
+
 QUERIES = {
     "daily_volume": events_daily_volume,
     "daily_volume_lineitem": lineitem_daily_volume,
@@ -169,4 +289,12 @@ QUERIES = {
     "unknown_currency": unknown_currency,
     "merge_partials": merge_bucket_partials,
     "replicate": replicate_daily_volume,
+    "scan_project": scan_project,
+    "price_last_wins": price_last_wins,
+    "csv_round_trip": csv_round_trip,
+    "dead_letter_round_trip": dead_letter_round_trip,
+    "partitioned_table": partitioned_table,
+    "stream_daily_volume": stream_daily_volume,
+    "price_pages": price_pages,
+    "job_daily_volume": job_daily_volume,
 }

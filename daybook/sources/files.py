@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.functions import strict_double
+from daybook.functions import strict_double_sql
 from daybook.operators.clean import MALFORMED_ROW, RAW_COLUMNS
 from daybook.operators.prices import PRICE_CSV_COLUMNS, latest_prices
 from daybook.sources.balance import spread
@@ -131,12 +131,11 @@ def read_prices(spark: SparkSession, path: str) -> DataFrame:
     A price text that is not a number fails the job; an empty price is 0.0.
     """
     rows = read_price_rows(spark, path)
-    text = F.trim(F.coalesce(F.col("`Price (USD)`"), F.lit("")))
-    parsed = F.when(text == F.lit(""), F.lit(0.0)).otherwise(
-        F.coalesce(
-            strict_double(text),
-            F.raise_error(F.concat(F.lit("price is not a number: "), text)).cast("double"),
-        )
+    text = "trim(coalesce(`Price (USD)`, ''))"
+    parsed = F.expr(
+        f"CASE WHEN {text} = '' THEN 0D "
+        f"ELSE coalesce({strict_double_sql(text)}, "
+        f"CAST(raise_error(concat('price is not a number: ', {text})) AS double)) END"
     )
     return latest_prices(rows.withColumn("Price (USD)", parsed))
 
