@@ -40,8 +40,11 @@ class RunReport:
     aggregates_written: int
 
 
-def land_classified(classified: DataFrame, path: str, keep_raw: bool) -> Observation:
-    """Write classified rows once, partitioned by kind; returns the observed counters.
+def land_classified(classified: DataFrame, path: str, keep_raw: bool) -> tuple[Observation, DataFrame]:
+    """Write classified rows once, partitioned by kind.
+
+    Returns the observed counters and the landed table read back (with the
+    written schema, so an empty input reads back as an empty table).
 
     Clean rows keep only what pricing and grouping need (plus the raw text when
     ``keep_raw``, for unknown-currency dead letters); rejected rows keep the
@@ -52,7 +55,7 @@ def land_classified(classified: DataFrame, path: str, keep_raw: bool) -> Observa
     raw_cols = [
         (F.col(c) if keep_raw else F.when(~is_clean, F.col(c))).alias(f"raw_{c}") for c in RAW_COLUMNS
     ]
-    (
+    to_land = (
         classified.select(
             F.when(is_clean, F.lit(CLEAN)).otherwise(F.lit(REJECTED)).alias("kind"),
             F.when(is_clean, F.col("_ts")).alias("ts"),
@@ -68,11 +71,10 @@ def land_classified(classified: DataFrame, path: str, keep_raw: bool) -> Observa
             F.count(F.lit(1)).alias("rows_read"),
             F.count_if(is_clean).alias("clean_rows"),
         )
-        .write.mode("overwrite")
-        .partitionBy("kind")
-        .parquet(path)
     )
-    return obs
+    to_land.write.mode("overwrite").partitionBy("kind").parquet(path)
+    spark = classified.sparkSession
+    return obs, spark.read.schema(to_land.schema).parquet(path)
 
 
 def daily_volume_job(
@@ -105,9 +107,11 @@ def daily_volume_job(
     raw, malformed = source if isinstance(source, tuple) else (source, None)
 
     landed_path = scratch_path(spark, "classified")
-    obs = land_classified(classify(raw, max_volume), landed_path, keep_raw=(on_unknown == "dead_letter"))
-    landed = spark.read.parquet(landed_path)
-    clean = landed.where(F.col("kind") == CLEAN)
+    obs, landed = land_classified(classify(raw, max_volume), landed_path, keep_raw=(on_unknown == "dead_letter"))
+    clean = landed.where(F.col("kind") == CLEAN).select(
+        "ts", "project_id", "currency_symbol", "volume",
+        *([f"raw_{c}" for c in RAW_COLUMNS] if on_unknown == "dead_letter" else []),
+    )
     dead = [landed.where(F.col("kind") == REJECTED).select(
         "Reason", *[F.col(f"raw_{c}").alias(c) for c in RAW_COLUMNS]
     )]

@@ -97,9 +97,11 @@ def read_transactions(
     )
     rows = spread(conform_raw(df.where(F.col(CORRUPT).isNull())))
     bad = df.where(F.col(CORRUPT).isNotNull())
-    malformed = conform_raw(bad).select(
-        F.concat(F.lit(f"{MALFORMED_ROW}: "), F.coalesce(bad[CORRUPT], F.lit(""))).alias("Reason"),
-        *RAW_COLUMNS,
+    present = set(header)
+    malformed = bad.select(
+        F.concat(F.lit(f"{MALFORMED_ROW}: "), F.coalesce(F.col(CORRUPT), F.lit(""))).alias("Reason"),
+        *[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) if c in present else F.lit("").alias(c)
+          for c in RAW_COLUMNS],
         F.lit(MALFORMED_ROW).alias("reason_code"),
     )
     return rows, malformed
