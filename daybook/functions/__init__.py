@@ -5,6 +5,7 @@ function wraps it in a single ``F.expr`` call.  Everything stays JVM-side.
 """
 
 from daybook.functions.jsonfield import (
+    canonical_value_sql,
     field_of_document_sql,
     json_field_resolve_sql,
     json_field_scan_sql,
@@ -25,6 +26,7 @@ from daybook.functions.timestamps import day_key, strict_timestamp, strict_times
 
 __all__ = [
     "MAX_VOLUME",
+    "canonical_value_sql",
     "day_key",
     "field_of_document_sql",
     "fixed_point_text",

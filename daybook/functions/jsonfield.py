@@ -30,14 +30,18 @@ from pyspark.sql import functions as F
 # JSON white space and the characters a plain JSON string may
 # hold without escapes (no quote, no backslash, no control character).
 _WS = r"[ \t\n\r]*+"
-_PLAIN_STRING = r'"[^"\\\x00-\x1f]*+"'
+_PLAIN_VALUE = r'[^"\\\x00-\x1f]*+'
 
 
-def canonical_pattern(field: str) -> str:
-    """Regex for ``{"<field>": "<plain text>"}`` with optional white space."""
+def canonical_pattern(field: str, value: str = _PLAIN_VALUE) -> str:
+    """Regex for ``{"<field>": "<value>"}`` with optional white space; group 1 is the value.
+
+    ``value`` is the pattern the text between the quotes must match (by
+    default any plain JSON string content).
+    """
     if not field.isidentifier():
         raise ValueError(f"field name must be a plain identifier: {field!r}")
-    return rf'^{_WS}\{{{_WS}"{field}"{_WS}:{_WS}{_PLAIN_STRING}{_WS}\}}{_WS}\z'
+    return rf'^{_WS}\{{{_WS}"{field}"{_WS}:{_WS}"({value})"{_WS}\}}{_WS}\z'
 
 
 def parse_json_strict_sql(text: str) -> str:
@@ -83,28 +87,38 @@ def field_of_document_sql(doc: str, field: str) -> str:
     return _FIELD_OF_DOCUMENT.format(doc=doc, field=field, lower=field.lower())
 
 
-def json_field_scan_sql(text: str, field: str, parse: Callable[[str], str] | None = None,
-                        parsed_type: str = "double") -> str:
-    """SQL for the first, cheap step of a field lookup: ``struct<fast, doc[, parsed]>``.
+def canonical_value_sql(text: str, field: str, value: str = _PLAIN_VALUE) -> str:
+    """SQL: the field value when ``text`` has the canonical one-key shape, else NULL.
+
+    One anchored ``regexp_extract`` both checks the shape and cuts the value
+    out.  An empty value also gives NULL here; such rows take the general path,
+    which gets them right.  Materialise it as a column and pass that column to
+    :func:`json_field_scan_sql`, so later expressions read it instead of
+    repeating it (repeated text also bloats the generated code).
+    """
+    return f"nullif(regexp_extract({text}, r'{canonical_pattern(field, value)}', 1), '')"
+
+
+def json_field_scan_sql(text: str, field: str, fast: str | None = None,
+                        parse: Callable[[str], str] | None = None, parsed_type: str = "double") -> str:
+    """SQL for the first step of a field lookup: ``struct<fast, doc[, parsed]>``.
 
     ``fast`` is the field value when the text has the canonical one-key form
-    (found by a regex, with plain string functions to cut the value out);
-    otherwise ``doc`` holds the parsed document (SQL NULL when the text is not
-    one JSON value).  With ``parse`` (a SQL builder), ``parsed`` holds
-    ``parse(fast)`` for canonical rows, so a value needed downstream is
-    converted in the same pass.  All of it compiles to Java code, so it can
-    sit in a code-generated stage; :func:`json_field_resolve_sql` finishes the
-    rare non-canonical rows.
+    (pass a column already holding :func:`canonical_value_sql`, or leave it
+    None to compute it here); otherwise ``doc`` holds the parsed document (SQL
+    NULL when the text is not one JSON value).  With ``parse`` (a SQL
+    builder), ``parsed`` holds ``parse(fast)`` for canonical rows, so a value
+    needed downstream is converted in the same pass.  All of it compiles to
+    Java code, so it can sit in a code-generated stage;
+    :func:`json_field_resolve_sql` finishes the rare non-canonical rows.
     """
-    # The canonical shape has exactly four quotes; the value sits between the 3rd and 4th.
-    value = f"""substring_index(substring_index({text}, '"', 4), '"', -1)"""
-    fast = f"'fast', {value}, 'doc', CAST(NULL AS variant)"
-    slow = f"'fast', CAST(NULL AS string), 'doc', {parse_json_strict_sql(text)}"
+    fast = fast or f"({canonical_value_sql(text, field)})"
+    hit = f"'fast', {fast}, 'doc', CAST(NULL AS variant)"
+    miss = f"'fast', CAST(NULL AS string), 'doc', {parse_json_strict_sql(text)}"
     if parse is not None:
-        fast += f", 'parsed', {parse(value)}"
-        slow += f", 'parsed', CAST(NULL AS {parsed_type})"
-    return (f"CASE WHEN {text} RLIKE r'{canonical_pattern(field)}' "
-            f"THEN named_struct({fast}) ELSE named_struct({slow}) END")
+        hit += f", 'parsed', {parse(fast)}"
+        miss += f", 'parsed', CAST(NULL AS {parsed_type})"
+    return f"CASE WHEN {fast} IS NOT NULL THEN named_struct({hit}) ELSE named_struct({miss}) END"
 
 
 def json_field_resolve_sql(scan: str, field: str) -> str:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 # Fixed values.  Decimal number text: optional sign, digits with an optional
 # point (or a point followed by digits), optional exponent; nothing around it.
-DECIMAL_SHAPE = r"^[+-]?+(?:[0-9]++[.]?+[0-9]*+|[.][0-9]++)(?:[eE][+-]?+[0-9]++)?+\z"
+DECIMAL_BODY = r"[+-]?+(?:[0-9]++[.]?+[0-9]*+|[.][0-9]++)(?:[eE][+-]?+[0-9]++)?+"
+DECIMAL_SHAPE = rf"^{DECIMAL_BODY}\z"
 # The words for infinity (optionally signed) and not-a-number, in any case.
 INFINITY_WORD = r"^(?i)[+-]?inf(?:inity)?\z"
 NAN_WORD = r"^(?i)nan\z"
@@ -20,12 +21,15 @@ def _double(value: float) -> str:
     return f"double('{float(value)!r}')"
 
 
+def finite_double_sql(decimal_text: str) -> str:
+    """SQL: text already known to be decimal-shaped → double; NULL when it overflows."""
+    return f"nullif(nullif(try_cast({decimal_text} AS double), double('inf')), double('-inf'))"
+
+
 def strict_double_sql(text: str) -> str:
     """SQL for :func:`strict_double` over the SQL expression ``text``."""
-    decimal = f"try_cast({text} AS double)"
-    finite = f"nullif(nullif({decimal}, double('inf')), double('-inf'))"
     return (
-        f"CASE WHEN {text} RLIKE r'{DECIMAL_SHAPE}' THEN {finite} "
+        f"CASE WHEN {text} RLIKE r'{DECIMAL_SHAPE}' THEN {finite_double_sql(text)} "
         f"WHEN {text} RLIKE r'{INFINITY_WORD}' "
         f"THEN CASE WHEN startswith({text}, '-') THEN double('-inf') ELSE double('inf') END "
         f"WHEN {text} RLIKE r'{NAN_WORD}' THEN double('NaN') END"

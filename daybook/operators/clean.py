@@ -24,12 +24,14 @@ from pyspark.sql import functions as F
 from daybook.functions import (
     MAX_VOLUME,
     fixed_point_text_sql,
+    canonical_value_sql,
     json_field_resolve_sql,
     json_field_scan_sql,
     outside_range_sql,
     strict_double_sql,
     strict_timestamp_sql,
 )
+from daybook.functions.numbers import DECIMAL_BODY, finite_double_sql
 from daybook.functions.timestamps import TIMESTAMP_LAYOUT
 
 RAW_COLUMNS = ("ts", "project_id", "event", "props", "nums")
@@ -71,13 +73,26 @@ def classify(raw: DataFrame, max_volume: float = MAX_VOLUME) -> DataFrame:
     ``_volume`` (double), ``reason_code`` (NULL for a clean row) and
     ``Reason`` (category plus detail).  All input columns are kept.
     """
-    # One code-generated pass: timestamp, canonical JSON fast path with the
-    # amount already parsed, or the raw JSON parse for anything else.
+    # The canonical payload values, once per row, as plain columns.  For the
+    # amount, the usual case (a canonical payload holding a decimal) is caught
+    # by one regex; other canonical text is tried only when that fails.
+    cut = raw.select(
+        "*",
+        F.expr(canonical_value_sql("nums", NUMS_FIELD, DECIMAL_BODY)).alias("_nums_num"),
+    ).select(
+        "*",
+        F.expr(f"coalesce(_nums_num, {canonical_value_sql('nums', NUMS_FIELD)})").alias("_nums_fast"),
+        F.expr(canonical_value_sql("props", PROPS_FIELD)).alias("_props_fast"),
+    )
+    amount = (lambda fast: f"CASE WHEN _nums_num IS NOT NULL THEN {finite_double_sql('_nums_num')} "
+                           f"ELSE {strict_double_sql(fast)} END")
+    # One code-generated pass: timestamp, the amount parsed from the canonical
+    # value, or the raw JSON parse for anything else.
     scanned = evaluate_once(
-        raw,
+        cut,
         _ts=strict_timestamp_sql("ts"),
-        _nums_scan=json_field_scan_sql("nums", NUMS_FIELD, parse=strict_double_sql),
-        _props_scan=json_field_scan_sql("props", PROPS_FIELD),
+        _nums_scan=json_field_scan_sql("nums", NUMS_FIELD, fast="_nums_fast", parse=amount),
+        _props_scan=json_field_scan_sql("props", PROPS_FIELD, fast="_props_fast"),
     )
     # Non-canonical documents (rare rows) are resolved afterwards; a filter on
     # the reason may inline these expressions, which only costs on those rows.
