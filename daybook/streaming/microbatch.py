@@ -34,14 +34,16 @@ BatchFn = Callable[[DataFrame, int], None]
 
 @dataclass
 class StreamRun:
-    """Where one streaming run keeps its state and outputs."""
+    """Where one streaming run keeps its state and outputs, and its counters (M3)."""
 
     checkpoint: str
     partials: str
     dead_letters: str
     lookup: str
-    batches: int
-    rows_read: int
+    batches: int = 0
+    rows_read: int = 0
+    clean_rows: int = 0
+    rejected_rows: int = 0
 
 
 def header_schema(spark: SparkSession, source_dir: str) -> T.StructType:
@@ -81,8 +83,13 @@ def daily_volume_batches(
     dead_path: str,
     broadcast: bool,
     max_volume: float = MAX_VOLUME,
+    counters: dict[int, tuple[int, int]] | None = None,
 ) -> BatchFn:
-    """The per-batch function: classify once, write partials and dead letters for ``batch_id``."""
+    """The per-batch function: classify once, write partials and dead letters for ``batch_id``.
+
+    When ``counters`` is given, (rows, clean rows) of each batch are recorded
+    under its id, so a replayed batch is counted once.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -90,6 +97,10 @@ def daily_volume_batches(
         lookup = spark.read.parquet(lookup_path)
         classified = classify(batch, max_volume).persist()
         try:
+            if counters is not None:
+                n = classified.agg(F.count(F.lit(1)).alias("rows"),
+                                   F.count_if(F.col("reason_code").isNull()).alias("clean")).first()
+                counters[batch_id] = (int(n["rows"]), int(n["clean"]))
             partial = daily_volume(clean_rows(classified), lookup, broadcast=broadcast)
             (partial.withColumn("batch_id", F.lit(batch_id))
              .write.mode("overwrite").partitionBy("batch_id").parquet(partials_path))
@@ -123,12 +134,13 @@ def run_daily_volume_stream(
         partials=f"{work}/partials",
         dead_letters=f"{work}/dead_letters",
         lookup=f"{work}/lookup",
-        batches=0,
-        rows_read=0,
     )
     lookup.write.mode("overwrite").parquet(run.lookup)
     broadcast = spark.read.parquet(run.lookup).limit(max_broadcast_rows + 1).count() <= max_broadcast_rows
-    fn = on_batch or daily_volume_batches(run.lookup, run.partials, run.dead_letters, broadcast, max_volume)
+    counters: dict[int, tuple[int, int]] = {}
+    fn = on_batch or daily_volume_batches(
+        run.lookup, run.partials, run.dead_letters, broadcast, max_volume, counters
+    )
     query = (
         raw_stream.writeStream.foreachBatch(fn)
         .option("checkpointLocation", run.checkpoint)
@@ -138,9 +150,15 @@ def run_daily_volume_stream(
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    progress = query.recentProgress
-    run.batches = sum(1 for p in progress if p.get("numInputRows", 0) > 0)
-    run.rows_read = int(sum(p.get("numInputRows", 0) for p in progress))
+    if on_batch is None:
+        run.batches = sum(1 for rows, _ in counters.values() if rows > 0)
+        run.rows_read = sum(rows for rows, _ in counters.values())
+        run.clean_rows = sum(clean for _, clean in counters.values())
+        run.rejected_rows = run.rows_read - run.clean_rows
+    else:
+        progress = query.recentProgress    # bounded history; exact only for short runs
+        run.batches = sum(1 for p in progress if p.get("numInputRows", 0) > 0)
+        run.rows_read = int(sum(p.get("numInputRows", 0) for p in progress))
     return run
 
 

@@ -104,3 +104,17 @@ def test_price_snapshot(spark, workdir):
               os.path.join(out, sorted(p for p in os.listdir(out) if p.startswith("part-"))[0])) as fh:
         assert fh.readline().strip() == "ID,Symbol,Name,Price (USD)"
     assert {r.symbol for r in read_prices(spark, out).collect()} == {"BTC"}
+
+
+def test_command_line(spark, inputs, workdir):
+    from daybook.cli import main
+
+    _, tx, prices = inputs
+    out, err = os.path.join(workdir, "cli-out"), os.path.join(workdir, "cli-err")
+    report = main(["agg", "-c", prices, "-t", tx, "-o", out, "-e", err])
+    assert report["aggregates_written"] == 4 and report["rows_read"] == 7
+    out2, err2 = os.path.join(workdir, "cli-out2"), os.path.join(workdir, "cli-err2")
+    run = main(["agg", "-c", prices, "-t", tx, "-o", out2, "-e", err2, "--stream", "-b", "1"])
+    assert run["rows_read"] == 7 and run["clean_rows"] == 5
+    assert read_aggregates_csv(spark, out2).count() == 4
+    assert read_dead_letters_csv(spark, err2).count() == 2

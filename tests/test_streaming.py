@@ -47,6 +47,8 @@ def test_stream_equals_batch(spark, workdir):
         assert _as_dict(merged_daily_volume(spark, run)) == batch
         assert run.batches == (4 if per_trigger == 1 else 2)
         assert run.rows_read == 100
+        assert run.clean_rows + run.rejected_rows == run.rows_read
+        assert sum(v[0] for v in _as_dict(merged_daily_volume(spark, run)).values()) == run.clean_rows
         assert stream_dead_letters(spark, run).count() == 4 * len([j for j in range(25) if j % 7 == 0])
 
 
