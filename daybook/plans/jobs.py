@@ -17,9 +17,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.functions import MAX_VOLUME
-from daybook.operators.aggregate import daily_totals, daily_volume
+from daybook.operators.aggregate import daily_volume, daily_volume_with_unknown
 from daybook.operators.clean import DEAD_LETTER_COLUMNS, RAW_COLUMNS, classify
-from daybook.operators.convert import DEFAULT_MAX_BROADCAST_ROWS, ON_UNKNOWN, split_unknown
+from daybook.operators.convert import DEFAULT_MAX_BROADCAST_ROWS, ON_UNKNOWN
 from daybook.operators.prices import PRICE_CSV_COLUMNS
 from daybook.session import configure, scratch_path
 from daybook.sinks.files import write_dead_letters_csv
@@ -122,8 +122,7 @@ def daily_volume_job(
     if on_unknown == "fail":
         agg = daily_volume(clean, lookup, broadcast=broadcast)
     else:
-        priced, unknown = split_unknown(clean, lookup, broadcast=broadcast)
-        agg = daily_totals(priced)
+        agg, unknown = daily_volume_with_unknown(clean, lookup, broadcast=broadcast)
         dead.append(unknown.select("Reason", *[F.col(f"raw_{c}").alias(c) for c in RAW_COLUMNS]))
 
     agg_obs = Observation("aggregates")

@@ -134,3 +134,13 @@ def test_large_lookup_plan_aggregates_before_joining(spark):
     # the first aggregate (per day, project, symbol) sits below the join
     join_at = plan.index("Join LeftOuter")
     assert "Aggregate" in plan[join_at:]
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_dead_letter_mode_aggregate_both_paths(spark, broadcast):
+    from daybook.operators.aggregate import daily_volume_with_unknown
+
+    cl = spark.createDataFrame(AGG_ROWS + [(dt.datetime(2023, 10, 1), "P", "XRP", 1.0)] * 3, CLEAN_SCHEMA)
+    agg, unknown = daily_volume_with_unknown(cl, inline_prices(spark, PRICES), broadcast=broadcast)
+    assert _as_dict(agg) == EXPECTED
+    assert [r.Reason for r in unknown.collect()] == ["currency symbol not supported: XRP"] * 3
