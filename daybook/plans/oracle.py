@@ -168,6 +168,12 @@ WHERE c.symbol NOT IN ({", ".join(f"'{s}'" for s in T.EVENT_PRICES if s != "MATI
         "p_retailprice AS price_usd FROM part"
     ),
     "job_daily_volume": _daily(EVENTS_CLEAN, T.EVENT_PRICES, Q.EVENT_USD_PLACES),
+    "job_dead_letters": f"""
+SELECT Reason, ts, project_id, event, props, nums FROM ({EVENTS_CLASSIFIED}) c WHERE reason_code IS NOT NULL
+UNION ALL
+SELECT 'currency symbol not supported: ' || symbol AS Reason, ts, project_id, event, props, nums
+FROM ({EVENTS_CLEAN}) c WHERE symbol NOT IN ({", ".join(f"'{s}'" for s in T.EVENT_PRICES if s != "MATIC")})
+""",
     "replicate": _daily(
         f"SELECT * FROM ({classified(f'SELECT r.* FROM ({EVENTS_RAW}) r, range({Q.REPLICAS}) t', 1e15)}) c "
         "WHERE reason_code IS NULL",

@@ -274,6 +274,21 @@ def job_daily_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(read_aggregates_csv(spark, out), EVENT_USD_PLACES)
 
 
+def job_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E1 in dead-letter mode with a price list lacking MATIC: the dead-letter CSV, read back."""
+    configure(spark)
+    errors = scratch_path(spark, "job-errors")
+    daily_volume_job(
+        spark,
+        transactions=stage_events_csv(spark, sf_dir),
+        prices=stage_prices_csv(spark, {s: p for s, p in T.EVENT_PRICES.items() if s != "MATIC"}),
+        output=scratch_path(spark, "job-out"),
+        errors=errors,
+        on_unknown="dead_letter",
+    )
+    return read_dead_letters_csv(spark, errors)
+
+
 QUERIES = {
     "daily_volume": events_daily_volume,
     "daily_volume_lineitem": lineitem_daily_volume,
@@ -297,4 +312,5 @@ QUERIES = {
     "stream_daily_volume": stream_daily_volume,
     "price_pages": price_pages,
     "job_daily_volume": job_daily_volume,
+    "job_dead_letters": job_dead_letters,
 }
