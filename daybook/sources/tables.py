@@ -4,7 +4,7 @@ The engine's input is raw transaction text (five string columns).  These
 adapters derive such rows from the benchmark tables with fixed, deterministic
 rules, including rows that must be rejected, so the whole pipeline can run on
 data that grows with the scale factor.  The SQL oracles in
-``__spark_entry__.py`` state the same rules in DuckDB SQL.
+``daybook/plans/oracle.py`` state the same rules in DuckDB SQL.
 """
 
 from __future__ import annotations
