@@ -60,11 +60,16 @@ def shared_dir(spark: SparkSession) -> str:
     as the checkpoint dir, so later lookups agree.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
+    try:
+        context = spark.sparkContext
+    except Exception:      # e.g. a Spark Connect session
+        context = None
+    if not base and context is not None:
+        base = context.getCheckpointDir()
     if not base:
         base = tempfile.mkdtemp(prefix="daybook-")
-        spark.sparkContext.setCheckpointDir(base)
+        if context is not None:
+            context.setCheckpointDir(base)
     return base.rstrip("/")
 
 

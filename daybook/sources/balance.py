@@ -15,8 +15,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     returned unchanged: no shuffle is added where the scan is already wide.
     Counting partitions plans the scan but runs no job.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        partitions = df.rdd.getNumPartitions()
+    except Exception:      # e.g. a Spark Connect session: no RDD view, leave the plan as it is
+        return df
+    if partitions >= target:
         return df
     # Hash on the row's position in its input split: unique, so even a run of
     # identical rows is spread, and the same on a task retry, so no sort is
