@@ -55,9 +55,10 @@ def shared_dir(spark: SparkSession) -> str:
     """Base folder for intermediate tables and staged files.
 
     The cluster names its shared folder in ``spark.checkpoint.dir``; that is
-    used as is.  Only when nothing is configured (local tests, the driver's
-    checks) a fresh folder under the system temp dir is created and registered
-    as the checkpoint dir, so later lookups agree.
+    used as is.  Only in local mode with nothing configured (tests) a fresh
+    folder under the system temp dir is created and registered as the
+    checkpoint dir, so later lookups agree; on a cluster a missing setting is
+    an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -67,6 +68,12 @@ def shared_dir(spark: SparkSession) -> str:
     if not base and context is not None:
         base = context.getCheckpointDir()
     if not base:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
+            raise ValueError(
+                "set spark.checkpoint.dir to a folder every executor can reach; "
+                "a machine-local temporary folder is only used in local mode"
+            )
         base = tempfile.mkdtemp(prefix="daybook-")
         if context is not None:
             context.setCheckpointDir(base)

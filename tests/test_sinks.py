@@ -94,3 +94,13 @@ def test_sink_choice(spark, workdir):
         spark.createDataFrame(AGG, AGG_SCHEMA))
     assert spark.table("spark_catalog.sinkdb.daily").count() == 2
     spark.sql("DROP TABLE spark_catalog.sinkdb.daily")
+
+
+def test_shared_folder_comes_from_the_session(spark):
+    from daybook.session import scratch_path, shared_dir
+
+    base = shared_dir(spark)
+    assert base and scratch_path(spark, "x").startswith(base + "/daybook/x-")
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        assert base == configured.rstrip("/")
