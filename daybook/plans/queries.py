@@ -175,7 +175,7 @@ PAGE_SIZE = 250
 def stage_events_csv(spark: SparkSession, sf_dir: str, files: int = STAGED_FILES) -> str:
     """Write the 16-column events export as CSV under the shared folder; returns its path."""
     path = scratch_path(spark, "events-csv")
-    (T.events_wide(spark, sf_dir).repartition(files)
+    (T.events_wide(spark, sf_dir).repartition(files, "ident")
      .write.option("header", True).option("escape", '"').csv(path))
     return path
 

@@ -56,9 +56,24 @@ def clustered(rows: DataFrame) -> DataFrame:
     return rows.repartitionByRange("Date", "ProjectId").sortWithinPartitions("Date", "ProjectId")
 
 
+TABLE_LAYOUT = {
+    "ProjectId": "string",
+    "NumberOfTransactions": "bigint",
+    "TotalVolumeUsd": "double",
+    "Date": "date",
+}
+
+
 def ensure_table(spark: SparkSession, name: str, location: str | None = None) -> None:
-    """Create the aggregate table if it does not exist; an existing table is kept as is."""
+    """Create the aggregate table if it does not exist; an existing table is kept as is.
+
+    An existing table must have the aggregate layout (rows are inserted by
+    position), otherwise this raises instead of writing misplaced values.
+    """
     if spark.catalog.tableExists(name):
+        found = {f.name: f.dataType.simpleString() for f in spark.table(name).schema}
+        if found != TABLE_LAYOUT or list(found) != list(TABLE_LAYOUT):
+            raise ValueError(f"table {name} exists with columns {found}, expected {TABLE_LAYOUT}")
         return
     where = f" LOCATION '{location}'" if location else ""
     spark.sql(

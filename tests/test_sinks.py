@@ -104,3 +104,12 @@ def test_shared_folder_comes_from_the_session(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         assert base == configured.rstrip("/")
+
+
+def test_existing_table_with_other_layout_is_refused(spark, workdir):
+    spark.sql("CREATE TABLE other_layout (a STRING, b INT) USING parquet")
+    try:
+        with pytest.raises(ValueError, match="exists with columns"):
+            write_table(spark.createDataFrame(AGG, AGG_SCHEMA), "other_layout")
+    finally:
+        spark.sql("DROP TABLE other_layout")
