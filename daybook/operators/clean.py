@@ -76,12 +76,12 @@ def classify(raw: DataFrame, max_volume: float = MAX_VOLUME) -> DataFrame:
     # The canonical payload values, once per row, as plain columns.  For the
     # amount, the usual case (a canonical payload holding a decimal) is caught
     # by one regex; other canonical text is tried only when that fails.
+    decimal = canonical_value_sql("nums", NUMS_FIELD, DECIMAL_BODY)
     cut = raw.select(
         "*",
-        F.expr(canonical_value_sql("nums", NUMS_FIELD, DECIMAL_BODY)).alias("_nums_num"),
-    ).select(
-        "*",
-        F.expr(f"coalesce(_nums_num, {canonical_value_sql('nums', NUMS_FIELD)})").alias("_nums_fast"),
+        F.expr(decimal).alias("_nums_num"),
+        # the repeated decimal regex is one common subexpression of this projection
+        F.expr(f"coalesce({decimal}, {canonical_value_sql('nums', NUMS_FIELD)})").alias("_nums_fast"),
         F.expr(canonical_value_sql("props", PROPS_FIELD)).alias("_props_fast"),
     )
     amount = (lambda fast: f"CASE WHEN _nums_num IS NOT NULL THEN {finite_double_sql('_nums_num')} "
