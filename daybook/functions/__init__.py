@@ -6,9 +6,10 @@ function wraps it in a single ``F.expr`` call.  Everything stays JVM-side.
 
 from daybook.functions.jsonfield import (
     canonical_value_sql,
+    exact_member_sql,
+    field_lookup_sql,
     field_of_document_sql,
-    json_field_resolve_sql,
-    json_field_scan_sql,
+    field_resolve_sql,
     json_string_field,
     parse_json_strict,
     parse_json_strict_sql,
@@ -28,11 +29,12 @@ __all__ = [
     "MAX_VOLUME",
     "canonical_value_sql",
     "day_key",
+    "exact_member_sql",
+    "field_lookup_sql",
     "field_of_document_sql",
+    "field_resolve_sql",
     "fixed_point_text",
     "fixed_point_text_sql",
-    "json_field_resolve_sql",
-    "json_field_scan_sql",
     "json_string_field",
     "outside_range",
     "outside_range_sql",

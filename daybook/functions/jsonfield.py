@@ -21,8 +21,6 @@ the JSON parser at all.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -99,43 +97,51 @@ def canonical_value_sql(text: str, field: str, value: str = _PLAIN_VALUE) -> str
     return f"nullif(regexp_extract({text}, r'{canonical_pattern(field, value)}', 1), '')"
 
 
-def json_field_scan_sql(text: str, field: str, fast: str | None = None,
-                        parse: Callable[[str], str] | None = None, parsed_type: str = "double") -> str:
-    """SQL for the first step of a field lookup: ``struct<fast, doc[, parsed]>``.
+def exact_member_sql(doc: str, field: str) -> str:
+    """SQL: the member ``field`` (exact spelling) of a parsed document as a VARIANT, else NULL."""
+    if not field.isidentifier():
+        raise ValueError(f"field name must be a plain identifier: {field!r}")
+    return f"try_variant_get({doc}, '$.{field}')"
+
+
+def field_lookup_sql(fast: str, doc: str, exact: str) -> str:
+    """SQL: ``struct<ok, value>`` from already materialised columns, without lambdas.
 
-    ``fast`` is the field value when the text has the canonical one-key form
-    (pass a column already holding :func:`canonical_value_sql`, or leave it
-    None to compute it here); otherwise ``doc`` holds the parsed document (SQL
-    NULL when the text is not one JSON value).  With ``parse`` (a SQL
-    builder), ``parsed`` holds ``parse(fast)`` for canonical rows, so a value
-    needed downstream is converted in the same pass.  All of it compiles to
-    Java code, so it can sit in a code-generated stage;
-    :func:`json_field_resolve_sql` finishes the rare non-canonical rows.
+    ``fast`` holds the canonical value (or NULL), ``doc`` the strictly parsed
+    document (NULL when the text is not one JSON value) and ``exact`` the member
+    with the exact spelling (:func:`exact_member_sql`).  ``ok`` is NULL when the
+    document lacks the exact spelling: only those rows need the
+    case-insensitive search of :func:`field_of_document_sql`.
     """
-    fast = fast or f"({canonical_value_sql(text, field)})"
-    hit = f"'fast', {fast}, 'doc', CAST(NULL AS variant)"
-    miss = f"'fast', CAST(NULL AS string), 'doc', {parse_json_strict_sql(text)}"
-    if parse is not None:
-        hit += f", 'parsed', {parse(fast)}"
-        miss += f", 'parsed', CAST(NULL AS {parsed_type})"
-    return f"CASE WHEN {fast} IS NOT NULL THEN named_struct({hit}) ELSE named_struct({miss}) END"
+    bad = "named_struct('ok', false, 'value', CAST(NULL AS string))"
+    return (
+        f"CASE WHEN {fast} IS NOT NULL THEN named_struct('ok', true, 'value', {fast}) "
+        f"WHEN {doc} IS NULL THEN {bad} "
+        f"WHEN is_variant_null({doc}) THEN named_struct('ok', true, 'value', '') "
+        f"WHEN {exact} IS NULL THEN named_struct('ok', CAST(NULL AS boolean), 'value', CAST(NULL AS string)) "
+        f"WHEN schema_of_variant({exact}) IN ('STRING', 'VOID') "
+        f"THEN named_struct('ok', true, 'value', coalesce(try_variant_get({exact}, '$', 'string'), '')) "
+        f"ELSE {bad} END"
+    )
 
 
-def json_field_resolve_sql(scan: str, field: str) -> str:
-    """SQL for the second step: ``struct<ok, value>`` from a scan struct held in ``scan``."""
-    return (f"CASE WHEN {scan}.fast IS NOT NULL THEN named_struct('ok', true, 'value', {scan}.fast) "
-            f"ELSE {field_of_document_sql(f'{scan}.doc', field)} END")
+def field_resolve_sql(lookup: str, doc: str, field: str) -> str:
+    """SQL: the final ``struct<ok, value>``; the lambda search runs only where ``lookup.ok`` is NULL."""
+    return f"CASE WHEN {lookup}.ok IS NOT NULL THEN {lookup} ELSE {field_of_document_sql(doc, field)} END"
 
 
 def json_string_field(text: str, field: str) -> Column:
     """``struct<ok: boolean, value: string>`` for ``field`` of the JSON text ``text``.
 
     ``ok`` is false when the text is not valid for the rule in the module
-    doc; ``value`` is then NULL.  NULL text is not ok.  (Inside a pipeline,
-    :func:`json_field_scan_sql` and :func:`json_field_resolve_sql` split this
-    so the expensive part is computed once per row.)
+    doc; ``value`` is then NULL.  NULL text is not ok.  Inside a pipeline the
+    steps are split into columns (see ``operators.clean.classify``) so that
+    each is computed once per row; this one-expression form is for ad hoc use.
     """
+    fast = canonical_value_sql(text, field)
+    doc = f"CASE WHEN ({fast}) IS NULL THEN {parse_json_strict_sql(text)} END"
     return F.expr(
-        f"transform(array({json_field_scan_sql(text, field)}), s -> "
-        f"{json_field_resolve_sql('s', field)})[0]"
+        f"transform(array(named_struct('f', {fast}, 'd', {doc})), s -> "
+        f"transform(array({field_lookup_sql('s.f', 's.d', exact_member_sql('s.d', field))}), l -> "
+        f"{field_resolve_sql('l', 's.d', field)})[0])[0]"
     )

@@ -25,8 +25,10 @@ from daybook.functions import (
     MAX_VOLUME,
     fixed_point_text_sql,
     canonical_value_sql,
-    json_field_resolve_sql,
-    json_field_scan_sql,
+    exact_member_sql,
+    field_lookup_sql,
+    field_resolve_sql,
+    parse_json_strict_sql,
     outside_range_sql,
     strict_double_sql,
     strict_timestamp_sql,
@@ -72,10 +74,18 @@ def classify(raw: DataFrame, max_volume: float = MAX_VOLUME) -> DataFrame:
     Adds ``_ts`` (timestamp_ntz), ``_nums`` / ``_props`` (struct ok, value),
     ``_volume`` (double), ``reason_code`` (NULL for a clean row) and
     ``Reason`` (category plus detail).  All input columns are kept.
+
+    Layers, each computed once per row:
+
+    1. canonical payload values by one anchored regex per field (for the
+       amount, a decimal-shaped capture is tried first);
+    2. only for other payloads, the strict JSON parse and the member with the
+       exact key spelling, resolved without lambdas;
+    3. a one-row generator (the filter barrier) with the strict timestamp and
+       the amount;
+    4. only for objects lacking the exact spelling, the case-insensitive
+       key search, which uses lambdas and so runs outside generated code.
     """
-    # The canonical payload values, once per row, as plain columns.  For the
-    # amount, the usual case (a canonical payload holding a decimal) is caught
-    # by one regex; other canonical text is tried only when that fails.
     decimal = canonical_value_sql("nums", NUMS_FIELD, DECIMAL_BODY)
     cut = raw.select(
         "*",
@@ -84,25 +94,33 @@ def classify(raw: DataFrame, max_volume: float = MAX_VOLUME) -> DataFrame:
         F.expr(f"coalesce({decimal}, {canonical_value_sql('nums', NUMS_FIELD)})").alias("_nums_fast"),
         F.expr(canonical_value_sql("props", PROPS_FIELD)).alias("_props_fast"),
     )
-    amount = (lambda fast: f"CASE WHEN _nums_num IS NOT NULL THEN {finite_double_sql('_nums_num')} "
-                           f"ELSE {strict_double_sql(fast)} END")
-    # One code-generated pass: timestamp, the amount parsed from the canonical
-    # value, or the raw JSON parse for anything else.
-    scanned = evaluate_once(
-        cut,
-        _ts=strict_timestamp_sql("ts"),
-        _nums_scan=json_field_scan_sql("nums", NUMS_FIELD, fast="_nums_fast", parse=amount),
-        _props_scan=json_field_scan_sql("props", PROPS_FIELD, fast="_props_fast"),
+    docs = cut.select(
+        "*",
+        F.expr(f"CASE WHEN _nums_fast IS NULL THEN {parse_json_strict_sql('nums')} END").alias("_nums_doc"),
+        F.expr(f"CASE WHEN _props_fast IS NULL THEN {parse_json_strict_sql('props')} END").alias("_props_doc"),
+    )
+    members = docs.select(
+        "*",
+        F.expr(exact_member_sql("_nums_doc", NUMS_FIELD)).alias("_nums_exact"),
+        F.expr(exact_member_sql("_props_doc", PROPS_FIELD)).alias("_props_exact"),
+    )
+    looked = members.select(
+        "*",
+        F.expr(field_lookup_sql("_nums_fast", "_nums_doc", "_nums_exact")).alias("_nums_look"),
+        F.expr(field_lookup_sql("_props_fast", "_props_doc", "_props_exact")).alias("_props_look"),
     )
-    # Non-canonical documents (rare rows) are resolved afterwards; a filter on
-    # the reason may inline these expressions, which only costs on those rows.
-    nums = json_field_resolve_sql("_nums_scan", NUMS_FIELD)
+    amount = (f"CASE WHEN _nums_num IS NOT NULL THEN {finite_double_sql('_nums_num')} "
+              f"ELSE {strict_double_sql('_nums_look.value')} END")
+    scanned = evaluate_once(looked, _ts=strict_timestamp_sql("ts"), _amount=amount)
+    # Rows still needing the key search (ok IS NULL) are resolved here; a filter
+    # on the reason may inline this, which only costs on those rows.
+    nums = field_resolve_sql("_nums_look", "_nums_doc", NUMS_FIELD)
     resolved = scanned.select(
         *raw.columns,
         "_ts",
         F.expr(nums).alias("_nums"),
-        F.expr(json_field_resolve_sql("_props_scan", PROPS_FIELD)).alias("_props"),
-        F.expr(f"CASE WHEN _nums_scan.fast IS NOT NULL THEN _nums_scan.parsed "
+        F.expr(field_resolve_sql("_props_look", "_props_doc", PROPS_FIELD)).alias("_props"),
+        F.expr(f"CASE WHEN _nums_look.ok IS NOT NULL THEN _amount "
                f"ELSE {strict_double_sql(f'({nums}).value')} END").alias("_volume"),
     )
     code = f"""CASE WHEN _ts IS NULL THEN '{INVALID_TIMESTAMP}'

@@ -173,3 +173,24 @@ def test_each_field_is_parsed_once(spark):
 def test_classify_keeps_input_columns(spark):
     df = raw_df(spark, CLEANUP_ROWS)
     assert set(df.columns) <= set(classify(df).columns)
+
+
+def test_non_canonical_payloads_match_canonical_ones(spark):
+    """Extra keys, other spacing and key order take the general path with the same result."""
+    rows = [
+        ("2023-10-01 12:00:00", "P", "", '{"src": "web", "currencySymbol": "USD"}',
+         '{"k": [1, {"x": null}], "currencyValueDecimal": "12.5"}'),
+        ("2023-10-01 12:00:00", "P", "", '{ "currencySymbol" :"USD" }', '{\n"currencyValueDecimal":"12.5"\n}'),
+        ("2023-10-01 12:00:00", "P", "", '{"CurrencySymbol": "USD", "a": 1}', '{"CURRENCYVALUEDECIMAL": "12.5", "b": 2}'),
+        ("2023-10-01 12:00:00", "P", "", '{"currencySymbol": "USD"}', '{"currencyValueDecimal": "12.5"}'),
+    ]
+    got = [tuple(r)[1:] for r in clean(raw_df(spark, rows)).collect()]
+    assert got == [("P", "USD", 12.5)] * 4
+    bad = [
+        ("2023-10-01 12:00:00", "P", "", '{"currencySymbol": "USD", "a": 1}', '{"currencyValueDecimal": 12.5, "b": 2}'),
+        ("2023-10-01 12:00:00", "P", "", '{"currencySymbol": 7, "a": 1}', '{"currencyValueDecimal": "1", "b": 2}'),
+        ("2023-10-01 12:00:00", "P", "", '{"a": 1}', '[{"currencyValueDecimal": "1"}, 2]'),
+    ]
+    codes = sorted(r.reason_code for r in dead_letters(raw_df(spark, bad)).collect())
+    assert codes == ["invalid JSON format in Nums field", "invalid JSON format in Nums field",
+                     "invalid JSON format in Props field"]
