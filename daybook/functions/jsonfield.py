@@ -10,13 +10,16 @@ field:
 * a key equal to the field name, compared without case, must hold a string or
   ``null``; any other type is an error;
 * the field value is that string, or ``""`` when the key is missing or
-  ``null``; other keys are ignored.
+  ``null``; other keys are ignored.  When the exact spelling is present it
+  decides (a parsed document keeps no key order, so among spellings that
+  differ only in case the exact one is taken).
 
 Spark's ``try_parse_json`` alone accepts trailing text, so the text is parsed
 twice, once wrapped as an object member and once as an array element; only a
 single JSON value survives both wraps.  A regular expression recognises the
 common canonical form ``{"field": "text"}`` first, so most rows never reach
-the JSON parser at all.
+the JSON parser at all; for parsed documents the exact spelling is looked up
+by path, and only documents without it are searched key by key (lambdas).
 """
 
 from __future__ import annotations
@@ -91,7 +94,7 @@ def canonical_value_sql(text: str, field: str, value: str = _PLAIN_VALUE) -> str
     One anchored ``regexp_extract`` both checks the shape and cuts the value
     out.  An empty value also gives NULL here; such rows take the general path,
     which gets them right.  Materialise it as a column and pass that column to
-    :func:`json_field_scan_sql`, so later expressions read it instead of
+    the later steps (:func:`field_lookup_sql`), so they read it instead of
     repeating it (repeated text also bloats the generated code).
     """
     return f"nullif(regexp_extract({text}, r'{canonical_pattern(field, value)}', 1), '')"
