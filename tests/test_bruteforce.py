@@ -19,7 +19,7 @@ def _no_constants(name):
     raise ValueError(name)
 
 
-def ref_field(text: str):
+def ref_field(text: str, field: str = FIELD):
     try:
         doc = json.loads(text, parse_constant=_no_constants)
     except (ValueError, RecursionError):
@@ -28,10 +28,10 @@ def ref_field(text: str):
         return (True, "")
     if not isinstance(doc, dict):
         return (False, None)
-    if FIELD in doc:
-        candidates = [doc[FIELD]]
+    if field in doc:
+        candidates = [doc[field]]
     else:
-        candidates = [v for k, v in doc.items() if k.lower() == FIELD.lower()]
+        candidates = [v for k, v in doc.items() if k.lower() == field.lower()]
     if any(not (v is None or isinstance(v, str)) for v in candidates):
         return (False, None)
     strings = [v for v in candidates if isinstance(v, str)]
@@ -129,3 +129,37 @@ def test_strict_timestamp_against_python(spark):
     got = _evaluate(spark, cases, strict_timestamp("x"))
     wrong = [(c, got[c], ref_timestamp(c)) for c in cases if got[c] != ref_timestamp(c)]
     assert not wrong, wrong[:10]
+
+
+def ref_reason(ts: str, props: str, nums: str):
+    if ref_timestamp(ts) is None:
+        return "invalid timestamp format"
+    nums_ok, amount_text = ref_field(nums)
+    if not nums_ok:
+        return "invalid JSON format in Nums field"
+    props_ok, _ = ref_field(props, "currencySymbol")
+    if not props_ok:
+        return "invalid JSON format in Props field"
+    amount = ref_double(amount_text)
+    if amount is None:
+        return "invalid volume format"
+    if amount == "nan" or amount < 0 or amount > 1e15:
+        return "volume over threshold"
+    return None
+
+
+def test_classify_against_python(spark):
+    from daybook.operators.clean import classify
+
+    stamps = ["2024-01-01 00:00:00", "2024-1-01 00:00:00", "2023-02-29 10:00:00", "2024-01-01  7:00:00,5"]
+    amounts = ["1.5", "-1", "0", "1e15", "1e16", "abc", "", "inf", "NaN", "1e400", " 2"]
+    nums_forms = ['{"currencyValueDecimal": "%s"}', '{"o": 1, "CurrencyValueDecimal": "%s"}',
+                  '{"currencyValueDecimal": "%s"} x', '["%s"]']
+    props = ['{"currencySymbol": "USD"}', '{"currencysymbol": "USD", "x": [1]}', '{"currencySymbol": 1}',
+             "null", "{bad"]
+    rows = [(ts, "P", "", p, form % a) for ts in stamps for a in amounts for form in nums_forms for p in props]
+    df = spark.createDataFrame(rows, "ts string, project_id string, event string, props string, nums string")
+    got = {(r.ts, r.props, r.nums): r.reason_code for r in classify(df).collect()}
+    wrong = [(k, got[k], ref_reason(*k)) for k in got if got[k] != ref_reason(*k)]
+    assert not wrong, wrong[:10]
+    assert len(got) == len(rows)
