@@ -10,10 +10,10 @@ reason:
 4. that amount text is a decimal number,
 5. the amount lies in ``[0, max_volume]``.
 
-All regular parsing happens once per row: :func:`evaluate_once` keeps the
-parse expressions under a one-row generator, because Catalyst would otherwise
-inline them into every filter placed on the reason and evaluate them again
-there.
+All parsing happens once per row: the expensive expressions are computed in
+projections placed below a one-row generator (:func:`evaluate_once`).  Catalyst
+pushes filters through projections by inlining their expressions, so without
+that barrier a filter on the reason would evaluate every parse a second time.
 """
 
 from __future__ import annotations
