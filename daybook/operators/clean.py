@@ -86,17 +86,22 @@ def classify(raw: DataFrame, max_volume: float = MAX_VOLUME) -> DataFrame:
     4. only for objects lacking the exact spelling, the case-insensitive
        key search, which uses lambdas and so runs outside generated code.
     """
-    decimal = canonical_value_sql("nums", NUMS_FIELD, DECIMAL_BODY)
     cut = raw.select(
         "*",
-        F.expr(decimal).alias("_nums_num"),
-        # the repeated decimal regex is one common subexpression of this projection
-        F.expr(f"coalesce({decimal}, {canonical_value_sql('nums', NUMS_FIELD)})").alias("_nums_fast"),
+        F.expr(canonical_value_sql("nums", NUMS_FIELD, DECIMAL_BODY)).alias("_nums_num"),
         F.expr(canonical_value_sql("props", PROPS_FIELD)).alias("_props_fast"),
     )
-    docs = cut.select(
+    # Any other canonical amount text is tried only where the decimal form failed.
+    plain = cut.select(
         "*",
-        F.expr(f"CASE WHEN _nums_fast IS NULL THEN {parse_json_strict_sql('nums')} END").alias("_nums_doc"),
+        F.expr(f"CASE WHEN _nums_num IS NULL THEN {canonical_value_sql('nums', NUMS_FIELD)} END")
+        .alias("_nums_plain"),
+    )
+    docs = plain.select(
+        "*",
+        F.expr("coalesce(_nums_num, _nums_plain)").alias("_nums_fast"),
+        F.expr(f"CASE WHEN _nums_num IS NULL AND _nums_plain IS NULL THEN {parse_json_strict_sql('nums')} END")
+        .alias("_nums_doc"),
         F.expr(f"CASE WHEN _props_fast IS NULL THEN {parse_json_strict_sql('props')} END").alias("_props_doc"),
     )
     members = docs.select(
