@@ -118,3 +118,13 @@ def test_command_line(spark, inputs, workdir):
     assert run["rows_read"] == 7 and run["clean_rows"] == 5
     assert read_aggregates_csv(spark, out2).count() == 4
     assert read_dead_letters_csv(spark, err2).count() == 2
+
+
+def test_command_line_snapshot(spark, workdir):
+    from daybook.cli import main
+
+    pages = os.path.join(workdir, "pages", "p.json")
+    _write(pages, '[{"id": "bitcoin", "symbol": "btc", "name": "Bitcoin", "current_price": 2.5}]\n')
+    out = os.path.join(workdir, "snap")
+    assert main(["snapshot", "--pages", os.path.dirname(pages), "-o", out]) == {"prices_written": 1}
+    assert [tuple(r) for r in read_prices(spark, out).collect()] == [("BTC", 2.5)]
