@@ -81,3 +81,8 @@ def main(argv: list[str] | None = None) -> dict:
         result = asdict(report)
     print(json.dumps(result))
     return result
+
+
+def run() -> None:
+    """Console-script entry (exit status 0 on success)."""
+    main()
