@@ -39,9 +39,14 @@ def latest_prices(
 def inline_prices(spark, prices: dict[str, float]) -> DataFrame:
     """A lookup table from a small literal mapping (symbols used as given).
 
-    Its size is known on the driver: pass ``broadcast=len(prices) <= limit``
-    to the join instead of counting it again.
+    Built as a SQL ``VALUES`` relation: a local table the driver broadcasts
+    directly, with no job to collect it.  Its size is known on the driver:
+    pass ``broadcast=len(prices) <= limit`` to the join instead of counting it.
     """
-    return spark.createDataFrame(
-        [(s, float(p)) for s, p in prices.items()], "symbol string, price double"
-    ).coalesce(1)
+    if not prices:
+        return spark.sql("SELECT CAST(NULL AS string) AS symbol, CAST(NULL AS double) AS price WHERE false")
+    rows = ", ".join(
+        "('{}', CAST('{}' AS double))".format(symbol.replace("'", "''"), repr(float(price)))
+        for symbol, price in prices.items()
+    )
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(symbol, price)")
