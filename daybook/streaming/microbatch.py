@@ -61,9 +61,13 @@ def transaction_stream(
     source_dir: str,
     schema: T.StructType | None = None,
     max_files_per_trigger: int | None = 1,
-    max_bytes_per_trigger: str | None = None,
+    max_bytes_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Streaming raw transactions (five text columns) from CSV files landing in ``source_dir``."""
+    """Streaming raw transactions (five text columns) from CSV files landing in ``source_dir``.
+
+    Micro-batches hold ``max_files_per_trigger`` files or about
+    ``max_bytes_per_trigger`` bytes (whole files; at least one per batch).
+    """
     reader = (
         spark.readStream.schema(schema or header_schema(spark, source_dir))
         .option("header", True)
@@ -73,7 +77,7 @@ def transaction_stream(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if max_bytes_per_trigger:
-        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
+        reader = reader.option("maxBytesPerTrigger", int(max_bytes_per_trigger))
     return conform_raw(reader.csv(resolve_path(source_dir)))
 
 

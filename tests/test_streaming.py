@@ -68,3 +68,13 @@ def test_replayed_batch_replaces_itself(spark, workdir):
     assert spark.read.parquet(partials).where("batch_id = 0").count() == once[0]
     assert spark.read.parquet(dead).where("batch_id = 0").count() == once[1]
     assert spark.read.parquet(partials).count() == 2 * once[0]
+
+
+def test_batches_by_bytes(spark, workdir):
+    src = os.path.join(workdir, "src")
+    _files(src, 3, 25)
+    size = max(os.path.getsize(os.path.join(src, f)) for f in os.listdir(src))
+    run = run_daily_volume_stream(
+        spark, transaction_stream(spark, src, max_files_per_trigger=None, max_bytes_per_trigger=size),
+        inline_prices(spark, PRICES), work_dir=os.path.join(workdir, "run"))
+    assert run.batches == 3 and run.rows_read == 75
