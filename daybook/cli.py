@@ -86,3 +86,7 @@ def main(argv: list[str] | None = None) -> dict:
 def run() -> None:
     """Console-script entry (exit status 0 on success)."""
     main()
+
+
+if __name__ == "__main__":
+    run()
