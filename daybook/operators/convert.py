@@ -99,8 +99,8 @@ def split_unknown(
 def unknown_as_dead_letters(unknown: DataFrame) -> DataFrame:
     """Shape rows from :func:`split_unknown` like the cleaning dead letters.
 
-    Needs the raw columns kept through cleaning (``keep=RAW_COLUMNS`` with
-    prefixed names ``raw_*``).
+    Needs the raw text kept through cleaning (``clean(..., keep_raw=True)``
+    adds it as ``raw_<name>`` columns).
     """
     return unknown.select(
         "Reason", *[F.col(f"raw_{c}").alias(c) for c in RAW_COLUMNS], "reason_code"
