@@ -44,6 +44,8 @@ class StreamRun:
     rows_read: int = 0
     clean_rows: int = 0
     rejected_rows: int = 0
+    compacted: str | None = None
+    compacted_through: int = -1
 
 
 def header_schema(spark: SparkSession, source_dir: str) -> T.StructType:
@@ -166,9 +168,39 @@ def run_daily_volume_stream(
     return run
 
 
+def _open_partials(spark: SparkSession, run: StreamRun) -> DataFrame:
+    """Compacted partials plus the partials of later batches (pruned on batch_id)."""
+    later = (spark.read.parquet(run.partials).where(F.col("batch_id") > run.compacted_through)
+             .drop("batch_id"))
+    if run.compacted is None:
+        return later
+    return spark.read.parquet(run.compacted).unionByName(later)
+
+
 def merged_daily_volume(spark: SparkSession, run: StreamRun) -> DataFrame:
     """Final daily aggregates: merge of every batch's partials."""
-    return merge_partials(spark.read.parquet(run.partials))
+    return merge_partials(_open_partials(spark, run))
+
+
+def compact_partials(spark: SparkSession, run: StreamRun, through_batch: int) -> StreamRun:
+    """Fold the partials of batches up to ``through_batch`` into one table.
+
+    The result goes to a new folder named after ``through_batch`` (the input
+    is never overwritten), and later merges read it plus the partials of later
+    batches only, so their cost follows the number of groups rather than the
+    number of batches.  Calling it for a batch already folded does nothing.
+    """
+    if through_batch <= run.compacted_through:
+        return run
+    current = (spark.read.parquet(run.compacted) if run.compacted is not None else None)
+    newer = (spark.read.parquet(run.partials)
+             .where((F.col("batch_id") > run.compacted_through) & (F.col("batch_id") <= through_batch))
+             .drop("batch_id"))
+    folded = merge_partials(newer if current is None else current.unionByName(newer))
+    target = f"{run.partials.rsplit('/', 1)[0]}/compacted-through-{through_batch}"
+    folded.write.mode("overwrite").parquet(target)
+    run.compacted, run.compacted_through = target, through_batch
+    return run
 
 
 def stream_dead_letters(spark: SparkSession, run: StreamRun) -> DataFrame:

@@ -78,3 +78,17 @@ def test_batches_by_bytes(spark, workdir):
         spark, transaction_stream(spark, src, max_files_per_trigger=None, max_bytes_per_trigger=size),
         inline_prices(spark, PRICES), work_dir=os.path.join(workdir, "run"))
     assert run.batches == 3 and run.rows_read == 75
+
+
+def test_compacted_partials_merge_to_the_same_result(spark, workdir):
+    from daybook.streaming.microbatch import compact_partials
+
+    src = os.path.join(workdir, "src")
+    _files(src, 4, 25)
+    run = run_daily_volume_stream(spark, transaction_stream(spark, src, max_files_per_trigger=1),
+                                  inline_prices(spark, PRICES), work_dir=os.path.join(workdir, "run"))
+    before = _as_dict(merged_daily_volume(spark, run))
+    for through in (1, 3, 2):
+        run = compact_partials(spark, run, through)
+        assert _as_dict(merged_daily_volume(spark, run)) == before
+    assert run.compacted_through == 3
