@@ -29,12 +29,18 @@ def _parser() -> argparse.ArgumentParser:
                      help="dead-letter CSV location")
     agg.add_argument("-p", "--parallelism", type=int, default=None,
                      help="shuffle partitions (default: the session's setting)")
-    agg.add_argument("-b", "--files-per-batch", "--micro-batch-size", dest="files_per_batch", type=int,
-                     default=None, help="with --stream: files per micro-batch")
+    agg.add_argument("--files-per-batch", type=int, default=None, help="with --stream: files per micro-batch")
+    agg.add_argument("--bytes-per-batch", type=int, default=None,
+                     help="with --stream: bytes of files per micro-batch (default 1 GiB)")
+    agg.add_argument("--work-dir", default=None,
+                     help="with --stream: folder with the stream's state; a later run with it goes on from there")
+    agg.add_argument("--compact", action="store_true", help="with --stream: fold the batches' partials at the end")
     agg.add_argument("--stream", action="store_true", help="run as a micro-batch stream over the folder")
     agg.add_argument("--on-unknown", choices=("fail", "dead_letter"), default="fail")
     agg.add_argument("--on-malformed", choices=("fail", "dead_letter"), default="fail")
-    agg.add_argument("--table-mode", choices=("append", "replace"), default="replace")
+    agg.add_argument("--table-mode", choices=("append", "replace"), default="append")
+    agg.add_argument("--multi-line", action="store_true", help="quoted fields may hold line breaks")
+    agg.add_argument("--mixed-headers", action="store_true", help="files may differ in their header (not with --stream)")
     agg.add_argument("--master", default=None, help="Spark master (leave unset under spark-submit)")
 
     snap = sub.add_parser("snapshot", help="landed price pages → price CSV")
@@ -57,6 +63,7 @@ def main(argv: list[str] | None = None) -> dict:
         from daybook.sinks.table import aggregate_sink
         from daybook.sources.files import read_prices
         from daybook.streaming.microbatch import (
+            compact_partials,
             merged_daily_volume,
             run_daily_volume_stream,
             stream_dead_letters,
@@ -65,9 +72,15 @@ def main(argv: list[str] | None = None) -> dict:
 
         run = run_daily_volume_stream(
             spark,
-            transaction_stream(spark, args.transactions, max_files_per_trigger=args.files_per_batch or 1),
+            transaction_stream(spark, args.transactions, max_files_per_trigger=args.files_per_batch,
+                               max_bytes_per_trigger=args.bytes_per_batch, on_malformed=args.on_malformed,
+                               multi_line=args.multi_line),
             read_prices(spark, args.prices),
+            work_dir=args.work_dir,
+            on_unknown=args.on_unknown,
         )
+        if args.compact:
+            compact_partials(spark, run, through_batch=(1 << 62))
         aggregate_sink(args.output, mode=args.table_mode)(merged_daily_volume(spark, run))
         write_dead_letters_csv(stream_dead_letters(spark, run), args.errors)
         result = asdict(run)
@@ -77,6 +90,7 @@ def main(argv: list[str] | None = None) -> dict:
         report = daily_volume_job(
             spark, args.transactions, args.prices, args.output, args.errors,
             on_unknown=args.on_unknown, on_malformed=args.on_malformed, table_mode=args.table_mode,
+            multi_line=args.multi_line, mixed_headers=args.mixed_headers,
         )
         result = asdict(report)
     print(json.dumps(result))

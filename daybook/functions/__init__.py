@@ -8,11 +8,12 @@ from daybook.functions.jsonfield import (
     canonical_value_sql,
     exact_member_sql,
     field_lookup_sql,
-    field_of_document_sql,
+    field_of_text_sql,
     field_resolve_sql,
     json_string_field,
     parse_json_strict,
     parse_json_strict_sql,
+    times_named_sql,
 )
 from daybook.functions.numbers import (
     MAX_VOLUME,
@@ -31,7 +32,7 @@ __all__ = [
     "day_key",
     "exact_member_sql",
     "field_lookup_sql",
-    "field_of_document_sql",
+    "field_of_text_sql",
     "field_resolve_sql",
     "fixed_point_text",
     "fixed_point_text_sql",
@@ -44,4 +45,5 @@ __all__ = [
     "strict_double_sql",
     "strict_timestamp",
     "strict_timestamp_sql",
+    "times_named_sql",
 ]

@@ -7,19 +7,20 @@ field:
   allowed; trailing text, two concatenated values, single quotes, comments,
   ``NaN``, trailing commas or leading zeros are errors);
 * that value must be an object or ``null``;
-* a key equal to the field name, compared without case, must hold a string or
-  ``null``; any other type is an error;
-* the field value is that string, or ``""`` when the key is missing or
-  ``null``; other keys are ignored.  When the exact spelling is present it
-  decides (a parsed document keeps no key order, so among spellings that
-  differ only in case the exact one is taken).
+* every key equal to the field name, compared without case, must hold a string
+  or ``null``; any other type is an error, also where a later key overrides it;
+* the field value is the last such string in document order (a ``null`` leaves
+  what an earlier key set), or ``""`` when there is none; other keys are ignored.
 
 Spark's ``try_parse_json`` alone accepts trailing text, so the text is parsed
 twice, once wrapped as an object member and once as an array element; only a
 single JSON value survives both wraps.  A regular expression recognises the
 common canonical form ``{"field": "text"}`` first, so most rows never reach
-the JSON parser at all; for parsed documents the exact spelling is looked up
-by path, and only documents without it are searched key by key (lambdas).
+the JSON parser at all; a parsed document that names the field once is looked
+up by path.  A parsed document keeps neither key order nor duplicates, so only
+texts that name the field several times, in another case or with escapes are
+read again as an ordered list of entries (lambdas).  Spark's JSON parser gives
+up at about a thousand nested levels; such a document counts as not valid.
 """
 
 from __future__ import annotations
@@ -40,8 +41,7 @@ def canonical_pattern(field: str, value: str = _PLAIN_VALUE) -> str:
     ``value`` is the pattern the text between the quotes must match (by
     default any plain JSON string content).
     """
-    if not field.isidentifier():
-        raise ValueError(f"field name must be a plain identifier: {field!r}")
+    _checked_field(field)
     return rf'^{_WS}\{{{_WS}"{field}"{_WS}:{_WS}"({value})"{_WS}\}}{_WS}\z'
 
 
@@ -59,33 +59,32 @@ def parse_json_strict(text: str) -> Column:
     return F.expr(parse_json_strict_sql(text))
 
 
-# The field lookup on a parsed document, as one SQL expression.  ``{doc}`` is a
-# column holding the document; ``transform(array(x), m -> ...)[0]`` binds a
-# value to a name so it is computed once.  Keys compare without case; every
-# matching key must hold a string or null; the exact key's string wins, then
-# any other matching key's string, else "".
-_FIELD_OF_DOCUMENT = """
-transform(array(try_cast({doc} AS map<string, variant>)), m ->
-  transform(array(
-    {doc} IS NOT NULL AND (m IS NOT NULL OR is_variant_null({doc}))
-    AND coalesce(forall(map_values(map_filter(m, (k, v) -> lower(k) = '{lower}')),
-                        v -> schema_of_variant(v) IN ('STRING', 'VOID')), true)), ok ->
-    named_struct(
-      'ok', ok,
-      'value', CASE WHEN ok THEN coalesce(
-          try_variant_get(try_element_at(m, '{field}'), '$', 'string'),
-          try_element_at(filter(transform(map_values(map_filter(m, (k, v) -> lower(k) = '{lower}')),
-                                          v -> try_variant_get(v, '$', 'string')),
-                                s -> s IS NOT NULL), 1),
-          '') END))[0])[0]
+# The field of a valid document, from its entries in document order.
+# ``transform(array(x), m -> ...)[0]`` binds a value to a name so it is computed once.
+_FIELD_OF_TEXT = """
+transform(array(filter(map_entries(from_json({text}, 'map<string,variant>')), e -> lower(e.key) = '{lower}')), m ->
+  CASE WHEN m IS NOT NULL AND forall(m, e -> e.value IS NULL OR schema_of_variant(e.value) IN ('STRING', 'VOID'))
+  THEN named_struct('ok', true, 'value', coalesce(
+      try_element_at(filter(transform(m, e -> try_variant_get(e.value, '$', 'string')), v -> v IS NOT NULL), -1), ''))
+  ELSE named_struct('ok', false, 'value', CAST(NULL AS string)) END)[0]
 """
 
 
-def field_of_document_sql(doc: str, field: str) -> str:
-    """SQL: ``struct<ok, value>`` for ``field`` of the parsed document ``doc``."""
+def _checked_field(field: str) -> str:
     if not field.isidentifier():
         raise ValueError(f"field name must be a plain identifier: {field!r}")
-    return _FIELD_OF_DOCUMENT.format(doc=doc, field=field, lower=field.lower())
+    return field
+
+
+def field_of_text_sql(text: str, field: str) -> str:
+    """SQL: ``struct<ok, value>`` for ``field`` of a text that is one valid JSON value other than ``null``."""
+    return _FIELD_OF_TEXT.format(text=text, lower=_checked_field(field).lower())
+
+
+def times_named_sql(text: str, field: str) -> str:
+    """SQL: how often the text names the field in quotes, in any case; 2 if an escape could hide a name."""
+    return (f"CASE WHEN contains({text}, '\\\\u') THEN 2 "
+            f"ELSE regexp_count({text}, '(?i)\"{_checked_field(field)}\"') END")
 
 
 def canonical_value_sql(text: str, field: str, value: str = _PLAIN_VALUE) -> str:
@@ -102,35 +101,39 @@ def canonical_value_sql(text: str, field: str, value: str = _PLAIN_VALUE) -> str
 
 def exact_member_sql(doc: str, field: str) -> str:
     """SQL: the member ``field`` (exact spelling) of a parsed document as a VARIANT, else NULL."""
-    if not field.isidentifier():
-        raise ValueError(f"field name must be a plain identifier: {field!r}")
-    return f"try_variant_get({doc}, '$.{field}')"
+    return f"try_variant_get({doc}, '$.{_checked_field(field)}')"
 
 
-def field_lookup_sql(fast: str, doc: str, exact: str) -> str:
+def field_lookup_sql(fast: str, doc: str, exact: str, named: str) -> str:
     """SQL: ``struct<ok, value>`` from already materialised columns, without lambdas.
 
     ``fast`` holds the canonical value (or NULL), ``doc`` the strictly parsed
-    document (NULL when the text is not one JSON value) and ``exact`` the member
-    with the exact spelling (:func:`exact_member_sql`).  ``ok`` is NULL when the
-    document lacks the exact spelling: only those rows need the
-    case-insensitive search of :func:`field_of_document_sql`.
+    document (NULL when the text is not one JSON value), ``exact`` the member
+    with the exact spelling (:func:`exact_member_sql`) and ``named`` how often the
+    text names the field (:func:`times_named_sql`).  ``ok`` is NULL where
+    that does not decide: those rows need :func:`field_of_text_sql`.
     """
-    bad = "named_struct('ok', false, 'value', CAST(NULL AS string))"
+    empty, text_of_exact = "''", f"coalesce(try_variant_get({exact}, '$', 'string'), '')"
+
+    def struct(ok: str, value: str) -> str:
+        return f"named_struct('ok', CAST({ok} AS boolean), 'value', CAST({value} AS string))"
+
     return (
-        f"CASE WHEN {fast} IS NOT NULL THEN named_struct('ok', true, 'value', {fast}) "
-        f"WHEN {doc} IS NULL THEN {bad} "
-        f"WHEN is_variant_null({doc}) THEN named_struct('ok', true, 'value', '') "
-        f"WHEN {exact} IS NULL THEN named_struct('ok', CAST(NULL AS boolean), 'value', CAST(NULL AS string)) "
+        f"CASE WHEN {fast} IS NOT NULL THEN {struct('true', fast)} "
+        f"WHEN {doc} IS NULL THEN {struct('false', 'NULL')} "
+        f"WHEN is_variant_null({doc}) THEN {struct('true', empty)} "
+        f"WHEN NOT startswith(schema_of_variant({doc}), 'OBJECT') THEN {struct('false', 'NULL')} "
+        f"WHEN {named} = 0 THEN {struct('true', empty)} "
+        f"WHEN {named} > 1 OR {exact} IS NULL THEN {struct('NULL', 'NULL')} "
         f"WHEN schema_of_variant({exact}) IN ('STRING', 'VOID') "
-        f"THEN named_struct('ok', true, 'value', coalesce(try_variant_get({exact}, '$', 'string'), '')) "
-        f"ELSE {bad} END"
+        f"THEN {struct('true', text_of_exact)} "
+        f"ELSE {struct('false', 'NULL')} END"
     )
 
 
-def field_resolve_sql(lookup: str, doc: str, field: str) -> str:
-    """SQL: the final ``struct<ok, value>``; the lambda search runs only where ``lookup.ok`` is NULL."""
-    return f"CASE WHEN {lookup}.ok IS NOT NULL THEN {lookup} ELSE {field_of_document_sql(doc, field)} END"
+def field_resolve_sql(lookup: str, text: str, field: str) -> str:
+    """SQL: the final ``struct<ok, value>``; the entries are read only where ``lookup.ok`` is NULL."""
+    return f"CASE WHEN {lookup}.ok IS NOT NULL THEN {lookup} ELSE {field_of_text_sql(text, field)} END"
 
 
 def json_string_field(text: str, field: str) -> Column:
@@ -143,8 +146,8 @@ def json_string_field(text: str, field: str) -> Column:
     """
     fast = canonical_value_sql(text, field)
     doc = f"CASE WHEN ({fast}) IS NULL THEN {parse_json_strict_sql(text)} END"
+    lookup = field_lookup_sql("s.f", "s.d", exact_member_sql("s.d", field), "s.n")
     return F.expr(
-        f"transform(array(named_struct('f', {fast}, 'd', {doc})), s -> "
-        f"transform(array({field_lookup_sql('s.f', 's.d', exact_member_sql('s.d', field))}), l -> "
-        f"{field_resolve_sql('l', 's.d', field)})[0])[0]"
+        f"transform(array(named_struct('f', {fast}, 'd', {doc}, 'n', {times_named_sql(text, field)})), s -> "
+        f"transform(array({lookup}), l -> {field_resolve_sql('l', text, field)})[0])[0]"
     )

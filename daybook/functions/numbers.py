@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 # point (or a point followed by digits), optional exponent; nothing around it.
 DECIMAL_BODY = r"[+-]?+(?:[0-9]++[.]?+[0-9]*+|[.][0-9]++)(?:[eE][+-]?+[0-9]++)?+"
 DECIMAL_SHAPE = rf"^{DECIMAL_BODY}\z"
+# The same with single underscores between digits.
+_GROUPED = r"[0-9]++(?:_[0-9]++)*+"
+GROUPED_SHAPE = rf"^[+-]?+(?:{_GROUPED}(?:[.](?:{_GROUPED})?+)?+|[.]{_GROUPED})(?:[eE][+-]?+{_GROUPED})?+\z"
 # The words for infinity (optionally signed) and not-a-number, in any case.
 INFINITY_WORD = r"^(?i)[+-]?inf(?:inity)?\z"
 NAN_WORD = r"^(?i)nan\z"
@@ -30,6 +33,8 @@ def strict_double_sql(text: str) -> str:
     """SQL for :func:`strict_double` over the SQL expression ``text``."""
     return (
         f"CASE WHEN {text} RLIKE r'{DECIMAL_SHAPE}' THEN {finite_double_sql(text)} "
+        f"WHEN contains({text}, '_') AND {text} RLIKE r'{GROUPED_SHAPE}' "
+        f"THEN {finite_double_sql(f"replace({text}, '_', '')")} "
         f"WHEN {text} RLIKE r'{INFINITY_WORD}' "
         f"THEN CASE WHEN startswith({text}, '-') THEN double('-inf') ELSE double('inf') END "
         f"WHEN {text} RLIKE r'{NAN_WORD}' THEN double('NaN') END"
@@ -41,8 +46,8 @@ def strict_double(text: str) -> Column:
 
     Decimal text that overflows a double (``1e400``) is NOT a number here (a
     range error), while the words ``inf``/``infinity`` are infinities and
-    ``nan`` is NaN.  Surrounding spaces, type suffixes (``1d``), underscores and
-    hexadecimal floats are rejected.
+    ``nan`` is NaN.  Single underscores may stand between digits (``1_000.5``).
+    Surrounding spaces, type suffixes (``1d``) and hexadecimal floats are rejected.
     """
     return F.expr(strict_double_sql(text))
 

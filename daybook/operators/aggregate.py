@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from daybook.functions import day_key
 from daybook.operators.clean import UNKNOWN_CURRENCY
-from daybook.operators.convert import _lookup_side, fits_broadcast, split_unknown, strict_price
+from daybook.operators.convert import fits_broadcast, require_price, with_price
 
 AGG_COLUMNS = ("Date", "ProjectId", "NumberOfTransactions", "TotalVolumeUsd")
 
@@ -47,37 +47,32 @@ def merge_partials(partials: DataFrame) -> DataFrame:
     )
 
 
+def symbol_partials(clean: DataFrame) -> DataFrame:
+    """Clean rows → one row per (day, project, symbol) with the count and the summed volume."""
+    return clean.groupBy(
+        F.to_date("ts").alias("_day"), F.col("project_id").alias("ProjectId"), "currency_symbol"
+    ).agg(F.count(F.lit(1)).alias("n"), F.sum("volume").alias("volume"))
+
+
+def _priced_totals(joined: DataFrame) -> DataFrame:
+    agg = joined.groupBy("_day", "ProjectId").agg(
+        F.sum("n").alias("NumberOfTransactions"),
+        F.sum(F.col("_price") * F.col("volume")).alias("TotalVolumeUsd"),
+    )
+    return _with_date_text(agg)
+
+
 def daily_volume(clean: DataFrame, lookup: DataFrame, broadcast: bool | None = None) -> DataFrame:
     """Clean transactions + price lookup → daily totals; an unknown symbol aborts.
 
-    With a lookup that fits a broadcast, every row is priced in the scan
-    stage and a single shuffle carries partial aggregates.  Otherwise rows are
-    first reduced to one partial per (day, project, symbol), so the join on
-    symbol moves partials instead of rows and a hot symbol cannot skew it.
+    Rows are first reduced to one partial per (day, project, symbol), so the
+    join on symbol moves partials instead of rows, a hot symbol cannot skew it,
+    and the arithmetic (price × summed volume) is the same for a lookup of any
+    size; only the join strategy depends on it.
     """
     if broadcast is None:
         broadcast = fits_broadcast(lookup)
-    if broadcast:
-        joined = clean.join(
-            _lookup_side(lookup, True), F.col("currency_symbol") == F.col("_lookup_symbol"), "left"
-        )
-        priced = joined.select(
-            "ts", "project_id", (strict_price(F.col("currency_symbol")) * F.col("volume")).alias("usd")
-        )
-        return daily_totals(priced)
-    partial = clean.groupBy(
-        F.to_date("ts").alias("_day"),
-        F.col("project_id").alias("ProjectId"),
-        "currency_symbol",
-    ).agg(F.count(F.lit(1)).alias("n"), F.sum("volume").alias("volume"))
-    joined = partial.join(
-        _lookup_side(lookup, False), F.col("currency_symbol") == F.col("_lookup_symbol"), "left"
-    )
-    agg = joined.groupBy("_day", "ProjectId").agg(
-        F.sum("n").alias("NumberOfTransactions"),
-        F.sum(strict_price(F.col("currency_symbol")) * F.col("volume")).alias("TotalVolumeUsd"),
-    )
-    return _with_date_text(agg)
+    return _priced_totals(require_price(with_price(symbol_partials(clean), lookup, broadcast)))
 
 
 def daily_volume_with_unknown(
@@ -85,37 +80,19 @@ def daily_volume_with_unknown(
 ) -> tuple[DataFrame, DataFrame]:
     """Dead-letter mode: (daily totals of priced rows, rows whose symbol has no price).
 
-    With a broadcastable lookup both come from one row-level join.  Otherwise
-    rows are reduced to partials per (day, project, symbol) and the partials
-    are joined, as in :func:`daily_volume`; the symbols that found no price form
-    a set bounded by the distinct symbols in the data, and only that set is
-    joined back to the rows (broadcast when its size is proven small), so no
-    row-level shuffle on a hot symbol is needed.
+    The totals are computed as in :func:`daily_volume`.  The symbols without a
+    price are a set bounded by the distinct symbols in the data; only that set
+    is joined back to the rows, and AQE broadcasts it when it turns out small.
     """
     if broadcast is None:
         broadcast = fits_broadcast(lookup)
-    if broadcast:
-        priced, unknown = split_unknown(clean, lookup, broadcast=True)
-        return daily_totals(priced), unknown
-    partial = clean.groupBy(
-        F.to_date("ts").alias("_day"), F.col("project_id").alias("ProjectId"), "currency_symbol"
-    ).agg(F.count(F.lit(1)).alias("n"), F.sum("volume").alias("volume"))
-    joined = partial.join(
-        _lookup_side(lookup, False), F.col("currency_symbol") == F.col("_lookup_symbol"), "left"
-    )
-    agg = (
-        joined.where(F.col("_matched").isNotNull())
-        .groupBy("_day", "ProjectId")
-        .agg(F.sum("n").alias("NumberOfTransactions"),
-             F.sum(F.col("_price") * F.col("volume")).alias("TotalVolumeUsd"))
-    )
+    joined = with_price(symbol_partials(clean), lookup, broadcast)
+    agg = _priced_totals(joined.where(F.col("_matched").isNotNull()))
     missing = joined.where(F.col("_matched").isNull()).select(
         F.col("currency_symbol").alias("_missing_symbol")).distinct()
-    if fits_broadcast(missing.withColumnRenamed("_missing_symbol", "symbol")):
-        missing = F.broadcast(missing)
     unknown = clean.join(missing, F.col("currency_symbol") == F.col("_missing_symbol"), "left_semi").select(
         F.concat(F.lit(f"{UNKNOWN_CURRENCY}: "), F.col("currency_symbol")).alias("Reason"),
         F.lit(UNKNOWN_CURRENCY).alias("reason_code"),
         *[F.col(c) for c in clean.columns],
     )
-    return _with_date_text(agg), unknown
+    return agg, unknown

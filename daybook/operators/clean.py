@@ -29,6 +29,7 @@ from daybook.functions import (
     field_lookup_sql,
     field_resolve_sql,
     parse_json_strict_sql,
+    times_named_sql,
     outside_range_sql,
     strict_double_sql,
     strict_timestamp_sql,
@@ -81,10 +82,11 @@ def classify(raw: DataFrame, max_volume: float = MAX_VOLUME) -> DataFrame:
        amount, a decimal-shaped capture is tried first);
     2. only for other payloads, the strict JSON parse and the member with the
        exact key spelling, resolved without lambdas;
-    3. a one-row generator (the filter barrier) with the strict timestamp and
-       the amount;
-    4. only for objects lacking the exact spelling, the case-insensitive
-       key search, which uses lambdas and so runs outside generated code.
+    3. a one-row generator (a filter barrier) over these and the timestamp; only
+       texts that name a field several times, in another case or with escapes
+       go through the ordered entries, which use lambdas;
+    4. a second generator with the values and the reason, so that the filters
+       and projections of callers read plain columns inside generated code.
     """
     cut = raw.select(
         "*",
@@ -108,26 +110,21 @@ def classify(raw: DataFrame, max_volume: float = MAX_VOLUME) -> DataFrame:
         "*",
         F.expr(exact_member_sql("_nums_doc", NUMS_FIELD)).alias("_nums_exact"),
         F.expr(exact_member_sql("_props_doc", PROPS_FIELD)).alias("_props_exact"),
+        F.expr(f"CASE WHEN _nums_doc IS NOT NULL THEN {times_named_sql('nums', NUMS_FIELD)} END").alias("_nums_named"),
+        F.expr(f"CASE WHEN _props_doc IS NOT NULL THEN {times_named_sql('props', PROPS_FIELD)} END").alias("_props_named"),
     )
-    looked = members.select(
-        "*",
-        F.expr(field_lookup_sql("_nums_fast", "_nums_doc", "_nums_exact")).alias("_nums_look"),
-        F.expr(field_lookup_sql("_props_fast", "_props_doc", "_props_exact")).alias("_props_look"),
-    )
-    amount = (f"CASE WHEN _nums_num IS NOT NULL THEN {finite_double_sql('_nums_num')} "
-              f"ELSE {strict_double_sql('_nums_look.value')} END")
-    scanned = evaluate_once(looked, _ts=strict_timestamp_sql("ts"), _amount=amount)
-    # Rows still needing the key search (ok IS NULL) are resolved here; a filter
-    # on the reason may inline this, which only costs on those rows.
-    nums = field_resolve_sql("_nums_look", "_nums_doc", NUMS_FIELD)
+    scanned = evaluate_once(
+        members, _ts=strict_timestamp_sql("ts"),
+        _nums_look=field_lookup_sql("_nums_fast", "_nums_doc", "_nums_exact", "_nums_named"),
+        _props_look=field_lookup_sql("_props_fast", "_props_doc", "_props_exact", "_props_named"))
     resolved = scanned.select(
-        *raw.columns,
-        "_ts",
-        F.expr(nums).alias("_nums"),
-        F.expr(field_resolve_sql("_props_look", "_props_doc", PROPS_FIELD)).alias("_props"),
-        F.expr(f"CASE WHEN _nums_look.ok IS NOT NULL THEN _amount "
-               f"ELSE {strict_double_sql(f'({nums}).value')} END").alias("_volume"),
+        *raw.columns, "_ts", "_nums_num",
+        F.expr(field_resolve_sql("_nums_look", "nums", NUMS_FIELD)).alias("_nums"),
+        F.expr(field_resolve_sql("_props_look", "props", PROPS_FIELD)).alias("_props"),
     )
+    amount = (f"CASE WHEN _nums_num IS NOT NULL THEN {finite_double_sql('_nums_num')} "
+              f"ELSE {strict_double_sql('_nums.value')} END")
+    valued = resolved.select(*raw.columns, "_ts", "_nums", "_props", F.expr(amount).alias("_volume"))
     code = f"""CASE WHEN _ts IS NULL THEN '{INVALID_TIMESTAMP}'
         WHEN NOT _nums.ok THEN '{INVALID_NUMS_JSON}'
         WHEN NOT _props.ok THEN '{INVALID_PROPS_JSON}'
@@ -138,11 +135,14 @@ def classify(raw: DataFrame, max_volume: float = MAX_VOLUME) -> DataFrame:
         WHEN NOT _props.ok THEN 'not a JSON object with a text "{PROPS_FIELD}"'
         WHEN _volume IS NULL THEN concat('cannot parse ', {_quoted('_nums.value')}, ' as a number')
         ELSE {fixed_point_text_sql('_volume')} END"""
-    return resolved.select(
-        "*",
-        F.expr(code).alias("reason_code"),
-        F.expr(f"CASE WHEN ({code}) IS NOT NULL THEN concat({code}, ': ', {detail}) END").alias("Reason"),
-    )
+    # The reason and the values read below come out of one generator.
+    coded = valued.select("*", F.expr(code).alias("_code"))
+    out = evaluate_once(
+        coded.select(*raw.columns, F.col("_ts").alias("_t"), F.col("_nums").alias("_n"), F.col("_props").alias("_p"),
+                     F.col("_volume").alias("_v"), "_code",
+                     F.expr(f"CASE WHEN _code IS NOT NULL THEN concat(_code, ': ', {detail}) END").alias("_reason")),
+        _ts="_t", _nums="_n", _props="_p", _volume="_v", reason_code="_code", Reason="_reason")
+    return out.select(*raw.columns, "_ts", "_nums", "_props", "_volume", "reason_code", "Reason")
 
 
 def clean_rows(classified: DataFrame, keep: tuple[str, ...] = (), keep_raw: bool = False) -> DataFrame:

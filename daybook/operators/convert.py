@@ -5,7 +5,7 @@ the upper-cased lookup symbols.  A symbol with no price either aborts the job
 (``on_unknown="fail"``, the default) or becomes a dead letter
 (``on_unknown="dead_letter"``).
 
-The lookup is broadcast only after a bounded count proves it small
+The lookup is broadcast only after its bytes are summed and found small
 (:func:`fits_broadcast`); otherwise a shuffle join is planned and AQE's skew
 handling splits a hot symbol.
 """
@@ -17,14 +17,22 @@ from pyspark.sql import functions as F
 
 from daybook.operators.clean import RAW_COLUMNS, UNKNOWN_CURRENCY
 
-# Largest lookup broadcast to every executor: about 10 MB of (symbol, price).
-DEFAULT_MAX_BROADCAST_ROWS = 200_000
+# Largest lookup broadcast to every executor, in bytes of (symbol, price).
+MAX_BROADCAST_BYTES = 16 << 20
+ROW_BYTES = 32                  # a price and the row's own overhead
 ON_UNKNOWN = ("fail", "dead_letter")
 
 
-def fits_broadcast(lookup: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-    """True when ``lookup`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
-    return lookup.limit(max_rows + 1).count() <= max_rows
+def lookup_size(lookup: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) of the whole lookup."""
+    row = lookup.agg(F.count(F.lit(1)).alias("n"),
+                     F.coalesce(F.sum(F.octet_length("symbol").cast("bigint") + ROW_BYTES), F.lit(0)).alias("b")).first()
+    return int(row["n"]), int(row["b"])
+
+
+def fits_broadcast(lookup: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """True when the symbols and prices of ``lookup`` take at most ``max_bytes``."""
+    return lookup_size(lookup)[1] <= max_bytes
 
 
 def _lookup_side(lookup: DataFrame, broadcast: bool) -> DataFrame:
@@ -40,9 +48,19 @@ def unknown_symbol_error(symbol: Column) -> Column:
     return F.raise_error(F.concat(F.lit(f"{UNKNOWN_CURRENCY}: "), symbol))
 
 
-def strict_price(symbol: Column) -> Column:
-    """The matched price, or a job-aborting error for a symbol without one."""
-    return F.when(F.col("_matched").isNull(), unknown_symbol_error(symbol)).otherwise(F.col("_price"))
+def with_price(rows: DataFrame, lookup: DataFrame, broadcast: bool) -> DataFrame:
+    """``rows`` with ``_price`` and ``_matched`` (NULL where the symbol has no price)."""
+    return rows.join(_lookup_side(lookup, broadcast), F.col("currency_symbol") == F.col("_lookup_symbol"), "left")
+
+
+def require_price(joined: DataFrame) -> DataFrame:
+    """Abort on a row without a price.
+
+    The check is a filter, not a projected value: it runs whatever columns the
+    consumer reads, so a count aborts as well.
+    """
+    known = F.when(F.col("_matched").isNull(), unknown_symbol_error(F.col("currency_symbol")).cast("boolean"))
+    return joined.where(known.otherwise(F.lit(True)))
 
 
 def attach_prices(
@@ -53,16 +71,10 @@ def attach_prices(
     """Clean rows plus ``price`` and ``usd`` = price × volume; unknown symbols abort."""
     if broadcast is None:
         broadcast = fits_broadcast(lookup)
-    joined = clean.join(
-        _lookup_side(lookup, broadcast),
-        F.col("currency_symbol") == F.col("_lookup_symbol"),
-        "left",
-    )
-    price = strict_price(F.col("currency_symbol"))
-    return joined.select(
+    return require_price(with_price(clean, lookup, broadcast)).select(
         *[F.col(c) for c in clean.columns],
-        price.alias("price"),
-        (price * F.col("volume")).alias("usd"),
+        F.col("_price").alias("price"),
+        (F.col("_price") * F.col("volume")).alias("usd"),
     )
 
 
@@ -78,11 +90,7 @@ def split_unknown(
     """
     if broadcast is None:
         broadcast = fits_broadcast(lookup)
-    joined = clean.join(
-        _lookup_side(lookup, broadcast),
-        F.col("currency_symbol") == F.col("_lookup_symbol"),
-        "left",
-    )
+    joined = with_price(clean, lookup, broadcast)
     priced = joined.where(F.col("_matched").isNotNull()).select(
         *[F.col(c) for c in clean.columns],
         F.col("_price").alias("price"),

@@ -1,10 +1,10 @@
 """End-to-end jobs (E1, E2) and their run counters (M3).
 
 E1, :func:`daily_volume_job`: price file + transaction file(s) → daily
-aggregates (CSV or table) + dead letters (CSV).  Every input row is parsed
-once: the classified rows are landed as a narrow, kind-partitioned parquet
-table in the cluster's shared folder (which also cuts the lineage, so a lost
-executor never re-parses the source), and both outputs are read from it.
+aggregates (CSV or table) + dead letters (CSV).  The transaction files are read
+and parsed once: every row's outcome is landed as one narrow parquet table in
+the cluster's shared folder (which also cuts the lineage, so a lost executor
+never re-parses the source), and both outputs are read from it.
 
 E2, :func:`price_snapshot`: landed price pages → price CSV.
 """
@@ -13,25 +13,35 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.functions import MAX_VOLUME
-from daybook.operators.aggregate import daily_volume, daily_volume_with_unknown
-from daybook.operators.clean import DEAD_LETTER_COLUMNS, RAW_COLUMNS, classify
-from daybook.operators.convert import DEFAULT_MAX_BROADCAST_ROWS, ON_UNKNOWN
+from daybook.operators.aggregate import daily_volume
+from daybook.operators.clean import DEAD_LETTER_COLUMNS, MALFORMED_ROW, RAW_COLUMNS, UNKNOWN_CURRENCY, classify
+from daybook.operators.convert import MAX_BROADCAST_BYTES, ON_UNKNOWN, lookup_size, with_price
 from daybook.operators.prices import PRICE_CSV_COLUMNS
-from daybook.session import configure, scratch_path
-from daybook.sinks.files import write_dead_letters_csv
+from daybook.session import configure, remove_scratch, scratch_path
+from daybook.sinks.files import csv_writer, write_dead_letters_csv
 from daybook.sinks.table import aggregate_sink
-from daybook.sources.files import read_price_pages, read_prices, read_transactions, resolve_path
+from daybook.sources.files import (
+    CORRUPT,
+    ON_MALFORMED,
+    malformed_reason,
+    read_price_pages,
+    read_prices,
+    read_raw,
+    reject_malformed,
+    resolve_path,
+)
 
-CLEAN, REJECTED = "clean", "rejected"
+# What can become of a row.
+CLEAN, REJECTED, UNKNOWN, MALFORMED = "clean", "rejected", "unknown", "malformed"
 
 
 @dataclass
 class RunReport:
-    """Counters of one run (the reference logs the first, second and last two)."""
+    """Counters of one run; rows_read = clean_rows + rejected_rows."""
 
     rows_read: int
     prices_read: int
@@ -40,41 +50,62 @@ class RunReport:
     aggregates_written: int
 
 
-def land_classified(classified: DataFrame, path: str, keep_raw: bool) -> tuple[Observation, DataFrame]:
-    """Write classified rows once, partitioned by kind.
+def outcomes(raw: DataFrame, lookup: DataFrame, broadcast: bool, on_unknown: str = "fail",
+             max_volume: float = MAX_VOLUME) -> DataFrame:
+    """Every raw row with its ``kind``: the clean columns where clean, reason and raw text elsewhere.
 
-    Returns the observed counters and the landed table read back (with the
-    written schema, so an empty input reads back as an empty table).
-
-    Clean rows keep only what pricing and grouping need (plus the raw text when
-    ``keep_raw``, for unknown-currency dead letters); rejected rows keep the
-    reason and the raw row.
+    ``raw`` may carry the corrupt-record column (rows that have one are
+    malformed).  With ``on_unknown="dead_letter"`` clean rows whose symbol has no
+    price become dead letters here; with ``"fail"`` the aggregate aborts on them.
     """
-    obs = Observation("classified")
-    is_clean = F.col("reason_code").isNull()
-    raw_cols = [
-        (F.col(c) if keep_raw else F.when(~is_clean, F.col(c))).alias(f"raw_{c}") for c in RAW_COLUMNS
-    ]
-    to_land = (
-        classified.select(
-            F.when(is_clean, F.lit(CLEAN)).otherwise(F.lit(REJECTED)).alias("kind"),
-            F.when(is_clean, F.col("_ts")).alias("ts"),
-            F.when(is_clean, F.col("project_id")).alias("project_id"),
-            F.when(is_clean, F.col("_props.value")).alias("currency_symbol"),
-            F.when(is_clean, F.col("_volume")).alias("volume"),
-            "Reason",
-            "reason_code",
-            *raw_cols,
-        )
-        .observe(
-            obs,
-            F.count(F.lit(1)).alias("rows_read"),
-            F.count_if(is_clean).alias("clean_rows"),
-        )
+    has_corrupt = CORRUPT in raw.columns
+    rows = classify(raw, max_volume).withColumn("currency_symbol", F.col("_props.value"))
+    bad = F.col(CORRUPT).isNotNull() if has_corrupt else F.lit(False)
+    rejected = F.col("reason_code").isNotNull()
+    missing = F.lit(False)
+    if on_unknown == "dead_letter":
+        # A NULL symbol (of a rejected row) matches nothing and is not asked about.
+        rows = with_price(rows, lookup, broadcast)
+        missing = F.col("_matched").isNull()
+    kind = (F.when(bad, MALFORMED).when(rejected, REJECTED).when(missing, UNKNOWN).otherwise(CLEAN))
+    reason = (F.when(F.col("kind") == REJECTED, F.col("Reason"))
+              .when(F.col("kind") == UNKNOWN, F.concat(F.lit(f"{UNKNOWN_CURRENCY}: "), F.col("currency_symbol"))))
+    code = (F.when(F.col("kind") == REJECTED, F.col("reason_code")).when(F.col("kind") == UNKNOWN, UNKNOWN_CURRENCY)
+            .when(F.col("kind") == MALFORMED, MALFORMED_ROW))
+    if has_corrupt:
+        reason = reason.when(F.col("kind") == MALFORMED, malformed_reason())
+    is_clean = F.col("kind") == CLEAN
+    return rows.withColumn("kind", kind).select(
+        "kind",
+        F.when(is_clean, F.col("_ts")).alias("ts"),
+        F.when(is_clean, F.col("project_id")).alias("project_id"),
+        F.when(is_clean, F.col("currency_symbol")).alias("currency_symbol"),
+        F.when(is_clean, F.col("_volume")).alias("volume"),
+        reason.alias("Reason"),
+        code.alias("reason_code"),
+        *[F.when(~is_clean, F.col(c)).alias(f"raw_{c}") for c in RAW_COLUMNS],
     )
-    to_land.write.mode("overwrite").partitionBy("kind").parquet(path)
-    spark = classified.sparkSession
-    return obs, spark.read.schema(to_land.schema).parquet(path)
+
+
+def land(rows: DataFrame, path: str) -> tuple[Observation, DataFrame]:
+    """Write :func:`outcomes` once, in the order they come; returns the counters and the table read back.
+
+    The table is not split by kind, which would sort every row; kind is a
+    dictionary column that both readers filter on.
+    """
+    obs = Observation()
+    rows.observe(obs, F.count(F.lit(1)).alias("rows_read"), F.count_if(F.col("kind") == CLEAN).alias("clean_rows")
+                 ).write.mode("overwrite").parquet(path)
+    return obs, rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def landed_clean(landed: DataFrame) -> DataFrame:
+    return landed.where(F.col("kind") == CLEAN).select("ts", "project_id", "currency_symbol", "volume")
+
+
+def landed_dead(landed: DataFrame, *keep: str | Column) -> DataFrame:
+    return landed.where(F.col("kind") != CLEAN).select(
+        "Reason", *[F.col(f"raw_{c}").alias(c) for c in RAW_COLUMNS], *keep)
 
 
 def daily_volume_job(
@@ -86,59 +117,50 @@ def daily_volume_job(
     on_unknown: str = "fail",
     on_malformed: str = "fail",
     max_volume: float = MAX_VOLUME,
-    table_mode: str = "replace",
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    table_mode: str = "append",
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+    multi_line: bool = False,
+    mixed_headers: bool = False,
+    keep_scratch: bool = False,
 ) -> RunReport:
     """Clean, price and aggregate transactions; write aggregates and dead letters.
 
     ``on_unknown``: ``"fail"`` aborts the job on a symbol without a price
     (nothing is written to ``output``); ``"dead_letter"`` routes those rows to
     ``errors``.  ``on_malformed``: ``"fail"`` stops on a CSV row with the wrong
-    number of fields; ``"dead_letter"`` routes it to ``errors``.
+    number of fields; ``"dead_letter"`` routes it to ``errors``.  ``multi_line``
+    and ``mixed_headers``: see :func:`~daybook.sources.files.read_transactions`.
+    The landed rows are removed at the end unless ``keep_scratch``.
     """
     if on_unknown not in ON_UNKNOWN:
         raise ValueError(f"on_unknown must be one of {ON_UNKNOWN}")
+    if on_malformed not in ON_MALFORMED:
+        raise ValueError(f"on_malformed must be one of {ON_MALFORMED}")
     configure(spark)
+    lookup_path, landed_path = scratch_path(spark, "lookup"), scratch_path(spark, "outcomes")
     lookup = read_prices(spark, prices)
-    prices_read = lookup.limit(max_broadcast_rows + 1).count()
-    broadcast = prices_read <= max_broadcast_rows
-
-    source = read_transactions(spark, transactions, on_malformed=on_malformed)
-    raw, malformed = source if isinstance(source, tuple) else (source, None)
-
-    landed_path = scratch_path(spark, "classified")
-    obs, landed = land_classified(classify(raw, max_volume), landed_path, keep_raw=(on_unknown == "dead_letter"))
-    clean = landed.where(F.col("kind") == CLEAN).select(
-        "ts", "project_id", "currency_symbol", "volume",
-        *([f"raw_{c}" for c in RAW_COLUMNS] if on_unknown == "dead_letter" else []),
-    )
-    dead = [landed.where(F.col("kind") == REJECTED).select(
-        "Reason", *[F.col(f"raw_{c}").alias(c) for c in RAW_COLUMNS]
-    )]
-    malformed_obs = Observation("malformed")
-    if malformed is not None:
-        dead.append(malformed.select(*DEAD_LETTER_COLUMNS).observe(malformed_obs, F.count(F.lit(1)).alias("n")))
-
-    if on_unknown == "fail":
-        agg = daily_volume(clean, lookup, broadcast=broadcast)
-    else:
-        agg, unknown = daily_volume_with_unknown(clean, lookup, broadcast=broadcast)
-        dead.append(unknown.select("Reason", *[F.col(f"raw_{c}").alias(c) for c in RAW_COLUMNS]))
-
-    agg_obs = Observation("aggregates")
-    aggregate_sink(output, mode=table_mode)(agg.observe(agg_obs, F.count(F.lit(1)).alias("n")))
-    dead_letters = dead[0]
-    for extra in dead[1:]:
-        dead_letters = dead_letters.unionByName(extra)
-    write_dead_letters_csv(dead_letters, errors)
-
-    counts = obs.get
-    rows_read = int(counts["rows_read"]) + (int(malformed_obs.get["n"]) if malformed is not None else 0)
+    lookup.write.parquet(lookup_path)
+    lookup = spark.read.schema(lookup.schema).parquet(lookup_path)
+    prices_read, lookup_bytes = lookup_size(lookup)
+    broadcast = lookup_bytes <= max_broadcast_bytes
+
+    raw = read_raw(spark, transactions, multi_line, mixed_headers)
+    if on_malformed == "fail":
+        raw = reject_malformed(raw)
+    obs, landed = land(outcomes(raw, lookup, broadcast, on_unknown, max_volume), landed_path)
+    agg_obs = Observation()
+    aggregate_sink(output, mode=table_mode, obs=agg_obs)(daily_volume(landed_clean(landed), lookup, broadcast))
+    write_dead_letters_csv(landed_dead(landed).select(*DEAD_LETTER_COLUMNS), errors)
+
+    rows_read, clean_rows = int(obs.get["rows_read"]), int(obs.get["clean_rows"])
+    if not keep_scratch:
+        remove_scratch(spark, landed_path)
+        remove_scratch(spark, lookup_path)
     return RunReport(
         rows_read=rows_read,
-        prices_read=int(prices_read),
-        clean_rows=int(counts["clean_rows"]),
-        rejected_rows=rows_read - int(counts["clean_rows"]),
+        prices_read=prices_read,
+        clean_rows=clean_rows,
+        rejected_rows=rows_read - clean_rows,
         aggregates_written=int(agg_obs.get["n"]),
     )
 
@@ -146,10 +168,8 @@ def daily_volume_job(
 def price_snapshot(spark: SparkSession, pages: str, output: str, multi_line: bool = False) -> int:
     """Landed price pages → price CSV with header ``ID,Symbol,Name,Price (USD)``; returns rows written."""
     configure(spark)
-    obs = Observation("prices")
+    obs = Observation()
     coins = read_price_pages(spark, pages, multi_line=multi_line)
-    (coins.select(*[F.col(f"`{c}`") for c in PRICE_CSV_COLUMNS])
-     .observe(obs, F.count(F.lit(1)).alias("n"))
-     .write.mode("overwrite").option("header", True).option("escape", '"')
-     .csv(resolve_path(output)))
+    csv_writer(coins.select(*[F.col(f"`{c}`") for c in PRICE_CSV_COLUMNS])
+               .observe(obs, F.count(F.lit(1)).alias("n"))).csv(resolve_path(output))
     return int(obs.get["n"])

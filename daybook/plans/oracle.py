@@ -109,6 +109,77 @@ EVENTS_CLASSIFIED = classified(EVENTS_RAW, 1e15)
 EVENTS_CLEAN = f"SELECT * FROM ({EVENTS_CLASSIFIED}) c WHERE reason_code IS NULL"
 
 
+def _text(value: str | None) -> str:
+    return "CAST(NULL AS VARCHAR)" if value is None else "'" + value.replace("'", "''") + "'"
+
+
+def _csv_field(column: str) -> str:
+    return f"""'"' || replace({column}, '"', '""') || '"'"""
+
+
+def _csv_line(columns: list[str]) -> str:
+    return " || ',' || ".join(_csv_field(c) for c in columns)
+
+
+def _malformed() -> str:
+    """The damaged export: what is left whole, and the text of what is not."""
+    columns = list(T.WIDE_CSV_COLUMNS)
+    lost, extra = f"event_id % {Q.LOST_FIELD_MOD} = 0", f"event_id % {Q.EXTRA_FIELD_MOD} = 0"
+
+    def line(order: list[str]) -> str:
+        return f"CASE WHEN {lost} THEN {_csv_line(order[:-1])} ELSE {_csv_line(order)} || ',\"more\"' END"
+
+    bad = f"CASE WHEN (event_id // {Q.STAGED_ROWS}) % 2 = 0 THEN {line(columns)} ELSE {line(columns[::-1])} END"
+    whole = f"NOT ({lost}) AND NOT ({extra})"
+    texts = ", ".join(f"CASE WHEN {whole} THEN {c} ELSE '' END AS {c}" for c in ("ts", "project_id", "event", "props", "nums"))
+    return f"""
+SELECT CASE WHEN {whole} THEN '' ELSE 'malformed CSV row: ' || {bad} END AS Reason, {texts}
+FROM (SELECT r.event_id, r.ts, r.project_id, r.props, r.nums,
+        CASE WHEN r.event_id % {Q.LINE_BREAK_MOD} = 0 THEN r.event || chr(10) || 'again' ELSE r.event END AS event,
+        'app' || r.event_id % 7 AS app, '' AS source, CAST(r.event_id AS VARCHAR) AS ident,
+        CAST(e.user_id AS VARCHAR) AS user_id, substr(sha256(CAST(r.event_id AS VARCHAR)), 1, 16) AS session_id,
+        'C' || e.user_id % 40 AS country, 'type ' || r.event_id % 3 AS device_type, 'os ' || r.event_id % 5 AS device_os,
+        CAST(r.event_id % 11 AS VARCHAR) AS device_os_ver, 'browser ' || e.user_id % 4 AS device_browser,
+        (r.event_id % 13) || '.' || (e.user_id % 9) AS device_browser_ver
+      FROM ({EVENTS_RAW}) r JOIN events e USING (event_id)) w
+"""
+
+
+def _traps() -> str:
+    rows = ", ".join(f"({k}, {_text(t[3])}, {_text(t[4])}, {'CAST(NULL AS DOUBLE)' if t[5] is None else f'CAST({t[5]!r} AS DOUBLE)'})"
+                     for k, t in enumerate(T.TRAPS))
+    return f"""
+SELECT event_id, reason_code,
+       CASE WHEN reason_code IS NULL THEN CASE WHEN event_id % 3 = 0 THEN '' ELSE ' P' || user_id % 20 || ' ' END END AS project_id,
+       symbol, volume
+FROM events JOIN (VALUES {rows}) AS t(k, reason_code, symbol, volume) ON event_id % {len(T.TRAPS)} = k
+"""
+
+
+def _blank_project(sql: str) -> str:
+    return (f"SELECT * REPLACE (repeat(' ', CAST(project_id AS INT) % 3) || project_id || "
+            f"repeat(' ', CAST(project_id AS INT) % 2) AS project_id) FROM ({sql}) q")
+
+
+KNOWN = "('USD', 'EUR', 'BTC', 'SFL')"
+
+
+def _counters() -> str:
+    """Counts of the whole run in each mode and sink."""
+    facts = f"""
+WITH c AS (SELECT *, reason_code IS NULL AS ok FROM ({EVENTS_CLASSIFIED}) x),
+f AS (SELECT count(*) AS rows_read, count(*) FILTER (ok) AS clean, count(*) FILTER (ok AND symbol IN {KNOWN}) AS priced,
+  count(DISTINCT (strftime(parsed_ts, '%Y-%m-%d'), project_id)) FILTER (ok) AS groups_all,
+  count(DISTINCT (strftime(parsed_ts, '%Y-%m-%d'), project_id)) FILTER (ok AND symbol IN {KNOWN}) AS groups_priced FROM c)"""
+    part = ("SELECT '{}' AS mode, '{}' AS sink, rows_read, CAST({} AS BIGINT) AS prices_read, {} AS clean_rows, "
+            "rows_read - {} AS rejected_rows, {} AS aggregates_written FROM f")
+    n = len(T.EVENT_PRICES)
+    return facts + " UNION ALL ".join([
+        part.format("fail", "csv", n, "clean", "clean", "groups_all"),
+        part.format("fail", "table", n, "clean", "clean", "groups_all"),
+        part.format("dead_letter", "csv", n - 1, "priced", "priced", "groups_priced")])
+
+
 def _daily(clean_sql: str, prices: dict[str, float], places: int) -> str:
     return f"""
 SELECT strftime(c.parsed_ts, '%Y-%m-%d') AS Date, c.project_id AS ProjectId,
@@ -157,10 +228,33 @@ WHERE c.symbol NOT IN ({", ".join(f"'{s}'" for s in T.EVENT_PRICES if s != "MATI
     "price_last_wins": (
         "SELECT upper(p_brand) AS symbol, arg_max(p_retailprice, p_partkey) AS price FROM part GROUP BY 1"
     ),
-    "csv_round_trip": _daily(EVENTS_CLEAN, T.EVENT_PRICES, Q.EVENT_USD_PLACES),
+    "csv_round_trip": _daily(_blank_project(EVENTS_CLEAN), T.EVENT_PRICES, Q.EVENT_USD_PLACES),
     "dead_letter_round_trip": (
-        f"SELECT Reason, ts, project_id, event, props, nums FROM ({EVENTS_CLASSIFIED}) c WHERE reason_code IS NOT NULL"
+        "SELECT Reason, ts, project_id, event || chr(10) || ' \"next\", line ' AS event, props, nums "
+        f"FROM ({_blank_project(EVENTS_CLASSIFIED)}) c WHERE reason_code IS NOT NULL"
     ),
+    "malformed_rows": _malformed(),
+    "trap_rows": _traps(),
+    "table_append": f"""
+SELECT strftime(c.parsed_ts, '%Y-%m-%d') AS Date, c.project_id AS ProjectId,
+       count(*) AS NumberOfTransactions, round(sum(p.price * c.volume), {Q.EVENT_USD_PLACES}) AS TotalVolumeUsd,
+       count(DISTINCT c.event_id % 2) AS n_rows
+FROM ({EVENTS_CLEAN}) c JOIN {_values(T.EVENT_PRICES)} ON c.symbol = p.symbol
+GROUP BY 1, 2
+""",
+    "price_snapshot": (
+        "SELECT CAST(p_partkey AS VARCHAR) AS ID, lower(p_brand) AS Symbol, p_name AS Name, "
+        "p_retailprice AS price_usd, (SELECT count(*) FROM part) AS n_written FROM part"
+    ),
+    "run_counters": _counters(),
+    "unknown_abort": "SELECT 'currency symbol not supported: MATIC' AS message",
+    "stream_dead_letters": f"""
+SELECT {DEAD_COLS} FROM ({EVENTS_CLASSIFIED}) c WHERE reason_code IS NOT NULL
+UNION ALL
+SELECT 'currency symbol not supported: ' || symbol AS Reason, ts, project_id, event, props, nums,
+  'currency symbol not supported' AS reason_code
+FROM ({EVENTS_CLEAN}) c WHERE symbol NOT IN {KNOWN}
+""",
     "partitioned_table": _daily(EVENTS_CLEAN, T.EVENT_PRICES, Q.EVENT_USD_PLACES),
     "stream_daily_volume": _daily(EVENTS_CLEAN, T.EVENT_PRICES, Q.EVENT_USD_PLACES),
     "price_pages": (

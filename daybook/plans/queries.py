@@ -8,22 +8,27 @@ in different orders print the same value.
 
 from __future__ import annotations
 
+import re
+
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.operators.aggregate import daily_volume, merge_partials
-from daybook.operators.clean import classify, clean, dead_letters, reject_counts
+from daybook.operators.clean import RAW_COLUMNS, classify, clean, dead_letters, reject_counts
 from daybook.operators.convert import (
-    DEFAULT_MAX_BROADCAST_ROWS,
+    MAX_BROADCAST_BYTES,
+    ROW_BYTES,
     attach_prices,
     split_unknown,
     unknown_as_dead_letters,
 )
 from daybook.operators.prices import inline_prices
 from daybook.operators.replicate import replicate
-from daybook.plans.jobs import daily_volume_job
+from daybook.plans.jobs import daily_volume_job, price_snapshot
 from daybook.session import configure, scratch_path
 from daybook.sinks.files import (
+    csv_writer,
     read_aggregates_csv,
     read_dead_letters_csv,
     write_aggregates_csv,
@@ -31,8 +36,13 @@ from daybook.sinks.files import (
 )
 from daybook.sinks.table import write_table
 from daybook.sources import tables as T
-from daybook.sources.files import read_prices, read_price_pages, read_transactions
-from daybook.streaming.microbatch import merged_daily_volume, run_daily_volume_stream, transaction_stream
+from daybook.sources.files import read_price_pages, read_price_rows, read_prices, read_transactions
+from daybook.streaming.microbatch import (
+    merged_daily_volume,
+    run_daily_volume_stream,
+    stream_dead_letters,
+    transaction_stream,
+)
 
 # Decimal places kept in USD sums (see module doc).
 EVENT_USD_PLACES = 5
@@ -48,7 +58,7 @@ TS_TEXT = T.TS_TEXT
 
 def _small(prices: dict[str, float]) -> bool:
     """A literal price mapping's size is known without counting it."""
-    return len(prices) <= DEFAULT_MAX_BROADCAST_ROWS
+    return sum(len(s.encode()) + ROW_BYTES for s in prices) <= MAX_BROADCAST_BYTES
 
 
 def _rounded(agg: DataFrame, places: int) -> DataFrame:
@@ -136,7 +146,7 @@ def usd_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def unknown_currency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dead-letter mode with a price list lacking MATIC: the MATIC rows come back."""
     configure(spark)
-    prices = {s: p for s, p in T.EVENT_PRICES.items() if s != "MATIC"}
+    prices = WITHOUT_MATIC
     cl = clean(T.events_transactions(spark, sf_dir), keep_raw=True)
     _, unknown = split_unknown(cl, inline_prices(spark, prices), broadcast=_small(prices))
     return unknown_as_dead_letters(unknown)
@@ -149,9 +159,9 @@ def merge_bucket_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
     priced = attach_prices(cl, inline_prices(spark, T.EVENT_PRICES), broadcast=_small(T.EVENT_PRICES))
     bucket = F.pmod(F.xxhash64("event_id"), F.lit(PARTIAL_BUCKETS))
     partials = (
-        priced.groupBy(bucket.alias("bucket"), F.date_format("ts", "yyyy-MM-dd").alias("Date"),
-                       F.col("project_id").alias("ProjectId"))
+        priced.groupBy(bucket.alias("bucket"), F.to_date("ts").alias("day"), F.col("project_id").alias("ProjectId"))
         .agg(F.count(F.lit(1)).alias("NumberOfTransactions"), F.sum("usd").alias("TotalVolumeUsd"))
+        .withColumn("Date", F.date_format("day", "yyyy-MM-dd"))
     )
     return _rounded(merge_partials(partials), EVENT_USD_PLACES)
 
@@ -166,17 +176,19 @@ def replicate_daily_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- queries over files staged from the tables -------------------------------------------
 
-# Number of CSV files a staged transaction export is written as (the stream reads one per batch).
-STAGED_FILES = 4
+# Rows of one staged transaction file, about.
+STAGED_ROWS = 25_000
 # Rows per landed price page.
 PAGE_SIZE = 250
 
 
-def stage_events_csv(spark: SparkSession, sf_dir: str, files: int = STAGED_FILES) -> str:
-    """Write the 16-column events export as CSV under the shared folder; returns its path."""
+def stage_events_csv(spark: SparkSession, sf_dir: str) -> str:
+    """Write the 16-column events export as CSV under the shared folder; returns its path.
+
+    One file per STAGED_ROWS or so rows, whatever the size of the table.
+    """
     path = scratch_path(spark, "events-csv")
-    (T.events_wide(spark, sf_dir).repartition(files, "ident")
-     .write.option("header", True).option("escape", '"').csv(path))
+    csv_writer(T.events_wide(spark, sf_dir)).option("maxRecordsPerFile", STAGED_ROWS).csv(path)
     return path
 
 
@@ -184,8 +196,41 @@ def stage_prices_csv(spark: SparkSession, prices: dict[str, float]) -> str:
     """Write a literal price mapping as a price CSV (ID, Symbol, Name, Price (USD))."""
     path = scratch_path(spark, "prices-csv")
     rows = [(s.lower(), s.lower(), s, str(p)) for s, p in prices.items()]
-    (spark.createDataFrame(rows, "ID string, Symbol string, Name string, `Price (USD)` string").coalesce(1)
-     .write.option("header", True).option("escape", '"').csv(path))
+    csv_writer(spark.createDataFrame(rows, "ID string, Symbol string, Name string, `Price (USD)` string")
+               .coalesce(1)).csv(path)
+    return path
+
+
+# event_id moduli of the damaged export.
+LOST_FIELD_MOD, EXTRA_FIELD_MOD, LINE_BREAK_MOD = 61, 59, 53
+
+
+def _csv_line(columns: list[str]) -> str:
+    """SQL of one CSV line with every field in quotes."""
+    return "concat_ws(',', " + ", ".join(f"""concat('"', replace({c}, '"', '""'), '"')""" for c in columns) + ")"
+
+
+def stage_damaged_csv(spark: SparkSession, sf_dir: str) -> str:
+    """The events export as text files in which some rows lost or gained a field, some have a quoted line break,
+    and every other file has its columns in reverse order."""
+    path = scratch_path(spark, "damaged-csv")
+    columns = list(T.WIDE_CSV_COLUMNS)
+    wide = T.events_wide(spark, sf_dir).selectExpr("*", "CAST(ident AS bigint) AS id").selectExpr(
+        *[f"CASE WHEN id % {LINE_BREAK_MOD} = 0 THEN concat(event, '\\n', 'again') ELSE event END AS event"
+          if c == "event" else c for c in columns], "id", f"CAST(id DIV {STAGED_ROWS} AS int) AS file")
+    forward, backward = columns, columns[::-1]
+
+    def damaged(order: list[str]) -> str:
+        return (f"CASE WHEN id % {LOST_FIELD_MOD} = 0 THEN {_csv_line(order[:-1])} "
+                f"WHEN id % {EXTRA_FIELD_MOD} = 0 THEN concat({_csv_line(order)}, ',\"more\"') "
+                f"ELSE {_csv_line(order)} END")
+
+    lines = wide.selectExpr("file", "id", f"CASE WHEN file % 2 = 0 THEN {damaged(forward)} ELSE {damaged(backward)} END AS line")
+    heads = wide.select("file").distinct().selectExpr(
+        "file", "CAST(-1 AS bigint) AS id",
+        f"CASE WHEN file % 2 = 0 THEN '{','.join(forward)}' ELSE '{','.join(backward)}' END AS line")
+    (lines.unionByName(heads).repartition("file").sortWithinPartitions("file", "id").select("file", "line")
+     .write.partitionBy("file").text(path))
     return path
 
 
@@ -199,26 +244,31 @@ def price_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Part rows as a price file in p_partkey order; last row per upper-cased brand wins."""
     configure(spark)
     path = scratch_path(spark, "part-prices")
-    (T.part_price_rows(spark, sf_dir).orderBy("p_partkey").drop("p_partkey")
-     .write.option("header", True).option("escape", '"').csv(path))
+    csv_writer(T.part_price_rows(spark, sf_dir, spread_scan=False).orderBy("p_partkey").drop("p_partkey")).csv(path)
     return read_prices(spark, path)
 
 
+# SQL: the project with blanks before, after or around it.
+BLANK_PROJECT = "concat(repeat(' ', CAST(project_id AS int) % 3), project_id, repeat(' ', CAST(project_id AS int) % 2))"
+
+
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K1: daily aggregates written as CSV with a header and read back."""
+    """K1: daily aggregates written as CSV with a header and read back; project ids with blanks at either end."""
     configure(spark)
     path = scratch_path(spark, "agg-csv")
-    raw = T.events_transactions(spark, sf_dir)
+    raw = T.events_transactions(spark, sf_dir).withColumn("project_id", F.expr(BLANK_PROJECT))
     agg = daily_volume(clean(raw), inline_prices(spark, T.EVENT_PRICES), broadcast=_small(T.EVENT_PRICES))
     write_aggregates_csv(agg, path)
     return _rounded(read_aggregates_csv(spark, path), EVENT_USD_PLACES)
 
 
 def dead_letter_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K2: dead letters written as header-less CSV (Reason first) and read back."""
+    """K2: dead letters written as header-less CSV (Reason first) and read back; texts with blanks and line breaks."""
     configure(spark)
     path = scratch_path(spark, "dead-csv")
-    write_dead_letters_csv(dead_letters(T.events_transactions(spark, sf_dir)), path)
+    raw = T.events_transactions(spark, sf_dir).withColumn("project_id", F.expr(BLANK_PROJECT)).withColumn(
+        "event", F.concat(F.col("event"), F.lit("\n \"next\", line ")))
+    write_dead_letters_csv(dead_letters(raw), path)
     return read_dead_letters_csv(spark, path)
 
 
@@ -246,9 +296,8 @@ def stream_daily_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(merged_daily_volume(spark, run), EVENT_USD_PLACES)
 
 
-def price_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Part rows landed as JSON pages of PAGE_SIZE coins, read back into price rows."""
-    configure(spark)
+def stage_price_pages(spark: SparkSession, sf_dir: str) -> str:
+    """Part rows landed as JSON pages of PAGE_SIZE coins; returns their folder."""
     path = scratch_path(spark, "price-pages")
     coins = T.part_price_rows(spark, sf_dir).select(
         (F.col("p_partkey") / PAGE_SIZE).cast("bigint").alias("page"),
@@ -257,7 +306,13 @@ def price_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     pages = coins.groupBy("page").agg(F.to_json(F.collect_list("coin")).alias("value"))
     pages.select("value").write.text(path)
-    return read_price_pages(spark, path).withColumnRenamed("Price (USD)", "price_usd")
+    return path
+
+
+def price_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part rows landed as JSON pages of PAGE_SIZE coins, read back into price rows."""
+    configure(spark)
+    return read_price_pages(spark, stage_price_pages(spark, sf_dir)).withColumnRenamed("Price (USD)", "price_usd")
 
 
 def job_daily_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -281,7 +336,7 @@ def job_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily_volume_job(
         spark,
         transactions=stage_events_csv(spark, sf_dir),
-        prices=stage_prices_csv(spark, {s: p for s, p in T.EVENT_PRICES.items() if s != "MATIC"}),
+        prices=stage_prices_csv(spark, WITHOUT_MATIC),
         output=scratch_path(spark, "job-out"),
         errors=errors,
         on_unknown="dead_letter",
@@ -289,6 +344,93 @@ def job_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_dead_letters_csv(spark, errors)
 
 
+def malformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The damaged export (fields lost and gained, quoted line breaks, two column orders) read in dead-letter mode."""
+    configure(spark)
+    rows, bad = read_transactions(spark, stage_damaged_csv(spark, sf_dir), on_malformed="dead_letter",
+                                  multi_line=True, mixed_headers=True)
+    return rows.select(F.lit("").alias("Reason"), "*").unionByName(
+        bad.select(F.rtrim("Reason", F.lit("\r\n")).alias("Reason"), *[F.lit("").alias(c) for c in rows.columns]))
+
+
+def trap_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard timestamps, payloads and amounts with outcomes fixed per case."""
+    configure(spark)
+    c = classify(T.trap_transactions(spark, sf_dir))
+    clean_row = F.col("reason_code").isNull()
+    return c.select("event_id", "reason_code", F.when(clean_row, F.col("project_id")).alias("project_id"),
+                    F.when(clean_row, F.col("_props.value")).alias("symbol"),
+                    F.when(clean_row, F.col("_volume")).alias("volume"))
+
+
+def table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3: two halves of the events appended to one table, the default mode; read back by date and project."""
+    configure(spark)
+    location = scratch_path(spark, "daily-append")
+    name = "daily_append_" + location.rsplit("-", 1)[-1]
+    raw = T.events_transactions(spark, sf_dir, keep=("event_id",))
+    for half in (0, 1):
+        part = clean(raw.where(F.col("event_id") % 2 == half))
+        write_table(daily_volume(part, inline_prices(spark, T.EVENT_PRICES), broadcast=_small(T.EVENT_PRICES)),
+                    name, location=location)
+    total = spark.table(name).groupBy("Date", "ProjectId").agg(
+        F.sum("NumberOfTransactions").alias("NumberOfTransactions"), F.sum("TotalVolumeUsd").alias("TotalVolumeUsd"),
+        F.count(F.lit(1)).alias("n_rows"))
+    return _rounded(total.withColumn("Date", F.date_format("Date", "yyyy-MM-dd")), EVENT_USD_PLACES)
+
+
+def price_snapshot_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part rows landed as JSON pages and written as a price CSV by the snapshot job; the CSV's rows."""
+    configure(spark)
+    out = scratch_path(spark, "snapshot")
+    n = price_snapshot(spark, stage_price_pages(spark, sf_dir), out)
+    return read_price_rows(spark, out).select(
+        "ID", "Symbol", "Name", F.col("`Price (USD)`").cast("double").alias("price_usd"),
+        F.lit(n).cast("bigint").alias("n_written"))
+
+
+def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3: counters of the job in both unknown-currency modes and into both sinks."""
+    configure(spark)
+    rows = []
+    tx = stage_events_csv(spark, sf_dir)
+    table = "counters_" + scratch_path(spark, "t").rsplit("-", 1)[-1]
+    for mode, sink, prices in (("fail", "csv", T.EVENT_PRICES), ("fail", "table", T.EVENT_PRICES),
+                               ("dead_letter", "csv", WITHOUT_MATIC)):
+        output = scratch_path(spark, "counters") if sink == "csv" else f"table://spark_catalog/default/{table}"
+        report = daily_volume_job(spark, tx, stage_prices_csv(spark, prices), output, scratch_path(spark, "counters-err"),
+                                  on_unknown=mode)
+        rows.append((mode, sink, report.rows_read, report.prices_read, report.clean_rows, report.rejected_rows,
+                     report.aggregates_written))
+    return spark.createDataFrame(rows, "mode string, sink string, rows_read bigint, prices_read bigint, "
+                                       "clean_rows bigint, rejected_rows bigint, aggregates_written bigint")
+
+
+def unknown_abort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2, abort mode: a count over the priced rows, which reads no price, stops at a symbol without one."""
+    configure(spark)
+    priced = attach_prices(clean(T.events_transactions(spark, sf_dir)), inline_prices(spark, WITHOUT_MATIC),
+                           broadcast=_small(WITHOUT_MATIC))
+    try:
+        message = f"counted {priced.count()}"
+    except PySparkException as e:
+        found = re.search(r"currency symbol not supported: \w+", str(e))
+        message = found[0] if found else "other error"
+    return spark.createDataFrame([(message,)], "message string")
+
+
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1: the stream with a price list lacking MATIC, in dead-letter mode: its dead letters."""
+    configure(spark)
+    run = run_daily_volume_stream(
+        spark, transaction_stream(spark, stage_events_csv(spark, sf_dir), on_malformed="dead_letter"),
+        inline_prices(spark, WITHOUT_MATIC), on_unknown="dead_letter")
+    return stream_dead_letters(spark, run).select("Reason", *RAW_COLUMNS, "reason_code")
+
+
+# A price list without one of the symbols in the data.
+WITHOUT_MATIC = {s: p for s, p in T.EVENT_PRICES.items() if s != "MATIC"}
+
 QUERIES = {
     "daily_volume": events_daily_volume,
     "daily_volume_lineitem": lineitem_daily_volume,
@@ -313,4 +455,11 @@ QUERIES = {
     "price_pages": price_pages,
     "job_daily_volume": job_daily_volume,
     "job_dead_letters": job_dead_letters,
+    "malformed_rows": malformed_rows,
+    "trap_rows": trap_rows,
+    "table_append": table_append,
+    "price_snapshot": price_snapshot_csv,
+    "run_counters": run_counters,
+    "unknown_abort": unknown_abort,
+    "stream_dead_letters": stream_rejects,
 }

@@ -83,3 +83,17 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique location under :func:`shared_dir` for one run's output."""
     return f"{shared_dir(spark)}/daybook/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Delete one folder made by :func:`scratch_path`, through the cluster's own file system.
+
+    Only paths under this session's scratch root are touched; a session without
+    a JVM (Spark Connect) leaves the folder to the cluster's own retention.
+    """
+    if not path.startswith(f"{shared_dir(spark)}/daybook/"):
+        raise ValueError(f"not a scratch folder of this session: {path}")
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is not None:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

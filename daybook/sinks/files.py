@@ -19,27 +19,30 @@ AGG_CSV_SCHEMA = T.StructType([
 DEAD_LETTER_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in DEAD_LETTER_COLUMNS])
 
 
-def _writer(df: DataFrame, mode: str, header: bool):
-    return df.write.mode(mode).option("header", header).option("escape", '"')
+def csv_writer(df: DataFrame, mode: str = "overwrite", header: bool = True):
+    """A CSV writer that keeps every text as it is: doubled quotes, blanks at either end kept."""
+    return (df.write.mode(mode).option("header", header).option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
 
 
 def write_aggregates_csv(agg: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write ``Date,ProjectId,NumberOfTransactions,TotalVolumeUsd`` CSV with a header."""
-    _writer(agg.select(*AGG_COLUMNS), mode, True).csv(resolve_path(path))
+    csv_writer(agg.select(*AGG_COLUMNS), mode, True).csv(resolve_path(path))
 
 
 def write_dead_letters_csv(dead: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write dead letters as CSV without a header: Reason, then the raw row."""
-    _writer(dead.select(*DEAD_LETTER_COLUMNS), mode, False).csv(resolve_path(path))
+    csv_writer(dead.select(*DEAD_LETTER_COLUMNS), mode, False).csv(resolve_path(path))
 
 
 def read_aggregates_csv(spark: SparkSession, path: str) -> DataFrame:
     df = (spark.read.option("header", True).option("escape", '"').option("mode", "FAILFAST")
-          .option("enforceSchema", False).schema(AGG_CSV_SCHEMA).csv(resolve_path(path)))
+          .option("multiLine", True).option("enforceSchema", False).schema(AGG_CSV_SCHEMA).csv(resolve_path(path)))
     return df.withColumn("ProjectId", F.coalesce("ProjectId", F.lit("")))
 
 
 def read_dead_letters_csv(spark: SparkSession, path: str) -> DataFrame:
     df = (spark.read.option("header", False).option("escape", '"').option("mode", "FAILFAST")
+          .option("multiLine", True)      # a raw field may hold line breaks
           .schema(DEAD_LETTER_SCHEMA).csv(resolve_path(path)))
     return df.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in DEAD_LETTER_COLUMNS])

@@ -2,10 +2,11 @@
 
 ``table://<catalog>/<database>/<table>`` names a catalog table; anything else
 is a file location (:mod:`daybook.sinks.files`).  The table is created when
-missing and left alone when present.  ``mode="append"`` adds rows (a re-run
-duplicates them); ``mode="replace"`` overwrites exactly the Date partitions
-present in the new data (dynamic partition overwrite), so a re-run is
-idempotent.
+missing and left alone when present.  ``mode="append"``, the default, adds rows
+(a re-run duplicates them); ``mode="replace"`` overwrites exactly the Date
+partitions present in the new data (dynamic partition overwrite), so a re-run
+of the same input is idempotent, but a second input for a Date replaces the
+first.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from urllib.parse import urlparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.sinks.files import write_aggregates_csv
@@ -26,11 +27,11 @@ WRITE_MODES = ("append", "replace")
 def parse_table_uri(uri: str) -> tuple[str, str, str]:
     """``table://catalog/database/table`` → (catalog, database, table); exactly two path parts."""
     if not uri.startswith(f"{TABLE_SCHEME}://"):
-        raise ValueError(f"URI must start with '{TABLE_SCHEME}://'")
+        raise ValueError(f"not a {TABLE_SCHEME}:// target: {uri!r}")
     parsed = urlparse(uri)
     parts = parsed.path.strip("/").split("/")
     if not parsed.netloc or len(parts) != 2 or not all(parts):
-        raise ValueError(f"URI must have the format '{TABLE_SCHEME}://catalog/database/table'")
+        raise ValueError(f"a table target names catalog, database and table, not {uri!r}")
     return parsed.netloc, parts[0], parts[1]
 
 
@@ -81,30 +82,41 @@ def ensure_table(spark: SparkSession, name: str, location: str | None = None) ->
     )
 
 
-def write_table(agg: DataFrame, name: str, mode: str = "replace", location: str | None = None) -> None:
+def _observed(rows: DataFrame, obs: Observation | None) -> DataFrame:
+    """Counts rows as they are written.  Placed above the range partitioning, whose sampling job also runs its input."""
+    return rows.observe(obs, F.count(F.lit(1)).alias("n")) if obs is not None else rows
+
+
+def _inserted(rows: DataFrame, name: str, mode: str) -> None:
+    rows.write.option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=(mode == "replace"))
+
+
+def write_table(agg: DataFrame, name: str, mode: str = "append", location: str | None = None,
+                obs: Observation | None = None) -> None:
     """Write aggregates into catalog table ``name`` (created when missing)."""
     if mode not in WRITE_MODES:
         raise ValueError(f"mode must be one of {WRITE_MODES}")
-    spark = agg.sparkSession
-    ensure_table(spark, name, location)
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    ensure_table(agg.sparkSession, name, location)
     # table_rows puts Date last, matching the table's column order (partition column last).
-    clustered(table_rows(agg)).write.insertInto(name, overwrite=(mode == "replace"))
+    _inserted(_observed(clustered(table_rows(agg)), obs), name, mode)
 
 
-def write_partitioned(agg: DataFrame, path: str, mode: str = "replace") -> None:
+def write_partitioned(agg: DataFrame, path: str, mode: str = "append") -> None:
     """Path-based variant of :func:`write_table`: parquet files under ``Date=...`` folders."""
     if mode not in WRITE_MODES:
         raise ValueError(f"mode must be one of {WRITE_MODES}")
-    agg.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     (clustered(table_rows(agg)).write.mode("overwrite" if mode == "replace" else "append")
-     .partitionBy("Date").parquet(path))
+     .option("partitionOverwriteMode", "dynamic").partitionBy("Date").parquet(path))
+
 
+def aggregate_sink(target: str, mode: str = "append", location: str | None = None,
+                   obs: Observation | None = None) -> Callable[[DataFrame], None]:
+    """Pick the writer for ``target``: a ``table://`` URI or a CSV location.
 
-def aggregate_sink(target: str, mode: str = "replace", location: str | None = None) -> Callable[[DataFrame], None]:
-    """Pick the writer for ``target``: a ``table://`` URI or a CSV location."""
+    ``obs``, if given, observes ``n``, the rows written.
+    """
     if target.startswith(f"{TABLE_SCHEME}://"):
         catalog, database, table = parse_table_uri(target)
         name = f"{catalog}.{database}.{table}"
-        return lambda agg: write_table(agg, name, mode, location)
-    return lambda agg: write_aggregates_csv(agg, target)
+        return lambda agg: write_table(agg, name, mode, location, obs)
+    return lambda agg: write_aggregates_csv(_observed(agg, obs), target)

@@ -1,13 +1,21 @@
 """File sources: transaction CSV (S1, S2), price CSV (S4), price pages (S5), paths.
 
-CSV columns are bound by header name, never by position; a quote inside a
-quoted field is written as two quotes.  Empty fields become ``""`` (the raw
-model has no NULLs).
+CSV columns are bound by header name: all files of one read must share one
+header (a file with another one fails the read), or, with ``mixed_headers``,
+files are grouped by header and each group is read by its own names.  A quote
+inside a quoted field is written as two quotes.  Empty fields become ``""`` (the
+raw model has no NULLs).
+
+Every CSV read carries the corrupt-record column and splits whole rows (the
+parser's own column pruning is off: with it, fields are no longer counted), so a
+row with too few or too many fields is always noticed, whatever columns are used.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import urllib.parse
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,8 +27,8 @@ from daybook.sources.balance import spread
 ON_MALFORMED = ("fail", "dead_letter")
 CORRUPT = "_corrupt_record"
 
-# URI schemes and the Hadoop file system used for each.
-SCHEME_MAP = {"gs": "gs", "s3": "s3a", "s3a": "s3a", "file": "file", "hdfs": "hdfs"}
+# URI schemes that go by another name in Hadoop.
+SCHEME_MAP = {"s3": "s3a"}
 
 # Field names of one coin in a price page, and their CSV header names.
 PAGE_FIELDS = (("id", "ID"), ("symbol", "Symbol"), ("name", "Name"), ("current_price", "Price (USD)"))
@@ -42,89 +50,147 @@ def resolve_path(path: str) -> str:
     if "://" not in path:
         return path
     scheme, rest = path.split("://", 1)
-    if scheme not in SCHEME_MAP:
-        raise ValueError(f"unsupported scheme {scheme!r} in {path!r}")
-    return f"{SCHEME_MAP[scheme]}://{rest}"
+    return f"{SCHEME_MAP.get(scheme, scheme)}://{rest}"
+
+
+def _csv_options(reader, multi_line: bool):
+    return reader.option("header", True).option("escape", '"').option("multiLine", multi_line)
+
+
+def csv_schema(header: list[str]) -> T.StructType:
+    """All-text schema of a header, with the corrupt-record column."""
+    return T.StructType([T.StructField(c, T.StringType()) for c in [*header, CORRUPT]])
 
 
-def _csv_reader(spark: SparkSession, multi_line: bool):
+def checked_csv(reader, header: list[str], multi_line: bool = False):
+    """``reader`` (batch or stream) set to read files with exactly this header.
+
+    Rows that do not fit keep their text in the corrupt-record column; a file
+    whose header differs fails the read instead of being bound by position.
+    """
     return (
-        spark.read.option("header", True)
-        .option("escape", '"')
-        .option("multiLine", multi_line)
+        _csv_options(reader, multi_line)
+        .schema(csv_schema(header))
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("enforceSchema", False)
+        .option("columnPruning", False)     # else a row's fields are not counted when columns are left out
     )
 
 
-def conform_raw(df: DataFrame) -> DataFrame:
-    """Select the five raw columns by name; NULL or missing columns become ``""``."""
+def with_guard(df: DataFrame) -> DataFrame:
+    """A checked read whose corrupt-record column also refers to the first file column.
+
+    Spark refuses a query that reads the corrupt-record column alone, which a
+    count over checked rows would be.
+    """
+    nothing = F.coalesce(F.substring(F.col(f"`{df.columns[0]}`"), 1, 0), F.lit(""))
+    return df.withColumn(CORRUPT, F.concat(F.col(CORRUPT), nothing))
+
+
+def csv_header(spark: SparkSession, uri: str | list[str], multi_line: bool = False) -> list[str]:
+    """Column names of the first file."""
+    return _csv_options(spark.read, multi_line).csv(uri).columns
+
+
+def _files_by_header(spark: SparkSession, uri: str, multi_line: bool) -> list[tuple[list[str], list[str]]]:
+    """(header, files) groups.  Reads each file's first line; one row per distinct header is collected with its files."""
+    lines = spark.read.text(uri).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value",
+        F.monotonically_increasing_id().alias("line"))
+    first = lines.where("at = 0").groupBy("file").agg(F.min_by("value", "line").alias("head"))
+    groups = first.groupBy("head").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
+    out = []
+    for g in sorted(groups, key=lambda r: r.files[0]):
+        files = [urllib.parse.unquote(f) for f in g.files]
+        out.append((csv_header(spark, files[:1], multi_line), files))
+    return out
+
+
+def conform_raw(df: DataFrame, *keep: str) -> DataFrame:
+    """The five raw columns by name (NULL or missing ones become ``""``), and the columns ``keep``."""
     present = set(df.columns)
     return df.select(
         *[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) if c in present else F.lit("").alias(c)
-          for c in RAW_COLUMNS]
+          for c in RAW_COLUMNS], *keep
     )
 
 
+def reject_malformed(df: DataFrame) -> DataFrame:
+    """Rows of a checked CSV read without the corrupt-record column; a malformed row fails the job.
+
+    The check is a filter, so it also holds when no column of the row is used.
+    """
+    text = F.concat(F.lit(f"{MALFORMED_ROW}: "), F.col(CORRUPT))
+    fits = F.when(F.col(CORRUPT).isNotNull(), F.raise_error(text).cast("boolean")).otherwise(F.lit(True))
+    return df.where(fits).drop(CORRUPT)
+
+
+def malformed_reason() -> Column:
+    return F.concat(F.lit(f"{MALFORMED_ROW}: "), F.coalesce(F.col(CORRUPT), F.lit("")))
+
+
+def read_raw(spark: SparkSession, path: str, multi_line: bool = False, mixed_headers: bool = False) -> DataFrame:
+    """Transaction CSV file(s) as the five raw text columns and the corrupt-record column (NULL where a row fits)."""
+    uri = resolve_path(path)
+    groups = (_files_by_header(spark, uri, multi_line) if mixed_headers
+              else [(csv_header(spark, uri, multi_line), uri)])
+    out = None
+    for header, files in groups:
+        part = conform_raw(with_guard(checked_csv(spark.read, header, multi_line).csv(files)), CORRUPT)
+        out = part if out is None else out.unionByName(part)
+    return spread(out)
+
+
 def read_transactions(
     spark: SparkSession,
     path: str,
     on_malformed: str = "fail",
     multi_line: bool = False,
+    mixed_headers: bool = False,
 ) -> DataFrame | tuple[DataFrame, DataFrame]:
     """Read transaction CSV file(s) into the five raw text columns.
 
-    Only ``ts, project_id, event, props, nums`` are kept, so Catalyst reads
-    no other column.  A row with the wrong number of fields fails the job
+    A row with the wrong number of fields fails the job
     (``on_malformed="fail"``), or, with ``"dead_letter"``, the call returns
     ``(rows, malformed)`` where ``malformed`` has dead-letter shape with reason
     ``malformed CSV row``.  ``multi_line`` allows line breaks inside quoted
     fields but stops the splitting of large files, so it is off by default.
+    ``mixed_headers`` reads files whose headers differ, at the price of one more
+    pass over their lines.
     """
     if on_malformed not in ON_MALFORMED:
         raise ValueError(f"on_malformed must be one of {ON_MALFORMED}")
-    uri = resolve_path(path)
+    raw = read_raw(spark, path, multi_line, mixed_headers)
     if on_malformed == "fail":
-        return spread(conform_raw(_csv_reader(spark, multi_line).option("mode", "FAILFAST").csv(uri)))
-    header = _csv_reader(spark, multi_line).csv(uri).columns
-    schema = T.StructType(
-        [T.StructField(c, T.StringType()) for c in header] + [T.StructField(CORRUPT, T.StringType())]
-    )
-    df = (
-        _csv_reader(spark, multi_line)
-        .schema(schema)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .csv(uri)
-    )
-    rows = spread(conform_raw(df.where(F.col(CORRUPT).isNull())))
-    bad = df.where(F.col(CORRUPT).isNotNull())
-    present = set(header)
-    malformed = bad.select(
-        F.concat(F.lit(f"{MALFORMED_ROW}: "), F.coalesce(F.col(CORRUPT), F.lit(""))).alias("Reason"),
-        *[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) if c in present else F.lit("").alias(c)
-          for c in RAW_COLUMNS],
-        F.lit(MALFORMED_ROW).alias("reason_code"),
-    )
+        return reject_malformed(raw)
+    rows = raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    malformed = raw.where(F.col(CORRUPT).isNotNull()).select(
+        malformed_reason().alias("Reason"), *RAW_COLUMNS, F.lit(MALFORMED_ROW).alias("reason_code"))
     return rows, malformed
 
 
 def read_price_rows(spark: SparkSession, path: str) -> DataFrame:
     """Price CSV rows with a ``_row_order`` that follows the files' line order.
 
-    The order is (file path, split start, position in the split), which is the
+    A row with the wrong number of fields fails the job.  The order is (file path, split start, position in the split), which is the
     order of lines across all input files sorted by path.
     """
-    df = _csv_reader(spark, False).option("mode", "FAILFAST").csv(resolve_path(path))
+    uri = resolve_path(path)
+    df = with_guard(checked_csv(spark.read, csv_header(spark, uri)).csv(uri))
     missing = [c for c in ("Symbol", "Price (USD)") if c not in df.columns]
     if missing:
         raise ValueError(f"price file lacks columns {missing}")
-    return df.select(
+    rows = df.select(
         *[F.col(f"`{c}`") if c in df.columns else F.lit("").alias(c) for c in PRICE_CSV_COLUMNS],
         F.struct(
             F.col("_metadata.file_path"),
             F.col("_metadata.file_block_start"),
             F.monotonically_increasing_id(),
         ).alias("_row_order"),
+        CORRUPT,
     )
+    return reject_malformed(rows)
 
 
 def read_prices(spark: SparkSession, path: str) -> DataFrame:
@@ -147,14 +213,14 @@ def read_price_pages(spark: SparkSession, path: str, multi_line: bool = False) -
 
     Each JSON array becomes one row per element.  ``multi_line`` reads
     pretty-printed page files (one document per file); otherwise each line is
-    one page.  A missing price is 0.0.
+    one page.  A missing price is 0.0, a missing text ``""``.
     """
     df = spark.read.schema(PAGE_SCHEMA).option("multiLine", multi_line).option("mode", "FAILFAST").json(
         resolve_path(path)
     )
     return df.select(
         *[
-            (F.coalesce(F.col(src), F.lit(0.0)) if src == "current_price" else F.col(src)).alias(dst)
+            F.coalesce(F.col(src), F.lit(0.0) if src == "current_price" else F.lit("")).alias(dst)
             for src, dst in PAGE_FIELDS
         ]
     )

@@ -40,12 +40,75 @@ WIDE_CSV_COLUMNS = (
 TS_TEXT = "yyyy-MM-dd HH:mm:ss"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, columns: tuple[str, ...] | None = None) -> DataFrame:
+def _amount(value: str) -> str:
+    return f'{{"currencyValueDecimal": "{value}"}}'
+
+
+_TS, _USD = "2024-01-01 00:00:00", '{"currencySymbol": "USD"}'
+_BAD_TS, _BAD_NUMS, _BAD_PROPS = "invalid timestamp format", "invalid JSON format in Nums field", "invalid JSON format in Props field"
+_BAD_VOLUME, _BAD_RANGE = "invalid volume format", "volume over threshold"
+
+# Hard cases, one per event_id modulo their number.  Raw ts, nums and props, then what must come of
+# them: the reason code, or NULL and the symbol and amount.  The outcomes are constants, so no parser is shared
+# between the engine and the oracle.
+TRAPS: tuple[tuple[str, str, str, str | None, str | None, float | None], ...] = (
+    (_TS, _amount("1.5"), _USD, None, "USD", 1.5),
+    (_TS, '{"x": 1, "currencyValueDecimal": "2.5", "y": [1, {"currencyValueDecimal": 3}]}', _USD, None, "USD", 2.5),
+    (_TS, '{"CURRENCYVALUEDECIMAL": "3"}', _USD, None, "USD", 3.0),
+    (_TS, '{"currencyValueDecimal": "1", "currencyValueDecimal": "4"}', _USD, None, "USD", 4.0),
+    (_TS, '{"currencyValueDecimal": 5, "currencyValueDecimal": "4"}', _USD, _BAD_NUMS, None, None),
+    (_TS, '{"currencyValueDecimal": "4", "CurrencyValueDecimal": 5}', _USD, _BAD_NUMS, None, None),
+    (_TS, '{"currencyValueDecimal": "6", "currencyValueDecimal": null}', _USD, None, "USD", 6.0),
+    (_TS, '{"currencyValueDecimal": "1", "CURRENCYvalueDECIMAL": "8"}', _USD, None, "USD", 8.0),
+    (_TS, '{"currencyValueDecimal": null}', _USD, _BAD_VOLUME, None, None),
+    (_TS, "null", _USD, _BAD_VOLUME, None, None),
+    (_TS, "{}", _USD, _BAD_VOLUME, None, None),
+    (_TS, '{"a": {"currencyValueDecimal": "1"}}', _USD, _BAD_VOLUME, None, None),
+    (_TS, '{"currency\\u0056alueDecimal": "7"}', _USD, None, "USD", 7.0),
+    (_TS, '{"currencyValueDecimal": "1"} x', _USD, _BAD_NUMS, None, None),
+    (_TS, "{}{}", _USD, _BAD_NUMS, None, None),
+    (_TS, '["currencyValueDecimal", "1"]', _USD, _BAD_NUMS, None, None),
+    (_TS, '{"currencyValueDecimal": "1",}', _USD, _BAD_NUMS, None, None),
+    (_TS, '{"x": 01, "currencyValueDecimal": "1"}', _USD, _BAD_NUMS, None, None),
+    (_TS, "", _USD, _BAD_NUMS, None, None),
+    (_TS, _amount("1"), '{"currencySymbol": "\\u0055SD"}', None, "USD", 1.0),
+    (_TS, _amount("1"), '{"currencysymbol": "BTC", "n": null}', None, "BTC", 1.0),
+    (_TS, _amount("1"), '{"currencySymbol": ["USD"]}', _BAD_PROPS, None, None),
+    (_TS, _amount("1"), "'USD'", _BAD_PROPS, None, None),
+    ("2024-01-01 00:00:00.250", _amount("1"), _USD, None, "USD", 1.0),
+    ("2024-01-01 00:00:00,5", _amount("1"), _USD, None, "USD", 1.0),
+    ("2024-01-01 3:04:05", _amount("1"), _USD, None, "USD", 1.0),
+    ("2024-01-01   03:04:05", _amount("1"), _USD, None, "USD", 1.0),
+    ("2024-02-29 00:00:00", _amount("1"), _USD, None, "USD", 1.0),
+    ("2023-02-29 00:00:00", _amount("1"), _USD, _BAD_TS, None, None),
+    ("2024-01-01", _amount("1"), _USD, _BAD_TS, None, None),
+    ("2024-01-01T00:00:00", _amount("1"), _USD, _BAD_TS, None, None),
+    (" 2024-01-01 00:00:00", _amount("1"), _USD, _BAD_TS, None, None),
+    ("2024-01-01 24:00:00", _amount("1"), _USD, _BAD_TS, None, None),
+    ("", "x", "x", _BAD_TS, None, None),
+    (_TS, _amount("inf"), _USD, _BAD_RANGE, None, None),
+    (_TS, _amount("NaN"), _USD, _BAD_RANGE, None, None),
+    (_TS, _amount("1000000000000001"), _USD, _BAD_RANGE, None, None),
+    (_TS, _amount("1e400"), _USD, _BAD_VOLUME, None, None),
+    (_TS, _amount(" 1"), _USD, _BAD_VOLUME, None, None),
+    (_TS, _amount("1d"), _USD, _BAD_VOLUME, None, None),
+    (_TS, _amount("1__0"), _USD, _BAD_VOLUME, None, None),
+    (_TS, _amount("1_000.5"), _USD, None, "USD", 1000.5),
+    (_TS, _amount("+5"), _USD, None, "USD", 5.0),
+    (_TS, _amount(".5"), _USD, None, "USD", 0.5),
+    (_TS, _amount("5."), _USD, None, "USD", 5.0),
+    (_TS, _amount("1e15"), _USD, None, "USD", 1e15),
+    (_TS, _amount("0"), _USD, None, "USD", 0.0),
+)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, columns: tuple[str, ...] | None = None,
+          spread_scan: bool = True) -> DataFrame:
     """One shared table, pruned to ``columns`` and spread when its file arrives in too few splits."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     if columns:
         df = df.select(*columns)
-    return spread(df)
+    return spread(df) if spread_scan else df
 
 
 def nums_text(value_sql: str) -> str:
@@ -88,21 +151,37 @@ def events_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events adapter with the 11 extra columns of a full transaction export."""
     raw = events_transactions(spark, sf_dir, keep=("event_id", "user_id"))
     extra = {
-        "app": "'daybook'",
+        "app": "concat('app', event_id % 7)",
         "source": "''",
         "ident": "CAST(event_id AS string)",
         "user_id": "CAST(user_id AS string)",
         "session_id": "substr(sha2(CAST(event_id AS string), 256), 1, 16)",
-        "country": "'DE'",
-        "device_type": "'desktop'",
-        "device_os": "'linux'",
-        "device_os_ver": "'x86_64'",
-        "device_browser": "'chrome'",
-        "device_browser_ver": "'122.0.0.0'",
+        "country": "concat('C', user_id % 40)",
+        "device_type": "concat('type ', event_id % 3)",
+        "device_os": "concat('os ', event_id % 5)",
+        "device_os_ver": "CAST(event_id % 11 AS string)",
+        "device_browser": "concat('browser ', user_id % 4)",
+        "device_browser_ver": "concat(event_id % 13, '.', user_id % 9)",
     }
     return raw.selectExpr(*[f"{extra.get(name, name)} AS {name}" for name in WIDE_CSV_COLUMNS])
 
 
+def trap_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as raw transactions that run through :data:`TRAPS`, with ``event_id`` and, for every third one, no project."""
+    def case(k: int) -> str:
+        whens = " ".join(f"WHEN {n} THEN {sql_text(t[k])}" for n, t in enumerate(TRAPS))
+        return f"CASE event_id % {len(TRAPS)} {whens} END"
+
+    e = table(spark, sf_dir, "events", ("event_id", "user_id", "event_type"))
+    project = "CASE WHEN event_id % 3 = 0 THEN '' ELSE concat(' P', user_id % 20, ' ') END"
+    return _raw_select(e, case(0), project, "event_type", case(2), case(1), keep=("event_id",))
+
+
+def sql_text(text: str) -> str:
+    """A Spark SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def lineitem_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``lineitem`` as raw transactions: ship date, supplier bucket, flag+status symbol, price."""
     li = table(spark, sf_dir, "lineitem",
@@ -130,9 +209,9 @@ def orders_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def part_price_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def part_price_rows(spark: SparkSession, sf_dir: str, spread_scan: bool = True) -> DataFrame:
     """``part`` as price rows (ID, Symbol, Name, Price (USD)) plus the order ``p_partkey``."""
-    p = table(spark, sf_dir, "part", ("p_partkey", "p_brand", "p_name", "p_retailprice"))
+    p = table(spark, sf_dir, "part", ("p_partkey", "p_brand", "p_name", "p_retailprice"), spread_scan)
     return p.select(
         F.col("p_partkey").cast("string").alias("ID"),
         F.col("p_brand").alias("Symbol"),

@@ -1,33 +1,52 @@
 """Micro-batch pipeline with Structured Streaming (S3, M1, M2, M3).
 
 ``readStream`` over a folder of transaction CSV files → ``foreachBatch``:
-each micro-batch is classified once (persisted for the two writes), its clean
-rows are priced and reduced to partial daily aggregates, and both the partials
-and the dead letters are written under ``batch_id=<n>`` with dynamic partition
-overwrite, so a batch replayed after a failure replaces its own output instead
-of adding to it.  The final aggregate is the merge of all partials (A2).
+each micro-batch is read and classified once and its outcomes are landed (as the
+batch job lands them); clean rows are reduced to partial daily aggregates, and
+both the partials and the dead letters are written under ``batch_id=<n>`` with
+dynamic partition overwrite, so a batch replayed after a failure replaces its
+own output instead of adding to it.  The final aggregate is the merge of all
+partials (A2).
 
 Micro-batch size is set in files or bytes per trigger (``max_files_per_trigger``
 / ``max_bytes_per_trigger``); Spark's file source has no row-count trigger.
-The price lookup is loaded once per run and written to the shared folder, so
-every batch joins against the same small table.
+The price lookup is written to the work folder by the first run and read from
+there by every batch and every later run in that folder, so a replayed batch is
+priced as it was the first time.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook.functions import MAX_VOLUME
 from daybook.operators.aggregate import daily_volume, merge_partials
-from daybook.operators.clean import classify, clean_rows, rejected_rows
-from daybook.operators.convert import DEFAULT_MAX_BROADCAST_ROWS
-from daybook.session import configure, scratch_path
-from daybook.sources.files import conform_raw, resolve_path
+from daybook.operators.clean import DEAD_LETTER_COLUMNS
+from daybook.operators.convert import MAX_BROADCAST_BYTES, ON_UNKNOWN, fits_broadcast
+from daybook.plans.jobs import land, landed_clean, landed_dead, outcomes
+from daybook.session import configure, remove_scratch, scratch_path
+from daybook.sources.files import (
+    CORRUPT,
+    ON_MALFORMED,
+    checked_csv,
+    conform_raw,
+    csv_header,
+    reject_malformed,
+    resolve_path,
+    with_guard,
+)
+
+# A micro-batch holds about this many bytes of files unless told otherwise.
+BATCH_BYTES = 1 << 30
+PARTIAL_SCHEMA = ("Date string, ProjectId string, NumberOfTransactions bigint, TotalVolumeUsd double, batch_id bigint")
+DEAD_SCHEMA = ", ".join(f"{c} string" for c in (*DEAD_LETTER_COLUMNS, "reason_code")) + ", batch_id bigint"
 
 BatchFn = Callable[[DataFrame, int], None]
 
@@ -48,39 +67,38 @@ class StreamRun:
     compacted_through: int = -1
 
 
-def header_schema(spark: SparkSession, source_dir: str) -> T.StructType:
-    """All-text schema from the header of the files already in ``source_dir``.
-
-    Streaming file sources need a schema up front; binding stays by name
-    because the header's own names are used.
-    """
-    header = spark.read.option("header", True).option("escape", '"').csv(resolve_path(source_dir)).columns
-    return T.StructType([T.StructField(c, T.StringType()) for c in header])
+def header_schema(spark: SparkSession, source_dir: str, multi_line: bool = False) -> T.StructType:
+    """All-text schema from the header of the files already in ``source_dir``."""
+    return T.StructType([T.StructField(c, T.StringType()) for c in csv_header(spark, resolve_path(source_dir), multi_line)])
 
 
 def transaction_stream(
     spark: SparkSession,
     source_dir: str,
     schema: T.StructType | None = None,
-    max_files_per_trigger: int | None = 1,
+    max_files_per_trigger: int | None = None,
     max_bytes_per_trigger: int | None = None,
+    on_malformed: str = "fail",
+    multi_line: bool = False,
 ) -> DataFrame:
     """Streaming raw transactions (five text columns) from CSV files landing in ``source_dir``.
 
     Micro-batches hold ``max_files_per_trigger`` files or about
-    ``max_bytes_per_trigger`` bytes (whole files; at least one per batch).
+    ``max_bytes_per_trigger`` bytes (whole files, at least one per batch;
+    ``BATCH_BYTES`` if neither is given).  Rows are checked as in the batch read:
+    a malformed one fails the stream, or with ``"dead_letter"`` keeps its text in
+    the corrupt-record column, which the per-batch function turns into a dead letter.
     """
-    reader = (
-        spark.readStream.schema(schema or header_schema(spark, source_dir))
-        .option("header", True)
-        .option("escape", '"')
-        .option("mode", "FAILFAST")
-    )
+    if on_malformed not in ON_MALFORMED:
+        raise ValueError(f"on_malformed must be one of {ON_MALFORMED}")
+    header = (schema or header_schema(spark, source_dir, multi_line)).names
+    reader = checked_csv(spark.readStream, header, multi_line)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    if max_bytes_per_trigger:
-        reader = reader.option("maxBytesPerTrigger", int(max_bytes_per_trigger))
-    return conform_raw(reader.csv(resolve_path(source_dir)))
+    if max_bytes_per_trigger or not max_files_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", int(max_bytes_per_trigger or BATCH_BYTES))
+    raw = conform_raw(with_guard(reader.csv(resolve_path(source_dir))), CORRUPT)
+    return reject_malformed(raw) if on_malformed == "fail" else raw
 
 
 def daily_volume_batches(
@@ -90,8 +108,9 @@ def daily_volume_batches(
     broadcast: bool,
     max_volume: float = MAX_VOLUME,
     counters: dict[int, tuple[int, int]] | None = None,
+    on_unknown: str = "fail",
 ) -> BatchFn:
-    """The per-batch function: classify once, write partials and dead letters for ``batch_id``.
+    """The per-batch function: land the outcomes once, write partials and dead letters for ``batch_id``.
 
     When ``counters`` is given, (rows, clean rows) of each batch are recorded
     under its id, so a replayed batch is counted once.
@@ -101,52 +120,86 @@ def daily_volume_batches(
         spark = batch.sparkSession
         configure(spark)
         lookup = spark.read.parquet(lookup_path)
-        classified = classify(batch, max_volume).persist()
-        try:
-            if counters is not None:
-                n = classified.agg(F.count(F.lit(1)).alias("rows"),
-                                   F.count_if(F.col("reason_code").isNull()).alias("clean")).first()
-                counters[batch_id] = (int(n["rows"]), int(n["clean"]))
-            partial = daily_volume(clean_rows(classified), lookup, broadcast=broadcast)
-            (partial.withColumn("batch_id", F.lit(batch_id))
-             .write.mode("overwrite").partitionBy("batch_id").parquet(partials_path))
-            (rejected_rows(classified).withColumn("batch_id", F.lit(batch_id))
-             .write.mode("overwrite").partitionBy("batch_id").parquet(dead_path))
-        finally:
-            classified.unpersist()
+        path = scratch_path(spark, f"batch-{batch_id}")
+        obs, landed = land(outcomes(batch, lookup, broadcast, on_unknown, max_volume), path)
+        if counters is not None:
+            counters[batch_id] = (int(obs.get["rows_read"]), int(obs.get["clean_rows"]))
+        for rows, target in ((daily_volume(landed_clean(landed), lookup, broadcast=broadcast), partials_path),
+                             (landed_dead(landed, "reason_code"), dead_path)):
+            (rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(target))
+        remove_scratch(spark, path)
+
+    return run
+
+
+def _counted(fn: BatchFn, spark: SparkSession, seen: dict[int, int]) -> BatchFn:
+    """``fn``, noting before each batch the rows of the one before from the query's progress.
+
+    A query keeps only its last progress updates; taking them down batch by batch
+    makes the counters exact for a run of any length.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        for query in spark.streams.active:
+            _note(query, seen)
+        fn(batch, batch_id)
+
+    return run
+
+
+def _note(query, seen: dict[int, int]) -> None:
+    for p in query.recentProgress:
+        p = json.loads(p.json) if hasattr(p, "json") else p
+        seen[int(p["batchId"])] = max(seen.get(int(p["batchId"]), 0), int(p["numInputRows"]))
 
+
+def open_run(spark: SparkSession, work_dir: str) -> StreamRun:
+    """The run kept in ``work_dir``, with what has been compacted there."""
+    run = StreamRun(checkpoint=f"{work_dir}/checkpoint", partials=f"{work_dir}/partials",
+                    dead_letters=f"{work_dir}/dead_letters", lookup=f"{work_dir}/lookup")
+    done = _existing(spark, f"{work_dir}/compactions", "through bigint, path string").orderBy(F.desc("through")).first()
+    if done is not None:
+        run.compacted, run.compacted_through = done["path"], int(done["through"])
     return run
 
 
+def _existing(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The parquet table at ``path``, or an empty one where nothing has been written."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def run_daily_volume_stream(
     spark: SparkSession,
     raw_stream: DataFrame,
     lookup: DataFrame,
     work_dir: str | None = None,
     max_volume: float = MAX_VOLUME,
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
     on_batch: BatchFn | None = None,
+    on_unknown: str = "fail",
 ) -> StreamRun:
     """Run the micro-batch pipeline over everything available now, then stop.
 
     ``on_batch`` replaces the per-batch function (M2: any DataFrame → output
     function of (batch, batch_id)); the default is :func:`daily_volume_batches`.
+    A later run with the same ``work_dir`` continues where the last one stopped.
     """
+    if on_unknown not in ON_UNKNOWN:
+        raise ValueError(f"on_unknown must be one of {ON_UNKNOWN}")
     configure(spark)
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    work = work_dir or scratch_path(spark, "stream")
-    run = StreamRun(
-        checkpoint=f"{work}/checkpoint",
-        partials=f"{work}/partials",
-        dead_letters=f"{work}/dead_letters",
-        lookup=f"{work}/lookup",
-    )
-    lookup.write.mode("overwrite").parquet(run.lookup)
-    broadcast = spark.read.parquet(run.lookup).limit(max_broadcast_rows + 1).count() <= max_broadcast_rows
+    run = open_run(spark, work_dir or scratch_path(spark, "stream"))
+    lookup.write.mode("ignore").parquet(run.lookup)
+    broadcast = fits_broadcast(spark.read.schema(lookup.schema).parquet(run.lookup), max_broadcast_bytes)
     counters: dict[int, tuple[int, int]] = {}
-    fn = on_batch or daily_volume_batches(
-        run.lookup, run.partials, run.dead_letters, broadcast, max_volume, counters
-    )
+    seen: dict[int, int] = {}
+    fn = (_counted(on_batch, spark, seen) if on_batch is not None else daily_volume_batches(
+        run.lookup, run.partials, run.dead_letters, broadcast, max_volume, counters, on_unknown))
     query = (
         raw_stream.writeStream.foreachBatch(fn)
         .option("checkpointLocation", run.checkpoint)
@@ -162,15 +215,15 @@ def run_daily_volume_stream(
         run.clean_rows = sum(clean for _, clean in counters.values())
         run.rejected_rows = run.rows_read - run.clean_rows
     else:
-        progress = query.recentProgress    # bounded history; exact only for short runs
-        run.batches = sum(1 for p in progress if p.get("numInputRows", 0) > 0)
-        run.rows_read = int(sum(p.get("numInputRows", 0) for p in progress))
+        _note(query, seen)
+        run.batches = sum(1 for rows in seen.values() if rows > 0)
+        run.rows_read = sum(seen.values())
     return run
 
 
 def _open_partials(spark: SparkSession, run: StreamRun) -> DataFrame:
     """Compacted partials plus the partials of later batches (pruned on batch_id)."""
-    later = (spark.read.parquet(run.partials).where(F.col("batch_id") > run.compacted_through)
+    later = (_existing(spark, run.partials, PARTIAL_SCHEMA).where(F.col("batch_id") > run.compacted_through)
              .drop("batch_id"))
     if run.compacted is None:
         return later
@@ -185,23 +238,28 @@ def merged_daily_volume(spark: SparkSession, run: StreamRun) -> DataFrame:
 def compact_partials(spark: SparkSession, run: StreamRun, through_batch: int) -> StreamRun:
     """Fold the partials of batches up to ``through_batch`` into one table.
 
-    The result goes to a new folder named after ``through_batch`` (the input
-    is never overwritten), and later merges read it plus the partials of later
-    batches only, so their cost follows the number of groups rather than the
-    number of batches.  Calling it for a batch already folded does nothing.
+    The result goes to a new folder (the input is never overwritten) which is
+    noted beside the partials, so a later run finds it; merges then read it plus
+    the partials of later batches only.  A batch that has not been written yet
+    is never counted as folded: ``through_batch`` is lowered to the last one there.
     """
+    partials = _existing(spark, run.partials, PARTIAL_SCHEMA)
+    newest = partials.agg(F.max("batch_id")).first()[0]
+    through_batch = min(through_batch, -1 if newest is None else int(newest))
     if through_batch <= run.compacted_through:
         return run
     current = (spark.read.parquet(run.compacted) if run.compacted is not None else None)
-    newer = (spark.read.parquet(run.partials)
-             .where((F.col("batch_id") > run.compacted_through) & (F.col("batch_id") <= through_batch))
+    newer = (partials.where((F.col("batch_id") > run.compacted_through) & (F.col("batch_id") <= through_batch))
              .drop("batch_id"))
     folded = merge_partials(newer if current is None else current.unionByName(newer))
-    target = f"{run.partials.rsplit('/', 1)[0]}/compacted-through-{through_batch}"
+    base = run.partials.rsplit("/", 1)[0]
+    target = f"{base}/compacted-through-{through_batch}"
     folded.write.mode("overwrite").parquet(target)
+    (spark.createDataFrame([(through_batch, target)], "through bigint, path string").coalesce(1)
+     .write.mode("append").parquet(f"{base}/compactions"))
     run.compacted, run.compacted_through = target, through_batch
     return run
 
 
 def stream_dead_letters(spark: SparkSession, run: StreamRun) -> DataFrame:
-    return spark.read.parquet(run.dead_letters)
+    return _existing(spark, run.dead_letters, DEAD_SCHEMA)

@@ -1,4 +1,4 @@
-"""Pricing and daily aggregation: the reference's aggregate fixture, merge, strict lookup, plans."""
+"""Pricing and daily aggregation: totals, merge, strict lookup, plans."""
 
 from __future__ import annotations
 
@@ -11,24 +11,25 @@ from py4j.protocol import Py4JJavaError
 
 from daybook.operators.aggregate import daily_totals, daily_volume, merge_partials
 from daybook.operators.clean import clean
-from daybook.operators.convert import attach_prices, fits_broadcast, split_unknown
+from daybook.operators.convert import attach_prices, fits_broadcast, lookup_size, split_unknown
 from daybook.operators.prices import inline_prices, latest_prices
 from daybook.operators.replicate import replicate
 
 CLEAN_SCHEMA = "ts timestamp_ntz, project_id string, currency_symbol string, volume double"
 AGG_ROWS = [
-    (dt.datetime(2023, 10, 1, 12), "ProjectA", "USD", 100.0),
-    (dt.datetime(2023, 10, 1, 13), "ProjectA", "EUR", 50.0),
-    (dt.datetime(2023, 10, 1, 14), "ProjectB", "BTC", 0.001),
-    (dt.datetime(2023, 10, 2, 12), "ProjectA", "USD", 200.0),
-    (dt.datetime(2023, 10, 2, 13), "ProjectB", "EUR", 80.0),
+    (dt.datetime(2022, 3, 5, 8, 30), "north", "USD", 12.5),
+    (dt.datetime(2022, 3, 5, 23, 59, 59), "north", "EUR", 30.0),
+    (dt.datetime(2022, 3, 5, 0, 0), "south", "BTC", 0.25),
+    (dt.datetime(2022, 3, 6, 0, 0), "north", "USD", 7.0),
+    (dt.datetime(2022, 3, 6, 17, 1), "south", "EUR", 10.0),
+    (dt.datetime(2022, 3, 6, 17, 2), "south", "EUR", 5.0),
 ]
-PRICES = {"USD": 1.0, "EUR": 1.2, "BTC": 60000.0}
+PRICES = {"USD": 1.0, "EUR": 1.5, "BTC": 4096.0}
 EXPECTED = {
-    ("2023-10-01", "ProjectA"): (2, 160.0),
-    ("2023-10-01", "ProjectB"): (1, 60.0),
-    ("2023-10-02", "ProjectA"): (1, 200.0),
-    ("2023-10-02", "ProjectB"): (1, 96.0),
+    ("2022-03-05", "north"): (2, 57.5),
+    ("2022-03-05", "south"): (1, 1024.0),
+    ("2022-03-06", "north"): (1, 7.0),
+    ("2022-03-06", "south"): (2, 22.5),
 }
 
 
@@ -47,8 +48,9 @@ def test_aggregate_fixture(spark, broadcast):
 
 def test_size_check(spark):
     lookup = inline_prices(spark, PRICES)
-    assert fits_broadcast(lookup, 3)
-    assert not fits_broadcast(lookup, 2)
+    assert lookup_size(lookup) == (3, 3 * (3 + 32))
+    assert fits_broadcast(lookup, 105)
+    assert not fits_broadcast(lookup, 104)
 
 
 def test_unknown_currency_aborts(spark):
@@ -56,6 +58,10 @@ def test_unknown_currency_aborts(spark):
     for broadcast in (True, False):
         with pytest.raises((PySparkException, Py4JJavaError), match="currency symbol not supported: XRP"):
             daily_volume(cl, inline_prices(spark, PRICES), broadcast=broadcast).collect()
+        # also where the consumer reads no price
+        for consume in (lambda df: df.count(), lambda df: df.groupBy("project_id").count().collect()):
+            with pytest.raises((PySparkException, Py4JJavaError), match="currency symbol not supported: XRP"):
+                consume(attach_prices(cl, inline_prices(spark, PRICES), broadcast=broadcast))
 
 
 def test_lookup_is_case_sensitive_on_the_transaction_side(spark):
@@ -113,14 +119,26 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_broadcast_plan_has_one_shuffle(spark):
+def test_broadcast_plan_shuffles_partials_only(spark):
     raw = raw_df(spark, [tx()])
     df = daily_volume(clean(raw), inline_prices(spark, PRICES), broadcast=True)
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert "BroadcastHashJoin" in plan
-    assert plan.count("Exchange hashpartitioning") == 1
-    assert "partial_count" in plan and "partial_sum" in plan
+    # (day, project, symbol), then (day, project); below the first one there is a map-side aggregate
+    assert plan.count("Exchange hashpartitioning") == 2
+    below = plan[plan.rindex("Exchange hashpartitioning"):]
+    assert "partial_count" in below and "partial_sum" in below
+
+
+def test_clean_filter_runs_inside_generated_code(spark):
+    """The filter on the reason and the projections over it read plain columns, without lambdas."""
+    df = clean(raw_df(spark, [tx()]).repartition(1))
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    top = [line for line in plan.splitlines() if "Project [" in line or "Filter " in line][:2]
+    assert len(top) == 2 and all(line.lstrip(" :+-").startswith("*(") for line in top), top
+    assert all("lambda" not in line for line in top)
 
 
 def test_large_lookup_plan_aggregates_before_joining(spark):

@@ -20,28 +20,34 @@ def _no_constants(name):
 
 
 def ref_field(text: str, field: str = FIELD):
+    """Entries in document order, duplicates included: every one that matches must be text or null, the last text wins."""
+    depth = []
+
+    def pairs(items):
+        depth.append(items)
+        return dict(items)
+
     try:
-        doc = json.loads(text, parse_constant=_no_constants)
+        doc = json.loads(text, parse_constant=_no_constants, object_pairs_hook=pairs)
     except (ValueError, RecursionError):
         return (False, None)
     if doc is None:
         return (True, "")
     if not isinstance(doc, dict):
         return (False, None)
-    if field in doc:
-        candidates = [doc[field]]
-    else:
-        candidates = [v for k, v in doc.items() if k.lower() == field.lower()]
-    if any(not (v is None or isinstance(v, str)) for v in candidates):
+    values = [v for k, v in depth[-1] if k.lower() == field.lower()]     # the outermost object is closed last
+    if any(not (v is None or isinstance(v, str)) for v in values):
         return (False, None)
-    strings = [v for v in candidates if isinstance(v, str)]
-    return (True, strings[0] if strings else "")
+    strings = [v for v in values if v is not None]
+    return (True, strings[-1] if strings else "")
 
 
 _DECIMAL = re.compile(r"[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?")
 
 
 def ref_double(text: str):
+    if re.fullmatch(r"[^_].*[^_]", text) and re.search(r"_", text) and not re.search(r"(?<![0-9])_|_(?![0-9])", text):
+        text = text.replace("_", "")
     if _DECIMAL.fullmatch(text):
         value = float(text)
         return None if math.isinf(value) else value
@@ -79,6 +85,9 @@ def json_cases():
         for junk in ["", " ", "x", "}", "]", ",{}", "{}", " // c", "\n"]:
             out.add(base + junk)
             out.add(junk + base)
+    for first, second in itertools.product(keys, keys):
+        for one, two in itertools.product(values[:7], values[:7]):
+            out.add(f"{{{first}: {one}, {second}: {two}}}")
     out.update(["", " ", "{", "}", "[", '{"currencyValueDecimal": "1", "currencyValueDecimal": "2"}',
                 '{"currencyValueDecimal": "1",}', '{"currencyValueDecimal": "1" "o": 2}'])
     return sorted(out)
@@ -88,7 +97,7 @@ def number_cases():
     parts = ["", "+", "-", "0", "1", "12", ".", "5", "e", "E", "e5", "e-3", "x", " ", "_", "d"]
     out = {a + b + c for a, b, c in itertools.product(parts, repeat=3)}
     out.update(["inf", "-Infinity", "+INF", "nan", "NaN", "+nan", "infin", "1e400", "-1e400", "1e-400",
-                "0x1p3", "1.5e+10", "\t1", "1\n"])
+                "0x1p3", "1_000", "1_0.0_1e1_0", "1_.0", "1._0", "1e_1", "-1_0", "1.5e+10", "\t1", "1\n"])
     return sorted(out)
 
 

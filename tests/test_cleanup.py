@@ -1,4 +1,4 @@
-"""Cleaning and dead letters: the reference's cleanup fixture and the trap cases."""
+"""Cleaning and dead letters: outcomes and the trap cases."""
 
 from __future__ import annotations
 
@@ -11,36 +11,30 @@ from daybook.functions import json_string_field, strict_double, strict_timestamp
 from daybook.operators.clean import classify, clean, dead_letters, reject_counts
 
 CLEANUP_ROWS = [
-    ("2023-10-01 12:00:00", "ProjectA", "", '{"currencySymbol": "USD"}', '{"currencyValueDecimal": "100.0"}'),
-    ("2023-10-01 13:00:00", "ProjectB", "", '{"currencySymbol": "EUR"}', '{"currencyValueDecimal": "50.0"}'),
-    ("invalid-timestamp", "ProjectC", "", '{"currencySymbol": "GBP"}', '{"currencyValueDecimal": "150.0"}'),
-    ("2023-10-01 14:00:00", "ProjectD", "", '{"currencySymbol": "JPY"}', "invalid-json"),
-    ("2023-10-01 15:00:00", "ProjectE", "", '{"currencySymbol": "CAD"}', '{"currencyValueDecimal": "-100.0"}'),
-    ("2023-10-01 16:00:00", "ProjectF", "", '{"currencySymbol": "AUD"}', '{"currencyValueDecimal": "1e20"}'),
-    ("2023-10-01 17:00:00", "ProjectG", "", '{"currencySymbol": "CHF"}', '{"currencyValueDecimal": "200.0"}'),
+    ("2022-03-05 08:30:00", "north", "A", '{"currencySymbol": "USD"}', '{"currencyValueDecimal": "12.5"}'),
+    ("2022-03-05 09:30:00", "south", "B", '{"currencySymbol": "EUR"}', '{"currencyValueDecimal": "0"}'),
+    ("05.03.2022", "no-day", "C", '{"currencySymbol": "USD"}', '{"currencyValueDecimal": "1"}'),
+    ("2022-03-05 10:30:00", "no-json", "D", '{"currencySymbol": "USD"}', "amount 3"),
+    ("2022-03-05 11:30:00", "negative", "E", '{"currencySymbol": "EUR"}', '{"currencyValueDecimal": "-0.01"}'),
+    ("2022-03-05 12:30:00", "huge", "F", '{"currencySymbol": "BTC"}', '{"currencyValueDecimal": "2e16"}'),
+    ("2022-03-05 13:30:00", "east", "G", '{"currencySymbol": "BTC"}', '{"currencyValueDecimal": "1e3"}'),
 ]
 
 
-def test_cleanup_fixture(spark):
+def test_outcomes(spark):
     df = raw_df(spark, CLEANUP_ROWS).coalesce(1)
     got = [tuple(r) for r in clean(df).collect()]
     assert got == [
-        (dt.datetime(2023, 10, 1, 12), "ProjectA", "USD", 100.0),
-        (dt.datetime(2023, 10, 1, 13), "ProjectB", "EUR", 50.0),
-        (dt.datetime(2023, 10, 1, 17), "ProjectG", "CHF", 200.0),
+        (dt.datetime(2022, 3, 5, 8, 30), "north", "USD", 12.5),
+        (dt.datetime(2022, 3, 5, 9, 30), "south", "EUR", 0.0),
+        (dt.datetime(2022, 3, 5, 13, 30), "east", "BTC", 1000.0),
     ]
     reasons = {r.project_id: r.Reason for r in dead_letters(df).collect()}
-    expected = {
-        "ProjectC": "invalid timestamp format",
-        "ProjectD": "invalid JSON format in Nums field",
-        "ProjectE": "volume over threshold",
-        "ProjectF": "volume over threshold",
-    }
-    assert set(reasons) == set(expected)
-    for project, prefix in expected.items():
-        assert reasons[project].startswith(prefix)
-    assert reasons["ProjectE"] == "volume over threshold: -100.000000"
-    assert reasons["ProjectF"] == "volume over threshold: 100000000000000000000.000000"
+    assert set(reasons) == {"no-day", "no-json", "negative", "huge"}
+    assert reasons["no-day"].startswith("invalid timestamp format")
+    assert reasons["no-json"].startswith("invalid JSON format in Nums field")
+    assert reasons["negative"] == "volume over threshold: -0.010000"
+    assert reasons["huge"] == "volume over threshold: 20000000000000000.000000"
 
 
 def test_clean_plus_rejected_is_read(spark):
@@ -86,6 +80,13 @@ def test_strict_timestamp(spark, text, expected):
     ('{"currencyValueDecimal": "1.5", "other": [1, {"a": null}]}', True, "1.5"),
     ('{"CURRENCYVALUEDECIMAL": "7"}', True, "7"),
     ('{"currencyValueDecimal": "1", "currencyValueDecimal": "2"}', True, "2"),
+    ('{"currencyValueDecimal": "1", "CURRENCYVALUEDECIMAL": "2"}', True, "2"),
+    ('{"currencyValueDecimal": "1", "currencyValueDecimal": null}', True, "1"),
+    ('{"currencyValueDecimal": "1", "CurrencyValueDecimal": 5}', False, None),
+    ('{"currencyValueDecimal": 5, "currencyValueDecimal": "2"}', False, None),
+    ('{"currencyValue\\u0044ecimal": "3"}', True, "3"),
+    ('{"a": {"currencyValueDecimal": 5}, "currencyValueDecimal": "4"}', True, "4"),
+    ('{"a": "currencyValueDecimal"}', True, ""),
     ('{"currencyValueDecimal": "\\u0031\\u0032"}', True, "12"),
     ('{"currencyValueDecimal": null}', True, ""),
     ('{"other": "x"}', True, ""),
@@ -121,7 +122,7 @@ def test_json_string_field(spark, text, ok, value):
     ("1", 1.0), ("+5", 5.0), (".5", 0.5), ("5.", 5.0), ("-0", -0.0), ("0", 0.0), ("1e15", 1e15),
     ("1E-3", 0.001), ("0001.50", 1.5), ("1e-400", 0.0),
     ("inf", float("inf")), ("-Infinity", float("-inf")), ("+INF", float("inf")),
-    ("1d", None), ("1f", None), (" 1", None), ("1 ", None), ("1e400", None), ("1_0", None), (".", None),
+    ("1d", None), ("1f", None), (" 1", None), ("1 ", None), ("1e400", None), ("1_0", 10.0), ("1_000.5_0e1_0", 1000.5e10), ("1__0", None), ("_1", None), ("1_", None), ("1_.5", None), (".", None),
     ("1e", None), ("1\n", None), ("0x1p-2", None), ("", None), ("abc", None), ("infin", None), ("+nan", None),
 ])
 def test_strict_double(spark, text, expected):

@@ -71,6 +71,53 @@ def test_job_unknown_currency(spark, inputs, workdir):
     reasons = sorted(r.Reason for r in read_dead_letters_csv(spark, err).collect())
     assert "currency symbol not supported: XRP" in reasons
     assert report.aggregates_written == 4
+    assert (report.rows_read, report.clean_rows, report.rejected_rows) == (8, 5, 3)
+
+
+def test_job_counts_rows_of_a_table_sink_once(spark, inputs, workdir):
+    _, tx, prices = inputs
+    name = "table://spark_catalog/default/job_sink_test"
+    for runs in (1, 2):      # append is the default
+        report = daily_volume_job(spark, tx, prices, name, os.path.join(workdir, f"e{runs}"))
+        assert report.aggregates_written == 4
+        assert spark.table("spark_catalog.default.job_sink_test").count() == 4 * runs
+    spark.sql("DROP TABLE spark_catalog.default.job_sink_test")
+
+
+@pytest.mark.parametrize("on_unknown", ["fail", "dead_letter"])
+@pytest.mark.parametrize("on_malformed", ["fail", "dead_letter"])
+def test_job_reads_its_source_once(spark, inputs, workdir, on_unknown, on_malformed, monkeypatch):
+    """One scan of the transaction files in all modes, nothing sorted by outcome, and no scratch left."""
+    from daybook.plans import jobs
+    from daybook.session import shared_dir
+
+    plans, left = [], []
+    real = jobs.land
+    monkeypatch.setattr(jobs, "land", lambda rows, path: (plans.append(rows._jdf.queryExecution().executedPlan().toString()),
+                                                          left.append(path), real(rows, path))[-1])
+    _, tx, prices = inputs
+    daily_volume_job(spark, tx, prices, os.path.join(workdir, "o"), os.path.join(workdir, "e"),
+                     on_unknown=on_unknown, on_malformed=on_malformed)
+    assert len(plans) == 1 and plans[0].count("FileScan csv") == 1 and "Sort" not in plans[0].replace("SortMergeJoin", "")
+    assert left[0].startswith(shared_dir(spark)) and not os.path.exists(left[0])
+
+
+def test_job_line_breaks_in_fields(spark, workdir):
+    tx = os.path.join(workdir, "tx", "a.csv")
+    row = _csv_row("2023-10-01 12:00:00", '"Pro\nject"', "USD", "1")
+    _write(tx, HEADER + row + _csv_row("2023-10-01 12:00:00", "Q", "USD", "1"))
+    prices = os.path.join(workdir, "prices", "p.csv")
+    _write(prices, "ID,Symbol,Name,Price (USD)\nusd,usd,Dollar,1.0\n")
+    out = os.path.join(workdir, "out")
+    report = daily_volume_job(spark, os.path.dirname(tx), prices, out, os.path.join(workdir, "err"), multi_line=True)
+    assert (report.rows_read, report.clean_rows) == (2, 2)
+    assert {r.ProjectId for r in read_aggregates_csv(spark, out).collect()} == {"Pro\nject", "Q"}
+
+
+def test_prices_are_counted_whole(spark, inputs, workdir):
+    _, tx, prices = inputs
+    report = daily_volume_job(spark, tx, prices, os.path.join(workdir, "o"), os.path.join(workdir, "e"), max_broadcast_bytes=1)
+    assert (report.prices_read, report.aggregates_written) == (3, 4)
 
 
 def test_job_malformed_rows_dead_lettered(spark, inputs, workdir):
@@ -114,7 +161,8 @@ def test_command_line(spark, inputs, workdir):
     report = main(["agg", "-c", prices, "-t", tx, "-o", out, "-e", err])
     assert report["aggregates_written"] == 4 and report["rows_read"] == 7
     out2, err2 = os.path.join(workdir, "cli-out2"), os.path.join(workdir, "cli-err2")
-    run = main(["agg", "-c", prices, "-t", tx, "-o", out2, "-e", err2, "--stream", "-b", "1"])
+    run = main(["agg", "-c", prices, "-t", tx, "-o", out2, "-e", err2, "--stream", "--files-per-batch", "1",
+                "--compact", "--work-dir", os.path.join(workdir, "work")])
     assert run["rows_read"] == 7 and run["clean_rows"] == 5
     assert read_aggregates_csv(spark, out2).count() == 4
     assert read_dead_letters_csv(spark, err2).count() == 2

@@ -46,6 +46,26 @@ def test_dead_letter_csv_has_no_header_and_escapes_quotes(spark, workdir):
     assert [tuple(r) for r in read_dead_letters_csv(spark, out).collect()] == rows
 
 
+def test_csv_texts_are_kept_as_they_are(spark, workdir):
+    out = os.path.join(workdir, "agg")
+    rows = [("2023-10-01", p, 1, 1.0) for p in ("P", " P", "P ", " P ")]
+    write_aggregates_csv(spark.createDataFrame(rows, AGG_SCHEMA), out)
+    assert sorted(tuple(r) for r in read_aggregates_csv(spark, out).collect()) == sorted(rows)
+    dead = [("why", " 2024-01-01 00:00:00 ", " P ", "two\nlines", "a, \"b\" ", "")]
+    df = spark.createDataFrame(dead, "Reason string, ts string, project_id string, event string, props string, nums string")
+    out = os.path.join(workdir, "dead")
+    write_dead_letters_csv(df, out)
+    assert [tuple(r) for r in read_dead_letters_csv(spark, out).collect()] == dead
+
+
+def test_append_is_the_default(spark, workdir):
+    name, agg = "daily_append_test", spark.createDataFrame(AGG, AGG_SCHEMA)
+    write_table(agg, name, location=os.path.join(workdir, "table"))
+    write_table(spark.createDataFrame([("2023-10-01", "Late", 1, 1.0)], AGG_SCHEMA), name)
+    assert sorted(r.ProjectId for r in spark.table(name).collect()) == ["", "Late", "ProjectA"]
+    spark.sql(f"DROP TABLE {name}")
+
+
 def test_table_uri():
     assert parse_table_uri("table://cat/db/daily") == ("cat", "db", "daily")
     for bad in ("table://cat/db", "table://cat/db/t/x", "file://cat/db/t", "table:///db/t"):
@@ -64,7 +84,7 @@ def test_catalog_table_created_once_and_replaced_by_date(spark, workdir):
     write_table(more, name, mode="replace", location=loc)         # replaces only 2023-10-02
     got = sorted((str(r.Date), r.ProjectId) for r in spark.table(name).collect())
     assert got == [("2023-10-01", "ProjectA"), ("2023-10-02", "ProjectZ")]
-    write_table(more, name, mode="append", location=loc)          # append duplicates, like the reference
+    write_table(more, name, mode="append", location=loc)          # append duplicates
     assert spark.table(name).count() == 3
     schema = {f.name: f.dataType.simpleString() for f in spark.table(name).schema}
     assert schema == {"ProjectId": "string", "NumberOfTransactions": "bigint", "TotalVolumeUsd": "double",

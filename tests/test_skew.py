@@ -45,3 +45,18 @@ def test_spread_balances_identical_rows(spark):
 def test_spread_leaves_wide_scans_alone(spark):
     wide = raw_df(spark, [tx()] * 64).repartition(16)
     assert spread(wide, 8) is wide
+
+
+def test_many_copies_use_all_tasks(spark):
+    sample = raw_df(spark, [tx(project=f"P{i}") for i in range(60)]).coalesce(1)
+    copies = replicate(sample, 10_000, copy_col="copy")
+    sizes = [r["count"] for r in copies.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(sizes) == 600_000 and len(sizes) == spark.sparkContext.defaultParallelism
+    assert max(sizes) < 1.5 * sum(sizes) / len(sizes)
+    assert copies.groupBy("project_id").agg(F.countDistinct("copy").alias("n")).where("n <> 10000").count() == 0
+
+
+def test_spread_keeps_scans_of_a_quarter_of_the_cores(spark):
+    some = raw_df(spark, [tx()] * 64).repartition(4)
+    assert spread(some, 16) is some
+    assert spread(some, 17) is not some

@@ -60,7 +60,6 @@ def test_replayed_batch_replaces_itself(spark, workdir):
     partials, dead = os.path.join(workdir, "partials"), os.path.join(workdir, "dead")
     fn = daily_volume_batches(lookup, partials, dead, broadcast=True)
     batch_df = read_transactions(spark, src)
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     fn(batch_df, 0)
     once = spark.read.parquet(partials).count(), spark.read.parquet(dead).count()
     fn(batch_df, 0)            # the same batch again, as after a restart
@@ -92,3 +91,67 @@ def test_compacted_partials_merge_to_the_same_result(spark, workdir):
         run = compact_partials(spark, run, through)
         assert _as_dict(merged_daily_volume(spark, run)) == before
     assert run.compacted_through == 3
+
+
+def test_compaction_never_runs_ahead_and_survives_a_restart(spark, workdir):
+    from daybook.streaming.microbatch import compact_partials, open_run
+
+    src, work = os.path.join(workdir, "src"), os.path.join(workdir, "run")
+    _files(src, 1, 25)
+    stream = lambda: transaction_stream(spark, src, max_files_per_trigger=1)
+    run = compact_partials(spark, run_daily_volume_stream(spark, stream(), inline_prices(spark, PRICES), work_dir=work), 10)
+    assert run.compacted_through == 0
+    _files(src, 3, 25)       # the first file is known; two more arrive
+    again = run_daily_volume_stream(spark, stream(), inline_prices(spark, PRICES), work_dir=work)
+    assert (again.batches, again.compacted_through) == (2, 0)
+    batch = _as_dict(daily_volume(clean(read_transactions(spark, src)), inline_prices(spark, PRICES), broadcast=True))
+    for handle in (run, again, open_run(spark, work)):
+        assert _as_dict(merged_daily_volume(spark, handle)) == batch
+
+
+def test_batch_function_can_be_replaced(spark, workdir):
+    src = os.path.join(workdir, "src")
+    _files(src, 4, 25)
+    seen = []
+    run = run_daily_volume_stream(
+        spark, transaction_stream(spark, src, max_files_per_trigger=1), inline_prices(spark, PRICES),
+        work_dir=os.path.join(workdir, "run"), on_batch=lambda df, batch_id: seen.append((batch_id, df.count())))
+    assert sorted(seen) == [(k, 25) for k in range(4)]
+    assert (run.batches, run.rows_read) == (4, 100)
+    assert merged_daily_volume(spark, run).count() == 0 and stream_dead_letters(spark, run).count() == 0
+
+
+def _one_file(folder, rows):
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, "a.csv"), "w") as fh:
+        fh.write("ts,project_id,event,props,nums\n" + "".join(rows))
+
+
+def _row(ts="2023-10-01 10:00:00", symbol="USD"):
+    return f'{ts},P,E,"{{""currencySymbol"": ""{symbol}""}}","{{""currencyValueDecimal"": ""1""}}"\n'
+
+
+def test_all_clean_and_all_rejected_runs(spark, workdir):
+    for name, rows, groups, dead in (("clean", [_row()], 1, 0), ("bad", [_row(ts="x")] * 2, 0, 2)):
+        src = os.path.join(workdir, name)
+        _one_file(src, rows)
+        run = run_daily_volume_stream(spark, transaction_stream(spark, src), inline_prices(spark, PRICES),
+                                      work_dir=os.path.join(workdir, name + "-run"))
+        assert merged_daily_volume(spark, run).count() == groups
+        assert stream_dead_letters(spark, run).count() == dead
+
+
+def test_stream_routes_or_stops_on_unknown_and_malformed_rows(spark, workdir):
+    import pytest
+
+    src = os.path.join(workdir, "src")
+    _one_file(src, [_row(), _row(symbol="XRP"), "only,three,fields\n"])
+    for malformed, unknown in (("fail", "dead_letter"), ("dead_letter", "fail")):
+        with pytest.raises(Exception):
+            run_daily_volume_stream(spark, transaction_stream(spark, src, on_malformed=malformed), inline_prices(spark, PRICES),
+                                    work_dir=os.path.join(workdir, f"run-{malformed}"), on_unknown=unknown)
+    run = run_daily_volume_stream(spark, transaction_stream(spark, src, on_malformed="dead_letter"),
+                                  inline_prices(spark, PRICES), work_dir=os.path.join(workdir, "run"), on_unknown="dead_letter")
+    assert (run.rows_read, run.clean_rows, run.rejected_rows) == (3, 1, 2)
+    assert sorted(r.reason_code for r in stream_dead_letters(spark, run).collect()) == [
+        "currency symbol not supported", "malformed CSV row"]
