@@ -14,9 +14,13 @@ they are not), so the cost does not grow with weights.
 shares one but for 1 in 30,000).  Inside a bucket texts are compared with a
 leader, not with each other; links of at least 0.8, verified exactly on the
 multisets, are joined into components.  Buckets that still hold several
-components get further leaders, and at last the pairs between different
-components: members of one component are never paired, so a group of a million
-copies costs a million comparisons.
+components get further leaders, and at last pairs between different components.
+Members of one component are never paired, and a text is only paired at last if
+it can have a partner: of texts with weights n and m, of which c and d lie on
+shingles that any other text in question has, the overlap is at most min(c, d),
+so 0.8 takes 9 min(c, d) >= 4 (n + m).  Heavily edited copies of a text, similar
+to nothing, drop out by this exact bound before they meet their thousand kin;
+a group of a million copies costs about a million comparisons.
 
 Exact copies are one node from the start.  Null texts have no shingles and stay
 alone; empty and blank texts have none either and are linked to exact copies
@@ -43,7 +47,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 ROWS, BANDS = 5, 26
 SLOTS = ROWS * BANDS
-LEADERS = 3               # rounds with a leader in each bucket
+LEADERS = 2               # rounds with a leader in each bucket
 SALT_ROWS = 2_000         # members compared with one leader in one task, about
 
 STRIDE = np.uint64(0x9E3779B97F4A7C15)
@@ -211,13 +215,49 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
 def _open_buckets(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows (band, node, comp) of buckets that hold more than one component."""
     rows = buckets.join(labels, "node", "left").select("band", "node", F.coalesce("comp", "node").alias("comp"))
-    several = (rows.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
-               .where("low <> high").select("band"))
-    return rows.join(several, "band")
+    return _several(rows)
+
+
+def _several(rows: DataFrame) -> DataFrame:
+    bands_ = rows.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
+    return rows.join(bands_.select("band"), "band", "left_semi")
+
+
+def _weights(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, n, c): a text's weight, and its part on shingles that another of the nodes has as well."""
+
+    def bagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            node, column = batch.column(0).to_numpy(), text_bytes(batch.column(1))
+            for x, y in chunks(np.asarray(pc.binary_length(column)) + 1):
+                row, shingle, count = bags(*shingles(column.slice(x, y - x)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(node[x + row]), pa.array(shingle.view(np.int64)), pa.array(count)], ["node", "shingle", "w"])
+
+    rows = materialise(texts.join(nodes, "node").select("node", "text")
+                       .mapInArrow(bagged, "node long, shingle long, w long"), "weights")
+    shared = rows.groupBy("shingle").agg(F.count("*").alias("k")).where("k > 1")
+    return (rows.join(shared, "shingle", "left").groupBy("node")
+            .agg(F.sum("w").alias("n"), F.coalesce(F.sum(F.when(F.col("k").isNotNull(), F.col("w"))), F.lit(0)).alias("c")))
+
+
+def _possible(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of nodes in one bucket and different components that the bound on their overlap allows."""
+    need = similarity / (1 + similarity)
+    known = members.join(_weights(members.select("node").distinct(), texts), "node").where(F.col("c") >= similarity * F.col("n"))
+    least = known.groupBy("band").agg(F.min("n").alias("least"))
+    known = known.join(least, "band").where(F.col("c") >= need * (F.col("n") + F.col("least"))).drop("least")
+    known = materialise(_several(known), "possible")
+    other = known.select("band", *[F.col(c).alias(f"{c}_b") for c in ("node", "comp", "n", "c")])
+    return known.join(other, "band").where(
+        (F.col("node") < F.col("node_b")) & (F.col("comp") != F.col("comp_b"))
+        & (F.least("c", "c_b") >= need * (F.col("n") + F.col("n_b")))).select(
+        F.col("node").alias("x"), F.col("node_b").alias("y"), F.col("node").alias("a"), F.col("node_b").alias("b"))
 
 
 def classes(docs: DataFrame, text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """(key, node, comp) of every distinct text: key is its md5, comp the smallest node of its class."""
+    spark = docs.sparkSession
     source = docs.select(text_key(text_col).alias("key"), F.col(text_col).alias("text")).where("key IS NOT NULL")
     nodes = (source.select("key", bands("text").alias("bands")).groupBy("key").agg(F.first("bands").alias("bands"))
              .withColumn("node", F.monotonically_increasing_id()))
@@ -229,12 +269,10 @@ def classes(docs: DataFrame, text_col: str = "text", similarity: float = SIMILAR
     wanted = buckets.select("node").distinct().join(nodes.select("node", "key"), "node")
     texts = materialise(source.groupBy("key").agg(F.first("text").alias("text")).join(wanted, "key")
                         .select("node", "text"), "texts")
-    links = labels = done = None
+    links = done = None
+    labels = spark.createDataFrame([], "node long, comp long")
     for turn in range(LEADERS + 1):
-        if turn == 0:
-            members = buckets.select("band", "node", F.col("node").alias("comp"))
-        else:
-            members = _open_buckets(buckets, labels)
+        members = materialise(_open_buckets(buckets, labels), "open")
         if turn < LEADERS:
             # Leaders differ from turn to turn: the smallest node, then by a hash of node and turn.
             rank = F.col("node") if turn == 0 else F.xxhash64("node", F.lit(turn))
@@ -243,13 +281,13 @@ def classes(docs: DataFrame, text_col: str = "text", similarity: float = SIMILAR
                 F.least("node", "lead.node").alias("x"), F.greatest("node", "lead.node").alias("y"),
                 F.col("lead.node").alias("a"), F.col("node").alias("b"))
         else:
-            other = members.select("band", F.col("node").alias("b"), F.col("comp").alias("comp_b"))
-            pairs = members.withColumnRenamed("node", "a").join(other, "band").where("a < b AND comp <> comp_b").select(
-                F.col("a").alias("x"), F.col("b").alias("y"), "a", "b")
+            pairs = _possible(members, texts, similarity)
         pairs = pairs.dropDuplicates(["x", "y"])
         if done is not None:
             pairs = pairs.join(done, ["x", "y"], "left_anti")
         pairs = materialise(pairs, "pairs")
+        if not pairs.limit(1).count():
+            continue
         found = materialise(_verified(pairs.select("a", "b"), texts, similarity), "links")
         links = found if links is None else links.unionByName(found)
         labels = components(links)
