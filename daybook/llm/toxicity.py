@@ -108,13 +108,16 @@ def count_tokens(docs: DataFrame, sample: DataFrame) -> np.ndarray:
 
 def token_weights(counts: np.ndarray) -> np.ndarray:
     """Weight of every bucket; buckets in which nothing was counted weigh FLOOR."""
-    n, n0, n1 = counts
-    prior = PRIOR_SHARE * n1.sum() * (n + 1) / (n.sum() + len(n))
+    seen = counts[0] > 0
+    n, n0, n1 = counts[:, seen]
+    prior = PRIOR_SHARE * n1.sum() * n / n.sum()
     total, total0, total1 = prior.sum(), n0.sum(), n1.sum()
     odds = [np.log(y + prior) - np.log(t + total - y - prior) for y, t in ((n1, total1), (n0, total0))]
     delta = odds[0] - odds[1]
     bound = delta - CONFIDENCE * np.sqrt(1 / (n1 + prior) + 1 / (n0 + prior))
-    return np.where(bound > 0, bound, np.minimum(FLOOR, delta.clip(-4, 0))).astype(np.float32)
+    out = np.full(len(seen), FLOOR, np.float32)
+    out[seen] = np.where(bound > 0, bound, np.minimum(FLOOR, delta.clip(-4, 0)))
+    return out
 
 
 def gumbel_lambda(weights: np.ndarray, mass: np.ndarray) -> float:

@@ -54,7 +54,7 @@ def test_recall_against_brute_force(spark):
 def test_scan_keeps_the_nearest():
     rng = np.random.default_rng(2)
     x, q = rng.standard_normal((5000, 33)), rng.standard_normal((20, 33))
-    kept = ann.scan_block(q, x, q, x, 10)
+    kept = ann.scan_block(q, x, np.full(20, np.inf), 10)
     lost = sum(len(set(np.argsort(((x - a) ** 2).sum(1))[:10]) - set(k.tolist())) for a, k in zip(q, kept, strict=True))
     assert lost <= 10 and max(map(len, kept)) < 1000
 
@@ -279,12 +279,12 @@ def test_repeat_cases(spark):
 # --- classifiers -------------------------------------------------------------------------------
 
 def labelled(spark, n=240):
-    """Every fourth text is a table of bars, every sixth holds words that no other text has."""
+    """Every fourth text is a table of bars, every fifth holds words that no other text has."""
     rng = random.Random(8)
     texts, labels = [], []
     for i in range(n):
         words = prose(rng.randint(20, 90), 1000 + i).split()
-        bad, toxic = i % 4 == 0, i % 6 == 1
+        bad, toxic = i % 4 == 0, i % 5 == 1
         if bad:
             words = [w for x in words for w in (x, "|")]
         if toxic:
