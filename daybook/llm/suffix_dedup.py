@@ -24,7 +24,9 @@ all found in stretches with the same minimiser.
    it, in at most nine halvings of the range of offsets, until its parts are
    small or consist of one string each; so no group grows with the corpus.
 
-All copies of a repeat are removed, the first one too.
+All copies of a repeat are removed; with ``keep_first`` the first one, in the
+order (text digest, position), stays, and of equal texts the row with the
+smallest id.
 
 Equal texts are compared once; those of LENGTH bytes or more consist of
 repeats.  A null text counts as empty.  Texts are read whole, of any length.
@@ -106,8 +108,9 @@ def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def runs_of(text: Column | str) -> Column:
-    """A text's different stretches, with how often each occurs in it, and the starts that repeat as whole stretches."""
+def runs_of(text: Column | str, keep_first: bool = False) -> Column:
+    """A text's different stretches, with how often each occurs in it, and the starts that repeat as whole stretches
+    (with ``keep_first``: but for the first of each)."""
 
     def rows(column: pa.Array) -> Iterator[dict]:
         for a, b in chunks(np.asarray(pc.binary_length(column)) + 1, CHUNK):
@@ -128,7 +131,7 @@ def runs_of(text: Column | str) -> Column:
                         seen[h, f] = {"h": h, "f": f, "start": start, "n": n, "anchor": anchor - start, "times": 1}
                     places.setdefault((h, f), []).append((start, start + n))
                     at += 1
-                own = merged([x for k, p in places.items() if len(p) > 1 for x in p])
+                own = merged([x for p in places.values() if len(p) > 1 for x in p[keep_first:]])
                 yield {"runs": list(seen.values()), "own": [{"from": x, "to": y} for x, y in own]}
 
     @F.arrow_udf(RUNS)
@@ -159,7 +162,7 @@ def suffix_runs(raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nda
     return earlier, later
 
 
-def _compare(rows: DataFrame) -> DataFrame:
+def _compare(rows: DataFrame, keep_first: bool) -> DataFrame:
     """(key, from, to): repeats among the stretches (g, key, start, once, low, high, bytes) of each group g.
 
     low and high: the part of a stretch's strings that the group is about, as first and last + 1.
@@ -173,7 +176,8 @@ def _compare(rows: DataFrame) -> DataFrame:
         inside = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.array([r[3] for r in held])[owner]
         earlier, later = suffix_runs(raw, base[owner] + inside)
         out = []
-        hit = np.flatnonzero((earlier | later) & np.array([r[2] for r in held])[owner])
+        once = np.array([r[2] for r in held])[owner]
+        hit = np.flatnonzero(earlier if keep_first else (earlier | later) & once)
         if len(hit):
             cut = np.flatnonzero(np.concatenate(([True], (np.diff(owner[hit]) != 0) | (np.diff(inside[hit]) != 1))))
             for a, b in zip(cut.tolist(), np.append(cut[1:], len(hit)).tolist(), strict=True):
@@ -195,7 +199,7 @@ def _compare(rows: DataFrame) -> DataFrame:
         if held:
             yield work(held)
 
-    return (rows.select("g", "key", "start", "once", "low", "high", "bytes").repartition("g").sortWithinPartitions("g")
+    return (rows.select("g", "key", "start", "once", "low", "high", "bytes").repartition("g").sortWithinPartitions("g", "key", "start")
             .mapInArrow(compare, "key binary, from int, to int"))
 
 
@@ -223,10 +227,10 @@ def _halve(rows: DataFrame, turn: int) -> DataFrame:
                                   "bytes binary")
 
 
-def _contested(rows: DataFrame) -> DataFrame:
+def _contested(rows: DataFrame, keep_first: bool) -> DataFrame:
     """Repeats (key, from, to) among different stretches (h, key, start, once, anchor, low, high, bytes, many) of one minimiser."""
     small = rows.where(f"many <= {GROUP}").withColumn("g", F.col("h").cast("string").cast("binary"))
-    found = [_compare(small)]
+    found = [_compare(small, keep_first)]
     large = rows.where(f"many > {GROUP}").drop("many")
     turn = 0
     while turn < 10 and large.limit(1).count():
@@ -235,11 +239,17 @@ def _contested(rows: DataFrame) -> DataFrame:
         parts = parts.join(sizes, "g")
         if turn == 9:
             # Parts of one offset: what is common is the whole string.
-            found.append(parts.where("once").select("key", (F.col("start") + F.col("low")).alias("from"),
-                                                    (F.col("start") + F.col("high")).alias("to")))
+            strings = parts.select("g", "once", "key", (F.col("start") + F.col("low")).alias("from"),
+                                   (F.col("start") + F.col("high")).alias("to"))
+            if keep_first:
+                first = strings.groupBy("g").agg(F.min(F.struct("key", "from")).alias("first"))
+                strings = strings.join(first, "g").where(F.struct("key", "from") != F.col("first"))
+            else:
+                strings = strings.where("once")
+            found.append(strings.select("key", "from", "to"))
         else:
             parts = materialise(parts, "parts")
-            found.append(_compare(parts.where(f"many <= {GROUP}")))
+            found.append(_compare(parts.where(f"many <= {GROUP}"), keep_first))
             large = parts.where(f"many > {GROUP}").drop("g", "many")
         turn += 1
     out = found[0]
@@ -263,11 +273,12 @@ def _cut(of: DataFrame) -> DataFrame:
     return of.mapInArrow(cut, "h bigint, key binary, start int, once boolean, anchor int, low int, high int, bytes binary, many bigint")
 
 
-def repeats(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(key, copies, ranges) of every distinct text: key is its md5, ranges the starts of repeats, as [from, to)."""
+def repeats(docs: DataFrame, text_col: str = "text", keep_first: bool = False) -> DataFrame:
+    """(key, copies, ranges) of every distinct text: key is its md5, ranges the starts of repeats, as [from, to)
+    (with ``keep_first``: of those that another text or place has before)."""
     source = docs.select(F.coalesce(text_col, F.lit("")).alias("text")).select(F.unhex(F.md5("text")).alias("key"), "text")
     texts = materialise(
-        source.select("key", runs_of("text").alias("r"))
+        source.select("key", runs_of("text", keep_first).alias("r"))
         .groupBy("key").agg(F.count("*").alias("copies"), F.first("r").alias("r")).select("key", "copies", "r.*"), "stretches")
     runs = texts.select("key", F.explode("runs").alias("r")).select("key", "r.*")
     shared = runs.groupBy("h").agg(F.sum("times").alias("n")).where("n > 1").select("h")
@@ -282,9 +293,9 @@ def repeats(docs: DataFrame, text_col: str = "text") -> DataFrame:
         (F.col("times") == 1).alias("once"), "many")).alias("wanted")))
     cut = materialise(_cut(source.groupBy("key").agg(F.first("text").alias("text")).join(wanted, "key")
                            .select("key", "text", "wanted")), "cut")
-    equal = (shared.join(whole.where("texts > 1").select("h", "f"), ["h", "f"])
-             .select("key", F.col("start").alias("from"), (F.col("start") + F.col("n")).alias("to")))
-    found = (equal.unionByName(_contested(cut)).groupBy("key")
+    equal = (shared.join(whole.where("texts > 1").select("h", "f", F.col("one.key").alias("first")), ["h", "f"])
+             .where(F.col("key") != F.col("first") if keep_first else F.lit(True)).select("key", F.col("start").alias("from"), (F.col("start") + F.col("n")).alias("to")))
+    found = (equal.unionByName(_contested(cut, keep_first)).groupBy("key")
              .agg(F.collect_list(F.struct("from", "to")).alias("found")))
     return texts.select("key", "copies", "own").join(found, "key", "left").select(
         "key", "copies", F.concat("own", F.coalesce("found", F.array().cast("array<struct<from:int,to:int>>"))).alias("ranges"))
@@ -294,15 +305,20 @@ RESULT = pa.struct([("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_span
                     ("kept_sha256", pa.string()), ("kept", pa.binary())])
 
 
-def remove_repeats(docs: DataFrame, text_col: str = "text", with_kept: bool = True) -> DataFrame:
-    """``docs`` with n_bytes, n_removed, n_spans, kept_sha256 and, if wanted, ``kept``: the remaining bytes."""
+def remove_repeats(docs: DataFrame, text_col: str = "text", with_kept: bool = True, keep_first: bool = False,
+                   key_col: str = "doc_id") -> DataFrame:
+    """``docs`` with n_bytes, n_removed, n_spans, kept_sha256 and, if wanted, ``kept``: the remaining bytes.
+
+    ``keep_first``: see the module.  Of equal texts it keeps the row with the
+    smallest ``key_col`` (a null one if all are null; all rows with that id).
+    """
     names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
-    found = repeats(docs, text_col)
+    found = repeats(docs, text_col, keep_first)
 
-    def rows(texts: pa.Array, copies: pa.Array, ranges: pa.Array) -> Iterator[dict]:
-        for data, n, pairs in zip(text_bytes(texts).to_pylist(), copies.to_pylist(), ranges.to_pylist(), strict=True):
+    def rows(texts: pa.Array, copied: pa.Array, ranges: pa.Array) -> Iterator[dict]:
+        for data, copy, pairs in zip(text_bytes(texts).to_pylist(), copied.to_pylist(), ranges.to_pylist(), strict=True):
             gone = merged([(p["from"], p["to"] - 1 + LENGTH) for p in pairs or ()])
-            if n > 1 and len(data) >= LENGTH:
+            if copy and len(data) >= LENGTH:
                 gone = [(0, len(data))]
             kept, at = [], 0
             for a, b in gone:
@@ -314,12 +330,17 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", with_kept: bool = Tr
 
     @F.arrow_udf("struct<n_bytes:bigint,n_removed:bigint,n_spans:bigint,kept_sha256:string,kept:binary>")
     def removed(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for texts, copies, ranges in batches:
-            yield pa.array(rows(texts, copies, ranges), RESULT)
+        for texts, copied, ranges in batches:
+            yield pa.array(rows(texts, copied, ranges), RESULT)
 
     base = replace_columns(docs, *names)
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in base.columns]).alias("_row"),
-                        F.coalesce(text_col, F.lit("")).alias("_text"))
+                        F.coalesce(text_col, F.lit("")).alias("_text"),
+                        (F.col(key_col) if keep_first else F.lit(None)).alias("_id"))
     keyed = keyed.withColumn("key", F.unhex(F.md5("_text")))
-    out = keyed.join(found, "key").select("_row", removed("_text", "copies", "ranges").alias("_r"))
+    copied = F.col("copies") > 1
+    if keep_first:
+        found = found.join(keyed.groupBy("key").agg(F.min("_id").alias("_first")), "key")
+        copied = copied & ~F.col("_id").eqNullSafe(F.col("_first"))
+    out = keyed.join(found, "key").withColumn("_copied", copied).select("_row", removed("_text", "_copied", "ranges").alias("_r"))
     return out.select("_row.*", *[f"_r.{n}" for n in names[:4 + with_kept]])

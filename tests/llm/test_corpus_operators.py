@@ -259,6 +259,29 @@ def test_repeats_against_brute_force(spark, group, monkeypatch):
     assert got == brute_repeats(texts)
 
 
+@pytest.mark.parametrize("group", [1024, 3])
+def test_first_copies_stay_on_request(spark, group, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "GROUP", group)
+    texts, n = repeat_texts(), 400
+    order = sorted({(t or "").encode() for t in texts}, key=lambda d: hashlib.md5(d).digest())
+    seen: set[bytes] = set()
+    kept = {}
+    for d in order:
+        gone = np.zeros(len(d), bool)
+        for i in range(len(d) - n + 1):
+            if d[i:i + n] in seen:
+                gone[i:i + n] = True
+            seen.add(d[i:i + n])
+        kept[d] = bytes(np.frombuffer(d, np.uint8)[~gone])
+    out = suffix_dedup.remove_repeats(docs(spark, texts), keep_first=True).collect()
+    first: dict[bytes, int] = {}
+    for i, t in enumerate(texts):
+        first.setdefault((t or "").encode(), i)
+    for r in out:
+        d = (r.text or "").encode()
+        assert bytes(r.kept) == (kept[d] if first[d] == r.doc_id or len(d) < n else b"")
+
+
 def test_suffix_order_finds_earlier_and_later_copies():
     data = np.frombuffer((prose(100, 1) + prose(80, 2) + prose(100, 1)).encode(), np.uint8)
     starts = np.arange(len(data) - 399)
