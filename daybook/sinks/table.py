@@ -12,6 +12,7 @@ first.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -87,8 +88,21 @@ def _observed(rows: DataFrame, obs: Observation | None) -> DataFrame:
     return rows.observe(obs, F.count(F.lit(1)).alias("n")) if obs is not None else rows
 
 
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession):
+    """Dynamic partition overwrite for the insert inside (a catalog insert takes no such write option), then as before."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def _inserted(rows: DataFrame, name: str, mode: str) -> None:
-    rows.write.option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=(mode == "replace"))
+    with _dynamic_overwrite(rows.sparkSession):
+        rows.write.insertInto(name, overwrite=(mode == "replace"))
 
 
 def write_table(agg: DataFrame, name: str, mode: str = "append", location: str | None = None,

@@ -82,6 +82,7 @@ def test_catalog_table_created_once_and_replaced_by_date(spark, workdir):
     assert spark.table(name).count() == 2
     more = spark.createDataFrame([("2023-10-02", "ProjectZ", 5, 5.0)], AGG_SCHEMA)
     write_table(more, name, mode="replace", location=loc)         # replaces only 2023-10-02
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"     # the caller's setting is back
     got = sorted((str(r.Date), r.ProjectId) for r in spark.table(name).collect())
     assert got == [("2023-10-01", "ProjectA"), ("2023-10-02", "ProjectZ")]
     write_table(more, name, mode="append", location=loc)          # append duplicates
