@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.llm import bagminhash, decontaminate, pii, quality, sentencepiece_sampling
-from daybook.llm.common import materialise, read_table
+from daybook.llm.common import materialise, prepare, read_table
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,6 +23,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate class."""
+    prepare(spark)
     return bagminhash.deduplicate(docs)
 
 
@@ -33,6 +34,7 @@ def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with pseudonyms; ``n_chars`` follows the text."""
+    prepare(spark)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("text").alias("_text"))
     new = pii.pseudonymise(rows, "_text")
     columns = {c: F.col(f"_row.`{c}`") for c in docs.columns} | {"text": F.col("_text")}
@@ -44,6 +46,7 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their sampled pieces and, for a check, whether these decode to the text."""
+    prepare(spark)
     out = sentencepiece_sampling.encode_decode(docs)
     return out.withColumn("lossless", F.col("decoded").eqNullSafe(F.col("text"))).drop("decoded")
 

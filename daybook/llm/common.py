@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daybook.session import scratch_path
 
 #: Upper bound on the text bytes one numpy step works on inside a task.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
+#: Rows in one Arrow batch, at most.
+ARROW_ROWS = 1_000
 
 #: A-Z to a-z, every ASCII byte that is no letter or digit to a blank; bytes of
 #: other characters stay.  ``bytes.translate(FOLD).split()`` then gives the runs
@@ -27,7 +30,16 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(FOLD).split()
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Smaller Arrow batches for this session: at the default 10,000 rows, one batch of long texts takes hundreds of
+    MB, several times over, in the JVM and in each Python worker."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > ARROW_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    return spark
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -45,6 +57,26 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def append_in_slices(df: DataFrame, size_of: Callable[[pa.RecordBatch], np.ndarray],
+                     make: Callable[[pa.RecordBatch], list[pa.Array]], fields: str, limit: int) -> DataFrame:
+    """``df`` with the columns ``fields`` (DDL) that ``make`` computes from its rows.
+
+    Batches are worked on, and sent back, in slices of about ``limit`` by
+    ``size_of``, so that neither side ever holds the results of a whole batch.
+    """
+    schema = T.StructType(df.schema.fields + T.StructType.fromDDL(fields).fields)
+    names = schema.names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in chunks(size_of(batch), limit):
+                part = batch.slice(a, b - a)
+                yield pa.RecordBatch.from_arrays([*part.columns, *make(part)], names)
+            pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(run, schema)
+
+
 def text_bytes(column: pa.Array) -> pa.Array:
     """The UTF-8 bytes of a string array; nulls become empty."""
     return column.cast(pa.binary()).fill_null(b"")

@@ -12,20 +12,19 @@ The random numbers are a hash of (seed, row key, place in the text, step), so a
 row's segmentation depends on its key, its text and the parameters alone:
 any run, partitioning or retry gives the same pieces.
 
-Forward tables are built once for each distinct unit of a batch; the walks of
-all its units advance together as array operations.
+Forward tables are built once for each distinct unit of a chunk of texts; the
+walks of all its units advance together as array operations.
 
 Decoding joins the pieces.  A blank is the piece mark U+2581; that character in
 a text is always encoded as bytes, so decode(encode(text)) == text for every
 text.  A null text gives null ids and a null decoded text, an empty one no ids
 and an empty text.  Rows with equal keys and texts get equal ids; a null key
-counts as key 0.  Texts of any length are encoded whole.  Input columns named
+is one key like others.  Texts of any length are encoded whole.  Input columns named
 like an output column are replaced.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -34,11 +33,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import chunks, flat_bytes, mix64, replace_columns, uniform
+from daybook.llm.common import append_in_slices, chunks, flat_bytes, mix64, replace_columns, uniform
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 ALPHA = 1.0
 SEED = 17
+CHUNK = 1 << 19            # text bytes whose units share forward tables: bounds a task's memory
+SLICE = 4 << 20            # text bytes in one piece of results
 RANK_SHIFT = 10.0          # p(rank) is proportional to 1 / (rank + RANK_SHIFT)
 MARK = "▁"
 STEP, PLACE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)  # odd strides of the random streams
@@ -117,9 +118,9 @@ class Vocabulary:
 
     def edges(self, raw: np.ndarray, limit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Lattice edges (from byte, to byte, piece) of concatenated units; limit: the end of each byte's unit."""
-        starts = np.flatnonzero((raw & 0xC0) != 0x80)
+        starts = np.flatnonzero((raw & 0xC0) != 0x80).astype(np.int32)
         width = np.diff(np.append(starts, len(raw)))
-        width_at = np.zeros(len(raw), np.int64)
+        width_at = np.zeros(len(raw), np.int32)
         width_at[starts] = width
         covered = np.zeros(len(raw), bool)
         begin, finish, piece = [], [], []
@@ -143,7 +144,8 @@ class Vocabulary:
         begin.append(byte)
         finish.append(byte + 1)
         piece.append(self.byte_id[raw[byte]])
-        return np.concatenate(begin), np.concatenate(finish), np.concatenate(piece)
+        return (np.concatenate(begin).astype(np.int32), np.concatenate(finish).astype(np.int32),
+                np.concatenate(piece).astype(np.int32))
 
 
 @lru_cache(maxsize=2)
@@ -159,8 +161,9 @@ class Lattices:
     """
 
     def __init__(self, vocab: Vocabulary, raw: np.ndarray, offsets: np.ndarray):
+        offsets = offsets.astype(np.int32)
         size = np.diff(offsets)
-        unit = np.repeat(np.arange(len(size)), size)  # of each byte; unit k has its size + 1 nodes from offsets[k] + k
+        unit = np.repeat(np.arange(len(size), dtype=np.int32), size)  # of each byte; unit k has its size + 1 nodes from offsets[k] + k
         begin, finish, piece = vocab.edges(raw, offsets[1:][unit])
         source, target = begin + unit[begin], finish + unit[begin]
         level = finish - offsets[unit[begin]]
@@ -187,8 +190,8 @@ class Lattices:
             share[a + np.append(first[1:], b - a) - 1] = 1.0
         self.high = np.empty(len(share))
         self.high[by_level] = place + np.minimum(share, 1.0)
-        self.start = offsets[:-1] + np.arange(len(size))
-        self.stop = offsets[1:] + np.arange(len(size))
+        self.start = offsets[:-1] + np.arange(len(size), dtype=np.int32)
+        self.stop = offsets[1:] + np.arange(len(size), dtype=np.int32)
 
     def sample(self, unit: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pieces of each occurrence of a unit, one after the other, and the n+1 offsets; key: its random stream."""
@@ -235,7 +238,7 @@ def encode_batch(texts: pa.Array, keys: np.ndarray, model_file: str, alpha: floa
     stream = mix64(keys.astype(np.uint64) ^ mix64(np.array([seed], np.uint64)))
     parts, lengths = [], []
     texts = texts.cast(pa.binary())
-    for a, b in chunks(np.asarray(pc.binary_length(texts)) + 1):
+    for a, b in chunks(np.asarray(pc.binary_length(texts)) + 1, CHUNK):
         # As SentencePiece does, a text starts with a blank of its own.
         part = texts.slice(a, b - a)
         part = pc.if_else(pc.equal(part, b""), part, pc.binary_join_element_wise(b" ", part, b""))
@@ -277,50 +280,46 @@ def _offsets(lists: pa.Array) -> pa.Array:
     return pa.array(np.concatenate([[0], np.cumsum(length)]).astype(np.int32))
 
 
-def _slices(column: pa.Array) -> Iterator[tuple[int, int]]:
-    return chunks(np.asarray(pc.fill_null(pc.binary_length(column), 0)) + 1, 16 << 20)
+def _keyed(df: DataFrame, key_col: str, text_col: str) -> tuple[DataFrame, int]:
+    """``df`` with the hash of its key as the last column, and the place of its text column."""
+    return df.select("*", F.xxhash64(key_col).alias("_stream")), [c.lower() for c in df.columns].index(text_col.lower())
+
+
+def _encoded(df: DataFrame, key_col: str, text_col: str, model_file: str, alpha: float, seed: int, both: bool) -> DataFrame:
+    base = replace_columns(df, "piece_ids", *["decoded"] * both)
+    rows, at = _keyed(base, key_col, text_col)
+
+    def make(part: pa.RecordBatch) -> list[pa.Array]:
+        texts = part.column(at)
+        ids = encode_batch(texts.fill_null(""), part.column(part.num_columns - 1).to_numpy(), model_file, alpha, seed)
+        ids = pc.if_else(texts.is_valid(), ids, pa.scalar(None, ids.type))
+        return [ids, decode_batch(ids, model_file)] if both else [ids]
+
+    def size_of(batch: pa.RecordBatch) -> np.ndarray:
+        return np.asarray(pc.fill_null(pc.binary_length(batch.column(at)), 0)) + 1
+
+    fields = "piece_ids array<int>" + ", decoded string" * both
+    return append_in_slices(rows, size_of, make, fields, SLICE).drop("_stream")
 
 
 def encode(df: DataFrame, key_col: str = "doc_id", text_col: str = "text", model_file: str = MODEL,
            alpha: float = ALPHA, seed: int = SEED) -> DataFrame:
     """``df`` with ``piece_ids``: a sampled segmentation of the text, the same at every run."""
-
-    @F.arrow_udf("array<int>")
-    def encoded(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for keys, texts in batches:
-            key = keys.fill_null(0).to_numpy()
-            ids = encode_batch(texts.fill_null(""), key, model_file, alpha, seed)
-            yield pc.if_else(texts.is_valid(), ids, pa.scalar(None, ids.type))
-
-    base = replace_columns(df, "piece_ids")
-    return base.select("*", encoded(F.xxhash64(key_col), F.col(text_col)).alias("piece_ids"))
+    return _encoded(df, key_col, text_col, model_file, alpha, seed, False)
 
 
 def decode(df: DataFrame, ids_col: str = "piece_ids", model_file: str = MODEL) -> DataFrame:
     """``df`` with ``decoded``: the text of its piece ids."""
+    base = replace_columns(df, "decoded")
+    at = [c.lower() for c in base.columns].index(ids_col.lower())
 
-    @F.arrow_udf("string")
-    def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for ids in batches:
-            yield decode_batch(ids, model_file)
+    def size_of(batch: pa.RecordBatch) -> np.ndarray:
+        return np.asarray(pc.fill_null(pc.list_value_length(batch.column(at)), 0)) * 4 + 1
 
-    base = replace_columns(df, "decoded")
-    return base.select("*", decoded(F.col(ids_col)).alias("decoded"))
+    return append_in_slices(base, size_of, lambda part: [decode_batch(part.column(at), model_file)], "decoded string", SLICE)
 
 
 def encode_decode(df: DataFrame, key_col: str = "doc_id", text_col: str = "text", model_file: str = MODEL,
                   alpha: float = ALPHA, seed: int = SEED) -> DataFrame:
     """``df`` with ``piece_ids`` and ``decoded`` in one pass through the Python workers."""
-
-    @F.arrow_udf("struct<piece_ids:array<int>,decoded:string>")
-    def both(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for keys, texts in batches:
-            key = keys.fill_null(0).to_numpy()
-            ids = encode_batch(texts.fill_null(""), key, model_file, alpha, seed)
-            ids = pc.if_else(texts.is_valid(), ids, pa.scalar(None, ids.type))
-            yield pa.StructArray.from_arrays([ids, decode_batch(ids, model_file)], ["piece_ids", "decoded"])
-
-    base = replace_columns(df, "piece_ids", "decoded")
-    keep = [F.col(f"`{c}`") for c in base.columns]
-    return (base.select("*", both(F.xxhash64(key_col), F.col(text_col)).alias("_both"))
-            .select(*keep, "_both.piece_ids", "_both.decoded"))
+    return _encoded(df, key_col, text_col, model_file, alpha, seed, True)
