@@ -47,6 +47,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 ROWS, BANDS = 5, 26
 SLOTS = ROWS * BANDS
+CHUNK = 1 << 20           # text bytes whose signatures are made together
 LEADERS = 2               # rounds with a leader in each bucket
 SALT_ROWS = 2_000         # members compared with one leader in one task, about
 
@@ -142,7 +143,7 @@ def _points(out, who, seed, most, low: int, levels: int, limit) -> None:
 def band_hashes(column: pa.Array) -> np.ndarray:
     """Bucket numbers (texts x BANDS, int64) and which texts have shingles."""
     parts = []
-    for a, b in chunks(np.asarray(pc.binary_length(column)) + 1):
+    for a, b in chunks(np.asarray(pc.binary_length(column)) + 1, CHUNK):
         row, shingle = shingles(column.slice(a, b - a))
         sig = signatures(*bags(row, shingle), b - a)
         hashed = np.zeros((b - a, BANDS), np.uint64)
@@ -297,17 +298,6 @@ def classes(docs: DataFrame, text_col: str = "text", similarity: float = SIMILAR
             .select("key", "node", F.coalesce("comp", "node").alias("comp")))
 
 
-def _classed(docs: DataFrame, key_col: str, text_col: str, similarity: float) -> DataFrame:
-    """_row (the whole row), id, key, comp, class_id, class_size and best: what the row to keep has as id and key."""
-    comps = materialise(classes(docs, text_col, similarity), "classes").select("key", "comp")
-    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
-                        text_key(text_col).alias("key"), F.col(key_col).alias("id"))
-    stats = (docs.select(text_key(text_col).alias("key"), F.col(key_col).alias("id")).join(comps, "key")
-             .groupBy("comp").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size"),
-                                  F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("best")))
-    return keyed.join(comps, "key", "left").join(stats, "comp", "left")
-
-
 def near_duplicates(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text",
                     similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` with class_id and class_size.
@@ -315,11 +305,16 @@ def near_duplicates(docs: DataFrame, key_col: str = "doc_id", text_col: str = "t
     ``class_id`` is the smallest id in the class (null if it has none); a row
     with a null text is a class of its own.
     """
-    keep = [F.col(f"_row.`{c}`") for c in replace_columns(docs, "class_id", "class_size").columns]
-    alone = F.col("comp").isNull()
-    return _classed(docs, key_col, text_col, similarity).select(
-        *keep, F.when(alone, F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"))
+    comps = materialise(classes(docs, text_col, similarity), "classes").select("key", "comp")
+    stats = (docs.select(text_key(text_col).alias("key"), F.col(key_col).alias("id")).join(comps, "key").groupBy("comp")
+             .agg(F.min("id").alias("class_id"), F.count("*").cast("long").alias("class_size")))
+    found = comps.join(stats, "comp").select("key", "class_id", "class_size")
+    base = replace_columns(docs, "class_id", "class_size")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in base.columns]).alias("_row"), text_key(text_col).alias("key"),
+                       F.col(key_col).alias("id")).join(found, "key", "left")
+    alone = F.col("class_size").isNull()
+    return rows.select("_row.*", F.when(alone, F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
+                       F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"))
 
 
 def deduplicate(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text",
@@ -327,11 +322,20 @@ def deduplicate(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text"
     """One row of each class, in the columns of ``docs``: the first by id (nulls last), then by text hash.
 
     Of repeated rows with that id and text one stays.  Rows with a null text
-    are classes of their own and all stay.
+    are classes of their own and all stay.  The row to keep is found on ids and
+    hashes alone; texts move once, to meet it.
     """
-    rows = _classed(docs, key_col, text_col, similarity)
-    first = rows.where(F.col("best.id").eqNullSafe(F.col("id")) & (F.col("best.key") == F.col("key")))
-    plain = [F.col(f"_row.`{f.name}`") for f in docs.schema.fields if f.dataType.typeName() not in ("map", "variant")]
-    again = F.row_number().over(Window.partitionBy("key", "id").orderBy(F.xxhash64(*plain)))
-    one = first.withColumn("_n", again).where("_n = 1").select("_row.*")
-    return one.unionByName(rows.where("comp IS NULL").select("_row.*"))
+    comps = materialise(classes(docs, text_col, similarity), "classes").select("key", "comp")
+    other = [F.col(f"`{f.name}`") for f in docs.schema.fields
+             if f.name != text_col and f.dataType.typeName() not in ("map", "variant")]
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), text_key(text_col).alias("key"),
+                        F.col(key_col).alias("id"), F.xxhash64(*other, F.lit(0)).alias("mark"))
+    best = (keyed.select("key", "id", "mark").join(comps, "key").groupBy("comp", "key", "id", "mark").agg(F.count("*").alias("n"))
+            .groupBy("comp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key", "mark", "n")).alias("b"))
+            .select(F.col("b.key").alias("k"), F.col("b.id").alias("i"), F.col("b.mark").alias("m"), "b.n"))
+    # On key and id, not on the key alone: a text that fills a third of the table is dealt by its rows' ids.
+    kept = keyed.join(best, (F.col("key") == F.col("k")) & F.col("id").eqNullSafe(F.col("i")) & (F.col("mark") == F.col("m")))
+    kept = materialise(kept.select("_row", "key", "id", "mark", "n"), "kept")
+    again = F.row_number().over(Window.partitionBy("key", "id", "mark").orderBy("n"))
+    one = kept.where("n > 1").withColumn("_n", again).where("_n = 1").select("_row.*")
+    return kept.where("n = 1").select("_row.*").unionByName(one).unionByName(docs.where(F.col(text_col).isNull()))
