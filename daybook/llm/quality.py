@@ -37,11 +37,11 @@ TERM_BITS = 11
 TERMS = 1 << TERM_BITS
 SHAPES = 2 * 4 * 5
 DIMS = 64
-SAMPLE = 6_000           # labelled documents used, at most
+SAMPLE = 4_000           # labelled documents used, at most
 K = 15
 SHARPNESS = 4.0          # votes weigh similarity to this power
 EMPTY_SCORE = 0.0
-BLOCK = 256              # documents in one block of cosine products
+BLOCK = 128              # documents in one block of cosine products
 
 
 def _classes() -> tuple[np.ndarray, np.ndarray]:
@@ -116,6 +116,7 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
             for counts, _ in term_counts(text_bytes(batch.column(0))):
                 total[:TERMS] += (counts > 0).sum(axis=0)
                 total[TERMS] += len(counts)
+            pa.default_memory_pool().release_unused()
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(TERMS + 1)), pa.array(total)], ["term", "n"])
 
     rows = docs.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
@@ -177,10 +178,18 @@ def fit(docs: DataFrame, labels: DataFrame, eligible: Callable[[Column], Column]
     y = rows.column("label").to_numpy().astype(np.int64)
     if not len(y):
         return QualityModel(idf, np.zeros((TERMS + SHAPES, dims), np.float32), np.zeros((0, dims), np.float32), y, k)
-    x = np.frombuffer(b"".join(rows.column("x").to_pylist()), np.float16).reshape(len(y), -1).astype(np.float32)
-    _, basis = np.linalg.eigh(x.T @ x)
+    # Batch by batch, so that the driver holds the half floats and one Gram matrix, not the whole in single floats.
+    parts = [np.frombuffer(b"".join(c.to_pylist()), np.float16).reshape(len(c), -1) for c in rows.column("x").chunks if len(c)]
+    del rows
+    gram = np.zeros((TERMS + SHAPES, TERMS + SHAPES), np.float32)
+    for part in parts:
+        for i in range(0, len(part), 512):
+            x = part[i:i + 512].astype(np.float32)
+            gram += x.T @ x
+    _, basis = np.linalg.eigh(gram)
     directions = np.ascontiguousarray(basis[:, ::-1][:, :dims]).astype(np.float32)
-    return QualityModel(idf, directions, _unit(x @ directions), y, k)
+    vectors = np.concatenate([part[i:i + 512].astype(np.float32) @ directions for part in parts for i in range(0, len(part), 512)])
+    return QualityModel(idf, directions, _unit(vectors), y, k)
 
 
 def score(docs: DataFrame, model: QualityModel, text_col: str = "text") -> DataFrame:
@@ -193,6 +202,7 @@ def score(docs: DataFrame, model: QualityModel, text_col: str = "text") -> DataF
         for column in batches:
             parts = [vote(_unit(_vectors(c, m.idf) @ m.directions), m) for c in term_counts(text_bytes(column))]
             yield pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
+            pa.default_memory_pool().release_unused()
 
     base = replace_columns(docs, "score")
     return base.select("*", scored(F.col(text_col)).alias("score"))
