@@ -9,8 +9,10 @@ nearest lists.  Within a list, rotated vectors are read in blocks of columns:
 from the partial distance over d of D dimensions the whole one is estimated,
 and a candidate goes as soon as the estimate exceeds the query's current k-th
 distance by the factor 1 + EPS / sqrt(d), a test that errs with a probability
-that EPS bounds.  Survivors are scored in double precision on the original
-vectors.
+that EPS bounds.  The first threshold is the query's k-th best score among
+``SEEDS`` of the sampled rows, a bound that the whole table can only improve;
+these rows count as found.  Survivors are scored in double precision on the
+original vectors.
 
 Vectors that are null, zero, hold null or non-finite components, or have
 another length than most take no part, neither as query nor as candidate.
@@ -28,6 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -36,12 +39,15 @@ from daybook.llm.common import materialise
 
 K = 20
 SAMPLE = 16_384          # rows the index is fitted on, at most
+SEEDS = 4_096            # of these, rows that give the first thresholds
 LIST_ROWS = 1_000        # rows a list has on average, up to MAX_LISTS lists
 MAX_LISTS = 256
 PROBED = 0.8             # share of the lists that a query probes
 EPS = 2.1
 COLUMNS = 16             # columns of a block
+DENSE = 0.05             # share of the pairs alive above which a block is taken for all of them
 BLOCK = 4_096            # candidates in one block of a list
+PORTION = 1_024          # candidates between two looks at a query's threshold
 QUERY_BLOCK = 512        # queries in one block of a list
 SEED = 7
 
@@ -52,6 +58,8 @@ class Index:
     longest: float            # M
     rotation: np.ndarray      # (dims + 1) x (dims + 1), orthogonal
     centres: np.ndarray       # lists x (dims + 1), rotated
+    seeds: np.ndarray         # some rows, which give a query its first threshold
+    seed_ids: np.ndarray
 
     def rotate(self, x: np.ndarray, query: bool) -> np.ndarray:
         rest = np.zeros(len(x)) if query else np.sqrt(np.maximum(self.longest**2 - (x**2).sum(axis=1), 0.0))
@@ -62,6 +70,22 @@ class Index:
         d = (self.centres**2).sum(axis=1) - 2 * rotated @ self.centres.T
         return np.argsort(d, axis=1, kind="stable")[:, :n]
 
+    def first(self, query: np.ndarray, k: int) -> tuple[list[int], np.ndarray]:
+        """Ids and scores of a query's k best seeds."""
+        best = np.argsort(-(self.seeds @ query), kind="stable")[:k]
+        return self.seed_ids[best].tolist(), np.array([np.dot(self.seeds[i], query) for i in best])
+
+    def bound(self, queries: np.ndarray, k: int) -> np.ndarray:
+        """Each query's k-th best score among the seeds (-inf with fewer seeds)."""
+        if len(self.seeds) < k:
+            return np.full(len(queries), -np.inf)
+        return -np.partition(-queries @ self.seeds.T, k - 1, axis=1)[:, k - 1]
+
+    def limit(self, queries: np.ndarray, score: np.ndarray) -> np.ndarray:
+        """Squared distance of a score, with room for rounding."""
+        d = (queries**2).sum(axis=1) + self.longest**2 - 2 * score
+        return np.maximum(d, 0) * (1 + 1e-9) + 1e-9 * self.longest**2
+
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """(id, x): rows whose vector can take part, x in doubles."""
@@ -79,10 +103,12 @@ def fit(rows: DataFrame, seed: int = SEED) -> Index | None:
     if not facts[1]:
         return None
     # Bounded: SAMPLE rows.
-    sample = np.array([r.x for r in rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()])
+    picked = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()
+    sample = np.array([r.x for r in picked])
     dims, rng = sample.shape[1], np.random.default_rng(seed)
     rotation, _ = np.linalg.qr(rng.standard_normal((dims + 1, dims + 1)))
-    index = Index(dims, float(np.sqrt(facts[0])), rotation, np.zeros((0, dims + 1)))
+    index = Index(dims, float(np.sqrt(facts[0])), rotation, np.zeros((0, dims + 1)),
+                  sample[:SEEDS], np.array([r.id for r in picked[:SEEDS]]))
     points = index.rotate(sample, False)
     lists = int(np.clip(facts[1] // LIST_ROWS, 1, min(MAX_LISTS, len(np.unique(points, axis=0)))))
     index.centres = points[rng.permutation(len(points))[:lists]].copy()
@@ -95,53 +121,64 @@ def fit(rows: DataFrame, seed: int = SEED) -> Index | None:
     return index
 
 
-def _placed(rows: DataFrame, index: Index, probes: int, query: bool) -> DataFrame:
-    """Rows (id, ids, x, list) with one row for each of the ``probes`` nearest lists."""
+def _placed(rows: DataFrame, index: Broadcast, probes: int, k: int) -> DataFrame:
+    """Rows (id, ids, x) with ``list``: one for each of the ``probes`` nearest lists of a query, with ``least``, its
+    first threshold; for 0 probes the one list of a candidate."""
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            lists = index.near(index.rotate(np.array(batch.x.tolist()), query), probes) if len(batch) else []
-            yield batch.assign(lists=list(lists))
+            x = np.array(batch.x.tolist()).reshape(len(batch), -1)
+            lists = [index.value.near(index.value.rotate(x[i:i + 1024], probes > 0), max(probes, 1))
+                     for i in range(0, len(x), 1024)]
+            least = [index.value.bound(x[i:i + 1024], k) if probes else np.zeros(len(x[i:i + 1024])) for i in range(0, len(x), 1024)]
+            yield batch.assign(lists=[r for part in lists for r in part], least=np.concatenate(least) if least else [])
 
-    schema = "id long, ids array<long>, x array<double>, lists array<int>"
+    schema = "id long, ids array<long>, x array<double>, lists array<int>, least double"
     placed = rows.select("id", "ids", "x").mapInPandas(place, schema)
-    return placed.select("id", "ids", "x", F.explode("lists").alias("list"))
+    return placed.select("id", "ids", "x", "least", F.explode("lists").alias("list"))
 
 
-def scan_block(q: np.ndarray, x: np.ndarray, rq: np.ndarray, rx: np.ndarray, k: int) -> list[np.ndarray]:
-    """Candidates (rows of ``x``) that survive for each query: at least its k nearest by distance, up to the test.
+def scan_block(rq: np.ndarray, rx: np.ndarray, limit: np.ndarray, k: int) -> list[np.ndarray]:
+    """Candidates (rows of ``rx``, rotated) that survive for each of the rotated queries ``rq``.
 
-    ``rq`` and ``rx`` are the rotated vectors.  The first rows are scanned whole and set
-    each query's threshold; the others follow in portions, after each of which
-    the threshold is lowered.
+    ``limit`` holds each query's squared distance beyond which a candidate is of
+    no use.  Candidates come in portions, after each of which a query's limit
+    falls to its k-th distance so far.
     """
-    dims = rx.shape[1]
-    first = min(len(rx), max(2 * k, 128))
-    dist = ((rq**2).sum(axis=1)[:, None] - 2 * rq @ rx[:first].T + (rx[:first]**2).sum(axis=1)).clip(min=0)
-    kept = [np.arange(first) for _ in rq]
-    held = [d for d in dist]
-    limit = np.array([np.partition(d, k - 1)[k - 1] if len(d) >= k else np.inf for d in dist])
-    for at in range(first, len(rx), 1024):
-        part = rx[at:at + 1024]
-        who, cand = np.divmod(np.arange(len(rq) * len(part)), len(part))
-        total = np.zeros(len(who))
-        for c in range(0, dims, COLUMNS):
-            a, b = rq[:, c:c + COLUMNS], part[:, c:c + COLUMNS]
-            if c == 0:
-                total = ((a**2).sum(axis=1)[:, None] - 2 * a @ b.T + (b**2).sum(axis=1)).ravel()
-            else:
-                total = total + ((a[who] - b[cand])**2).sum(axis=1)
-            d = min(c + COLUMNS, dims)
-            bound = limit[who] * (1 + (EPS / np.sqrt(d) if d < dims else 1e-9))**2
-            alive = total * (dims / d) <= bound
+    dims, limit = rx.shape[1], limit.copy()
+    kept = [np.zeros(0, np.int64) for _ in rq]
+    held = [np.zeros(0) for _ in rq]
+
+    def share(d: int) -> np.ndarray:
+        """The partial distance over d dimensions up to which a candidate stays."""
+        return limit * min(1.0, (1 + EPS / np.sqrt(d))**2 * d / dims)
+
+    def block(part: np.ndarray, c: int) -> np.ndarray:
+        """What columns c ... add to the distance of every query and candidate."""
+        a, b = rq[:, c:c + COLUMNS], part[:, c:c + COLUMNS]
+        return (a**2).sum(axis=1)[:, None] - 2 * a @ b.T + (b**2).sum(axis=1)
+
+    for at in range(0, len(rx), PORTION):
+        part = rx[at:at + PORTION]
+        # While many pairs are alive all of them go through a block at once; then only those left.
+        near, d = block(part, 0), min(COLUMNS, dims)
+        while d < dims and (near <= share(d)[:, None]).mean() > DENSE:
+            near += block(part, d)
+            d = min(d + COLUMNS, dims)
+        who, cand = np.nonzero(near <= share(d)[:, None])
+        total = near[who, cand]
+        while d < dims:
+            total = total + ((rq[who, d:d + COLUMNS] - part[cand, d:d + COLUMNS])**2).sum(axis=1)
+            d = min(d + COLUMNS, dims)
+            alive = total <= share(d)[who]
             who, cand, total = who[alive], cand[alive], total[alive]
+        cut = np.searchsorted(who, np.arange(len(rq) + 1))
         for i in np.unique(who).tolist():
-            mine = who == i
-            kept[i] = np.concatenate([kept[i], cand[mine] + at])
-            held[i] = np.concatenate([held[i], total[mine]])
-            if len(held[i]) >= k:
-                limit[i] = np.partition(held[i], k - 1)[k - 1]
-                close = held[i] <= limit[i] * (1 + 1e-9) + 1e-12
+            kept[i] = np.concatenate([kept[i], cand[cut[i]:cut[i + 1]] + at])
+            held[i] = np.concatenate([held[i], total[cut[i]:cut[i + 1]]])
+            if len(held[i]) > k:
+                limit[i] = min(limit[i], np.partition(held[i], k - 1)[k - 1] * (1 + 1e-9) + 1e-12)
+                close = held[i] <= limit[i]
                 kept[i], held[i] = kept[i][close], held[i][close]
     return kept
 
@@ -157,13 +194,14 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_
         return vectors.sparkSession.createDataFrame([], schema)
     asked = asked.where(F.size("x") == index.dims)
     lists = len(index.centres)
+    shared = vectors.sparkSession.sparkContext.broadcast(index)  # SAMPLE rows and at most MAX_LISTS centres
     # Equal vectors: the k + 1 smallest ids; the rank limit is applied before the shuffle as well.
     nth = F.row_number().over(Window.partitionBy("x").orderBy("id"))
     distinct = (rows.distinct().withColumn("n", nth).where(F.col("n") <= k + 1).groupBy("x")
                 .agg(F.sort_array(F.collect_list("id")).alias("ids")).withColumn("id", F.col("ids")[0]))
-    base = materialise(_placed(distinct, index, 1, False), "ann-base")
+    base = materialise(_placed(distinct, shared, 0, k + 1), "ann-base")
     queries = materialise(asked.groupBy("x").agg(F.min("query_id").alias("id")).withColumn("ids", F.array("id")), "ann-queries")
-    probes = _placed(queries, index, max(1, int(np.ceil(probed * lists))), True)
+    probes = _placed(queries, shared, max(1, int(np.ceil(probed * lists))), k + 1)
 
     # Both sides of a list in blocks; every block of candidates meets every block of queries.
     def blocks(side: DataFrame, size: int) -> DataFrame:
@@ -177,7 +215,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_
                 .join(F.broadcast(other.withColumnRenamed("blocks", "other")), "list")
                 .withColumn(mine, F.pmod(F.xxhash64("id"), F.col("own")).cast("int"))
                 .withColumn(theirs, F.explode(F.sequence(F.lit(0), F.col("other") - 1)))
-                .select("list", "base_block", "query_block", "id", "ids", "x"))
+                .select("list", "base_block", "query_block", "id", "ids", "x", "least"))
 
     left = dealt(base, n_base, n_query, "base_block", "query_block")
     right = dealt(probes, n_query, n_base, "query_block", "base_block")
@@ -185,10 +223,14 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_
     def scan(base_rows: pd.DataFrame, query_rows: pd.DataFrame) -> pd.DataFrame:
         if not len(base_rows) or not len(query_rows):
             return pd.DataFrame({"probe": [], "ids": [], "score": []})
+        index = shared.value
         x, q = np.array(base_rows.x.tolist()), np.array(query_rows.x.tolist())
-        survivors = scan_block(q, x, index.rotate(q, True), index.rotate(x, False), k + 1)
+        limit = index.limit(q, query_rows.least.to_numpy())
+        survivors = scan_block(index.rotate(q, True), index.rotate(x, False), limit, k + 1)
         probe, ids, score = [], [], []
         for i, near in enumerate(survivors):
+            if not len(near):
+                continue
             exact = np.array([np.dot(x[j], q[i]) for j in near])
             best = np.argsort(-exact, kind="stable")
             best = best[exact[best] >= exact[best[min(k, len(best) - 1)]]]  # ties with the last one stay
@@ -200,8 +242,17 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_
     keys = ["list", "base_block", "query_block"]
     found = (left.groupBy(*keys).cogroup(right.groupBy(*keys))
              .applyInPandas(scan, "probe long, ids array<long>, score double"))
+
+    def seeded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            best = [shared.value.first(np.asarray(x), k + 1) for x in batch.x]
+            yield pd.DataFrame({"probe": np.repeat(batch.id.to_numpy(), [len(ids) for ids, _ in best]),
+                                "ids": [[i] for ids, _ in best for i in ids],
+                                "score": [s for _, scores in best for s in scores]})
+
+    found = found.unionByName(queries.select("id", "x").mapInPandas(seeded, "probe long, ids array<long>, score double"))
     order = Window.partitionBy("probe").orderBy(F.desc("score"), "vec")
-    nearest = (found.select("probe", F.explode("ids").alias("vec"), "score")
+    nearest = (found.select("probe", F.explode("ids").alias("vec"), "score").groupBy("probe", "vec").agg(F.max("score").alias("score"))
                .withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1)
                .groupBy("probe").agg(F.sort_array(F.collect_list(F.struct("n", "vec", "score"))).alias("near")))
     # Back to every query row: its representative's nearest without itself.
