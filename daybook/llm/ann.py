@@ -14,6 +14,10 @@ that EPS bounds.  The first threshold is the query's k-th best score among
 these rows count as found.  Survivors are scored in double precision on the
 original vectors.
 
+Repeated rows are one row from the start, for index, thresholds and scan alike.
+An id with several vectors is one neighbour, at its best score, and a threshold
+always rests on so many different ids.
+
 Vectors that are null, zero, hold null or non-finite components, or have
 another length than most take no part, neither as query nor as candidate.
 Equal vectors are one candidate with the k + 1 smallest ids, which is all of
@@ -58,7 +62,7 @@ class Index:
     longest: float            # M
     rotation: np.ndarray      # (dims + 1) x (dims + 1), orthogonal
     centres: np.ndarray       # lists x (dims + 1), rotated
-    seeds: np.ndarray         # some rows, which give a query its first threshold
+    seeds: np.ndarray         # some rows of different ids, which give a query its first threshold
     seed_ids: np.ndarray
 
     def rotate(self, x: np.ndarray, query: bool) -> np.ndarray:
@@ -98,17 +102,19 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 
 def fit(rows: DataFrame, seed: int = SEED) -> Index | None:
-    """The index, from at most SAMPLE rows chosen by hash of the id; None for an empty table."""
+    """The index of distinct rows, from at most SAMPLE of them chosen by hash; None for an empty table."""
     facts = rows.agg(F.max(F.aggregate("x", F.lit(0.0), lambda a, v: a + v * v)), F.count("*")).first()
     if not facts[1]:
         return None
     # Bounded: SAMPLE rows.
-    picked = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()
+    picked = rows.orderBy(F.xxhash64("id", "x"), "id", "x").limit(SAMPLE).collect()
     sample = np.array([r.x for r in picked])
+    ids = np.array([r.id for r in picked])
+    seeds = np.sort(np.unique(ids, return_index=True)[1])[:SEEDS]  # one row of an id
     dims, rng = sample.shape[1], np.random.default_rng(seed)
     rotation, _ = np.linalg.qr(rng.standard_normal((dims + 1, dims + 1)))
     index = Index(dims, float(np.sqrt(facts[0])), rotation, np.zeros((0, dims + 1)),
-                  sample[:SEEDS], np.array([r.id for r in picked[:SEEDS]]))
+                  sample[seeds], ids[seeds])
     points = index.rotate(sample, False)
     lists = int(np.clip(facts[1] // LIST_ROWS, 1, min(MAX_LISTS, len(np.unique(points, axis=0)))))
     index.centres = points[rng.permutation(len(points))[:lists]].copy()
@@ -138,12 +144,20 @@ def _placed(rows: DataFrame, index: Broadcast, probes: int, k: int) -> DataFrame
     return placed.select("id", "ids", "x", "least", F.explode("lists").alias("list"))
 
 
-def scan_block(rq: np.ndarray, rx: np.ndarray, limit: np.ndarray, k: int) -> list[np.ndarray]:
+def kth(value: np.ndarray, k: int, label: np.ndarray | None = None) -> float:
+    """The k-th smallest value, each label counted once; infinite if there are fewer."""
+    if label is not None:
+        order = np.argsort(value, kind="stable")
+        value = value[order[np.unique(label[order], return_index=True)[1]]]
+    return np.partition(value, k - 1)[k - 1] if len(value) >= k else np.inf
+
+
+def scan_block(rq: np.ndarray, rx: np.ndarray, limit: np.ndarray, k: int, label: np.ndarray | None = None) -> list[np.ndarray]:
     """Candidates (rows of ``rx``, rotated) that survive for each of the rotated queries ``rq``.
 
     ``limit`` holds each query's squared distance beyond which a candidate is of
     no use.  Candidates come in portions, after each of which a query's limit
-    falls to its k-th distance so far.
+    falls to its k-th distance so far; candidates of one ``label`` count once.
     """
     dims, limit = rx.shape[1], limit.copy()
     kept = [np.zeros(0, np.int64) for _ in rq]
@@ -177,7 +191,7 @@ def scan_block(rq: np.ndarray, rx: np.ndarray, limit: np.ndarray, k: int) -> lis
             kept[i] = np.concatenate([kept[i], cand[cut[i]:cut[i + 1]] + at])
             held[i] = np.concatenate([held[i], total[cut[i]:cut[i + 1]]])
             if len(held[i]) > k:
-                limit[i] = min(limit[i], np.partition(held[i], k - 1)[k - 1] * (1 + 1e-9) + 1e-12)
+                limit[i] = min(limit[i], kth(held[i], k, None if label is None else label[kept[i]]) * (1 + 1e-9) + 1e-12)
                 close = held[i] <= limit[i]
                 kept[i], held[i] = kept[i][close], held[i][close]
     return kept
@@ -186,7 +200,7 @@ def scan_block(rq: np.ndarray, rx: np.ndarray, limit: np.ndarray, k: int) -> lis
 def search(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_id", vector_col: str = "embedding",
            probed: float = PROBED) -> DataFrame:
     """(query_id, rank, id_col, score): the k nearest found of every row for which ``is_query`` holds, but itself."""
-    rows = usable(vectors.where(F.col(id_col).isNotNull()), id_col, vector_col)
+    rows = materialise(usable(vectors.where(F.col(id_col).isNotNull()), id_col, vector_col).distinct(), "ann-rows")
     asked = usable(vectors.where(is_query), id_col, vector_col).select(F.col("id").alias("query_id"), "x").distinct()
     schema = f"query_id long, rank int, {id_col} long, score double"
     index = fit(rows)
@@ -197,7 +211,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_
     shared = vectors.sparkSession.sparkContext.broadcast(index)  # SAMPLE rows and at most MAX_LISTS centres
     # Equal vectors: the k + 1 smallest ids; the rank limit is applied before the shuffle as well.
     nth = F.row_number().over(Window.partitionBy("x").orderBy("id"))
-    distinct = (rows.distinct().withColumn("n", nth).where(F.col("n") <= k + 1).groupBy("x")
+    distinct = (rows.withColumn("n", nth).where(F.col("n") <= k + 1).groupBy("x")
                 .agg(F.sort_array(F.collect_list("id")).alias("ids")).withColumn("id", F.col("ids")[0]))
     base = materialise(_placed(distinct, shared, 0, k + 1), "ann-base")
     queries = materialise(asked.groupBy("x").agg(F.min("query_id").alias("id")).withColumn("ids", F.array("id")), "ann-queries")
@@ -226,14 +240,17 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_
         index = shared.value
         x, q = np.array(base_rows.x.tolist()), np.array(query_rows.x.tolist())
         limit = index.limit(q, query_rows.least.to_numpy())
-        survivors = scan_block(index.rotate(q, True), index.rotate(x, False), limit, k + 1)
+        # The smallest id of equal vectors: it repeats only where an id has several vectors.
+        label = base_rows.id.to_numpy()
+        label = label if len(np.unique(label)) < len(label) else None
+        survivors = scan_block(index.rotate(q, True), index.rotate(x, False), limit, k + 1, label)
         probe, ids, score = [], [], []
         for i, near in enumerate(survivors):
             if not len(near):
                 continue
             exact = np.array([np.dot(x[j], q[i]) for j in near])
             best = np.argsort(-exact, kind="stable")
-            best = best[exact[best] >= exact[best[min(k, len(best) - 1)]]]  # ties with the last one stay
+            best = best[exact[best] >= -kth(-exact, k + 1, None if label is None else label[near])]  # ties with the last one stay
             probe.extend([query_rows.id.iloc[i]] * len(best))
             ids.extend(base_rows.ids.iloc[near[j]] for j in best)
             score.extend(exact[best])

@@ -75,6 +75,27 @@ def test_equal_vectors_ties_and_unusable_rows(spark):
     assert ann.search(vectors(spark, [(0, None, 0)]), F.col("vec_id") == 0).collect() == []
 
 
+def test_repeated_rows_and_ids_count_once(spark):
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((400, 12)).astype(np.float32)
+    ids = np.arange(400)
+    rows = [(int(i), v.tolist(), 0) for i, v in zip(ids, x, strict=True)]
+    want = {int(i): nearest(x.astype(float), ids, i, 20) for i in range(0, 400, 50)}
+
+    def found(rows):
+        got: dict[int, list] = {}
+        for r in sorted(ann.search(vectors(spark, rows), F.col("vec_id") % 50 == 0, probed=1.0).collect(), key=lambda r: r.rank):
+            got.setdefault(r.query_id, []).append(r.vec_id)
+        return got
+
+    assert found(rows * 2) == {q: [v for v, _ in near] for q, near in want.items()}
+    assert found(rows + rows[7:8] * 5000) == {q: [v for v, _ in near] for q, near in want.items()}
+    # An id with sixty vectors next to a query's best direction is one neighbour, not sixty.
+    many = [(7, (x[0] * (3 + k / 100)).tolist(), 0) for k in range(60)]
+    got = found(rows + many)
+    assert got[0] == [7, *[v for v, _ in want[0] if v != 7]][:20]
+
+
 # --- near duplicates ---------------------------------------------------------------------------
 
 def bag(text):
