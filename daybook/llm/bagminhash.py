@@ -18,7 +18,7 @@ components get further leaders, and at last pairs between different components.
 Members of one component are never paired, and a text is only paired at last if
 it can have a partner: of texts with weights n and m, of which c and d lie on
 shingles that any other text in question has, the overlap is at most min(c, d),
-so 0.8 takes 9 min(c, d) >= 4 (n + m).  Heavily edited copies of a text, similar
+so 0.8 takes 9 min(c, d) >= 4 (n + m), tested with room for rounding.  Heavily edited copies of a text, similar
 to nothing, drop out by this exact bound before they meet their thousand kin;
 a group of a million copies costs about a million comparisons.
 
@@ -50,6 +50,7 @@ SLOTS = ROWS * BANDS
 CHUNK = 1 << 20           # text bytes whose signatures are made together
 LEADERS = 2               # rounds with a leader in each bucket
 SALT_ROWS = 2_000         # members compared with one leader in one task, about
+ROUNDING = 1e-9           # relative room for rounding in bounds on overlaps; the exact check follows
 
 STRIDE = np.uint64(0x9E3779B97F4A7C15)
 FACTORS = mix64(np.arange(1, SHINGLE + 1, dtype=np.uint64)) | np.uint64(1)
@@ -244,8 +245,9 @@ def _weights(nodes: DataFrame, texts: DataFrame) -> DataFrame:
 
 def _possible(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """Pairs (a, b) of nodes in one bucket and different components that the bound on their overlap allows."""
-    need = similarity / (1 + similarity)
-    known = members.join(_weights(members.select("node").distinct(), texts), "node").where(F.col("c") >= similarity * F.col("n"))
+    least_share = similarity * (1 - ROUNDING)
+    need = similarity / (1 + similarity) * (1 - ROUNDING)
+    known = members.join(_weights(members.select("node").distinct(), texts), "node").where(F.col("c") >= least_share * F.col("n"))
     least = known.groupBy("band").agg(F.min("n").alias("least"))
     known = known.join(least, "band").where(F.col("c") >= need * (F.col("n") + F.col("least"))).drop("least")
     known = materialise(_several(known), "possible")

@@ -172,6 +172,18 @@ def test_a_large_group_makes_few_pairs(spark, monkeypatch):
     assert sum(pairs) < 601 * bagminhash.BANDS
 
 
+def test_the_overlap_bound_keeps_exact_ties(spark):
+    """28 shingles inside 35: similarity 0.8, and the overlap equals the bound, 4/9 of 63."""
+    words = prose(39, 21).split()
+    texts = [(1, " ".join(words[:32])), (2, " ".join(words)), (3, prose(50, 22))]
+    assert similarity(texts[0][1], texts[1][1]) == 0.8
+    frame = spark.createDataFrame(texts, "node long, text string")
+    members = spark.createDataFrame([(9, n, n) for n, _ in texts], "band long, node long, comp long")
+    pairs = bagminhash._possible(members, frame, 0.8).select("a", "b")
+    assert [tuple(r) for r in pairs.collect()] == [(1, 2)]
+    assert [tuple(r) for r in bagminhash._verified(pairs, frame, 0.8).collect()] == [(1, 2)]
+
+
 def test_near_duplicate_cases(spark):
     hard = hard_docs(spark).withColumn("class_id", F.lit("old")).withColumn("node", F.lit(1))
     out = bagminhash.near_duplicates(hard).collect()
