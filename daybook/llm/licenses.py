@@ -3,7 +3,10 @@
 A text is cut into sentences (at line ends and after ``. ! ? ;`` and a blank), a
 sentence is normalised (lower case, everything but letters, digits and inner
 full stops to one blank) and mapped to the identifier of a known licence
-sentence.  The document's identifiers, in order, are then matched against the
+sentence.  A line that is no known sentence by itself is also read together with
+the lines after it, up to a sentence end or a blank line, without definitions in
+quotes and brackets such as (the "License"); so hard-wrapped notices, also
+behind comment signs, are found.  The document's identifiers, in order, are then matched against the
 licence rules: a rule is a sequence of identifiers that must stand together in
 that order (sentences that are not known, such as copyright lines, may stand
 between).  Rules are tried in their order, longer ones first, and identifiers
@@ -16,6 +19,8 @@ results; input columns named like an output column are replaced.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -111,10 +116,36 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
 )
 
 #: Every known sentence holds one of these; texts without any are not cut into sentences.
-ANCHOR = "(?i)licen|permi|warrant|free software|public domain|redistribut"
+ANCHOR = r"(?i)licen|permi|warrant|free\W+software|public\W+domain|redistribut"
 SENTENCE_END = "([.!?;])[ \\t]+"
 NOISE = "[^\\p{L}\\p{N}.]+"
 
+# Wrapped text.  Signs around a definition in brackets and quotes; a text's own are taken out first.
+OPEN, CLOSE = "\x01", "\x02"
+DEFINITION = r"\\(([^\\p{L}\\p{N}()]*(?:the[^\\p{L}\\p{N}()]+)?[\"“”‘’\\x{27}][\\p{L}\\p{N}\\s#*/]{1,60}[\"“”‘’\\x{27}][^\\p{L}\\p{N}()]*)\\)"
+#: The address follows in its own paragraph, often after a blank line.
+AT_ADDRESS = r"(\\blicense[^\\p{L}\\p{N}]+at)[^\\p{L}\\p{N}]+(?=https?:)"
+#: Lines are not joined over a sentence end; the full stop of ``v. 2.0`` is none.
+HARD_END = r"(?<!\\bv)([.!?;])(?:[ \\t]+|[ \\t]*(?=[\\r\\n]))"
+KEPT_NOISE = rf"[^\\p{{L}}\\p{{N}}.{OPEN}{CLOSE}]+"
+
+
+def _wrapped() -> dict[str, str]:
+    """Known sentences as they read over several lines, to identifiers: without definitions, and those that a colon joins."""
+    forms = {}
+    for name, sentence in SENTENCES.items():
+        forms[sentence] = f"<{name}>"
+        forms[sentence.replace("files the software to deal", "files to deal")] = f"<{name}>"
+    for name in ("gpl-3-redistribute", "gpl-2-redistribute"):
+        forms[f"{SENTENCES['gpl-free']} {SENTENCES[name]}"] = f"<gpl-free><{name}>"
+    return forms
+
+
+def _over_lines(sentence: str) -> str:
+    """Pattern of a sentence whose blanks may be line ends, where a full stop has been trimmed."""
+    words = [re.escape(w.rstrip(".")) + (r"\.?" if w.endswith(".") else "") for w in sentence.split()]
+    return "[ \\n]".join(words).replace("\\", "\\\\")
+
 
 def _literals(values) -> str:
     return "array(" + ", ".join(f"'{v}'" for v in values) + ")"
@@ -122,17 +153,30 @@ def _literals(values) -> str:
 
 def sentence_ids(text: str) -> Column:
     """Identifiers of the known sentences of a text column, in order, as ``<id><id>...``."""
-    known = _literals(SENTENCES.values())
-    ids = _literals(SENTENCES)
-    return F.expr(rf"""
-        CASE WHEN {text} RLIKE '{ANCHOR}' THEN array_join(
+    known, ids = _literals(SENTENCES.values()), _literals(SENTENCES)
+    forms = _wrapped()
+    plain = _literals(f.replace(". ", " ") for f in forms)
+    found = _literals(forms.values())
+    pattern = "(?<=\\n)(?:<[^>]*>|" + "|".join(_over_lines(f) for f in forms) + ")(?=\\n)"
+    marked = f"""
+        regexp_replace(regexp_replace(translate({text}, '{OPEN}{CLOSE}', '\x03\x03'), '(?i){AT_ADDRESS}', '$1 '),
+            '(?i){DEFINITION}', '{OPEN}$1{CLOSE}')"""
+    cut = f"""
+        split(regexp_replace(regexp_replace({marked}, '(?i){HARD_END}', '$1\n\n'), r'{SENTENCE_END}', '$1\n'), '\\r\\n?|\\n')"""
+    # A known sentence becomes its identifier, which no run of lines crosses.
+    lines = f"""
+        array_join(transform(transform({cut},
+                s -> named_struct('s', s, 'p', array_position({known}, btrim(regexp_replace(lower(s), r'{NOISE}', ' '), ' .')))),
+            s -> CASE WHEN s.p > 0 THEN concat('<', element_at({ids}, CAST(s.p AS INT)), '>')
+                ELSE btrim(regexp_replace(lower(s.s), '{KEPT_NOISE}', ' '), ' .') END), '\n')"""
+    bare = f"""
+        regexp_replace(concat('\n', {lines}, '\n'), '[ ]?{OPEN}[^{CLOSE}]*{CLOSE}[ .]*(?=\n)|[ ]?{OPEN}[^{CLOSE}]*{CLOSE}', '')"""
+    return F.expr(f"""
+        CASE WHEN {text} RLIKE r'{ANCHOR}' THEN array_join(
             transform(
-                filter(
-                    transform(
-                        split(regexp_replace({text}, r'{SENTENCE_END}', '$1\n'), '[\r\n]+'),
-                        s -> array_position({known}, btrim(regexp_replace(lower(s), r'{NOISE}', ' '), ' .'))),
-                    p -> p > 0),
-                p -> concat('<', element_at({ids}, CAST(p AS INT)), '>')), '')
+                regexp_extract_all({bare}, '{pattern}', 0),
+                m -> CASE WHEN startswith(m, '<') THEN m ELSE element_at({found},
+                    CAST(array_position({plain}, regexp_replace(m, '\\\\.?[ \\n]', ' ')) AS INT)) END), '')
         ELSE '' END""")
 
 

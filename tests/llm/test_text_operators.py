@@ -220,6 +220,84 @@ def test_sentences_and_rules(spark):
     assert got == [["Apache-2.0"], ["MIT"], ["MIT"], [], ["CC-BY-NC-4.0", "MIT"], [], []]
 
 
+APACHE = """Copyright 2020 Someone
+
+   Licensed under the Apache License, Version 2.0 (the "License");
+   you may not use this file except in compliance with the License.
+   You may obtain a copy of the License at
+
+       http://www.apache.org/licenses/LICENSE-2.0
+
+   Unless required by applicable law or agreed to in writing, software
+   distributed under the License is distributed on an "AS IS" BASIS,
+   WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+   See the License for the specific language governing permissions and
+   limitations under the License.
+"""
+MIT = """MIT License
+
+Copyright (c) 2020 Someone
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+GPL = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details.
+"""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice."""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at http://mozilla.org/MPL/2.0/."""
+
+
+def test_wrapped_headers(spark):
+    def rows(*texts):
+        return [(r.sentence_ids, r.licenses) for r in licenses.scan(docs(spark, list(texts))).orderBy("doc_id").collect()]
+
+    apache = "<apache-2-notice><apache-2-comply><apache-2-obtain><apache-2-disclaim><apache-2-see>"
+    gpl = "<gpl-free><gpl-{0}-redistribute><gpl-hope>"
+    commented = "/*\n" + "".join(f" * {line}".rstrip() + "\n" for line in APACHE.split("\n")) + " */\nint x;"
+    narrow = APACHE.replace('(the "License");\n   you', '(the\n   "License"); you').replace("\n", "\r\n")
+    got = rows(APACHE, commented, narrow, MIT, GPL, GPL.replace("software:", "software;").replace("version 3", "version 2"), ISC, BSD, MPL)
+    assert got == [(apache, ["Apache-2.0"]), (apache, ["Apache-2.0"]), (apache, ["Apache-2.0"]),
+                   ("<mit-grant><mit-include><mit-warranty>", ["MIT"]), (gpl.format(3), ["GPL-3.0-or-later"]),
+                   (gpl.format(2), ["GPL-2.0-or-later"]), ("<isc-grant>", ["ISC"]), ("<bsd-redistribution>", ["BSD"]),
+                   ("<mpl-2-form>", ["MPL-2.0"])]
+    # Lines stand for themselves first; blank lines and sentence ends still cut; a run is a whole sentence.
+    got = rows("This work is\nLicensed under the GNU General Public License, version 3.", "Licensed under the\n\nMIT License",
+               "Licensed under the MIT.\nLicense", "Not licensed under the\nMIT License", "Licensed under the\nMIT License, they say",
+               "# Licensed under\n# the MIT\n# License\n", "unencumbered\nThis is free and unencumbered software released into the public\ndomain.",
+               "\x01 Released under the MIT License.\n\x02")
+    assert [g[0] for g in got] == ["<gpl-3-licensed>", "", "", "", "", "<mit-licensed>", "<unlicense>", "<mit-released>"]
+
+
 def test_tables_fit_together():
     names = {i for _, ids in licenses.RULES for i in ids}
     assert names <= set(licenses.SENTENCES)
