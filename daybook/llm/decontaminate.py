@@ -6,10 +6,12 @@ gives the length of the longest suffix of the text read so far that occurs in
 any item.  A word is *hit* when it lies inside an occurrence of a window: ten
 consecutive item words, or the whole item if it has fewer (but some).
 
-The automaton is broadcast.  Its size is bounded: items are dealt by hash into
-shards of about ``shard_words`` words, one automaton each, and the texts pass
-the shards one after the other (written to the shared folder in between), so a
-test set of any size is matched whole with bounded memory per task.
+The automaton is broadcast.  Its size is bounded: repeated item rows are one,
+long items are cut into pieces that overlap by all but one word of a window (so
+each window lies in a piece), and the pieces are dealt by hash into shards of
+about ``shard_words`` words, twice that at most, one automaton each.  The texts
+pass the shards one after the other (written to the shared folder in between),
+so a test set of any size is matched whole with bounded memory per task.
 
 Null texts have no words.  Items without words match nothing; an item with a
 null id still hits words but is not listed.  Rows with equal ids are treated
@@ -24,7 +26,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.common import materialise, replace_columns, text_bytes, words_of
@@ -200,6 +202,19 @@ def _union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def _pieces(items: DataFrame, window: int, size: int) -> DataFrame:
+    """(item_id, text, n): distinct items of n words; those of more than ``size`` words in pieces that hold every window."""
+    word = "'[0-9A-Za-z\\\\x{80}-\\\\x{10FFFF}]+'"
+    step = size - window + 1
+    cut = F.expr(f"""
+        CASE WHEN regexp_count(text, {word}) <= {size} THEN array(text)
+        ELSE flatten(transform(array(regexp_extract_all(text, {word}, 0)),
+            w -> transform(sequence(0, CAST((size(w) - {window}) DIV {step} AS INT)),
+                i -> array_join(slice(w, i * {step} + 1, {size}), ' ')))) END""")
+    rows = items.select(F.col("item_id").cast("string").alias("item_id"), F.col("text")).where("text IS NOT NULL")
+    return rows.select("item_id", F.explode(cut).alias("text")).distinct().withColumn("n", F.expr(f"regexp_count(text, {word})"))
+
+
 def track_overlap(docs: DataFrame, items: DataFrame, text_col: str = "text", window: int = WINDOW,
                   min_words: int = 1, max_share: float = 1.0, shard_words: int = SHARD_WORDS) -> DataFrame:
     """``docs`` with n_words, n_hit, items (ids, sorted), spans (runs of hit words) and cleaned.
@@ -209,16 +224,23 @@ def track_overlap(docs: DataFrame, items: DataFrame, text_col: str = "text", win
     nothing is to be removed.
     """
     spark = docs.sparkSession
-    words = F.expr("regexp_count(text, '[0-9A-Za-z\\\\x{80}-\\\\x{10FFFF}]+')")
-    items = items.select(F.col("item_id").cast("string").alias("item_id"), F.col("text")).where("text IS NOT NULL")
-    total = items.agg(F.sum(words)).first()[0] or 0
+    size = max(shard_words // 8, 2 * window)
+    items = materialise(_pieces(items, window, size), "items")
+
+    def dealt(shards: int) -> Column:
+        return F.pmod(F.xxhash64("item_id", "text"), F.lit(shards))
+
+    total = items.agg(F.sum("n")).first()[0] or 0
     shards = max(1, -(-total // shard_words))
-    shard = F.pmod(F.xxhash64("item_id", "text"), F.lit(shards))
+    # Pieces are small against a shard, so this hardly ever takes more than one look.
+    while shards > 1 and items.groupBy(dealt(shards)).agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0] > 2 * max(shard_words, size):
+        shards += -(-shards // 4)
+    shard = dealt(shards)
     out = replace_columns(docs, "n_words", "n_hit", "items", "spans", "cleaned")
     keep = [F.col(f"`{c}`") for c in out.columns]
     spans, listed = F.lit(None).cast("array<struct<first:int,last:int>>"), F.lit(None).cast("array<string>")
     for s in range(shards):
-        # Bounded: one shard holds about shard_words words.
+        # Bounded: one shard holds about shard_words words, and not more than twice that.
         rows = items.where(shard == s).collect()
         sam = SuffixAutomaton([(r.item_id, words_of(r.text.encode())) for r in rows], window)
         track = _tracker(spark.sparkContext.broadcast(sam), min_words, max_share)

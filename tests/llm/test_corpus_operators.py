@@ -241,6 +241,25 @@ def test_hits_against_brute_force(spark, shard_words):
         assert r.n_hit == sum(s["last"] - s["first"] for s in r.spans)
 
 
+def test_shards_stay_bounded(spark, monkeypatch):
+    """A row repeated many times counts once, and a long item is dealt in pieces that hold all its windows."""
+    items = [(1, prose(12, 61))] * 200 + [(2, prose(500, 62)), (3, prose(9, 63))]
+    texts = [prose(500, 62), prose(12, 61), "so " + prose(9, 63) + " on", *(" ".join(prose(500, 62).split()[i:i + 10]) for i in range(0, 491, 35)),
+             " ".join(prose(500, 62).split()[100:109])]
+    sizes = []
+    real = decontaminate.SuffixAutomaton.__init__
+
+    def counted(self, rows, window):
+        sizes.append(sum(len(w) for _, w in rows))
+        real(self, rows, window)
+
+    monkeypatch.setattr(decontaminate.SuffixAutomaton, "__init__", counted)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for r in decontaminate.track_overlap(docs(spark, texts), bench, shard_words=240).collect():
+        assert (r.n_words, r.n_hit, set(r["items"])) == brute_hits(r.text, items), r.text
+    assert len(sizes) < 8 and max(sizes) <= 480
+
+
 def test_passages_are_removed(spark):
     _, items = overlap_case()
     bench = spark.createDataFrame(items[12:], "item_id long, text string")
