@@ -3,8 +3,9 @@
 A page is cut into blocks at block-level tags.  Regions that are never article
 text (navigation, site headers and footers, asides, forms, scripts, styles,
 hidden parts, and elements whose class, id or role says menu, advert, notice,
-comments and the like) are left out by their markup.  The remaining blocks go
-through two passes:
+comments and the like) are left out by their markup; on a page without article
+or main element a class, id or role does not leave out what holds most of the
+page's text outside links.  The remaining blocks go through two passes:
 
 1. context-free: link density, length and stop-word density make a block good,
    bad or short; inside an article or main element only a block that consists
@@ -13,6 +14,10 @@ through two passes:
    neighbours, before and after; where they differ, the nearer one's, and at
    equal distance good.  A short block without a decided neighbour is good.
 
+Where few of the long blocks have stop words of a listed language, a block
+that is not short is good without them.  If article or main elements hold most of
+the good text, only what stands in them is kept.
+
 Character references are decoded, white space inside a block becomes one
 space, and good blocks are joined in page order by an empty line.  Null and
 empty pages give the empty text.  Pages of any length are read whole; each page
@@ -64,12 +69,15 @@ STOP_WORDS = frozenset(
 LINK_SHARE = 0.5        # a block with more of its characters in links is bad
 SHORT, LONG = 70, 200   # characters
 FEW_STOPS, MANY_STOPS = 0.15, 0.30
+LISTED = 0.25           # share of the long blocks' characters in blocks with stop words, below which no listed language fits
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|</?([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
                    re.DOTALL)
 ARTICLE = re.compile(r"<(?:article|main)[\s>]", re.IGNORECASE)
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.IGNORECASE)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.IGNORECASE)
+UNSEEN = re.compile(r"<(script|style|noscript|template|nav|footer|aside|form|head)\b.*?</\1\s*>|<!--.*?-->", re.DOTALL | re.IGNORECASE)
+LINK = re.compile(r"<a\b.*?</a\s*>", re.DOTALL | re.IGNORECASE)
 WORD = re.compile(r"[^\W\d_]+")
 PARTS = re.compile(r"[A-Za-z][a-z]+|[A-Z]+|[a-z]+")
 
@@ -89,6 +97,14 @@ def _outside(tag: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
+def _plain(part: str) -> tuple[int, int]:
+    """Characters of a part of a page without white space, tags and scripts: outside links, in links."""
+    part = UNSEEN.sub(" ", part)
+    rest = LINK.sub(" ", part)
+    outside, whole = (len("".join(TOKEN.sub(" ", p).split())) for p in (rest, part))
+    return outside, whole - outside
+
+
 def _region_end(page: str, tag: str, at: int) -> int:
     """Where the element opened before ``at`` ends; -1 if it is never closed."""
     depth = 1
@@ -116,6 +132,19 @@ def _blocks(page: str) -> list[tuple[str, int, bool, bool]]:
     article = link = 0
     heading = False
     at = 0
+    page_chars: int | None = None
+
+    def holds_text(tag: str, attributes: str, end: int) -> bool:
+        """Most of an unmarked page's text, in a region that its class, id or role alone would leave out?"""
+        nonlocal page_chars
+        if tag in SKIPPED_TAGS or tag == "header" or HIDDEN.search(attributes) or ARTICLE.search(page):
+            return False
+        if page_chars is None:
+            page_chars = _plain(page)[0]
+        if 2 * (end - at) < page_chars:
+            return False
+        own, linked = _plain(page[at:end])
+        return 2 * own > page_chars and linked <= LINK_SHARE * (own + linked)
 
     def text(piece: str) -> None:
         if piece:
@@ -142,7 +171,7 @@ def _blocks(page: str) -> list[tuple[str, int, bool, bool]]:
                 end = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(page, at)
                 at = end.end() if end else len(page)
             elif (end := _region_end(page, tag, at)) >= 0:
-                if tag in SKIPPED_TAGS or not ARTICLE.search(page, at, end):
+                if tag in SKIPPED_TAGS or not ARTICLE.search(page, at, end) and not holds_text(tag, m[2], end):
                     at = end  # a wrapper around the article is no region outside it
             elif tag == "head":
                 body = re.compile(r"<body[\s>]", re.IGNORECASE).search(page, at)
@@ -165,7 +194,19 @@ def _blocks(page: str) -> list[tuple[str, int, bool, bool]]:
     return out
 
 
-def _context_free(text: str, link_chars: int, in_article: bool, heading: bool) -> str:
+def _stops(text: str) -> float:
+    """Share of stop words."""
+    words = WORD.findall(text.lower())
+    return sum(w in STOP_WORDS for w in words) / max(len(words), 1)
+
+
+def _listed(blocks: list[tuple[str, int, bool, bool]]) -> bool:
+    """Do the listed languages fit the page?"""
+    long = [b[0] for b in blocks if len(b[0]) >= SHORT and b[1] <= LINK_SHARE * len(b[0])]
+    return sum(len(t) for t in long if _stops(t) >= FEW_STOPS) >= LISTED * sum(map(len, long))
+
+
+def _context_free(text: str, link_chars: int, in_article: bool, heading: bool, listed: bool = True) -> str:
     """good, bad or short."""
     if link_chars > LINK_SHARE * len(text):
         return "bad"
@@ -173,10 +214,11 @@ def _context_free(text: str, link_chars: int, in_article: bool, heading: bool) -
         return "short" if len(text) < SHORT and not heading else "good"
     if len(text) < SHORT:
         return "short"
-    words = WORD.findall(text.lower())
-    stops = sum(w in STOP_WORDS for w in words) / max(len(words), 1)
+    stops = _stops(text)
     if stops >= MANY_STOPS or stops >= FEW_STOPS and len(text) >= LONG:
         return "good"
+    if not listed:
+        return "good"  # its length and few links decide
     return "short" if stops >= FEW_STOPS else "bad"
 
 
@@ -206,10 +248,13 @@ def _settle(labels: list[str]) -> list[bool]:
 def main_text(page: str | None) -> str:
     """The article text of one page."""
     blocks = _blocks(page) if page else []
-    if any(b[2] for b in blocks):
+    listed = _listed([b for b in blocks if not b[2]])
+    keep = _settle([_context_free(*b, listed) for b in blocks])
+    marked = sum(len(b[0]) for b, k in zip(blocks, keep, strict=True) if k and b[2])
+    if marked and 2 * marked >= sum(len(b[0]) for b, k in zip(blocks, keep, strict=True) if k):
         # A page that marks its article: what stands outside it is not part of it.
         blocks = [b for b in blocks if b[2]]
-    keep = _settle([_context_free(*b) for b in blocks])
+        keep = _settle([_context_free(*b) for b in blocks])
     return "\n\n".join(b[0] for b, k in zip(blocks, keep, strict=True) if k)
 
 

@@ -100,6 +100,16 @@ def test_blocks_without_an_article_element():
     assert html_text.main_text(page).split("\n\n") == [good.strip(), "Short line", good.strip()]
 
 
+def test_text_outside_the_usual_markup():
+    good = "This is the text of the story and it goes on for a while so that the block is long enough to be told from a menu. " * 2
+    assert html_text.main_text(f"<body><div class='content with-sidebar'><p>{good}</p></div><div class='sidebar'>And more of it is here.</div>") \
+        == good.strip()
+    cards = "".join(f"<article><h3>Card {i}</h3><p>Read this too</p></article>" for i in range(3))
+    assert good.strip() in html_text.main_text(f"<body><div><p>{good}</p><p>{good}</p></div>{cards}")
+    polish = "Wczoraj wieczorem mieszkańcy miasta zebrali się przed ratuszem, żeby posłuchać koncertu orkiestry. " * 3
+    assert html_text.main_text(f"<body><div>{polish}</div><div><a href='/'>{polish}</a></div>") == polish.strip()
+
+
 def test_page_cases(spark):
     schema = "page_id long, url string, html string, text int, n_chars string"
     rows = [(1, "u", PAGE, 1, "x"), (2, None, None, 2, None), (3, "u", "", None, "y"), (3, "u", "", None, "y"),
