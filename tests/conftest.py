@@ -8,11 +8,8 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from daybook.operators.clean import RAW_COLUMNS  # noqa: E402
 from daybook.session import build_session  # noqa: E402
 
-RAW_SCHEMA = ", ".join(f"{c} string" for c in RAW_COLUMNS)
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -25,12 +22,3 @@ def spark():
 def workdir():
     """A fresh folder per test (never cleared, never reused)."""
     return tempfile.mkdtemp(prefix="daybook-test-")
-
-
-def raw_df(spark, rows):
-    """Raw transactions from (ts, project_id, event, props, nums) tuples."""
-    return spark.createDataFrame(rows, RAW_SCHEMA)
-
-
-def tx(ts="2023-10-01 12:00:00", project="P", symbol="USD", volume="1.0", event=""):
-    return (ts, project, event, f'{{"currencySymbol": "{symbol}"}}', f'{{"currencyValueDecimal": "{volume}"}}')

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from conftest import raw_df, tx
+from transaction_rows import raw_df, tx
 from pyspark.errors import PySparkException
 from py4j.protocol import Py4JJavaError
 

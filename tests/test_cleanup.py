@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from conftest import raw_df, tx
+from transaction_rows import raw_df, tx
 
 from daybook.functions import json_string_field, strict_double, strict_timestamp
 from daybook.operators.clean import classify, clean, dead_letters, reject_counts

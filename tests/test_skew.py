@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from conftest import raw_df, tx
+from transaction_rows import raw_df, tx
 from pyspark.sql import functions as F
 
 from daybook.operators.aggregate import daily_volume, daily_volume_with_unknown
