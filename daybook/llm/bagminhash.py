@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from daybook.llm.common import chunks, flat_bytes, materialise, mix64, replace_columns, text_bytes, uniform
+from daybook.llm.common import bags, chunks, materialise, mix64, replace_columns, text_bytes, uniform, word_hashes
 from daybook.llm.graph import components
 
 SHINGLE = 5
@@ -54,29 +54,11 @@ ROUNDING = 1e-9           # relative room for rounding in bounds on overlaps; th
 
 STRIDE = np.uint64(0x9E3779B97F4A7C15)
 FACTORS = mix64(np.arange(1, SHINGLE + 1, dtype=np.uint64)) | np.uint64(1)
-POWERS = np.cumprod(np.full(64, 0xD1B54A32D192ED03, np.uint64))
-LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
-SPACE = np.zeros(256, bool)
-SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
 def shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Row and hash of every shingle of the texts (a binary array without nulls), in order."""
-    raw, offsets = flat_bytes(column)
-    blank = SPACE[raw]
-    edge = np.zeros(len(raw) + 1, bool)
-    edge[offsets] = True
-    before = np.concatenate(([True], blank[:-1])) | edge[:-1] if len(raw) else np.zeros(0, bool)
-    after = np.concatenate((blank[1:], [True])) | edge[1:] if len(raw) else np.zeros(0, bool)
-    start, end = np.flatnonzero(~blank & before), np.flatnonzero(~blank & after)
-    if not len(start):
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    row = np.searchsorted(offsets, start, "right") - 1
-    size = end - start + 1
-    first = np.cumsum(size) - size
-    inside = np.arange(size.sum()) - np.repeat(first, size)
-    value = (LOWER[raw[~blank]].astype(np.uint64) + np.uint64(1)) * POWERS[inside & 63] + inside.astype(np.uint64)
-    word = mix64(np.add.reduceat(value, first))
+    row, word = word_hashes(column)
     n = len(word)
     padded = np.concatenate((word, np.zeros(SHINGLE, np.uint64)))
     rows = np.concatenate((row, np.full(SHINGLE, -1)))
@@ -89,15 +71,6 @@ def shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return row[keep], mix64(total[keep])
 
 
-def bags(row: np.ndarray, shingle: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (row, shingle) with their counts, rows in order."""
-    order = np.lexsort((shingle, row))
-    row, shingle = row[order], shingle[order]
-    new = np.concatenate(([True], (row[1:] != row[:-1]) | (shingle[1:] != shingle[:-1]))) if len(row) else row > 0
-    at = np.flatnonzero(new)
-    return row[at], shingle[at], np.diff(np.append(at, len(row)))
-
-
 def signatures(row: np.ndarray, shingle: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
     """BagMinHash values (n x SLOTS, uint64 views of times); rows without shingles keep the largest value."""
     out = np.full(n * SLOTS, np.inf)

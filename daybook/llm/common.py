@@ -25,6 +25,12 @@ FOLD = bytes(
 )
 
 
+POWERS = np.cumprod(np.full(64, 0xD1B54A32D192ED03, np.uint64))
+LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
+SPACE = np.zeros(256, bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
+
+
 def words_of(text: bytes) -> list[bytes]:
     """Lower-cased words of a UTF-8 text."""
     return text.translate(FOLD).split()
@@ -116,6 +122,34 @@ def uniform(x: np.ndarray) -> np.ndarray:
     return ((x >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
 
 
+def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Row and hash of every word between white space, A-Z as a-z, of a binary array without nulls, in order."""
+    raw, offsets = flat_bytes(column)
+    blank = SPACE[raw]
+    edge = np.zeros(len(raw) + 1, bool)
+    edge[offsets] = True
+    before = np.concatenate(([True], blank[:-1])) | edge[:-1] if len(raw) else np.zeros(0, bool)
+    after = np.concatenate((blank[1:], [True])) | edge[1:] if len(raw) else np.zeros(0, bool)
+    start, end = np.flatnonzero(~blank & before), np.flatnonzero(~blank & after)
+    if not len(start):
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    row = np.searchsorted(offsets, start, "right") - 1
+    size = end - start + 1
+    first = np.cumsum(size) - size
+    inside = np.arange(size.sum()) - np.repeat(first, size)
+    value = (LOWER[raw[~blank]].astype(np.uint64) + np.uint64(1)) * POWERS[inside & 63] + inside.astype(np.uint64)
+    return row, mix64(np.add.reduceat(value, first))
+
+
+def bags(row: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (row, key) with their counts, rows in order."""
+    order = np.lexsort((key, row))
+    row, key = row[order], key[order]
+    new = np.concatenate(([True], (row[1:] != row[:-1]) | (key[1:] != key[:-1]))) if len(row) else row > 0
+    at = np.flatnonzero(new)
+    return row[at], key[at], np.diff(np.append(at, len(row)))
+
+
 def labelled_sample(labels: DataFrame, column: str, eligible, limit: int) -> DataFrame:
     """At most ``limit`` labelled documents as (doc_id, label), the same ones at every run.
 

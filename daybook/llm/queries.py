@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.llm import (
+    alignment,
     ann,
     bagminhash,
     decontaminate,
+    hard_negatives,
     html_text,
     licenses,
     pii,
@@ -18,6 +20,7 @@ from daybook.llm import (
     sentencepiece_sampling,
     suffix_dedup,
     toxicity,
+    weighted_sampling,
 )
 from daybook.llm.common import crc_fold, read_table
 
@@ -88,9 +91,26 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence", "segments")
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and of its edited text, and their likeness."""
+    return weighted_sampling.compare_with_next(read_table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of the positives of every vector whose id is divisible by 100; some labels are made wrong first."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(read_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, moved)
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignment of two tokenisations of every document, with corpus-wide link counts."""
+    return alignment.align_tokens(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_sentencepiece, op2_neighbours, op3_main_text, op4_near_duplicates, op5_pseudonyms,
-                            op6_licenses, op7_contamination, op8_repeats, op9_quality, op10_toxicity)
+                            op6_licenses, op7_contamination, op8_repeats, op9_quality, op10_toxicity, op11_fingerprints,
+                            op12_hard_negatives, op13_alignment)
 }
 
 WORDS = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), " \
@@ -129,4 +149,18 @@ SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed,
     list_transform(range(1, n_spans + 1), lambda k: substr(h, 2 * b[k] + 1, 2 * (coalesce(a[k + 1], len(h) // 2) - b[k]))), ''))) END)
     AS kept_sha256
 FROM doc LEFT JOIN edge USING (doc_id)""",
+    "op12_hard_negatives": """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0),
+pair AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+                CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+         FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+positive AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM pair WHERE same
+             QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER best AS INTEGER) AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM positive JOIN pair USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)
+QUALIFY row_number() OVER best <= 5""",
 }
