@@ -119,7 +119,7 @@ def daily_volume_job(
     max_volume: float = MAX_VOLUME,
     table_mode: str = "append",
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
-    multi_line: bool = False,
+    multi_line: bool | None = None,
     mixed_headers: bool = False,
     keep_scratch: bool = False,
 ) -> RunReport:

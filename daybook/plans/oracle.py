@@ -125,12 +125,14 @@ def _malformed() -> str:
     """The damaged export: what is left whole, and the text of what is not."""
     columns = list(T.WIDE_CSV_COLUMNS)
     lost, extra = f"event_id % {Q.LOST_FIELD_MOD} = 0", f"event_id % {Q.EXTRA_FIELD_MOD} = 0"
+    stray = f"(event_id % {Q.STRAY_QUOTE_MOD} = 0 AND event_id % {Q.LINE_BREAK_MOD} <> 0)"
 
     def line(order: list[str]) -> str:
-        return f"CASE WHEN {lost} THEN {_csv_line(order[:-1])} ELSE {_csv_line(order)} || ',\"more\"' END"
+        return (f"CASE WHEN {lost} THEN {_csv_line(order[:-1])} WHEN {extra} THEN {_csv_line(order)} || ',\"more\"' "
+                f"ELSE 'x' || {_csv_line(order)} END")
 
     bad = f"CASE WHEN (event_id // {Q.STAGED_ROWS}) % 2 = 0 THEN {line(columns)} ELSE {line(columns[::-1])} END"
-    whole = f"NOT ({lost}) AND NOT ({extra})"
+    whole = f"NOT ({lost}) AND NOT ({extra}) AND NOT {stray}"
     texts = ", ".join(f"CASE WHEN {whole} THEN {c} ELSE '' END AS {c}" for c in ("ts", "project_id", "event", "props", "nums"))
     return f"""
 SELECT CASE WHEN {whole} THEN '' ELSE 'malformed CSV row: ' || {bad} END AS Reason, {texts}
@@ -234,6 +236,10 @@ WHERE c.symbol NOT IN ({", ".join(f"'{s}'" for s in T.EVENT_PRICES if s != "MATI
         f"FROM ({_blank_project(EVENTS_CLASSIFIED)}) c WHERE reason_code IS NOT NULL"
     ),
     "malformed_rows": _malformed(),
+    "price_quoted_lines": (
+        "SELECT CAST(p_partkey AS VARCHAR) AS ID, p_brand AS Symbol, p_retailprice AS price_usd, "
+        "CASE WHEN p_partkey % 3 = 0 THEN p_name || chr(10) || '\"second\", ' || p_name ELSE p_name END AS Name FROM part"
+    ),
     "trap_rows": _traps(),
     "table_append": f"""
 SELECT strftime(c.parsed_ts, '%Y-%m-%d') AS Date, c.project_id AS ProjectId,

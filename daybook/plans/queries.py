@@ -202,7 +202,7 @@ def stage_prices_csv(spark: SparkSession, prices: dict[str, float]) -> str:
 
 
 # event_id moduli of the damaged export.
-LOST_FIELD_MOD, EXTRA_FIELD_MOD, LINE_BREAK_MOD = 61, 59, 53
+LOST_FIELD_MOD, EXTRA_FIELD_MOD, LINE_BREAK_MOD, STRAY_QUOTE_MOD = 61, 59, 53, 47
 
 
 def _csv_line(columns: list[str]) -> str:
@@ -211,8 +211,8 @@ def _csv_line(columns: list[str]) -> str:
 
 
 def stage_damaged_csv(spark: SparkSession, sf_dir: str) -> str:
-    """The events export as text files in which some rows lost or gained a field, some have a quoted line break,
-    and every other file has its columns in reverse order."""
+    """The events export as text files in which some rows lost or gained a field, some have a quoted line break, some
+    begin with a bare quote inside an unquoted field, and every other file has its columns in reverse order."""
     path = scratch_path(spark, "damaged-csv")
     columns = list(T.WIDE_CSV_COLUMNS)
     wide = T.events_wide(spark, sf_dir).selectExpr("*", "CAST(ident AS bigint) AS id").selectExpr(
@@ -223,6 +223,7 @@ def stage_damaged_csv(spark: SparkSession, sf_dir: str) -> str:
     def damaged(order: list[str]) -> str:
         return (f"CASE WHEN id % {LOST_FIELD_MOD} = 0 THEN {_csv_line(order[:-1])} "
                 f"WHEN id % {EXTRA_FIELD_MOD} = 0 THEN concat({_csv_line(order)}, ',\"more\"') "
+                f"WHEN id % {STRAY_QUOTE_MOD} = 0 AND id % {LINE_BREAK_MOD} <> 0 THEN concat('x', {_csv_line(order)}) "
                 f"ELSE {_csv_line(order)} END")
 
     lines = wide.selectExpr("file", "id", f"CASE WHEN file % 2 = 0 THEN {damaged(forward)} ELSE {damaged(backward)} END AS line")
@@ -345,12 +346,22 @@ def job_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def malformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The damaged export (fields lost and gained, quoted line breaks, two column orders) read in dead-letter mode."""
+    """The damaged export (fields lost and gained, stray quotes, quoted line breaks, two column orders) read in
+    dead-letter mode, its files in splits."""
     configure(spark)
-    rows, bad = read_transactions(spark, stage_damaged_csv(spark, sf_dir), on_malformed="dead_letter",
-                                  multi_line=True, mixed_headers=True)
+    rows, bad = read_transactions(spark, stage_damaged_csv(spark, sf_dir), on_malformed="dead_letter", mixed_headers=True)
     return rows.select(F.lit("").alias("Reason"), "*").unionByName(
-        bad.select(F.rtrim("Reason", F.lit("\r\n")).alias("Reason"), *[F.lit("").alias(c) for c in rows.columns]))
+        bad.select("Reason", *[F.lit("").alias(c) for c in rows.columns]))
+
+
+def price_quoted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part rows as a price file whose names hold line breaks and quotes, in p_partkey order; its rows."""
+    configure(spark)
+    path = scratch_path(spark, "part-prices")
+    named = T.part_price_rows(spark, sf_dir, spread_scan=False).withColumn(
+        "Name", F.when(F.col("p_partkey") % 3 == 0, F.concat("Name", F.lit('\n"second", '), "Name")).otherwise(F.col("Name")))
+    csv_writer(named.orderBy("p_partkey").drop("p_partkey")).csv(path)
+    return read_price_rows(spark, path).select("ID", "Symbol", "Name", F.col("`Price (USD)`").cast("double").alias("price_usd"))
 
 
 def trap_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -456,6 +467,7 @@ QUERIES = {
     "job_daily_volume": job_daily_volume,
     "job_dead_letters": job_dead_letters,
     "malformed_rows": malformed_rows,
+    "price_quoted_lines": price_quoted_lines,
     "trap_rows": trap_rows,
     "table_append": table_append,
     "price_snapshot": price_snapshot_csv,

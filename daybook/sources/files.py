@@ -3,12 +3,11 @@
 CSV columns are bound by header name: all files of one read must share one
 header (a file with another one fails the read), or, with ``mixed_headers``,
 files are grouped by header and each group is read by its own names.  A quote
-inside a quoted field is written as two quotes.  Empty fields become ``""`` (the
-raw model has no NULLs).
+inside a quoted field is written as two quotes, quoted fields may hold line breaks
+(:mod:`daybook.sources.records`).  Empty fields become ``""`` (the raw model has no NULLs).
 
-Every CSV read carries the corrupt-record column and splits whole rows (the
-parser's own column pruning is off: with it, fields are no longer counted), so a
-row with too few or too many fields is always noticed, whatever columns are used.
+Every record is split whole, whatever columns are used, and keeps its text in the
+corrupt-record column if it has too few or too many fields or breaks the quoting rule.
 """
 
 from __future__ import annotations
@@ -23,6 +22,7 @@ from daybook.functions import strict_double_sql
 from daybook.operators.clean import MALFORMED_ROW, RAW_COLUMNS
 from daybook.operators.prices import PRICE_CSV_COLUMNS, latest_prices
 from daybook.sources.balance import spread
+from daybook.sources.records import csv_records, header_line, line_records, parse_records
 
 ON_MALFORMED = ("fail", "dead_letter")
 CORRUPT = "_corrupt_record"
@@ -90,7 +90,10 @@ def with_guard(df: DataFrame) -> DataFrame:
 
 def csv_header(spark: SparkSession, uri: str | list[str], multi_line: bool = False) -> list[str]:
     """Column names of the first file."""
-    return _csv_options(spark.read, multi_line).csv(uri).columns
+    names = _csv_options(spark.read, multi_line).csv(uri).columns
+    if not names:
+        raise ValueError(f"no header: {uri} has no line")
+    return names
 
 
 def _files_by_header(spark: SparkSession, uri: str, multi_line: bool) -> list[tuple[list[str], list[str]]]:
@@ -130,14 +133,28 @@ def malformed_reason() -> Column:
     return F.concat(F.lit(f"{MALFORMED_ROW}: "), F.coalesce(F.col(CORRUPT), F.lit("")))
 
 
-def read_raw(spark: SparkSession, path: str, multi_line: bool = False, mixed_headers: bool = False) -> DataFrame:
+def read_records(spark: SparkSession, uri: str | list[str], multi_line: bool | None = None) -> DataFrame:
+    """CSV files with one header as text columns, the corrupt-record column, and ``file``, ``block``, ``n``: the record's place."""
+    header = csv_header(spark, uri)
+    records = csv_records(spark, uri, multi_line)
+    clash = {c.lower() for c in header}
+    place = {c: c if c not in clash else f"_{c}" for c in ("file", "block", "n", "record")}
+    parsed = parse_records(records.select("record", F.struct("file", "block", "n").alias("_place")), header, CORRUPT)
+    return parsed.select(*[F.col(f"`{c}`") for c in header], CORRUPT, *[F.col(f"_place.{c}").alias(place[c]) for c in ("file", "block", "n")])
+
+
+def stream_records(spark: SparkSession, uri: str, header: list[str], reader) -> DataFrame:
+    """Streaming counterpart of :func:`read_records`, each line a record, for a configured stream reader."""
+    return parse_records(line_records(reader, uri, header_line(spark, uri)), header, CORRUPT)
+
+
+def read_raw(spark: SparkSession, path: str, multi_line: bool | None = None, mixed_headers: bool = False) -> DataFrame:
     """Transaction CSV file(s) as the five raw text columns and the corrupt-record column (NULL where a row fits)."""
     uri = resolve_path(path)
-    groups = (_files_by_header(spark, uri, multi_line) if mixed_headers
-              else [(csv_header(spark, uri, multi_line), uri)])
+    groups = [files for _, files in _files_by_header(spark, uri, False)] if mixed_headers else [uri]
     out = None
-    for header, files in groups:
-        part = conform_raw(with_guard(checked_csv(spark.read, header, multi_line).csv(files)), CORRUPT)
+    for files in groups:
+        part = conform_raw(read_records(spark, files, multi_line), CORRUPT)
         out = part if out is None else out.unionByName(part)
     return spread(out)
 
@@ -146,16 +163,17 @@ def read_transactions(
     spark: SparkSession,
     path: str,
     on_malformed: str = "fail",
-    multi_line: bool = False,
+    multi_line: bool | None = None,
     mixed_headers: bool = False,
 ) -> DataFrame | tuple[DataFrame, DataFrame]:
     """Read transaction CSV file(s) into the five raw text columns.
 
-    A row with the wrong number of fields fails the job
+    A row with the wrong number of fields or a misplaced quote fails the job
     (``on_malformed="fail"``), or, with ``"dead_letter"``, the call returns
     ``(rows, malformed)`` where ``malformed`` has dead-letter shape with reason
-    ``malformed CSV row``.  ``multi_line`` allows line breaks inside quoted
-    fields but stops the splitting of large files, so it is off by default.
+    ``malformed CSV row``.  Quoted fields may hold line breaks; files are read in
+    splits all the same.  Whether there are any takes one pass over the lines, which
+    ``multi_line=False`` (every line is a record) or ``True`` (they are put together in any case) saves.
     ``mixed_headers`` reads files whose headers differ, at the price of one more
     pass over their lines.
     """
@@ -173,21 +191,16 @@ def read_transactions(
 def read_price_rows(spark: SparkSession, path: str) -> DataFrame:
     """Price CSV rows with a ``_row_order`` that follows the files' line order.
 
-    A row with the wrong number of fields fails the job.  The order is (file path, split start, position in the split), which is the
-    order of lines across all input files sorted by path.
+    A row with the wrong number of fields or a misplaced quote fails the job.  The order is (file path, split
+    start, position in the split), which is the order of records across all input files sorted by path.
     """
-    uri = resolve_path(path)
-    df = with_guard(checked_csv(spark.read, csv_header(spark, uri)).csv(uri))
+    df = read_records(spark, resolve_path(path))
     missing = [c for c in ("Symbol", "Price (USD)") if c not in df.columns]
     if missing:
         raise ValueError(f"price file lacks columns {missing}")
     rows = df.select(
         *[F.col(f"`{c}`") if c in df.columns else F.lit("").alias(c) for c in PRICE_CSV_COLUMNS],
-        F.struct(
-            F.col("_metadata.file_path"),
-            F.col("_metadata.file_block_start"),
-            F.monotonically_increasing_id(),
-        ).alias("_row_order"),
+        F.struct(*[F.col(f"`{c}`") for c in df.columns[-3:]]).alias("_row_order"),
         CORRUPT,
     )
     return reject_malformed(rows)
@@ -196,13 +209,15 @@ def read_price_rows(spark: SparkSession, path: str) -> DataFrame:
 def read_prices(spark: SparkSession, path: str) -> DataFrame:
     """Price CSV → lookup table (symbol upper-cased, last row per symbol wins).
 
-    A price text that is not a number fails the job; an empty price is 0.0.
+    A price text that is not a finite number fails the job (it would poison every
+    sum that it enters); an empty price is 0.0.
     """
     rows = read_price_rows(spark, path)
     text = "trim(coalesce(`Price (USD)`, ''))"
+    number = strict_double_sql(text)
     parsed = F.expr(
         f"CASE WHEN {text} = '' THEN 0D "
-        f"ELSE coalesce({strict_double_sql(text)}, "
+        f"ELSE coalesce(nullif(nullif(nullif({number}, double('NaN')), double('inf')), double('-inf')), "
         f"CAST(raise_error(concat('price is not a number: ', {text})) AS double)) END"
     )
     return latest_prices(rows.withColumn("Price (USD)", parsed))

@@ -40,6 +40,7 @@ from daybook.sources.files import (
     csv_header,
     reject_malformed,
     resolve_path,
+    stream_records,
     with_guard,
 )
 
@@ -92,12 +93,14 @@ def transaction_stream(
     if on_malformed not in ON_MALFORMED:
         raise ValueError(f"on_malformed must be one of {ON_MALFORMED}")
     header = (schema or header_schema(spark, source_dir, multi_line)).names
-    reader = checked_csv(spark.readStream, header, multi_line)
+    reader = checked_csv(spark.readStream, header, multi_line) if multi_line else spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if max_bytes_per_trigger or not max_files_per_trigger:
         reader = reader.option("maxBytesPerTrigger", int(max_bytes_per_trigger or BATCH_BYTES))
-    raw = conform_raw(with_guard(reader.csv(resolve_path(source_dir))), CORRUPT)
+    uri = resolve_path(source_dir)
+    rows = with_guard(reader.csv(uri)) if multi_line else stream_records(spark, uri, header, reader)
+    raw = conform_raw(rows, CORRUPT)
     return reject_malformed(raw) if on_malformed == "fail" else raw
 
 

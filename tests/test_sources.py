@@ -47,13 +47,12 @@ def test_transaction_csv_fixture(spark, workdir):
     ]
 
 
-def test_scan_keeps_only_what_is_needed(spark, workdir):
-    """The five columns, the corrupt-record column that checks the field count, and the one it is tied to."""
+def test_lines_are_split_once_and_in_generated_code(spark, workdir):
+    """One scan of whole lines; one parse of each, below the filters on its result."""
     path = _write(workdir, "tx.csv", FIXTURE_CSV)
-    plan = read_transactions(spark, path)._jdf.queryExecution().executedPlan().toString()
-    read = plan.split("ReadSchema: struct<")[1].split(">")[0]      # the plan text cuts off the end of the last name
-    assert {c.split(":")[0][:13] for c in read.split(",")} == {
-        "app", "ts", "event", "project_id", "props", "nums", "_corrupt_reco"}
+    rows, _ = read_transactions(spark, path, on_malformed="dead_letter")
+    plan = rows.where("project_id <> ''")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_csv(") == 1 and plan.count("FileScan csv") == 1 and "Python" not in plan
 
 
 @pytest.mark.parametrize("damaged", [LOST, GAINED])
@@ -80,7 +79,28 @@ def test_files_with_another_column_order(spark, workdir):
 
 def test_line_breaks_in_quoted_fields(spark, workdir):
     path = _write(workdir, "tx.csv", wide(GOOD | {"event": "two\nlines"}, GOOD))
-    assert sorted(r.event for r in read_transactions(spark, path, multi_line=True).collect()) == ["SALE", "two\nlines"]
+    for multi_line in (None, True):
+        assert sorted(r.event for r in read_transactions(spark, path, multi_line=multi_line).collect()) == ["SALE", "two\nlines"]
+    with pytest.raises((PySparkException, Py4JJavaError), match="malformed CSV row"):
+        read_transactions(spark, path, multi_line=False).collect()      # told that there are none
+
+
+def test_line_breaks_in_price_names(spark, workdir):
+    _write(workdir, "p.csv", 'ID,Symbol,Name,Price (USD)\r\nu,usd,"Dol\r\nlar",1\r\ne,usd,"E ""x""",2\r\n')
+    assert [(r.symbol, r.price) for r in read_prices(spark, workdir).collect()] == [("USD", 2.0)]
+
+
+@pytest.mark.parametrize("price", ["NaN", "inf", "-Infinity"])
+def test_prices_that_would_poison_sums_fail(spark, workdir, price):
+    _write(workdir, "p.csv", f"ID,Symbol,Name,Price (USD)\nu,usd,Dollar,{price}\n")
+    with pytest.raises((PySparkException, Py4JJavaError), match="price is not a number"):
+        read_prices(spark, workdir).collect()
+
+
+def test_file_without_a_line(spark, workdir):
+    path = _write(workdir, "tx.csv", "")
+    with pytest.raises(ValueError, match="no header"):
+        read_transactions(spark, path)
 
 
 @pytest.mark.parametrize("row", ["e,eur", "e,eur,Euro,1.1,x,y"])
