@@ -39,7 +39,8 @@ def _parser() -> argparse.ArgumentParser:
     agg.add_argument("--on-unknown", choices=("fail", "dead_letter"), default="fail")
     agg.add_argument("--on-malformed", choices=("fail", "dead_letter"), default="fail")
     agg.add_argument("--table-mode", choices=("append", "replace"), default="append")
-    agg.add_argument("--multi-line", action="store_true", help="quoted fields may hold line breaks")
+    agg.add_argument("--multi-line", action="store_true",
+                     help="quoted fields hold line breaks (without --stream this is found out by itself)")
     agg.add_argument("--mixed-headers", action="store_true", help="files may differ in their header (not with --stream)")
     agg.add_argument("--master", default=None, help="Spark master (leave unset under spark-submit)")
 
@@ -90,7 +91,7 @@ def main(argv: list[str] | None = None) -> dict:
         report = daily_volume_job(
             spark, args.transactions, args.prices, args.output, args.errors,
             on_unknown=args.on_unknown, on_malformed=args.on_malformed, table_mode=args.table_mode,
-            multi_line=args.multi_line, mixed_headers=args.mixed_headers,
+            multi_line=args.multi_line or None, mixed_headers=args.mixed_headers,
         )
         result = asdict(report)
     print(json.dumps(result))

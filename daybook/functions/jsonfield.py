@@ -13,8 +13,13 @@ field:
   what an earlier key set), or ``""`` when there is none; other keys are ignored.
 
 Spark's ``try_parse_json`` alone accepts trailing text, so the text is parsed
-twice, once wrapped as an object member and once as an array element; only a
-single JSON value survives both wraps.  A regular expression recognises the
+once inside an array whose last element is a mark: ``[text, "mark"]``.  The parser stops
+at the bracket that closes the array.  If that is the last one, the text is a
+list of values before the mark, and exactly one if the mark is the second element.
+If the text holds a closing bracket itself, all elements come from the text, which can give no
+mark: texts that hold it, or could spell it by escapes, are parsed in two other wraps
+instead, as an object member and as an array element, which only a single value survives.
+A regular expression recognises the
 common canonical form ``{"field": "text"}`` first, so most rows never reach
 the JSON parser at all; a parsed document that names the field once is looked
 up by path.  A parsed document keeps neither key order nor duplicates, so only
@@ -45,14 +50,37 @@ def canonical_pattern(field: str, value: str = _PLAIN_VALUE) -> str:
     return rf'^{_WS}\{{{_WS}"{field}"{_WS}:{_WS}"({value})"{_WS}\}}{_WS}\z'
 
 
+# Letters only, so that no escape but \\u can spell it.
+MARK = "daybookendoftext"
+
+
+def marked_parse_sql(text: str) -> str:
+    """SQL: ``text`` parsed in an array before the mark; NULL where the mark would not decide."""
+    return (f"CASE WHEN NOT contains({text}, '{MARK}') AND NOT (contains({text}, ']') AND contains({text}, '\\\\u')) "
+            f"THEN try_parse_json(concat('[', {text}, ',\"{MARK}\"]')) END")
+
+
+def wrapped_parse_sql(text: str) -> str:
+    """SQL: the JSON value of a text for which :func:`marked_parse_sql` does not decide, else NULL."""
+    as_element = f"try_parse_json(concat('[', {text}, ']'))"
+    as_member = f"""try_parse_json(concat('{{"v":', {text}, '}}'))"""
+    return (f"CASE WHEN (contains({text}, '{MARK}') OR (contains({text}, ']') AND contains({text}, '\\\\u'))) "
+            f"AND {as_element} IS NOT NULL THEN try_variant_get({as_member}, '$.v') END")
+
+
+def strict_document_sql(marked: str, wrapped: str) -> str:
+    """SQL: the one JSON value from the columns of the two parses (:func:`marked_parse_sql`, :func:`wrapped_parse_sql`)."""
+    return (f"coalesce(CASE WHEN try_variant_get({marked}, '$[1]', 'string') = '{MARK}' "
+            f"THEN try_variant_get({marked}, '$[0]') END, {wrapped})")
+
+
 def parse_json_strict_sql(text: str) -> str:
     """SQL: the JSON value of ``text`` as a VARIANT; SQL NULL when ``text`` is not one JSON value.
 
     A JSON ``null`` document gives a variant null (``is_variant_null``), not SQL NULL.
     """
-    as_element = f"try_parse_json(concat('[', {text}, ']'))"
-    as_member = f"""try_parse_json(concat('{{"v":', {text}, '}}'))"""
-    return f"CASE WHEN {as_element} IS NOT NULL THEN try_variant_get({as_member}, '$.v') END"
+    return (f"transform(array({marked_parse_sql(text)}), m -> "
+            f"{strict_document_sql('m', wrapped_parse_sql(text))})[0]")
 
 
 def parse_json_strict(text: str) -> Column:

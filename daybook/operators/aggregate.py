@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from daybook.functions import day_key
 from daybook.operators.clean import UNKNOWN_CURRENCY
-from daybook.operators.convert import fits_broadcast, require_price, with_price
+from daybook.operators.convert import attach_prices, fits_broadcast, require_price, with_price
 
 AGG_COLUMNS = ("Date", "ProjectId", "NumberOfTransactions", "TotalVolumeUsd")
 
@@ -65,13 +65,16 @@ def _priced_totals(joined: DataFrame) -> DataFrame:
 def daily_volume(clean: DataFrame, lookup: DataFrame, broadcast: bool | None = None) -> DataFrame:
     """Clean transactions + price lookup → daily totals; an unknown symbol aborts.
 
-    Rows are first reduced to one partial per (day, project, symbol), so the
-    join on symbol moves partials instead of rows, a hot symbol cannot skew it,
-    and the arithmetic (price × summed volume) is the same for a lookup of any
-    size; only the join strategy depends on it.
+    With a broadcast lookup rows are priced where they are read, and the only
+    shuffle moves partials per (day, project).  With a larger one rows are first
+    reduced to one partial per (day, project, symbol), so the join on symbol moves
+    partials instead of rows and a hot symbol cannot skew it.  The two add in
+    different orders, as do any two partitionings; :mod:`daybook.operators.exact` has sums without that.
     """
     if broadcast is None:
         broadcast = fits_broadcast(lookup)
+    if broadcast:
+        return daily_totals(attach_prices(clean, lookup, True))
     return _priced_totals(require_price(with_price(symbol_partials(clean), lookup, broadcast)))
 
 

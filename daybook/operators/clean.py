@@ -28,7 +28,9 @@ from daybook.functions import (
     exact_member_sql,
     field_lookup_sql,
     field_resolve_sql,
-    parse_json_strict_sql,
+    marked_parse_sql,
+    strict_document_sql,
+    wrapped_parse_sql,
     times_named_sql,
     outside_range_sql,
     strict_double_sql,
@@ -99,13 +101,15 @@ def classify(raw: DataFrame, max_volume: float = MAX_VOLUME) -> DataFrame:
         F.expr(f"CASE WHEN _nums_num IS NULL THEN {canonical_value_sql('nums', NUMS_FIELD)} END")
         .alias("_nums_plain"),
     )
-    docs = plain.select(
+    parsed = plain.select(
         "*",
         F.expr("coalesce(_nums_num, _nums_plain)").alias("_nums_fast"),
-        F.expr(f"CASE WHEN _nums_num IS NULL AND _nums_plain IS NULL THEN {parse_json_strict_sql('nums')} END")
-        .alias("_nums_doc"),
-        F.expr(f"CASE WHEN _props_fast IS NULL THEN {parse_json_strict_sql('props')} END").alias("_props_doc"),
+        *[F.expr(f"CASE WHEN {open_} THEN {parse(text)} END").alias(f"_{text}_{name}")
+          for text, open_ in (("nums", "_nums_num IS NULL AND _nums_plain IS NULL"), ("props", "_props_fast IS NULL"))
+          for name, parse in (("marked", marked_parse_sql), ("wrapped", wrapped_parse_sql))],
     )
+    docs = parsed.select("*", *[F.expr(strict_document_sql(f"_{text}_marked", f"_{text}_wrapped")).alias(f"_{text}_doc")
+                                for text in ("nums", "props")])
     members = docs.select(
         "*",
         F.expr(exact_member_sql("_nums_doc", NUMS_FIELD)).alias("_nums_exact"),

@@ -193,6 +193,23 @@ GROUP BY 1, 2
 
 DEAD_COLS = "Reason, ts, project_id, event, props, nums, reason_code"
 
+# Price pages of part rows, one of which lacks a coin, up to the first short page.
+PAGED = f"""
+WITH coin AS (SELECT p_partkey // {Q.PAGE_SIZE} AS page, CAST(p_partkey AS VARCHAR) AS ID, lower(p_brand) AS Symbol,
+                     p_name AS Name, p_retailprice AS price_usd FROM part
+              WHERE NOT (p_partkey // {Q.PAGE_SIZE} = {Q.SHORT_PAGE} AND p_partkey % {Q.PAGE_SIZE} = {Q.LOST_COIN})),
+short AS (SELECT min(page) AS last FROM (SELECT page FROM coin GROUP BY page HAVING count(*) < {Q.PAGE_SIZE}) s)
+SELECT * FROM coin WHERE page <= coalesce((SELECT last FROM short), page)
+"""
+
+# Exact sums: every product is a whole number of 2^-70, summed as HUGEINT and rounded once, by way of text.
+EXACT = f"""
+SELECT strftime(c.parsed_ts, '%Y-%m-%d') AS Date, c.project_id AS ProjectId, count(*) AS NumberOfTransactions,
+       CAST(CAST(sum(CAST(p.price * c.volume * pow(2, 70) AS HUGEINT)) AS VARCHAR) AS DOUBLE) / pow(2, 70) AS TotalVolumeUsd
+FROM ({EVENTS_CLEAN}) c JOIN {_values(T.EVENT_PRICES)} ON c.symbol = p.symbol
+GROUP BY 1, 2
+"""
+
 SQL = {
     "daily_volume": _daily(EVENTS_CLEAN, T.EVENT_PRICES, Q.EVENT_USD_PLACES),
     "daily_volume_lineitem": _daily(
@@ -248,10 +265,7 @@ SELECT strftime(c.parsed_ts, '%Y-%m-%d') AS Date, c.project_id AS ProjectId,
 FROM ({EVENTS_CLEAN}) c JOIN {_values(T.EVENT_PRICES)} ON c.symbol = p.symbol
 GROUP BY 1, 2
 """,
-    "price_snapshot": (
-        "SELECT CAST(p_partkey AS VARCHAR) AS ID, lower(p_brand) AS Symbol, p_name AS Name, "
-        "p_retailprice AS price_usd, (SELECT count(*) FROM part) AS n_written FROM part"
-    ),
+    "price_snapshot": f"SELECT ID, Symbol, Name, price_usd, count(*) OVER () AS n_written FROM ({PAGED}) q",
     "run_counters": _counters(),
     "unknown_abort": "SELECT 'currency symbol not supported: MATIC' AS message",
     "stream_dead_letters": f"""
@@ -263,10 +277,7 @@ FROM ({EVENTS_CLEAN}) c WHERE symbol NOT IN {KNOWN}
 """,
     "partitioned_table": _daily(EVENTS_CLEAN, T.EVENT_PRICES, Q.EVENT_USD_PLACES),
     "stream_daily_volume": _daily(EVENTS_CLEAN, T.EVENT_PRICES, Q.EVENT_USD_PLACES),
-    "price_pages": (
-        "SELECT CAST(p_partkey AS VARCHAR) AS ID, lower(p_brand) AS Symbol, p_name AS Name, "
-        "p_retailprice AS price_usd FROM part"
-    ),
+    "price_pages": f"SELECT ID, Symbol, Name, price_usd FROM ({PAGED}) q",
     "job_daily_volume": _daily(EVENTS_CLEAN, T.EVENT_PRICES, Q.EVENT_USD_PLACES),
     "job_dead_letters": f"""
 SELECT Reason, ts, project_id, event, props, nums FROM ({EVENTS_CLASSIFIED}) c WHERE reason_code IS NOT NULL
@@ -279,4 +290,20 @@ FROM ({EVENTS_CLEAN}) c WHERE symbol NOT IN ({", ".join(f"'{s}'" for s in T.EVEN
         "WHERE reason_code IS NULL",
         T.EVENT_PRICES, Q.EVENT_USD_PLACES,
     ),
+    "daily_volume_exact": EXACT,
+    "stream_running_reduce": EXACT,
+    "stream_price_versions": f"""
+SELECT *, '{Q.LATE_SYMBOL}' AS stopped_at, 1 AS price_version FROM ({_daily(EVENTS_CLEAN, T.EVENT_PRICES, Q.EVENT_USD_PLACES)}) q
+""",
+    "table_rerun": f"""
+SELECT strftime(c.parsed_ts, '%Y-%m-%d') AS Date, c.project_id AS ProjectId, count(*) AS NumberOfTransactions,
+       round(sum(p.price * c.volume), {Q.EVENT_USD_PLACES}) AS TotalVolumeUsd,
+       CASE WHEN c.event_id % 2 = 0 THEN 'A' ELSE 'B' END AS run_id
+FROM ({EVENTS_CLEAN}) c JOIN {_values(T.EVENT_PRICES)} ON c.symbol = p.symbol
+GROUP BY 1, 2, 5
+""",
+    "row_count_batches": f"""
+SELECT (k - 1) // {Q.BATCH_ROWS} AS batch_id, count(*) AS n_rows, min(event_id) AS first_event, max(event_id) AS last_event
+FROM (SELECT event_id, row_number() OVER (ORDER BY event_id) AS k FROM events) e GROUP BY 1
+""",
 }

@@ -23,6 +23,7 @@ from daybook.operators.convert import (
     split_unknown,
     unknown_as_dead_letters,
 )
+from daybook.operators.exact import exact_daily_volume
 from daybook.operators.prices import inline_prices
 from daybook.operators.replicate import replicate
 from daybook.plans.jobs import daily_volume_job, price_snapshot
@@ -34,15 +35,18 @@ from daybook.sinks.files import (
     write_aggregates_csv,
     write_dead_letters_csv,
 )
+from daybook.sinks.runs import read_runs, write_run
 from daybook.sinks.table import write_table
 from daybook.sources import tables as T
-from daybook.sources.files import read_price_pages, read_price_rows, read_prices, read_transactions
+from daybook.sources.files import PAGE_SIZE, read_price_pages, read_price_rows, read_prices, read_transactions
 from daybook.streaming.microbatch import (
     merged_daily_volume,
     run_daily_volume_stream,
     stream_dead_letters,
     transaction_stream,
 )
+from daybook.streaming.rowbatches import RowBatches
+from daybook.streaming.running import run_running_daily_volume, running_daily_volume
 
 # Decimal places kept in USD sums (see module doc).
 EVENT_USD_PLACES = 5
@@ -178,8 +182,12 @@ def replicate_daily_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Rows of one staged transaction file, about.
 STAGED_ROWS = 25_000
-# Rows per landed price page.
-PAGE_SIZE = 250
+# The landed price page that lacks a coin, which ends the list (counted from 0), and the place of that coin.
+SHORT_PAGE, LOST_COIN = 3, 6
+# Rows of a micro-batch cut by row count.
+BATCH_ROWS = 3_000
+# The price list before a symbol was added to it.
+LATE_SYMBOL = "SFL"
 
 
 def stage_events_csv(spark: SparkSession, sf_dir: str) -> str:
@@ -298,20 +306,21 @@ def stream_daily_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_price_pages(spark: SparkSession, sf_dir: str) -> str:
-    """Part rows landed as JSON pages of PAGE_SIZE coins; returns their folder."""
+    """Part rows landed as JSON pages of PAGE_SIZE coins, one of which lacks a coin; returns their folder."""
     path = scratch_path(spark, "price-pages")
+    at = F.col("p_partkey")
     coins = T.part_price_rows(spark, sf_dir).select(
-        (F.col("p_partkey") / PAGE_SIZE).cast("bigint").alias("page"),
+        F.floor(at / PAGE_SIZE).cast("bigint").alias("page"), (at % PAGE_SIZE).alias("place"),
         F.struct(F.col("ID").alias("id"), F.lower("Symbol").alias("symbol"), F.col("Name").alias("name"),
                  F.col("`Price (USD)`").alias("current_price")).alias("coin"),
-    )
+    ).where((F.col("page") != SHORT_PAGE) | (F.col("place") != LOST_COIN))
     pages = coins.groupBy("page").agg(F.to_json(F.collect_list("coin")).alias("value"))
-    pages.select("value").write.text(path)
+    pages.orderBy("page").select("value").write.text(path)
     return path
 
 
 def price_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Part rows landed as JSON pages of PAGE_SIZE coins, read back into price rows."""
+    """Part rows landed as JSON pages of PAGE_SIZE coins, read back into price rows up to the first short page."""
     configure(spark)
     return read_price_pages(spark, stage_price_pages(spark, sf_dir)).withColumnRenamed("Price (USD)", "price_usd")
 
@@ -439,6 +448,79 @@ def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_dead_letters(spark, run).select("Reason", *RAW_COLUMNS, "reason_code")
 
 
+def daily_volume_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4: the flagship with sums that no order of addition changes: unrounded totals, equal bit by bit."""
+    configure(spark)
+    raw = T.events_transactions(spark, sf_dir)
+    return exact_daily_volume(clean(raw), inline_prices(spark, T.EVENT_PRICES), broadcast=_small(T.EVENT_PRICES))
+
+
+def stage_events_in_turns(spark: SparkSession, sf_dir: str):
+    """Two calls of the function returned write the two halves of the export into one folder, one after the other."""
+    path = scratch_path(spark, "events-turns")
+
+    def land(half: int) -> str:
+        rows = T.events_wide(spark, sf_dir).where(F.col("ident").cast("bigint") % 2 == half)
+        csv_writer(rows).mode("append").option("maxRecordsPerFile", STAGED_ROWS // 10).csv(path)
+        return path
+
+    return land
+
+
+def stream_running_reduce(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1: the aggregate in the state store: half of the export, a restart, the other half; unrounded totals."""
+    configure(spark)
+    land, work = stage_events_in_turns(spark, sf_dir), scratch_path(spark, "running")
+    run = None
+    for half in (0, 1):
+        stream = transaction_stream(spark, land(half), max_files_per_trigger=2)
+        run = run_running_daily_volume(spark, stream, inline_prices(spark, T.EVENT_PRICES), work_dir=work)
+    return running_daily_volume(spark, run)
+
+
+def stream_price_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run stops at a symbol that its price list lacks; a later run in its folder, whose list has it, succeeds."""
+    configure(spark)
+    source, work = stage_events_csv(spark, sf_dir), scratch_path(spark, "versions")
+    first = {s: p for s, p in T.EVENT_PRICES.items() if s != LATE_SYMBOL}
+    stopped = "no"
+    try:
+        run_daily_volume_stream(spark, transaction_stream(spark, source), inline_prices(spark, first), work_dir=work)
+    except PySparkException as e:
+        stopped = LATE_SYMBOL if f"currency symbol not supported: {LATE_SYMBOL}" in str(e) else "other error"
+    run = run_daily_volume_stream(spark, transaction_stream(spark, source), inline_prices(spark, T.EVENT_PRICES), work_dir=work)
+    return _rounded(merged_daily_volume(spark, run), EVENT_USD_PLACES).withColumn("stopped_at", F.lit(stopped)).withColumn(
+        "price_version", F.lit(run.price_version))
+
+
+def table_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K7: two runs, A and B, with Dates in common, then A again, into the table by run id: the rows of A and B."""
+    configure(spark)
+    base = scratch_path(spark, "runs-table")
+    raw = T.events_transactions(spark, sf_dir, keep=("event_id",))
+    for name, half in (("A", 0), ("B", 1), ("A", 0)):
+        part = clean(raw.where(F.col("event_id") % 2 == half))
+        write_run(daily_volume(part, inline_prices(spark, T.EVENT_PRICES), broadcast=_small(T.EVENT_PRICES)), base, name)
+    return _rounded(read_runs(spark, base).withColumn("Date", F.date_format("Date", "yyyy-MM-dd")), EVENT_USD_PLACES)
+
+
+def row_count_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: the export in micro-batches of BATCH_ROWS rows, across file borders: rows and first and last event of each."""
+    configure(spark)
+    source, out = scratch_path(spark, "events-rows"), scratch_path(spark, "row-batches")
+    # Files in the order of event_id, of a size that no batch border meets.
+    ordered = T.events_wide(spark, sf_dir).orderBy(F.col("ident").cast("bigint")).withColumn("event", F.col("ident"))
+    csv_writer(ordered.coalesce(1)).option("maxRecordsPerFile", 1_700).csv(source)
+
+    def count(batch: DataFrame, batch_id: int) -> None:
+        ident = F.col("event").cast("bigint")
+        batch.agg(F.count(F.lit(1)).alias("n_rows"), F.min(ident).alias("first_event"), F.max(ident).alias("last_event")).select(
+            F.lit(batch_id).cast("bigint").alias("batch_id"), "*").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    n = RowBatches(spark, source, scratch_path(spark, "row-work"), BATCH_ROWS).run(count)
+    return spark.read.parquet(*[f"{out}/batch={k}" for k in range(n)])
+
+
 # A price list without one of the symbols in the data.
 WITHOUT_MATIC = {s: p for s, p in T.EVENT_PRICES.items() if s != "MATIC"}
 
@@ -474,4 +556,9 @@ QUERIES = {
     "run_counters": run_counters,
     "unknown_abort": unknown_abort,
     "stream_dead_letters": stream_rejects,
+    "daily_volume_exact": daily_volume_exact,
+    "stream_running_reduce": stream_running_reduce,
+    "stream_price_versions": stream_price_versions,
+    "table_rerun": table_rerun,
+    "row_count_batches": row_count_batches,
 }

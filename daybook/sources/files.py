@@ -18,8 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.functions import strict_double_sql
-from daybook.operators.clean import MALFORMED_ROW, RAW_COLUMNS
+from daybook.functions import parse_json_strict_sql, strict_double_sql
+from daybook.operators.clean import MALFORMED_ROW, RAW_COLUMNS, evaluate_once
 from daybook.operators.prices import PRICE_CSV_COLUMNS, latest_prices
 from daybook.sources.balance import spread
 from daybook.sources.records import csv_records, header_line, line_records, parse_records
@@ -32,12 +32,8 @@ SCHEME_MAP = {"s3": "s3a"}
 
 # Field names of one coin in a price page, and their CSV header names.
 PAGE_FIELDS = (("id", "ID"), ("symbol", "Symbol"), ("name", "Name"), ("current_price", "Price (USD)"))
-PAGE_SCHEMA = T.StructType([
-    T.StructField("id", T.StringType()),
-    T.StructField("symbol", T.StringType()),
-    T.StructField("name", T.StringType()),
-    T.StructField("current_price", T.DoubleType()),
-])
+# Fixed value: coins in a full price page.
+PAGE_SIZE = 250
 
 
 def resolve_path(path: str) -> str:
@@ -223,19 +219,41 @@ def read_prices(spark: SparkSession, path: str) -> DataFrame:
     return latest_prices(rows.withColumn("Price (USD)", parsed))
 
 
-def read_price_pages(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_price_pages(spark: SparkSession, path: str, multi_line: bool = False, page_size: int | None = PAGE_SIZE) -> DataFrame:
     """Landed price pages (JSON arrays of coins) → ID, Symbol, Name, Price (USD).
 
-    Each JSON array becomes one row per element.  ``multi_line`` reads
-    pretty-printed page files (one document per file); otherwise each line is
-    one page.  A missing price is 0.0, a missing text ``""``.
+    Each array becomes one row per element.  ``multi_line`` reads pretty-printed
+    page files (one document per file); otherwise each line is one page.
+    Pages count in the order of file path and line, up to and with the first one of fewer than
+    ``page_size`` coins, which ends the list (None: all pages count).  A missing price is 0.0, a
+    missing text ``""``; a page that is no array, a number for a text or a text for a price fails the job.
     """
-    df = spark.read.schema(PAGE_SCHEMA).option("multiLine", multi_line).option("mode", "FAILFAST").json(
-        resolve_path(path)
-    )
-    return df.select(
-        *[
-            F.coalesce(F.col(src), F.lit(0.0) if src == "current_price" else F.lit("")).alias(dst)
-            for src, dst in PAGE_FIELDS
-        ]
-    )
+    texts = spark.read.text(resolve_path(path), wholetext=multi_line, lineSep=None if multi_line else "\n")
+    lines = texts.where("trim(value, ' \t\r\n') <> ''").select(
+        F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id().alias("n")).alias("place"),
+        "value")
+    pages = evaluate_once(lines, doc=parse_json_strict_sql("value"))
+    is_array = F.expr("doc IS NOT NULL AND startswith(schema_of_variant(doc), 'ARRAY')")
+    fault = F.raise_error(F.concat(F.lit("a price page is not a JSON array: "), F.left("value", F.lit(200)))).cast("boolean")
+    pages = pages.where(F.when(is_array, True).otherwise(fault)).select("place", F.expr("variant_get(doc, '$', 'array<variant>')").alias("coins"))
+    if page_size is not None:
+        # One value comes back: the place of the first short page.
+        short = pages.where(F.size("coins") < page_size).agg(F.min("place")).first()[0]
+        if short is not None:
+            last = F.struct(F.lit(short[0]), *[F.lit(v).cast("bigint") for v in short[1:]])
+            pages = pages.where(F.col("place") <= last)
+    coins = pages.select(F.explode("coins").alias("coin")).select(
+        "coin", *[F.expr(f"try_variant_get(coin, '$.{name}')").alias(f"_{name}") for name, _ in PAGE_FIELDS])
+
+    def fits(name: str) -> str:
+        kind = f"schema_of_variant(_{name})"
+        numeric = f"({kind} IN ('BIGINT', 'DOUBLE', 'FLOAT', 'VOID') OR startswith({kind}, 'DECIMAL'))"
+        return f"(_{name} IS NULL OR {numeric if name == 'current_price' else f"{kind} IN ('STRING', 'VOID')"})"
+
+    is_coin = "(is_variant_null(coin) OR startswith(schema_of_variant(coin), 'OBJECT'))"
+    typed = F.expr(" AND ".join([is_coin, *(fits(name) for name, _ in PAGE_FIELDS)]))
+    fault = F.raise_error(F.concat(F.lit("a coin of a price page has a field of another type: "), F.to_json("coin"))).cast("boolean")
+    return coins.where(F.when(typed, True).otherwise(fault)).select(*[
+        F.expr(f"coalesce(try_variant_get(_{src}, '$', 'double'), 0D)" if src == "current_price"
+               else f"coalesce(try_variant_get(_{src}, '$', 'string'), '')").alias(dst)
+        for src, dst in PAGE_FIELDS])

@@ -10,14 +10,16 @@ partials (A2).
 
 Micro-batch size is set in files or bytes per trigger (``max_files_per_trigger``
 / ``max_bytes_per_trigger``); Spark's file source has no row-count trigger.
-The price lookup is written to the work folder by the first run and read from
-there by every batch and every later run in that folder, so a replayed batch is
-priced as it was the first time.
+Price lists are kept in the work folder as versions: a run whose list differs from the latest one
+writes a new folder and then notes it in a log, so a half-written list is never read.  A batch whose outputs
+are written is noted with its version, and a replay of it is priced as it was the first time; a batch that has
+failed is priced by the list of the run that works on it again.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -30,8 +32,8 @@ from daybook.functions import MAX_VOLUME
 from daybook.operators.aggregate import daily_volume, merge_partials
 from daybook.operators.clean import DEAD_LETTER_COLUMNS
 from daybook.operators.convert import MAX_BROADCAST_BYTES, ON_UNKNOWN, fits_broadcast
-from daybook.plans.jobs import land, landed_clean, landed_dead, outcomes
-from daybook.session import configure, remove_scratch, scratch_path
+from daybook.plans.jobs import landed_clean, landed_dead, landing
+from daybook.session import configure, scratch_path
 from daybook.sources.files import (
     CORRUPT,
     ON_MALFORMED,
@@ -47,6 +49,7 @@ from daybook.sources.files import (
 # A micro-batch holds about this many bytes of files unless told otherwise.
 BATCH_BYTES = 1 << 30
 PARTIAL_SCHEMA = ("Date string, ProjectId string, NumberOfTransactions bigint, TotalVolumeUsd double, batch_id bigint")
+PRICE_LOG_SCHEMA = "version int, path string, n bigint, digest decimal(38,0)"
 DEAD_SCHEMA = ", ".join(f"{c} string" for c in (*DEAD_LETTER_COLUMNS, "reason_code")) + ", batch_id bigint"
 
 BatchFn = Callable[[DataFrame, int], None]
@@ -59,7 +62,8 @@ class StreamRun:
     checkpoint: str
     partials: str
     dead_letters: str
-    lookup: str
+    lookup: str = ""
+    price_version: int = -1
     batches: int = 0
     rows_read: int = 0
     clean_rows: int = 0
@@ -104,11 +108,58 @@ def transaction_stream(
     return reject_malformed(raw) if on_malformed == "fail" else raw
 
 
+class PriceVersions:
+    """The price lists of a work folder, and which one each finished batch was priced by."""
+
+    def __init__(self, spark: SparkSession, work_dir: str, max_broadcast_bytes: int = MAX_BROADCAST_BYTES):
+        self.work_dir, self.max_broadcast_bytes = work_dir, max_broadcast_bytes
+        self.paths = {r.version: r.path for r in self._log(spark).collect()}      # one row a list
+        self.current = max(self.paths, default=-1)
+        self._broadcast: dict[int, bool] = {}
+
+    def _log(self, spark: SparkSession) -> DataFrame:
+        return _existing(spark, f"{self.work_dir}/price-log", PRICE_LOG_SCHEMA)
+
+    def take(self, lookup: DataFrame) -> int:
+        """Make ``lookup`` the current list: a new version, unless it equals the latest one."""
+        spark = lookup.sparkSession
+        path = f"{self.work_dir}/prices/{uuid.uuid4().hex}"
+        lookup.write.parquet(path)
+        facts = spark.read.schema(lookup.schema).parquet(path).agg(
+            F.count(F.lit(1)).alias("n"),
+            F.coalesce(F.sum(F.xxhash64("symbol", "price").cast("decimal(38,0)")), F.lit(0)).cast("decimal(38,0)").alias("digest"))
+        n, digest = facts.first()
+        latest = self._log(spark).where(F.col("version") == self.current).first()
+        if latest is None or (latest.n, latest.digest) != (n, digest):
+            self.current += 1
+            self.paths[self.current] = path
+            (spark.createDataFrame([(self.current, path, n, digest)], PRICE_LOG_SCHEMA).coalesce(1)
+             .write.mode("append").parquet(f"{self.work_dir}/price-log"))
+        return self.current
+
+    def _noted(self, batch_id: int) -> str:
+        return f"{self.work_dir}/batch-prices/batch_id={batch_id}"
+
+    def of_batch(self, spark: SparkSession, batch_id: int) -> int:
+        """The version of a batch: the one it was finished with, else the current one."""
+        noted = _existing(spark, self._noted(batch_id), "version int").agg(F.max("version")).first()[0]
+        return self.current if noted is None else noted
+
+    def note(self, spark: SparkSession, batch_id: int, version: int) -> None:
+        spark.createDataFrame([(version,)], "version int").coalesce(1).write.mode("overwrite").parquet(self._noted(batch_id))
+
+    def lookup(self, spark: SparkSession, version: int) -> tuple[DataFrame, bool]:
+        """A version's list, and whether it is small enough to broadcast."""
+        rows = spark.read.schema("symbol string, price double").parquet(self.paths[version])
+        if version not in self._broadcast:
+            self._broadcast[version] = fits_broadcast(rows, self.max_broadcast_bytes)
+        return rows, self._broadcast[version]
+
+
 def daily_volume_batches(
-    lookup_path: str,
+    prices: PriceVersions,
     partials_path: str,
     dead_path: str,
-    broadcast: bool,
     max_volume: float = MAX_VOLUME,
     counters: dict[int, tuple[int, int]] | None = None,
     on_unknown: str = "fail",
@@ -122,30 +173,31 @@ def daily_volume_batches(
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         configure(spark)
-        lookup = spark.read.parquet(lookup_path)
-        path = scratch_path(spark, f"batch-{batch_id}")
-        obs, landed = land(outcomes(batch, lookup, broadcast, on_unknown, max_volume), path)
-        if counters is not None:
-            counters[batch_id] = (int(obs.get["rows_read"]), int(obs.get["clean_rows"]))
-        for rows, target in ((daily_volume(landed_clean(landed), lookup, broadcast=broadcast), partials_path),
-                             (landed_dead(landed, "reason_code"), dead_path)):
-            (rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(target))
-        remove_scratch(spark, path)
+        version = prices.of_batch(spark, batch_id)
+        lookup, broadcast = prices.lookup(spark, version)
+        with landing(spark, batch, lookup, broadcast, on_unknown, max_volume, f"batch-{batch_id}") as landed:
+            for rows, target in ((daily_volume(landed_clean(landed.rows), lookup, broadcast=broadcast), partials_path),
+                                 (landed.count_dead(landed_dead(landed.rows, "reason_code")), dead_path)):
+                (rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite")
+                 .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(target))
+            if counters is not None:
+                counters[batch_id] = (landed.rows_read, landed.rows_read - landed.dead_rows)
+        prices.note(spark, batch_id, version)
 
     return run
 
 
-def _counted(fn: BatchFn, spark: SparkSession, seen: dict[int, int]) -> BatchFn:
-    """``fn``, noting before each batch the rows of the one before from the query's progress.
+def _counted(fn: BatchFn, spark: SparkSession, name: str, seen: dict[int, int]) -> BatchFn:
+    """``fn``, noting before each batch the rows of the one before from the progress of the query called ``name``.
 
     A query keeps only its last progress updates; taking them down batch by batch
-    makes the counters exact for a run of any length.
+    makes the counters exact for a run of any length.  Other queries of the session do not count.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         for query in spark.streams.active:
-            _note(query, seen)
+            if query.name == name:
+                _note(query, seen)
         fn(batch, batch_id)
 
     return run
@@ -160,7 +212,9 @@ def _note(query, seen: dict[int, int]) -> None:
 def open_run(spark: SparkSession, work_dir: str) -> StreamRun:
     """The run kept in ``work_dir``, with what has been compacted there."""
     run = StreamRun(checkpoint=f"{work_dir}/checkpoint", partials=f"{work_dir}/partials",
-                    dead_letters=f"{work_dir}/dead_letters", lookup=f"{work_dir}/lookup")
+                    dead_letters=f"{work_dir}/dead_letters")
+    prices = PriceVersions(spark, work_dir)
+    run.price_version, run.lookup = prices.current, prices.paths.get(prices.current, "")
     done = _existing(spark, f"{work_dir}/compactions", "through bigint, path string").orderBy(F.desc("through")).first()
     if done is not None:
         run.compacted, run.compacted_through = done["path"], int(done["through"])
@@ -196,15 +250,17 @@ def run_daily_volume_stream(
     if on_unknown not in ON_UNKNOWN:
         raise ValueError(f"on_unknown must be one of {ON_UNKNOWN}")
     configure(spark)
-    run = open_run(spark, work_dir or scratch_path(spark, "stream"))
-    lookup.write.mode("ignore").parquet(run.lookup)
-    broadcast = fits_broadcast(spark.read.schema(lookup.schema).parquet(run.lookup), max_broadcast_bytes)
+    work_dir = work_dir or scratch_path(spark, "stream")
+    prices = PriceVersions(spark, work_dir, max_broadcast_bytes)
+    prices.take(lookup)
+    run = open_run(spark, work_dir)
     counters: dict[int, tuple[int, int]] = {}
     seen: dict[int, int] = {}
-    fn = (_counted(on_batch, spark, seen) if on_batch is not None else daily_volume_batches(
-        run.lookup, run.partials, run.dead_letters, broadcast, max_volume, counters, on_unknown))
+    name = f"daily-volume-{uuid.uuid4().hex}"
+    fn = (_counted(on_batch, spark, name, seen) if on_batch is not None else daily_volume_batches(
+        prices, run.partials, run.dead_letters, max_volume, counters, on_unknown))
     query = (
-        raw_stream.writeStream.foreachBatch(fn)
+        raw_stream.writeStream.queryName(name).foreachBatch(fn)
         .option("checkpointLocation", run.checkpoint)
         .trigger(availableNow=True)
         .start()

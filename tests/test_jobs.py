@@ -146,7 +146,7 @@ def test_price_snapshot(spark, workdir):
     _write(pages, '[{"id": "bitcoin", "symbol": "btc", "name": "Bitcoin", "current_price": 2.5}]\n'
                   '[{"id": "b2", "symbol": "BTC", "name": "B2", "current_price": 3.5}]\n')
     out = os.path.join(workdir, "prices")
-    assert price_snapshot(spark, os.path.dirname(pages), out) == 2
+    assert price_snapshot(spark, os.path.dirname(pages), out, page_size=1) == 2
     with open(sorted(p for p in os.listdir(out) if p.startswith("part-"))[0] and
               os.path.join(out, sorted(p for p in os.listdir(out) if p.startswith("part-"))[0])) as fh:
         assert fh.readline().strip() == "ID,Symbol,Name,Price (USD)"

@@ -151,7 +151,7 @@ def test_price_pages(spark, workdir):
     _write(workdir, "p1.json", '[{"id": "bitcoin", "symbol": "btc", "name": "Bitcoin", "current_price": 60000.5},'
                                ' {"id": "x", "symbol": "x", "name": "X", "current_price": null}]\n'
                                '[{"id": "ether", "symbol": "eth", "name": "Ether", "current_price": 3000}]\n')
-    rows = sorted(tuple(r) for r in read_price_pages(spark, workdir).collect())
+    rows = sorted(tuple(r) for r in read_price_pages(spark, workdir, page_size=1).collect())
     assert rows == [("bitcoin", "btc", "Bitcoin", 60000.5), ("ether", "eth", "Ether", 3000.0), ("x", "x", "X", 0.0)]
 
 

@@ -9,6 +9,7 @@ from daybook.operators.clean import clean
 from daybook.operators.prices import inline_prices
 from daybook.sources.files import read_transactions
 from daybook.streaming.microbatch import (
+    PriceVersions,
     daily_volume_batches,
     merged_daily_volume,
     run_daily_volume_stream,
@@ -55,10 +56,10 @@ def test_stream_equals_batch(spark, workdir):
 def test_replayed_batch_replaces_itself(spark, workdir):
     src = os.path.join(workdir, "src")
     _files(src, 1, 20)
-    lookup = os.path.join(workdir, "lookup")
-    inline_prices(spark, PRICES).write.parquet(lookup)
+    prices = PriceVersions(spark, workdir)
+    prices.take(inline_prices(spark, PRICES))
     partials, dead = os.path.join(workdir, "partials"), os.path.join(workdir, "dead")
-    fn = daily_volume_batches(lookup, partials, dead, broadcast=True)
+    fn = daily_volume_batches(prices, partials, dead)
     batch_df = read_transactions(spark, src)
     fn(batch_df, 0)
     once = spark.read.parquet(partials).count(), spark.read.parquet(dead).count()
