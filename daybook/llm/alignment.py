@@ -7,7 +7,7 @@ where both end cut the tokens into *groups*.
 
 Groups are found by diagonal run skipping: with the next tokens i of A and j of
 B right after a common end, the arrays are compared at the current shift j - i
-over windows of 1, 2, 4, ... entries, so a stretch of one-to-one tokens is
+over windows of 4, 8, 16, ... entries, so a stretch of one-to-one tokens is
 jumped in a number of slice comparisons logarithmic in its length; the window
 that differs is halved down to its first difference.  There the group is irregular
 and resolved token by token: the side that lags behind moves on until both end at the same
@@ -17,6 +17,11 @@ Two tokens are linked if their bytes overlap.  Inside a group of n and m tokens
 no inner end is common, so exactly n + m - 1 pairs overlap.  Links of equal id
 pairs are counted over the whole corpus.
 
+A is the vocabulary file's byte-pair encoding.  Where its merges are its tokens in the order of their ids, which is
+checked when the file is read, a text is encoded by ranks (tiktoken), which gives the same ids several times
+faster; texts with characters whose class depends on the Unicode version, or with runs of a thousand characters
+without or of nothing but white space, go through the file's own tokenizer.
+
 Each text is tokenised once: its figures and its distinct id pairs with their
 numbers are written to the shared folder.  Pair counts are summed per
 Arrow batch before the shuffle.  Counts go back to the texts in two ways: at most ``HOT`` pairs,
@@ -34,7 +39,9 @@ gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -45,7 +52,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.llm.common import chunks, materialise, replace_columns
+from daybook.llm.common import chunks, flat_bytes, materialise, replace_columns
 
 A_FILE = "/opt/tokenizers/byte_bpe_50k.json"
 B_FILE = "/opt/tokenizers/piece_bpe_32k.model"
@@ -54,8 +61,11 @@ CHUNK = 1 << 18          # text bytes tokenised together: bounds a task's memory
 SLICE = 1 << 17          # links in one piece of results
 B_BITS = 24              # room for an id of B in a pair's number: a << B_BITS | b
 MARK = "▁"
-
-Group = tuple[int, int, int, int]
+# Fixed value: how the byte-level pre-tokenizer of A cuts a text.
+CUTS = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: What only the file's own tokenizer takes: characters outside scripts that have long been settled, and long runs.
+UNSETTLED = re.compile("[^\x00-\u052f\u2000-\u206f\u20a0-\u20bf\u3000-\u30ff\u4e00-\u9fa5\uac00-\ud7a3\U0001f300-\U0001f64f]"
+                       r"|\s{1000}|\S{1000}")
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -87,16 +97,41 @@ class Tokens:
         pieces = [self.b.id_to_piece(i) for i in range(n)]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(MARK, " ").encode() for i, p in enumerate(pieces)]
         self.a_size, self.b_size = (np.array([len(x) for x in table], np.int64) for table in (self.a_bytes, self.b_bytes))
-        # The pieces of groups as text, for the digest.
-        self.a_text = [str(i) for i in range(len(self.a_bytes))]
-        self.b_text = [str(i) for i in range(n)]
+        self.ranks = self._ranks(a_file)
+        # For digests: every id with the mark after it, "," or (last of its side in a group) "|" and ";".
+        a, b = (list(map(str, range(size))) for size in (len(self.a_bytes), n))
+        self.b_at = 2 * len(a)
+        self.written = pa.array([x + mark for ids, marks in ((a, ",|"), (b, ",;")) for mark in marks for x in ids], pa.binary())
+
+    def _ranks(self, a_file: str):
+        """A as an encoding by ranks, if its merges are its tokens in the order of ids and its texts are cut by CUTS."""
+        import tiktoken
+
+        with open(a_file, encoding="utf-8") as fh:
+            spec = json.load(fh)
+        model, cut = spec["model"], spec.get("pre_tokenizer") or {}
+        plain = (model.get("type") == "BPE" and not spec.get("normalizer") and cut.get("type") == "ByteLevel" and cut.get("use_regex")
+                 and not cut.get("add_prefix_space") and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix",
+                                                                                       "end_of_word_suffix", "ignore_merges")))
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model.get("merges", [])]
+        vocabulary = model.get("vocab", {})
+        first = len(byte_alphabet())
+        if not plain or any(vocabulary.get("".join(m)) != first + k for k, m in enumerate(merges)):
+            return None
+        special = {t["content"] for t in spec.get("added_tokens", [])}
+        ranks = {self.a_bytes[i]: i for token, i in vocabulary.items() if token not in special}
+        return tiktoken.Encoding("ranks", pat_str=CUTS, mergeable_ranks=ranks, special_tokens={})
+
+    def encode_a(self, texts: list[str]) -> list[list[int]]:
+        if self.ranks is None:
+            return [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+        return [self.a.encode(t, add_special_tokens=False).ids if UNSETTLED.search(t) else self.ranks.encode_ordinary(t) for t in texts]
 
     def encode(self, texts: list[str]) -> Iterator[tuple[list[int], list[int]]]:
         """Ids of A and of B of each text; none of both where either does not give the text's bytes."""
         spaced = [" " + t for t in texts]
-        first = [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
         second = self.b.encode(texts, num_threads=1) if texts else []
-        for text, a, b in zip(spaced, first, second, strict=True):
+        for text, a, b in zip(spaced, self.encode_a(spaced), second, strict=True):
             raw = text.encode()
             same = len(raw) > 1 and b"".join([self.a_bytes[i] for i in a]) == raw and b"".join([self.b_bytes[i] for i in b]) == raw
             yield (a, b) if same else ([], [])
@@ -107,75 +142,91 @@ def tokens(a_file: str, b_file: str) -> Tokens:
     return Tokens(a_file, b_file)
 
 
-def groups(x: list[int], y: list[int]) -> Iterator[tuple[int, int, int, int, bool]]:
-    """Stretches (i, i2, j, j2, regular) of two ascending lists of ends with the same last one.
+def groups(x: list[int], y: list[int]) -> list[tuple[int, int, int, int]]:
+    """Of the groups of two ascending lists of ends with the same last one, those that are not one-to-one.
 
-    A regular stretch holds i2 - i one-to-one groups; another one is a single
-    group of the tokens i ... i2 of A and j ... j2 of B.
+    Each as (i, i2, j, j2): the tokens i ... i2 of the first and j ... j2 of the second list.  Between them lie
+    one-to-one groups alone.
     """
+    uneven: list[tuple[int, int, int, int]] = []
     i = j = 0
-    n, m = len(x), len(y)
+    n = len(x)
     while i < n:
-        width, a, b = 1, i, j
-        while a < n and x[a:a + width] == y[b:b + width]:
-            a, b, width = min(a + width, n), b + width, width * 2
-        # The window at a differs (or both lists are at their end): halve it down to the first difference.
-        while width > 1 and a < n:
-            width //= 2
-            if x[a:a + width] == y[b:b + width]:
-                a, b = a + width, b + width
-        if a > i:
-            yield i, a, j, j + a - i, True
-            i, j = a, j + a - i
-        if i < n:
-            a, b = i, j
-            while x[a] != y[b]:
-                if x[a] < y[b]:
-                    a += 1
-                else:
-                    b += 1
-            yield i, a + 1, j, b + 1, False
-            i, j = a + 1, b + 1
-
-
-def links(x: list[int], y: list[int], i: int, i2: int, j: int, j2: int) -> tuple[list[int], list[int]]:
-    """Places of the overlapping tokens of one group, which share no inner end."""
-    first, second = [i], [j]
-    while i + 1 < i2 or j + 1 < j2:
-        if x[i] < y[j]:
-            i += 1
-        else:
-            j += 1
-        first.append(i)
-        second.append(j)
-    return first, second
-
-
-def align(vocab: Tokens, a: list[int], b: list[int]) -> tuple[int, str, np.ndarray]:
-    """(number of groups, their digest, the pair numbers of all links) of one text's ids."""
+        width = 4
+        while i < n and x[i:i + width] == y[j:j + width]:
+            i += width
+            j += width
+            width += width
+        if i >= n:
+            break
+        # The window at i differs: halve it down to the first difference.
+        while width > 1:
+            width >>= 1
+            if x[i:i + width] == y[j:j + width]:
+                i += width
+                j += width
+        if i >= n:
+            break
+        a, b = i, j
+        p, q = x[i], y[j]
+        while p != q:
+            if p < q:
+                i += 1
+                p = x[i]
+            else:
+                j += 1
+                q = y[j]
+        i += 1
+        j += 1
+        uneven.append((a, i, b, j))
+    return uneven
+
+
+def _places(start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges start ... end."""
+    size = end - start
+    return np.arange(size.sum()) + np.repeat(start - np.cumsum(size) + size, size)
+
+
+def align(vocab: Tokens, a: list[int], b: list[int]) -> tuple[int, np.ndarray, np.ndarray]:
+    """(number of groups, what their digest is made of, the pair numbers of all links) of one text's ids.
+
+    The second is the row numbers in ``vocab.written`` whose texts, joined, are the groups' ids, each group ending in ``;``.
+    """
     if not a:
-        return 0, "", np.zeros(0, np.int64)
+        return 0, np.zeros(0, np.int64), np.zeros(0, np.int64)
     ids_a, ids_b = np.array(a, np.int64), np.array(b, np.int64)
-    x, y = np.cumsum(vocab.a_size[ids_a]).tolist(), np.cumsum(vocab.b_size[ids_b]).tolist()
-    at_a = [vocab.a_text[i] for i in a]
-    at_b = [vocab.b_text[i] for i in b]
-    parts: list[str] = []
-    first: list[int] = []
-    second: list[int] = []
-    count = 0
-    for i, i2, j, j2, regular in groups(x, y):
-        if regular:
-            count += i2 - i
-            parts += [f"{p}|{q}" for p, q in zip(at_a[i:i2], at_b[j:j2], strict=True)]
-            first += range(i, i2)
-            second += range(j, j2)
-        else:
-            count += 1
-            parts.append(",".join(at_a[i:i2]) + "|" + ",".join(at_b[j:j2]))
-            p, q = links(x, y, i, i2, j, j2)
-            first += p
-            second += q
-    return count, hashlib.sha256(";".join(parts).encode()).hexdigest(), ids_a[first] << B_BITS | ids_b[second]
+    x, y = np.cumsum(vocab.a_size[ids_a]), np.cumsum(vocab.b_size[ids_b])
+    uneven = np.array(groups(x.tolist(), y.tolist()), np.int64).reshape(-1, 4)
+    at_a, at_b = _places(uneven[:, 0], uneven[:, 1]), _places(uneven[:, 2], uneven[:, 3])
+    even_a, even_b = np.ones(len(a), bool), np.ones(len(b), bool)
+    even_a[at_a], even_b[at_b] = False, False
+    # Inside an uneven group every stretch between two ends, of either side, is one link: of the tokens that cover it.
+    cuts = np.union1d(x[at_a], y[at_b])
+    first, second = at_a[np.searchsorted(x[at_a], cuts)], at_b[np.searchsorted(y[at_b], cuts)]
+    pairs = np.concatenate((ids_a[even_a] << B_BITS | ids_b[even_b], ids_a[first] << B_BITS | ids_b[second]))
+    # Behind a group's last token of A come its tokens of B, then those of the next group.
+    even_a[uneven[:, 1] - 1], even_b[uneven[:, 3] - 1] = True, True
+    end_a, end_b = np.flatnonzero(even_a) + 1, np.flatnonzero(even_b) + 1
+    size_a, size_b = np.diff(end_a, prepend=0), np.diff(end_b, prepend=0)
+    row = np.empty(len(a) + len(b), np.int64)
+    row[np.arange(len(a)) + np.repeat(end_b - size_b, size_a)] = ids_a
+    row[np.arange(len(b)) + np.repeat(end_a, size_b)] = ids_b + vocab.b_at
+    row[end_a - 1 + end_b - size_b] += len(vocab.a_bytes)
+    row[end_b - 1 + end_a] += len(vocab.b_bytes)
+    return len(end_a), row, pairs
+
+
+def digests(vocab: Tokens, rows: list[np.ndarray]) -> list[str]:
+    """SHA-256 of each text's groups as text, without the last ``;``; '' for a text without tokens."""
+    raw, offsets = flat_bytes(vocab.written.take(pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int64))))
+    data = memoryview(np.ascontiguousarray(raw))
+    ends = offsets[np.cumsum([len(r) for r in rows])] if rows else []
+    out, start = [], 0
+    for end in ends:
+        out.append(hashlib.sha256(data[start:end - 1]).hexdigest() if end > start else "")
+        start = end
+    return out
 
 
 NAMES = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
@@ -192,7 +243,8 @@ def _aligned(rows: DataFrame, at: int, a_file: str, b_file: str) -> DataFrame:
         size = np.concatenate(([0], np.cumsum([len(f[5]) for f in found]))).astype(np.int32)
         lists = [pa.ListArray.from_arrays(pa.array(size), pa.array(np.concatenate([f[k] for f in found]), t))
                  for k, t in ((5, pa.int64()), (6, pa.int32()))]
-        plain = [pa.array([f[k] for f in found], pa.string() if k == 4 else pa.int64()) for k in range(5)]
+        plain = [pa.array([f[k] for f in found], pa.int64()) for k in range(4)]
+        plain.append(pa.array(digests(tokens(a_file, b_file), [f[4] for f in found]), pa.string()))
         return pa.RecordBatch.from_arrays([*(c for k, c in enumerate(part.columns) if k != at), *plain, *lists], schema.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,9 +255,9 @@ def _aligned(rows: DataFrame, at: int, a_file: str, b_file: str) -> DataFrame:
                 found: list[tuple] = []
                 start, total = x, 0
                 for k, (a, b) in enumerate(vocab.encode(column.slice(x, y - x).to_pylist())):
-                    n, digest, pair = align(vocab, a, b)
+                    n, row, pair = align(vocab, a, b)
                     kinds, times = np.unique(pair, return_counts=True)
-                    found.append((len(a), len(b), n, len(pair), digest, kinds, times))
+                    found.append((len(a), len(b), n, len(pair), row, kinds, times))
                     total += len(kinds)
                     if total >= SLICE:
                         yield batch_of(batch.slice(start, x + k + 1 - start), found)

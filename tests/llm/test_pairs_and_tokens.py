@@ -259,15 +259,26 @@ def test_groups_by_skipping():
         if common < 0.5:
             cuts[1] = [c for c in cuts[0] if rng.random() < 0.95 or c == n]
         x, y = cuts
-        got = []
-        for i, i2, j, j2, regular in alignment.groups(x, y):
-            got += [((k,), (j + k - i,)) for k in range(i, i2)] if regular else [(tuple(range(i, i2)), tuple(range(j, j2)))]
         both = sorted(set(x) & set(y))
         want, last = [], 0
         for c in both:
             want.append(tuple(tuple(k for k, e in enumerate(side) if last < e <= c) for side in (x, y)))
             last = c
-        assert got == want
+        uneven = [(p[0], p[-1] + 1, q[0], q[-1] + 1) for p, q in want if len(p) + len(q) > 2]
+        assert alignment.groups(x, y) == uneven
+
+
+def test_encoding_by_ranks_is_that_of_the_file():
+    vocab = alignment.tokens(alignment.A_FILE, alignment.B_FILE)
+    rng = random.Random(8)
+    signs = "ab Éß'тя語가 \n\t\u00a0123½²٣.,;!?’“”—€😀🙂ﬁ\u2028\u0378\U0001fa80ꟊ\x00\x85'll's"
+    texts = ["".join(rng.choices(signs, k=rng.randint(0, 60))) for _ in range(2000)]
+    texts += [t for t in HARD_TEXTS if t] + [" " * 3000 + "x", "x" * 5000, "\n" * 2000, prose(400, 3)]
+    assert vocab.ranks is not None
+    want = [vocab.a.encode(t, add_special_tokens=False).ids for t in texts]
+    assert vocab.encode_a(texts) == want
+    settled = [k for k, t in enumerate(texts) if not alignment.UNSETTLED.search(t)]
+    assert len(settled) > 20 and [vocab.ranks.encode_ordinary(texts[k]) for k in settled] == [want[k] for k in settled]
 
 
 def test_alignment_of_hard_rows(spark):
