@@ -3,16 +3,18 @@
 A page is cut into blocks at block-level tags.  Regions that are never article
 text (navigation, site headers and footers, asides, forms, scripts, styles,
 hidden parts, and elements whose class, id or role says menu, advert, notice,
-comments and the like) are left out by their markup; on a page without article
+comments and the like) are left out by their markup.  On a page without article
 or main element a class, id or role does not leave out what holds most of the
-page's text outside links.  The remaining blocks go through two passes:
+page's text outside links; inside an article one that says something else as well
+(``share-price-table``) leaves out only what is short or mostly links.  The remaining blocks go through two passes:
 
 1. context-free: link density, length and stop-word density make a block good,
-   bad or short; inside an article or main element only a block that consists
-   of links is bad;
+   bad or short; inside an article or main element text is good whatever its length, blocks in
+   a row that consist of links are bad, and a short one of links that stands alone counts as short;
 2. context-sensitive: a short block takes the label of its nearest decided
    neighbours, before and after; where they differ, the nearer one's, and at
-   equal distance good.  A short block without a decided neighbour is good.
+   equal distance good.  A short block without a decided neighbour is good.  Blocks
+   inside and outside of articles are no neighbours of each other.
 
 Where few of the long blocks have stop words of a listed language, a block
 that is not short is good without them.  If article or main elements hold most of
@@ -54,6 +56,10 @@ OUTSIDE_WORDS = frozenset(
     "cookie cookies consent copyright disclaimer disqus footer gdpr login masthead menu modal nav navbar navigation "
     "newsletter notice notices pager pagination popup promo promos promoted promotion related respond search share "
     "sharing sidebar signup social sponsor sponsored subscribe subscription toolbar widget widgets".split())
+# Words that say nothing about what a region holds.
+PLAIN_WORDS = frozenset(
+    "area bar block body bottom box btn button buttons container content form group header inner item items layout left "
+    "link links list main module outer panel post posts right row section small text title top unit wrap wrapper".split())
 # Frequent function words of English, German, French and Spanish.
 STOP_WORDS = frozenset(
     "a about after all also an and are as at be been but by can could do for from had has have he her his if in into "
@@ -68,6 +74,7 @@ STOP_WORDS = frozenset(
 
 LINK_SHARE = 0.5        # a block with more of its characters in links is bad
 SHORT, LONG = 70, 200   # characters
+SMALL = 50              # characters without white space of a region
 FEW_STOPS, MANY_STOPS = 0.15, 0.30
 LISTED = 0.25           # share of the long blocks' characters in blocks with stop words, below which no listed language fits
 
@@ -97,6 +104,16 @@ def _outside(tag: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
+def _sure(attributes: str) -> bool:
+    """Does a class, id or role name nothing but a region outside the article (``cookie-notice``, not ``share-price-table``)?"""
+    for found in NAMED.findall(attributes):
+        for name in (found[0] or found[1] or found[2]).split():
+            words = {p.lower() for p in PARTS.findall(name)}
+            if words & OUTSIDE_WORDS and words <= OUTSIDE_WORDS | PLAIN_WORDS:
+                return True
+    return False
+
+
 def _plain(part: str) -> tuple[int, int]:
     """Characters of a part of a page without white space, tags and scripts: outside links, in links."""
     part = UNSEEN.sub(" ", part)
@@ -135,8 +152,17 @@ def _blocks(page: str) -> list[tuple[str, int, bool, bool]]:
     page_chars: int | None = None
 
     def holds_text(tag: str, attributes: str, end: int) -> bool:
-        """Most of an unmarked page's text, in a region that its class, id or role alone would leave out?"""
+        """Text in a region that its class, id or role alone would leave out?
+
+        Inside an article: text of some length, few of its characters in links, under a name that says something else as well.
+        On a page that marks no article: most of the page's text.
+        """
         nonlocal page_chars
+        if article and tag not in SKIPPED_TAGS and not HIDDEN.search(attributes):
+            if _sure(attributes):
+                return False
+            own, linked = _plain(page[at:end])
+            return own >= SMALL and linked <= LINK_SHARE * (own + linked)
         if tag in SKIPPED_TAGS or tag == "header" or HIDDEN.search(attributes) or ARTICLE.search(page):
             return False
         if page_chars is None:
@@ -206,12 +232,17 @@ def _listed(blocks: list[tuple[str, int, bool, bool]]) -> bool:
     return sum(len(t) for t in long if _stops(t) >= FEW_STOPS) >= LISTED * sum(map(len, long))
 
 
-def _context_free(text: str, link_chars: int, in_article: bool, heading: bool, listed: bool = True) -> str:
-    """good, bad or short."""
+def _in_article(blocks: list[tuple[str, int, bool, bool]]) -> list[str]:
+    """good, bad or short for the blocks of a marked article: text stays, link lists go, a lone linked block is as its neighbours."""
+    linked = [b[1] > LINK_SHARE * len(b[0]) for b in blocks]
+    near = [a or b for a, b in zip([False, *linked], [*linked[1:], False][:len(linked)], strict=False)]
+    return ["good" if not x else "bad" if n or len(b[0]) >= SHORT else "short" for b, x, n in zip(blocks, linked, near, strict=True)]
+
+
+def _context_free(text: str, link_chars: int, listed: bool = True) -> str:
+    """good, bad or short, for blocks outside marked articles."""
     if link_chars > LINK_SHARE * len(text):
         return "bad"
-    if in_article:
-        return "short" if len(text) < SHORT and not heading else "good"
     if len(text) < SHORT:
         return "short"
     stops = _stops(text)
@@ -248,14 +279,18 @@ def _settle(labels: list[str]) -> list[bool]:
 def main_text(page: str | None) -> str:
     """The article text of one page."""
     blocks = _blocks(page) if page else []
-    listed = _listed([b for b in blocks if not b[2]])
-    keep = _settle([_context_free(*b, listed) for b in blocks])
-    marked = sum(len(b[0]) for b, k in zip(blocks, keep, strict=True) if k and b[2])
-    if marked and 2 * marked >= sum(len(b[0]) for b, k in zip(blocks, keep, strict=True) if k):
+    inside, outside = [b for b in blocks if b[2]], [b for b in blocks if not b[2]]
+    # Short blocks inherit from their own side of an article's border only.
+    kept_inside = _settle(_in_article(inside))
+    listed = _listed(outside)
+    kept_outside = _settle([_context_free(b[0], b[1], listed) for b in outside])
+    marked, rest = (sum(len(b[0]) for b, k in zip(side, kept, strict=True) if k)
+                    for side, kept in ((inside, kept_inside), (outside, kept_outside)))
+    if marked and marked >= rest:
         # A page that marks its article: what stands outside it is not part of it.
-        blocks = [b for b in blocks if b[2]]
-        keep = _settle([_context_free(*b) for b in blocks])
-    return "\n\n".join(b[0] for b, k in zip(blocks, keep, strict=True) if k)
+        return "\n\n".join(b[0] for b, k in zip(inside, kept_inside, strict=True) if k)
+    sides = {True: iter(kept_inside), False: iter(kept_outside)}
+    return "\n\n".join(b[0] for b in blocks if next(sides[b[2]]))
 
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
