@@ -62,6 +62,24 @@ SENTENCES: dict[str, str] = {
     "bsd-redistribution": "redistribution and use in source and binary forms with or without modification are "
     "permitted provided that the following conditions are met",
     "bsd-licensed": "licensed under the bsd license",
+    "bsd-source": "redistributions of source code must retain the above copyright notice this list of conditions and the "
+    "following disclaimer",
+    "bsd-binary": "redistributions in binary form must reproduce the above copyright notice this list of conditions and the "
+    "following disclaimer in the documentation and or other materials provided with the distribution",
+    "bsd-endorse": "neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+    "promote products derived from this software without specific prior written permission",
+    "lgpl-free": "this library is free software",
+    "lgpl-2.1-redistribute": "you can redistribute it and or modify it under the terms of the gnu lesser general public license "
+    "as published by the free software foundation either version 2.1 of the license or at your option any later version",
+    "lgpl-3-redistribute": "you can redistribute it and or modify it under the terms of the gnu lesser general public license "
+    "as published by the free software foundation either version 3 of the license or at your option any later version",
+    "agpl-3-redistribute": "you can redistribute it and or modify it under the terms of the gnu affero general public license "
+    "as published by the free software foundation either version 3 of the license or at your option any later version",
+    "epl-2-terms": "this program and the accompanying materials are made available under the terms of the eclipse public license 2.0",
+    "epl-2-licensed": "licensed under the eclipse public license version 2.0",
+    "eupl-1.2": "licensed under the eupl version 1.2",
+    "boost": "distributed under the boost software license version 1.0",
+    "zlib-altered": "altered source versions must be plainly marked as such and must not be misrepresented as being the original software",
     "isc-grant": "permission to use copy modify and or distribute this software for any purpose with or without fee is "
     "hereby granted provided that the above copyright notice and this permission notice appear in all copies",
     "unlicense": "this is free and unencumbered software released into the public domain",
@@ -77,12 +95,41 @@ SENTENCES: dict[str, str] = {
     "cc-by-nc-work": "this work is licensed under a creative commons attribution noncommercial 4.0 international license",
 }
 
-# Ordered rules, licence by identifier sequence; longer sequences first.
-RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
+# Licence identifiers that a line ``SPDX-License-Identifier: ...`` may name, and older names of some.
+SPDX_IDS = (
+    "0BSD AFL-3.0 AGPL-3.0-only AGPL-3.0-or-later Apache-1.1 Apache-2.0 Artistic-2.0 BSD-2-Clause BSD-3-Clause BSL-1.0 CC-BY-4.0 "
+    "CC-BY-SA-4.0 CC0-1.0 CDDL-1.0 EPL-1.0 EPL-2.0 EUPL-1.2 GPL-2.0-only GPL-2.0-or-later GPL-3.0-only GPL-3.0-or-later ISC "
+    "LGPL-2.1-only LGPL-2.1-or-later LGPL-3.0-only LGPL-3.0-or-later MIT MIT-0 MPL-2.0 MS-PL OFL-1.1 PostgreSQL "
+    "Unlicense WTFPL Zlib").split()
+SPDX_OLD = {"AGPL-3.0": "AGPL-3.0-only", "GPL-2.0": "GPL-2.0-only", "GPL-2.0+": "GPL-2.0-or-later", "GPL-3.0": "GPL-3.0-only",
+            "GPL-3.0+": "GPL-3.0-or-later", "LGPL-2.1": "LGPL-2.1-only", "LGPL-2.1+": "LGPL-2.1-or-later", "LGPL-3.0": "LGPL-3.0-only",
+            "LGPL-3.0+": "LGPL-3.0-or-later"}
+
+
+def _spdx_lines() -> dict[str, tuple[str, str]]:
+    """Sentence identifier of each SPDX line, with the line, normalised, and its licence.
+
+    A plus sign is lost in normalising, so an older name with one reads like the name without; the plain one holds.
+    """
+    lines = {}
+    for name, meant in {**{n: n for n in SPDX_IDS}, **{n: m for n, m in SPDX_OLD.items() if "+" not in n}}.items():
+        lines[f"spdx-{name.lower()}"] = (f"spdx license identifier {' '.join(re.split('[^a-z0-9.]+', name.lower()))}", meant)
+    return lines
+
+
+SENTENCES |= {key: line for key, (line, _) in _spdx_lines().items()}
+
+# Ordered rules, licence by identifier sequence; longer sequences are put first.
+_ORDERED: tuple[tuple[str, tuple[str, ...]], ...] = (
+    ("BSD-3-Clause", ("bsd-redistribution", "bsd-source", "bsd-binary", "bsd-endorse")),
     ("Apache-2.0", ("apache-2-notice", "apache-2-comply", "apache-2-obtain", "apache-2-disclaim", "apache-2-see")),
     ("MIT", ("mit-grant", "mit-include", "mit-warranty")),
     ("GPL-3.0-or-later", ("gpl-free", "gpl-3-redistribute", "gpl-hope")),
     ("GPL-2.0-or-later", ("gpl-free", "gpl-2-redistribute", "gpl-hope")),
+    ("LGPL-2.1-or-later", ("lgpl-free", "lgpl-2.1-redistribute")),
+    ("LGPL-3.0-or-later", ("lgpl-free", "lgpl-3-redistribute")),
+    ("AGPL-3.0-or-later", ("gpl-free", "agpl-3-redistribute")),
+    ("BSD-2-Clause", ("bsd-redistribution", "bsd-source", "bsd-binary")),
     ("Apache-2.0", ("apache-2-notice", "apache-2-comply")),
     ("GPL-3.0-or-later", ("gpl-free", "gpl-3-redistribute")),
     ("GPL-2.0-or-later", ("gpl-free", "gpl-2-redistribute")),
@@ -113,16 +160,25 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("CC-BY-4.0", ("cc-by-work",)),
     ("CC-BY-SA-4.0", ("cc-by-sa-work",)),
     ("CC-BY-NC-4.0", ("cc-by-nc-work",)),
+    ("EPL-2.0", ("epl-2-terms",)),
+    ("EPL-2.0", ("epl-2-licensed",)),
+    ("EUPL-1.2", ("eupl-1.2",)),
+    ("BSL-1.0", ("boost",)),
+    ("Zlib", ("zlib-altered",)),
+    *((meant, (key,)) for key, (_, meant) in _spdx_lines().items()),
 )
+RULES = tuple(sorted(_ORDERED, key=lambda r: -len(r[1])))
 
 #: Every known sentence holds one of these; texts without any are not cut into sentences.
-ANCHOR = r"(?i)licen|permi|warrant|free\W+software|public\W+domain|redistribut"
+ANCHOR = r"(?i)licen|permi|warrant|free\W+software|public\W+domain|redistribut|eupl|altered source"
 SENTENCE_END = "([.!?;])[ \\t]+"
+#: A semicolon that older notices have inside a sentence.
+INNER = "(?i);(\\s+(?:[^\\p{L}\\p{N}\\s]+\\s+)?either\\s+(?:[^\\p{L}\\p{N}\\s]+\\s+)?version)"
 NOISE = "[^\\p{L}\\p{N}.]+"
 
 # Wrapped text.  Signs around a definition in brackets and quotes; a text's own are taken out first.
 OPEN, CLOSE = "\x01", "\x02"
-DEFINITION = r"\\(([^\\p{L}\\p{N}()]*(?:the[^\\p{L}\\p{N}()]+)?[\"“”‘’\\x{27}][\\p{L}\\p{N}\\s#*/]{1,60}[\"“”‘’\\x{27}][^\\p{L}\\p{N}()]*)\\)"
+DEFINITION = r"\\(([^\\p{L}\\p{N}()]*(?:the[^\\p{L}\\p{N}()]+)?[\"“”‘’\\x{27}][\\p{L}\\p{N}\\s#*/]+[\"“”‘’\\x{27}][^\\p{L}\\p{N}()]*)\\)"
 #: The address follows in its own paragraph, often after a blank line.
 AT_ADDRESS = r"(\\blicense[^\\p{L}\\p{N}]+at)[^\\p{L}\\p{N}]+(?=https?:)"
 #: Lines are not joined over a sentence end; the full stop of ``v. 2.0`` is none.
@@ -136,8 +192,10 @@ def _wrapped() -> dict[str, str]:
     for name, sentence in SENTENCES.items():
         forms[sentence] = f"<{name}>"
         forms[sentence.replace("files the software to deal", "files to deal")] = f"<{name}>"
-    for name in ("gpl-3-redistribute", "gpl-2-redistribute"):
-        forms[f"{SENTENCES['gpl-free']} {SENTENCES[name]}"] = f"<gpl-free><{name}>"
+    for free, names in (("gpl-free", ("gpl-3-redistribute", "gpl-2-redistribute", "agpl-3-redistribute")),
+                        ("lgpl-free", ("lgpl-2.1-redistribute", "lgpl-3-redistribute"))):
+        for name in names:
+            forms[f"{SENTENCES[free]} {SENTENCES[name]}"] = f"<{free}><{name}>"
     return forms
 
 
@@ -159,7 +217,7 @@ def sentence_ids(text: str) -> Column:
     found = _literals(forms.values())
     pattern = "(?<=\\n)(?:<[^>]*>|" + "|".join(_over_lines(f) for f in forms) + ")(?=\\n)"
     marked = f"""
-        regexp_replace(regexp_replace(translate({text}, '{OPEN}{CLOSE}', '\x03\x03'), '(?i){AT_ADDRESS}', '$1 '),
+        regexp_replace(regexp_replace(regexp_replace(translate({text}, '{OPEN}{CLOSE}', '\x03\x03'), r'{INNER}', ',$1'), '(?i){AT_ADDRESS}', '$1 '),
             '(?i){DEFINITION}', '{OPEN}$1{CLOSE}')"""
     cut = f"""
         split(regexp_replace(regexp_replace({marked}, '(?i){HARD_END}', '$1\n\n'), r'{SENTENCE_END}', '$1\n'), '\\r\\n?|\\n')"""
@@ -211,7 +269,7 @@ def oracle(table: str = "documents") -> str:
         names.append(f"CASE WHEN s{k} <> s{k + 1} THEN '{name}' END")
     return f"""
 WITH cut AS (
-  SELECT doc_id, string_split_regex(regexp_replace(text, '{SENTENCE_END}', E'\\\\1\\n', 'g'), '[\\r\\n]+') AS parts
+  SELECT doc_id, string_split_regex(regexp_replace(regexp_replace(text, '{INNER}', E',\\\\1', 'g'), '{SENTENCE_END}', E'\\\\1\\n', 'g'), '[\\r\\n]+') AS parts
   FROM documents),
 known AS (
   SELECT doc_id, coalesce(array_to_string(list_transform(
