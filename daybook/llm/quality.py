@@ -168,28 +168,40 @@ def fit(docs: DataFrame, labels: DataFrame, eligible: Callable[[Column], Column]
                 part, batch = batch.slice(0, m), batch.slice(m)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array([r.tobytes() for r in x], pa.binary())],
-                    ["doc_id", "label", "x"])
+                    ["mark", "label", "x"])
 
-    # Bounded: at most ``limit`` rows of TERMS + SHAPES half floats (repeated documents count once).
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The labelled vectors' main directions, and the vectors along them: one task's work on a bounded sample."""
+        parts, y = [], []
+        for batch in batches:
+            parts.append(np.frombuffer(b"".join(batch.column(2).to_pylist()), np.float16).reshape(len(batch), -1))
+            y += batch.column(1).to_pylist()
+        if not y:
+            return
+        gram = np.zeros((TERMS + SHAPES, TERMS + SHAPES), np.float32)
+        for part in parts:
+            for i in range(0, len(part), 512):
+                x = part[i:i + 512].astype(np.float32)
+                gram += x.T @ x
+        _, basis = np.linalg.eigh(gram)
+        directions = np.ascontiguousarray(basis[:, ::-1][:, :dims]).astype(np.float32)
+        vectors = np.concatenate([part[i:i + 512].astype(np.float32) @ directions for part in parts for i in range(0, len(part), 512)])
+        names = ["labels", "directions", "vectors"]
+        values = [np.array(y, np.int64).tobytes(), directions.tobytes(), _unit(vectors).tobytes()]
+        yield pa.RecordBatch.from_arrays([pa.array([v], pa.binary()) for v in values], names)
+
+    # Bounded: at most ``limit`` rows of TERMS + SHAPES half floats (repeated documents count once) in the task, and
+    # ``limit`` + TERMS + SHAPES rows of ``dims`` single floats on the driver.
     rows = (docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
             .groupBy("doc_id", "label").agg(F.max("text").alias("text"))
-            .select("doc_id", "label", "text").mapInArrow(counted, "doc_id long, label int, x binary")
-            .orderBy(F.xxhash64("doc_id"), "doc_id").toArrow())
-    y = rows.column("label").to_numpy().astype(np.int64)
-    if not len(y):
-        return QualityModel(idf, np.zeros((TERMS + SHAPES, dims), np.float32), np.zeros((0, dims), np.float32), y, k)
-    # Batch by batch, so that the driver holds the half floats and one Gram matrix, not the whole in single floats.
-    parts = [np.frombuffer(b"".join(c.to_pylist()), np.float16).reshape(len(c), -1) for c in rows.column("x").chunks if len(c)]
-    del rows
-    gram = np.zeros((TERMS + SHAPES, TERMS + SHAPES), np.float32)
-    for part in parts:
-        for i in range(0, len(part), 512):
-            x = part[i:i + 512].astype(np.float32)
-            gram += x.T @ x
-    _, basis = np.linalg.eigh(gram)
-    directions = np.ascontiguousarray(basis[:, ::-1][:, :dims]).astype(np.float32)
-    vectors = np.concatenate([part[i:i + 512].astype(np.float32) @ directions for part in parts for i in range(0, len(part), 512)])
-    return QualityModel(idf, directions, _unit(vectors), y, k)
+            .select(F.xxhash64("doc_id").alias("mark"), "label", "text").mapInArrow(counted, "mark long, label int, x binary")
+            .repartition(1).sortWithinPartitions("mark", "x").mapInArrow(fitted, "labels binary, directions binary, vectors binary"))
+    found = rows.first()
+    if found is None:
+        return QualityModel(idf, np.zeros((TERMS + SHAPES, dims), np.float32), np.zeros((0, dims), np.float32), np.zeros(0, np.int64), k)
+    directions = np.frombuffer(bytes(found.directions), np.float32).reshape(TERMS + SHAPES, -1)
+    return QualityModel(idf, directions, np.frombuffer(bytes(found.vectors), np.float32).reshape(-1, directions.shape[1]),
+                        np.frombuffer(bytes(found.labels), np.int64), k)
 
 
 def score(docs: DataFrame, model: QualityModel, text_col: str = "text") -> DataFrame:
