@@ -12,9 +12,11 @@ they are not), so the cost does not grow with weights.
 
 ``BANDS`` x ``ROWS`` slots are hashed into buckets (a pair of similarity 0.8
 shares one but for 1 in 30,000).  Inside a bucket texts are compared with a
-leader, not with each other; links of at least 0.8, verified exactly on the
-multisets, are joined into components.  Buckets that still hold several
-components get further leaders, and at last pairs between different components.
+leader, not with each other, and each text at first only with one, the first of its
+buckets' leaders; links of at least 0.8, verified exactly on the
+multisets, are joined into components.  Texts in buckets that still hold several
+components meet the first leaders of other components in another order, and at last
+those pairs between different components that are still open are compared.
 Members of one component are never paired, and a text is only paired at last if
 it can have a partner: of texts with weights n and m, of which c and d lie on
 shingles that any other text in question has, the overlap is at most min(c, d),
@@ -40,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from daybook.llm.common import bags, chunks, materialise, mix64, replace_columns, text_bytes, uniform, word_hashes
+from daybook.llm.common import bags, chunks, join_counted, materialise, mix64, replace_columns, text_bytes, uniform, word_hashes
 from daybook.llm.graph import components
 
 SHINGLE = 5
@@ -48,8 +50,8 @@ SIMILARITY = 0.8
 ROWS, BANDS = 5, 26
 SLOTS = ROWS * BANDS
 CHUNK = 1 << 20           # text bytes whose signatures are made together
-LEADERS = 2               # rounds with a leader in each bucket
-SALT_ROWS = 2_000         # members compared with one leader in one task, about
+PAIRS = (1, BANDS, BANDS)  # in each round with leaders: how many of them a text is compared with, at most
+SALT_ROWS = 200           # members compared with one leader in one task, about
 ROUNDING = 1e-9           # relative room for rounding in bounds on overlaps; the exact check follows
 
 STRIDE = np.uint64(0x9E3779B97F4A7C15)
@@ -194,8 +196,26 @@ def _open_buckets(buckets: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _several(rows: DataFrame) -> DataFrame:
-    bands_ = rows.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
-    return rows.join(bands_.select("band"), "band", "left_semi")
+    rows = materialise(rows, "members")
+    bands_ = rows.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("n_rows"))
+    return join_counted(rows, materialise(bands_.where("low <> high").select("band", "n_rows"), "bands"), "band").select("band", "node", *[
+        c for c in rows.columns if c not in ("band", "node")])
+
+
+def _with_leaders(members: DataFrame, turn: int) -> DataFrame:
+    """Pairs (x, y, a, b) of the texts of open buckets (band, node, comp) with the first PAIRS[turn] leaders of theirs.
+
+    A bucket's leader is its first text, by number in the first turn, by a hash of number and turn later.
+    """
+    rank = F.col("node") if turn == 0 else F.xxhash64("node", F.lit(turn))
+    lead = materialise(members.groupBy("band").agg(F.min(F.struct(rank.alias("rank"), "node", "comp")).alias("lead"),
+                                                   F.count("*").alias("n_rows")), "leaders")
+    # The leaders of a text's buckets are gathered before anything else moves; a text has BANDS of them at most.
+    met = (join_counted(members, lead, "band").where("comp <> lead.comp").groupBy("node")
+           .agg(F.slice(F.sort_array(F.collect_set("lead")), 1, PAIRS[turn]).alias("leads")))
+    pairs = met.select("node", F.explode("leads.node").alias("lead"))
+    return pairs.select(F.least("node", "lead").alias("x"), F.greatest("node", "lead").alias("y"),
+                        F.col("lead").alias("a"), F.col("node").alias("b"))
 
 
 def _weights(nodes: DataFrame, texts: DataFrame) -> DataFrame:
@@ -239,25 +259,17 @@ def classes(docs: DataFrame, text_col: str = "text", similarity: float = SIMILAR
              .withColumn("node", F.monotonically_increasing_id()))
     nodes = materialise(nodes, "nodes")  # numbers are fixed from here
     exploded = nodes.select("node", F.explode("bands").alias("band"))
-    shared = exploded.groupBy("band").count().where("count > 1").select("band")
-    buckets = materialise(exploded.join(shared, "band"), "buckets")
+    shared = materialise(exploded.groupBy("band").agg(F.count("*").alias("n_rows")).where("n_rows > 1"), "shared")
+    buckets = materialise(join_counted(exploded, shared, "band").select("band", "node"), "buckets")
     # One text for each node that may have a link; copies of a text are one row a task before the shuffle.
     wanted = buckets.select("node").distinct().join(nodes.select("node", "key"), "node")
     texts = materialise(source.groupBy("key").agg(F.first("text").alias("text")).join(wanted, "key")
                         .select("node", "text"), "texts")
     links = done = None
     labels = spark.createDataFrame([], "node long, comp long")
-    for turn in range(LEADERS + 1):
+    for turn in range(len(PAIRS) + 1):
         members = materialise(_open_buckets(buckets, labels), "open")
-        if turn < LEADERS:
-            # Leaders differ from turn to turn: the smallest node, then by a hash of node and turn.
-            rank = F.col("node") if turn == 0 else F.xxhash64("node", F.lit(turn))
-            chosen = members.groupBy("band").agg(F.min_by(F.struct("node", "comp"), rank).alias("lead"))
-            pairs = members.join(chosen, "band").where("comp <> lead.comp").select(
-                F.least("node", "lead.node").alias("x"), F.greatest("node", "lead.node").alias("y"),
-                F.col("lead.node").alias("a"), F.col("node").alias("b"))
-        else:
-            pairs = _possible(members, texts, similarity)
+        pairs = _with_leaders(members, turn) if turn < len(PAIRS) else _possible(members, texts, similarity)
         pairs = pairs.dropDuplicates(["x", "y"])
         if done is not None:
             pairs = pairs.join(done, ["x", "y"], "left_anti")

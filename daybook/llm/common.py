@@ -16,6 +16,8 @@ from daybook.session import scratch_path
 CHUNK_BYTES = 1 << 20
 #: Rows in one Arrow batch, at most.
 ARROW_ROWS = 1_000
+#: Keys of a join whose facts are broadcast, at most, and rows from which a key can be one of them.
+HOT_KEYS, HOT_ROWS = 50_000, 1_000
 
 #: A-Z to a-z, every ASCII byte that is no letter or digit to a blank; bytes of
 #: other characters stay.  ``bytes.translate(FOLD).split()`` then gives the runs
@@ -63,6 +65,27 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def join_counted(rows: DataFrame, facts: DataFrame, key: str) -> DataFrame:
+    """``rows`` joined on ``key`` with ``facts``, which has one row a key and in ``n_rows`` how many of the rows have it.
+
+    The facts of keys with more than 1 / HOT_KEYS of all rows, at most HOT_KEYS by pigeonhole, are broadcast, and the rows of
+    those keys stay where they are; the rest meets by a shuffle in which no key is large.  Both inputs should be tables.
+    """
+    total = facts.agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0]
+    limit = max(HOT_ROWS, int(total) // HOT_KEYS)
+    hot = facts.where(F.col("n_rows") > limit)
+    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti")
+    return rows.join(F.broadcast(hot), key).unionByName(rest.join(facts.where(F.col("n_rows") <= limit), key))
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it as long as a column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def append_in_slices(df: DataFrame, size_of: Callable[[pa.RecordBatch], np.ndarray],
                      make: Callable[[pa.RecordBatch], list[pa.Array]], fields: str, limit: int) -> DataFrame:
     """``df`` with the columns ``fields`` (DDL) that ``make`` computes from its rows.
