@@ -29,7 +29,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import materialise, replace_columns, text_bytes, words_of
+from daybook.llm.common import fresh, materialise, replace_columns, text_bytes, words_of
 
 WINDOW = 10
 SHARD_WORDS = 100_000
@@ -238,13 +238,14 @@ def track_overlap(docs: DataFrame, items: DataFrame, text_col: str = "text", win
     shard = dealt(shards)
     out = replace_columns(docs, "n_words", "n_hit", "items", "spans", "cleaned")
     keep = [F.col(f"`{c}`") for c in out.columns]
+    hits = fresh(out, "_hits")
     spans, listed = F.lit(None).cast("array<struct<first:int,last:int>>"), F.lit(None).cast("array<string>")
     for s in range(shards):
         # Bounded: one shard holds about shard_words words, and not more than twice that.
         rows = items.where(shard == s).collect()
         sam = SuffixAutomaton([(r.item_id, words_of(r.text.encode())) for r in rows], window)
         track = _tracker(spark.sparkContext.broadcast(sam), min_words, max_share)
-        out = out.select(*keep, track(F.col(text_col), spans, listed).alias("_hits")).select(*keep, "_hits.*")
+        out = out.select(*keep, track(F.col(text_col), spans, listed).alias(hits)).select(*keep, f"{hits}.*")
         spans, listed = F.col("spans"), F.col("items")
         if s < shards - 1:
             out = materialise(out, "decontaminate")

@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import append_in_slices, chunks, flat_bytes, mix64, replace_columns, uniform
+from daybook.llm.common import append_in_slices, chunks, flat_bytes, fresh, mix64, replace_columns, uniform
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 ALPHA = 1.0
@@ -43,7 +43,7 @@ SLICE = 4 << 20            # text bytes in one piece of results
 RANK_SHIFT = 10.0          # p(rank) is proportional to 1 / (rank + RANK_SHIFT)
 MARK = "▁"
 STEP, PLACE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)  # odd strides of the random streams
-HASH = 0x9E3779B1
+HASH = 0x9E3779B97F4A7C15
 
 
 class Vocabulary:
@@ -88,11 +88,12 @@ class Vocabulary:
 
     def _file(self, trie: dict[int, int]) -> None:
         """The trie's steps as an open-addressing hash table, for array look-ups."""
-        size = 1 << 20
-        self.step_key, self.step_to = np.full(size, -1, np.int32), np.zeros(size, np.int32)
+        self.bits = max(20, (2 * len(trie)).bit_length())  # at most half full
+        size = 1 << self.bits
+        self.step_key, self.step_to = np.full(size, -1, np.int64), np.zeros(size, np.int32)
         self.probes = 1
         for key, to in trie.items():
-            slot = key * HASH % (1 << 32) >> 12
+            slot = (key * HASH & 0xFFFFFFFFFFFFFFFF) >> (64 - self.bits)
             probe = 1
             while self.step_key[slot] >= 0:
                 slot = (slot + 1) % size
@@ -102,14 +103,14 @@ class Vocabulary:
 
     def _step(self, state: np.ndarray, byte: np.ndarray) -> np.ndarray:
         """The trie nodes that the bytes lead to, -1 where none."""
-        key = state << 8 | byte
-        slot = (key.astype(np.uint32) * np.uint32(HASH) >> np.uint32(12)).astype(np.int32)
+        key = state.astype(np.int64) << 8 | byte
+        slot = (key.view(np.uint64) * np.uint64(HASH) >> np.uint64(64 - self.bits)).astype(np.int64)
         to = np.where(self.step_key[slot] == key, self.step_to[slot], -1)
         open_ = np.flatnonzero((to < 0) & (self.step_key[slot] >= 0))
         for _ in range(1, self.probes):
             if not len(open_):
                 break
-            at = (slot[open_] + 1) & 0xFFFFF
+            at = (slot[open_] + 1) & ((1 << self.bits) - 1)
             slot[open_] = at
             hit = self.step_key[at] == key[open_]
             to[open_[hit]] = self.step_to[at[hit]]
@@ -282,7 +283,7 @@ def _offsets(lists: pa.Array) -> pa.Array:
 
 def _keyed(df: DataFrame, key_col: str, text_col: str) -> tuple[DataFrame, int]:
     """``df`` with the hash of its key as the last column, and the place of its text column."""
-    return df.select("*", F.xxhash64(key_col).alias("_stream")), [c.lower() for c in df.columns].index(text_col.lower())
+    return df.select("*", F.xxhash64(key_col).alias(fresh(df, "_stream"))), [c.lower() for c in df.columns].index(text_col.lower())
 
 
 def _encoded(df: DataFrame, key_col: str, text_col: str, model_file: str, alpha: float, seed: int, both: bool) -> DataFrame:
@@ -299,7 +300,7 @@ def _encoded(df: DataFrame, key_col: str, text_col: str, model_file: str, alpha:
         return np.asarray(pc.fill_null(pc.binary_length(batch.column(at)), 0)) + 1
 
     fields = "piece_ids array<int>" + ", decoded string" * both
-    return append_in_slices(rows, size_of, make, fields, SLICE).drop("_stream")
+    return append_in_slices(rows, size_of, make, fields, SLICE).drop(rows.columns[-1])
 
 
 def encode(df: DataFrame, key_col: str = "doc_id", text_col: str = "text", model_file: str = MODEL,

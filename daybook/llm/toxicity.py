@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import labelled_sample, replace_columns, words_of
+from daybook.llm.common import fresh, labelled_sample, replace_columns, words_of
 
 BUCKETS = 1 << 20
 PRIOR_SHARE = 0.5          # sum of the Dirichlet pseudo-counts against the toxic counts
@@ -229,6 +229,7 @@ def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> Data
     shared = docs.sparkSession.sparkContext.broadcast(model.weights)
     base = replace_columns(docs, "score", "evidence", "segments")
     keep = [F.col(f"`{c}`") for c in base.columns]
-    logit = model.slope * F.log1p("_s.evidence") + model.bias
-    return (base.select(*keep, _scan(shared, model.lam, model.k)(F.col(text_col)).alias("_s"))
-            .select(*keep, (1 / (1 + F.exp(-logit))).alias("score"), "_s.evidence", "_s.segments"))
+    found = fresh(base, "_s")
+    logit = model.slope * F.log1p(F.col(f"{found}.evidence")) + model.bias
+    return (base.select(*keep, _scan(shared, model.lam, model.k)(F.col(text_col)).alias(found))
+            .select(*keep, (1 / (1 + F.exp(-logit))).alias("score"), f"{found}.evidence", f"{found}.segments"))
