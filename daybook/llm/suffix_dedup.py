@@ -1,13 +1,13 @@
 """Exact substring deduplication by longest-previous-factor arrays, over any number of tasks.
 
 A byte position of the corpus starts a *repeat* if its next ``LENGTH`` bytes
-(inside one text) also start anywhere else.  Repeats are read off the suffix
-array: in suffix order, the longest factor that a position shares with an
-earlier one is the larger of its common prefixes with the previous and the next
-smaller position; capped at LENGTH, with equal prefixes in text order, every
-entry of a run of equal prefixes but the first has its left neighbour as the
-previous smaller position, with the full length.  So a position has an *earlier* match of
-LENGTH unless it opens its run, and a *later* one unless it closes it.
+(inside one text) also start anywhere else.  Repeats are read off suffix arrays.  In suffix order, with the
+common prefixes of neighbours, the longest factor that a position shares with any
+earlier one (its LPF value) is the larger of its common prefixes with two entries: the nearest
+before it and the nearest after it whose positions are smaller (Crochemore & Ilie 2008).
+The mirror, the nearest entries whose positions are larger, gives the longest factor shared with a
+later one.  Values are capped at LENGTH.  A position has an earlier copy if its LPF
+value is LENGTH, a later one if the mirror's is.
 
 One suffix array of everything would be one task's work, so the positions are
 dealt first.  The strings of LENGTH bytes at consecutive positions are cut into
@@ -23,6 +23,7 @@ all found in stretches with the same minimiser.
    than ``GROUP`` different stretches is split by what stands left and right of
    it, in at most nine halvings of the range of offsets, until its parts are
    small or consist of one string each; so no group grows with the corpus.
+   Facts about minimisers and groups that many rows have are broadcast; their rows stay where they are.
 
 All copies of a repeat are removed; with ``keep_first`` the first one, in the
 order (text digest, position), stays, and of equal texts the row with the
@@ -45,7 +46,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import chunks, flat_bytes, materialise, mix64, replace_columns, text_bytes
+from daybook.llm.common import chunks, flat_bytes, join_counted, materialise, mix64, replace_columns, text_bytes
 
 LENGTH = 400
 GRAM = 64                          # bytes of a minimiser
@@ -142,23 +143,84 @@ def runs_of(text: Column | str, keep_first: bool = False) -> Column:
     return udf(text)
 
 
-def suffix_runs(raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(has an earlier match, has a later match) of LENGTH bytes for each start, by ranks in suffix order.
+def suffix_order(raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The starts in suffix order by LENGTH bytes, equal ones by place, and the common prefix of each with the one before
+    it (capped at LENGTH; 0 for the first).
 
-    Prefix doubling (Manber & Myers 1993): ranks by 8 bytes, then 16, ... 256; the rank by
-    LENGTH bytes is that of the pair of 256-byte ranks at both ends.
+    Prefix doubling (Manber & Myers 1993): ranks by 8 bytes, then 16, ... 256; the rank by LENGTH bytes is that of the
+    pair of 256-byte ranks at both ends.  Common prefixes are put together from the same ranks, the largest first.
     """
-    words = np.lib.stride_tricks.sliding_window_view(np.ascontiguousarray(raw), 8).copy().view(">u8").ravel()
-    rank, size = np.unique(words, return_inverse=True)[1].astype(np.int64), 8
+    padded = np.concatenate((raw, np.zeros(2 * LENGTH + 8, np.uint8)))
+    words = np.lib.stride_tricks.sliding_window_view(padded, 8).copy().view(">u8").ravel()
+    ranks, size = [(8, np.unique(words, return_inverse=True)[1].astype(np.int32))], 8
     while size * 2 <= LENGTH:
-        rank = np.unique(rank[:-size] * (len(raw) + 1) + rank[size:], return_inverse=True)[1].astype(np.int64)
+        rank = ranks[-1][1]
+        pair = rank[:-size].astype(np.int64) * (len(padded) + 1) + rank[size:]
         size *= 2
-    pair = rank[starts] * (len(raw) + 1) + rank[starts + LENGTH - size]
+        ranks.append((size, np.unique(pair, return_inverse=True)[1].astype(np.int32)))
+    top = ranks[-1][1]
+    pair = top[starts].astype(np.int64) * (len(padded) + 1) + top[starts + LENGTH - size]
     order = np.lexsort((starts, pair))
-    same = pair[order][1:] == pair[order][:-1]
-    earlier, later = np.zeros(len(starts), bool), np.zeros(len(starts), bool)
-    earlier[order[1:]] = same
-    later[order[:-1]] = same
+    at = starts[order]
+    same = np.concatenate(([False], pair[order][1:] == pair[order][:-1])) if len(at) else np.zeros(0, bool)
+    common = np.where(same, LENGTH, 0)
+    todo = np.flatnonzero(~same)[1:]
+    p, q, n = at[todo - 1].copy(), at[todo].copy(), np.zeros(len(todo), np.int64)
+    for size, rank in reversed(ranks):
+        equal = rank[p + n] == rank[q + n]
+        n[equal] += size
+    for _ in range(7):
+        equal = padded[p + n] == padded[q + n]
+        n[equal] += 1
+        # A byte that differs ends it; the places then stay as they are.
+        p, q = np.where(equal, p, -1 - n), np.where(equal, q, -1 - n)
+        if not equal.any():
+            break
+        keep = np.flatnonzero(equal)
+        common[todo] = np.maximum(common[todo], np.minimum(n, LENGTH))
+        p, q, n, todo = p[keep], q[keep], n[keep], todo[keep]
+    else:
+        common[todo] = np.maximum(common[todo], np.minimum(n, LENGTH))
+    if len(todo):
+        common[todo] = np.maximum(common[todo], np.minimum(n, LENGTH))
+    return order, common
+
+
+def longest_factors(order: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """The longest factor that each start shares with a smaller one, from suffix order: the LPF array, by start.
+
+    ``order`` holds places, which stand for positions; the nearest smaller entries on both sides come by
+    following links, with the least common prefix on the way.
+    """
+    n = len(order)
+
+    def side(place: np.ndarray, least: np.ndarray) -> np.ndarray:
+        """Common prefix of each entry with the nearest one before it of a smaller place; ``least`` is that with its neighbour."""
+        link = np.arange(-1, n - 1)
+        least = least.copy()
+        open_ = np.flatnonzero((link >= 0) & (place[link] > place))
+        # Ends: an entry whose link is smaller, or none, is settled; others go on from their link's link, two at a time.
+        while len(open_):
+            to = link[open_]
+            least[open_] = np.minimum(least[open_], least[to])
+            link[open_] = link[to]
+            now = link[open_]
+            open_ = open_[(now >= 0) & (place[now] > place[open_])]
+        return np.where(link >= 0, least, 0)
+
+    before = side(order, common)
+    after = side(order[::-1].copy(), np.concatenate((common[1:], [0]))[::-1].copy())[::-1]
+    out = np.zeros(n, np.int64)
+    out[order] = np.maximum(before, after)
+    return out
+
+
+def suffix_runs(raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(has an earlier match, has a later match) of LENGTH bytes for each start; ``starts`` are ascending."""
+    order, common = suffix_order(raw, starts)
+    earlier = longest_factors(order, common) >= LENGTH
+    # The mirror: places in reverse.
+    later = longest_factors(len(order) - 1 - order, common)[::-1] >= LENGTH
     return earlier, later
 
 
@@ -235,8 +297,8 @@ def _contested(rows: DataFrame, keep_first: bool) -> DataFrame:
     turn = 0
     while turn < 10 and large.limit(1).count():
         parts = materialise(_halve(large, turn), "halves")
-        sizes = parts.groupBy("g").agg(F.count("*").alias("many")).where("many > 1")
-        parts = parts.join(sizes, "g")
+        sizes = materialise(parts.groupBy("g").agg(F.count("*").alias("n_rows")).where("n_rows > 1"), "sizes")
+        parts = join_counted(parts, sizes, "g").withColumnRenamed("n_rows", "many")
         if turn == 9:
             # Parts of one offset: what is common is the whole string.
             strings = parts.select("g", "once", "key", (F.col("start") + F.col("low")).alias("from"),
@@ -281,19 +343,20 @@ def repeats(docs: DataFrame, text_col: str = "text", keep_first: bool = False) -
         source.select("key", runs_of("text", keep_first).alias("r"))
         .groupBy("key").agg(F.count("*").alias("copies"), F.first("r").alias("r")).select("key", "copies", "r.*"), "stretches")
     runs = texts.select("key", F.explode("runs").alias("r")).select("key", "r.*")
-    shared = runs.groupBy("h").agg(F.sum("times").alias("n")).where("n > 1").select("h")
-    shared = materialise(runs.join(shared, "h"), "shared")
+    counts = runs.groupBy("h").agg(F.sum("times").alias("times"), F.count("*").alias("n_rows"))
+    shared = materialise(join_counted(runs, materialise(counts.where("times > 1").select("h", "n_rows"), "counts"), "h").drop("n_rows"), "shared")
     whole = shared.groupBy("h", "f").agg(F.sum("times").alias("times"), F.count("*").alias("texts"),
                                          F.min(F.struct("key", "start", "n", "anchor")).alias("one"))
     whole = materialise(whole, "whole")
-    many = whole.groupBy("h").agg(F.count("*").alias("many")).where("many > 1")
+    many = materialise(whole.groupBy("h").agg(F.count("*").alias("n_rows")).where("n_rows > 1"), "many")
     # One stretch of each kind stands for its equals; only stretches that occur once need a decision.
-    wanted = (whole.join(many, "h").groupBy("one.key").agg(F.collect_list(F.struct(
+    wanted = (join_counted(whole, many, "h").withColumnRenamed("n_rows", "many").groupBy("one.key").agg(F.collect_list(F.struct(
         "h", F.col("one.start").alias("start"), F.col("one.n").alias("n"), F.col("one.anchor").alias("anchor"),
         (F.col("times") == 1).alias("once"), "many")).alias("wanted")))
     cut = materialise(_cut(source.groupBy("key").agg(F.first("text").alias("text")).join(wanted, "key")
                            .select("key", "text", "wanted")), "cut")
-    equal = (shared.join(whole.where("texts > 1").select("h", "f", F.col("one.key").alias("first")), ["h", "f"])
+    several = whole.where("texts > 1").select("f", F.col("texts").alias("n_rows"), F.col("one.key").alias("first"))
+    equal = (join_counted(shared.drop("h"), materialise(several, "several"), "f")
              .where(F.col("key") != F.col("first") if keep_first else F.lit(True)).select("key", F.col("start").alias("from"), (F.col("start") + F.col("n")).alias("to")))
     found = (equal.unionByName(_contested(cut, keep_first)).groupBy("key")
              .agg(F.collect_list(F.struct("from", "to")).alias("found")))
