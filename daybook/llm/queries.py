@@ -25,6 +25,10 @@ from daybook.llm import (
 from daybook.llm.common import crc_fold, read_table
 
 
+#: Key of the pseudonyms over the synthetic test tables; real data needs a key of its own.
+TEST_KEY = "key-of-the-synthetic-tables"
+
+
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sampled pieces of every document, and whether decoding gives the text back."""
     out = sentencepiece_sampling.encode_decode(read_table(spark, sf_dir, "documents"))
@@ -50,7 +54,7 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with pseudonyms for personal data."""
-    return pii.pseudonymise(read_table(spark, sf_dir, "documents")).select("doc_id", "text", "n_pseudonyms")
+    return pii.pseudonymise(read_table(spark, sf_dir, "documents"), TEST_KEY).select("doc_id", "text", "n_pseudonyms")
 
 
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
