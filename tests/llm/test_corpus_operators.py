@@ -12,7 +12,7 @@ import pytest
 from helpers import DOC_SCHEMA, docs, empty_docs, hard_docs, prose
 from pyspark.sql import functions as F
 
-from daybook.llm import ann, bagminhash, decontaminate, graph, quality, suffix_dedup, toxicity
+from daybook.llm import ann, bagminhash, common, decontaminate, graph, quality, suffix_dedup, toxicity
 from daybook.llm.common import words_of
 
 # --- nearest neighbours ------------------------------------------------------------------------
@@ -345,6 +345,44 @@ def test_suffix_order_finds_earlier_and_later_copies():
     assert later.tolist() == [last[text[s:s + 400]] > s for s in starts]
 
 
+def plain_factors(raw: bytes, starts: list[int], n: int) -> list[int]:
+    """The longest factor of at most n bytes that each start shares with an earlier one."""
+    def common(a, b):
+        k = 0
+        while k < n and raw[a + k] == raw[b + k]:
+            k += 1
+        return k
+
+    return [max((common(p, q) for q in starts[:i]), default=0) for i, p in enumerate(starts)]
+
+
+def test_longest_previous_factors_against_brute_force():
+    rng, n = np.random.default_rng(1), suffix_dedup.LENGTH
+    for turn in range(10):
+        base = rng.integers(97, 100, rng.integers(n + 50, n + 250)).astype(np.uint8)
+        parts = [base[:int(rng.integers(n, len(base)))] if rng.random() < 0.6 else rng.integers(97, 99, int(rng.integers(n, n + 150))).astype(np.uint8)
+                 for _ in range(3)] if turn else [np.full(n + 60, 97, np.uint8)] * 2
+        raw, starts, at = np.concatenate(parts), [], 0
+        for part in parts:
+            starts += range(at, at + len(part) - n + 1)
+            at += len(part)
+        order, common = suffix_dedup.suffix_order(raw, np.array(starts))
+        assert suffix_dedup.longest_factors(order, common).tolist() == plain_factors(raw.tobytes(), starts, n)
+
+
+def test_hot_keys_are_joined_where_their_rows_are(spark, monkeypatch):
+    rng = random.Random(3)
+    keys = ["hot"] * 500 + [f"k{rng.randrange(60)}" for _ in range(300)]
+    rows = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k string, i int")
+    facts = rows.groupBy("k").agg(F.count("*").alias("n_rows"), F.min("i").alias("first")).where("n_rows > 1")
+    want = sorted(map(tuple, rows.join(facts, "k").collect()))
+    monkeypatch.setattr(common, "HOT_ROWS", 20)
+    monkeypatch.setattr(common, "HOT_KEYS", 10)
+    for limit in (20, 10_000):
+        monkeypatch.setattr(common, "HOT_ROWS", limit)
+        assert sorted(map(tuple, common.join_counted(rows, facts, "k").collect())) == want
+
+
 def test_repeat_cases(spark):
     out = suffix_dedup.remove_repeats(hard_docs(spark)).collect()
     assert len(out) == 9 and sum(r.n_removed > 0 for r in out) == (2 if len(prose(50, 3)) >= 400 else 0)
@@ -393,6 +431,20 @@ def test_classifier_cases(spark, module, column):
     assert module.score(table, module.fit(empty_docs(spark), labels)).count() == 60
 
 
+def test_text_ids_and_clashing_names(spark):
+    table, labels = labelled(spark, 60)
+    named = [df.withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id"))) for df in (table, labels)]
+    for module in (quality, toxicity):
+        model = module.fit(*named)
+        rows = module.score(named[0].withColumn("_s", F.lit("mine")).withColumn("_row", F.lit(2)), model).collect()
+        assert len(rows) == 60 and all(r["_s"] == "mine" and r["_row"] == 2 for r in rows)
+        numbers = {f"d{r.doc_id}": r.score for r in module.score(table, module.fit(table, labels)).collect()}
+        assert np.allclose([r.score for r in rows], [numbers[r.doc_id] for r in rows], atol=0.2)
+    items = spark.createDataFrame([(1, prose(12, 4))], "item_id long, text string")
+    row = decontaminate.track_overlap(docs(spark, [prose(12, 4)]).withColumn("_hits", F.lit("mine")), items).first()
+    assert row["_hits"] == "mine" and row.n_hit == 12
+
+
 def test_votes_are_exact_cosines():
     rng = np.random.default_rng(5)
     unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
@@ -452,3 +504,38 @@ def test_pipeline_stages(spark, workdir):
     assert all(r.lossless for r in texts.values())
     assert {r.doc_id: r.text for r in corpus_pipeline.run(spark, workdir).collect()} == {d: r.text for d, r in texts.items()}
     assert len(corpus_pipeline.STAGES) == 5 and DOC_SCHEMA
+
+
+def test_pipeline_stages_on_hard_rows(spark, workdir):
+    """Nulls, repeats, a very long text, other scripts, clashing names and text ids; then empty tables."""
+    import corpus_pipeline
+
+    table, labels = labelled(spark, 60)
+    clashes = ("_row", "_text", "node", "key", "comp", "class_id", "score", "_s", "_hits", "n_words", "_parts", "_new", "_stream", "n_pseudonyms")
+    rows = table.unionByName(hard_docs(spark).withColumn("doc_id", F.col("doc_id") + 5000))
+    for name in clashes:
+        rows = rows.withColumn(name, F.lit("mine"))
+    rows = rows.withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id")))
+    labels.withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id"))).write.parquet(f"{workdir}/labels.parquet")
+    spark.createDataFrame([(1, None), (2, ""), (3, prose(20, 70))], "item_id long, text string").write.parquet(f"{workdir}/benchmark.parquet")
+    for name, start in (("hard", rows), ("empty", rows.where("false"))):
+        frame = start
+        for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            out = stage(spark, frame, workdir)
+            assert out.columns[:len(rows.columns)] == rows.columns or k == 4
+            out.write.parquet(f"{workdir}/{name}-{k}")
+            frame = spark.read.parquet(f"{workdir}/{name}-{k}")
+        kept = frame.collect()
+        assert all(r[c] == "mine" for r in kept for c in clashes) and all(r.lossless for r in kept)
+        assert (len(kept) > 30) == (name == "hard")
+        if kept:
+            ids = Counter(r.doc_id for r in kept)
+            assert ids["d5005"] == 1 and ids["d5004"] == 1 and not ids["d5001"] and not ids["d5002"]      # the last two have no text
+    # Without a label nothing is learnt, so nothing goes.
+    spark.createDataFrame([], "doc_id string, quality int, toxic int").write.parquet(f"{workdir}/none/labels.parquet")
+    assert corpus_pipeline.keep_quality(spark, rows, f"{workdir}/none").count() == rows.count()
+    # The stages after it keep texts that are null or empty; of equal empty ones one stays.
+    frame = rows.where("text IS NULL OR text = ''")
+    for _, stage in corpus_pipeline.STAGES[1:]:
+        frame = stage(spark, frame, workdir)
+    assert sorted(str(r.text) for r in frame.collect()) == ["", "None"]

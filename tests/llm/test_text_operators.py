@@ -13,6 +13,7 @@ from helpers import docs, empty_docs, hard_docs, prose
 from pyspark.sql import functions as F
 
 from daybook.llm import html_text, licenses, pii
+from daybook.llm.queries import TEST_KEY
 from daybook.llm import sentencepiece_sampling as sp
 
 
@@ -110,6 +111,84 @@ def test_text_outside_the_usual_markup():
     assert html_text.main_text(f"<body><div>{polish}</div><div><a href='/'>{polish}</a></div>") == polish.strip()
 
 
+SHORT_ARTICLES = [
+    ("<nav><a>m</a></nav><div><a>Home</a></div><article><p>The rain stopped at noon.</p><p>Then the sun came out.</p></article>",
+     ["The rain stopped at noon.", "Then the sun came out."]),
+    ("<div><a>Home</a></div><main><h1><a href='#'>Title</a></h1><p>One line.</p><p><a href='/x'>A linked line.</a></p><p>Last.</p></main>",
+     ["Title", "One line.", "A linked line.", "Last."]),
+    ("<article><p>Rain.</p><table><tr><td>a 1</td><td>b 2</td></tr></table><pre>x = 1\ny = 2</pre></article><ul><li><a>More</a></li></ul>",
+     ["Rain.", "a 1", "b 2", "x = 1 y = 2"]),
+    ("<article><p>Rain.</p><ul><li><a>One</a></li><li><a>Two</a></li></ul><p>Sun.</p></article>", ["Rain.", "Sun."]),
+    ("<article><p>Rain.</p><div class='share-price-table'>Shares rose by a third over the whole of the year, then fell in the last week of it.</div>"
+     "<p class='search-history'>For a long time nobody had searched the archive of the town for the older papers.</p>"
+     "<div class='cookie-notice'>We use cookies on this page, for the usual reasons and for some that nobody remembers.</div>"
+     "<div class='share-links-x'>Share this</div><section id='comments'><p>A reader wrote a comment that is long enough to be a text of its own.</p></section></article>",
+     ["Rain.", "Shares rose by a third over the whole of the year, then fell in the last week of it.",
+      "For a long time nobody had searched the archive of the town for the older papers."]),
+]
+
+
+@pytest.mark.parametrize("page,want", SHORT_ARTICLES)
+def test_articles_of_short_blocks_stay(page, want):
+    assert html_text.main_text(f"<html><body>{page}</body></html>").split("\n\n") == want
+
+
+def plain_two_passes(blocks):
+    """The two passes stated block by block: (text, linked characters, inside) → what stays."""
+    def first(k, side):
+        text, linked, inside = side[k]
+        if inside:
+            dense = [b[1] > html_text.LINK_SHARE * len(b[0]) for b in side]
+            if not dense[k]:
+                return "good"
+            return "bad" if len(text) >= html_text.SHORT or any(dense[j] for j in (k - 1, k + 1) if 0 <= j < len(side)) else "short"
+        if linked > html_text.LINK_SHARE * len(text):
+            return "bad"
+        if len(text) < html_text.SHORT:
+            return "short"
+        words = re.findall(r"[^\W\d_]+", text.lower())
+        share = sum(w in html_text.STOP_WORDS for w in words) / len(words)
+        if share >= html_text.MANY_STOPS or share >= html_text.FEW_STOPS and len(text) >= html_text.LONG:
+            return "good"
+        return "short" if share >= html_text.FEW_STOPS else "bad"
+
+    kept = []
+    for inside in (True, False):
+        side = [b for b in blocks if b[2] == inside]
+        labels = [first(k, side) for k in range(len(side))]
+        for k, label in enumerate(labels):
+            if label == "short":
+                near = sorted((abs(j - k), other != "good") for j, other in enumerate(labels) if other != "short")
+                sides = [next(((abs(j - k), labels[j] != "good") for j in way if labels[j] != "short"), None)
+                         for way in (range(k - 1, -1, -1), range(k + 1, len(side)))]
+                found = [s for s in sides if s]
+                label = "bad" if near and min(found)[1] else "good"
+            if label == "good":
+                kept.append(side[k])
+    inside = [b for b in kept if b[2]]
+    size = [sum(len(b[0]) for b in kept if b[2] == x) for x in (True, False)]
+    chosen = inside if size[0] and size[0] >= size[1] else kept
+    return [b[0] for b in blocks if b in chosen]
+
+
+def test_two_passes_on_generated_pages():
+    rng = np.random.default_rng(12)
+    stops = "the and of to in is that it was for on with".split()
+    for _ in range(400):
+        blocks = []
+        for n in range(rng.integers(1, 12)):
+            words = [stops[rng.integers(len(stops))] if rng.random() < rng.choice([0, 0.2, 0.5]) else f"word{'abcdefgh'[rng.integers(8)]}"
+                     for _ in range(rng.choice([2, 6, 14, 60]))]
+            text = " ".join([f"b{'abcdefghijklmnop'[n]}", *words])
+            blocks.append((text, len(text) if rng.random() < 0.3 else 0, bool(rng.random() < 0.5)))
+        page = "".join(("<article>" if b[2] else "") + "<p>" + (f"<a href='/'>{b[0]}</a>" if b[1] else b[0]) + "</p>" + ("</article>" if b[2] else "")
+                       for b in blocks)
+        outside = [b for b in blocks if not b[2]]
+        if html_text._listed([(b[0], b[1], b[2], False) for b in outside]):
+            got = html_text.main_text(f"<body>{page}</body>")
+            assert [t for t in got.split("\n\n") if t] == plain_two_passes(blocks)
+
+
 def test_page_cases(spark):
     schema = "page_id long, url string, html string, text int, n_chars string"
     rows = [(1, "u", PAGE, 1, "x"), (2, None, None, 2, None), (3, "u", "", None, "y"), (3, "u", "", None, "y"),
@@ -140,14 +219,14 @@ def feistel(a, b, size_a, size_b, key, tag):
     return a, b
 
 
-def digits_permuted(d, kind, key=pii.KEY):
+def digits_permuted(d, kind, key=TEST_KEY):
     u = len(d) // 2
     a, b = feistel(int(d[:u]), int(d[u:]), 10**u, 10**(len(d) - u), key, f"{kind}{len(d)}")
     return f"{a:0{u}d}{b:0{len(d) - u}d}"
 
 
 def one(spark, text, **more):
-    return pii.pseudonymise(docs(spark, [text]), **more).first()
+    return pii.pseudonymise(docs(spark, [text]), TEST_KEY, **more).first()
 
 
 def test_card_numbers(spark):
@@ -164,7 +243,7 @@ def test_addresses_phones_and_others(spark):
     text = ("10.1.2.3 300.1.1.1 v1.2.3 +1 (017) 555-7713 (017) 555-7713 078-05-1120 666-05-1120 "
             'Jo.Doe@mail.example.com jo.doe@MAIL.example.com token = "1BEB58B8AF68854F0E01B4AD40CDBB6AE7F578AE"')
     got = one(spark, text).text
-    a, b = feistel(10 * 256 + 1, 2 * 256 + 3, 65536, 65536, pii.KEY, "ipv4")
+    a, b = feistel(10 * 256 + 1, 2 * 256 + 3, 65536, 65536, TEST_KEY, "ipv4")
     phone = digits_permuted("0175557713", "phone")
     shape = f"({phone[:3]}) {phone[3:6]}-{phone[6:]}"
     parts = got.split(" ")
@@ -182,7 +261,7 @@ def test_dates_stay_dates(spark):
 
     day = dt.date.fromisoformat(parts[0])
     n = (dt.date(1985, 2, 28) - dt.date(1900, 1, 1)).days
-    a, b = feistel(n // 4297, n % 4297, 17, 4297, pii.KEY, "date")
+    a, b = feistel(n // 4297, n % 4297, 17, 4297, TEST_KEY, "date")
     assert day == dt.date(1900, 1, 1) + dt.timedelta(a * 4297 + b)
     assert parts[1] == "1985-02-30" and parts[5] == "2150-01-01"
     assert parts[2] == day.strftime("%d.%m.%Y") and parts[3] == f"{day.month}/{day.day}/{day.year}"
@@ -196,7 +275,7 @@ def test_the_network_is_a_permutation(size_a, size_b):
 
 def test_equal_values_stay_linked_and_keys_differ(spark):
     df = docs(spark, ["a 4111111111111111", "b 4111111111111111", "c 5500000000000004"])
-    found = [re.search(r"\d{16}", r.text)[0] for r in pii.pseudonymise(df).orderBy("doc_id").collect()]
+    found = [re.search(r"\d{16}", r.text)[0] for r in pii.pseudonymise(df, TEST_KEY).orderBy("doc_id").collect()]
     assert found[0] == found[1] != found[2]
     other = [re.search(r"\d{16}", r.text)[0] for r in pii.pseudonymise(df, key="another").orderBy("doc_id").collect()]
     assert other[0] == other[1] != found[0]
@@ -204,11 +283,11 @@ def test_equal_values_stay_linked_and_keys_differ(spark):
 
 def test_pseudonym_cases(spark):
     hard = hard_docs(spark).withColumn("n_pseudonyms", F.lit("old"))
-    out = pii.pseudonymise(hard).collect()
+    out = pii.pseudonymise(hard, TEST_KEY).collect()
     assert sorted(map(str, (r.text for r in out))) == sorted(map(str, (r.text for r in hard.collect())))
     assert all(r.n_pseudonyms == 0 for r in out)
-    assert pii.pseudonymise(empty_docs(spark)).count() == 0
-    plan = pii.pseudonymise(hard)._jdf.queryExecution().executedPlan().toString()
+    assert pii.pseudonymise(empty_docs(spark), TEST_KEY).count() == 0
+    plan = pii.pseudonymise(hard, TEST_KEY)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
 
 
@@ -322,3 +401,148 @@ def test_license_cases(spark):
     assert licenses.scan(empty_docs(spark)).count() == 0
     plan = licenses.scan(hard)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+# --- pseudonyms: spellings, kinds, columns ---------------------------------------------------------
+
+
+def pseudonyms(spark, texts, **more):
+    return [r.text for r in pii.pseudonymise(docs(spark, texts), TEST_KEY, **more).orderBy("doc_id").collect()]
+
+
+def test_spellings_of_a_number_link(spark):
+    groups = [["+447700900123", "+44 7700 900123", "+44 7700 900 123", "+44-7700-900-123", "+44 (7700) 900123"],
+              ["+12125550100", "+1 212 555 0100", "(212) 555-0100", "212-555-0100", "+1 (212) 555-0100"],
+              ["GB82 WEST 1234 5698 7654 32", "GB82WEST12345698765432"], ["4111 1111 1111 1111", "4111111111111111"],
+              ["2001:db8:0:0:0:0:0:1", "2001:0DB8:0000:0000:0000:0000:0000:0001"]]
+    flat = [f"call {t} now" for g in groups for t in g]
+    new = pseudonyms(spark, flat)
+    at = 0
+    for g in groups:
+        mine = [n.removeprefix("call ").removesuffix(" now") for n in new[at:at + len(g)]]
+        at += len(g)
+        plain = {re.sub(r"[^0-9A-Za-z+:]", "", m).lower() for m in mine}
+        if g[0].startswith("+1"):
+            plain = {p[-10:] for p in plain}
+        assert len(plain) == 1 and not plain & {re.sub(r"[^0-9A-Za-z+:]", "", t).lower()[-len(next(iter(plain))):] for t in g}
+        for old, m in zip(g, mine, strict=True):
+            if ":" not in old:      # separators, letters and length stay
+                assert re.sub("[0-9]", "0", old) == re.sub("[0-9]", "0", m)
+    assert new[0].startswith("call +44") and new[5].startswith("call +1")
+
+
+def test_ibans_stay_valid(spark):
+    old = ["GB82 WEST 1234 5698 7654 32", "DE89370400440532013000", "FR14 2004 1010 0505 0001 3M02 606", "NO9386011117947"]
+    bad = ["GB83 WEST 1234 5698 7654 32", "DE00370400440532013000"]
+    new = pseudonyms(spark, old + bad)
+    for a, b in zip(old, new, strict=False):
+        v = b.replace(" ", "")
+        assert a != b and int("".join(str(int(c, 36)) for c in v[4:] + v[:4])) % 97 == 1 and a[:2] == b[:2]
+    assert new[len(old):] == bad
+
+
+def test_other_kinds(spark):
+    hexed = "0123456789abcdef" * 3
+    texts = ["born 12 March 1984 and", "born March 3, 1984.", "on 12-03-1984", "on 3 Feb 2001", 'id = "' + hexed * 4 + '"', f"api_key={hexed}",
+             "ghp_" + "a1B2" * 9, "AKIA" + "ABCD1234" * 2, "fe80:0:0:0:1:2:3:4"]
+    for old, new in zip(texts, pseudonyms(spark, texts), strict=True):
+        assert old != new and (len(old) == len(new) or " 1984" in old or "Feb" in old or ":" in old), (old, new)
+    for text, shape in (("born 12 March 1984 and", r"born \d{1,2} [A-Z][a-z]+ (19|20)\d\d and"), ("on 12-03-1984", r"on \d\d-\d\d-(19|20)\d\d"),
+                        ("AKIA" + "ABCD1234" * 2, r"AKIA[0-9A-Z]{16}"), ("fe80:0:0:0:1:2:3:4", r"([0-9a-f]{4}:){7}[0-9a-f]{4}")):
+        assert re.fullmatch(shape, pseudonyms(spark, [text])[0])
+    calm = ["Section 12-03-84 of 31 Smarch 2001", "a::b std::vector", "+1 2", "May 99, 2000", "KEY " + "XY12" * 3]
+    assert pseudonyms(spark, calm) == calm
+
+
+def test_text_columns_of_other_spellings_and_clashes(spark):
+    df = docs(spark, ["mail a@b.org", "none", None]).withColumnRenamed("text", "Text").withColumn("_parts", F.lit("mine")).withColumn("_new", F.lit(1))
+    out = pii.pseudonymise(df, TEST_KEY, "text").orderBy("doc_id").collect()
+    assert out[0].Text.startswith("mail user-") and [r.n_pseudonyms for r in out] == [1, 0, 0] and out[2].Text is None
+    assert out[0]["_parts"] == "mine" and out[0]["_new"] == 1
+    with pytest.raises(ValueError):
+        pii.pseudonymise(df, "", "text")
+
+
+def test_texts_that_hold_the_mark(spark):
+    old = f"{pii.MARK}a@b.org{pii.MARK} and 10.1.2.3"
+    new = pseudonyms(spark, [old, old.replace(pii.MARK, " ")])
+    assert new[0].replace(pii.MARK, " ") == new[1] and new[0].count(pii.MARK) == 2
+
+
+def test_clashing_names_of_other_operators(spark):
+    df = docs(spark, ["some words here"]).withColumn("_stream", F.lit("a")).withColumn("__stream", F.lit("b"))
+    row = sp.encode_decode(df).first()
+    assert (row["_stream"], row["__stream"], row.decoded) == ("a", "b", "some words here")
+
+
+BSD_CLAUSES = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice,
+   this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+ENDORSE = """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+LGPL = """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.
+"""
+
+
+def test_more_licences(spark):
+    cases = [("// SPDX-License-Identifier: MIT", ["MIT"]), ("# SPDX-License-Identifier: Apache-2.0\ncode", ["Apache-2.0"]),
+             ("/* SPDX-License-Identifier: GPL-2.0-or-later */", ["GPL-2.0-or-later"]), ("SPDX-License-Identifier: GPL-2.0", ["GPL-2.0-only"]),
+             ("SPDX-License-Identifier: Nothing-1.0", []), (BSD_CLAUSES + ENDORSE, ["BSD-3-Clause"]), (BSD_CLAUSES, ["BSD-2-Clause"]), (LGPL, ["LGPL-2.1-or-later"]),
+             ("This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0.", ["EPL-2.0"]),
+             ("Licensed under the EUPL, Version 1.2", ["EUPL-1.2"]), ("Distributed under the Boost Software License, Version 1.0.", ["BSL-1.0"]),
+             ('Licensed under the Apache License, Version 2.0 (the "' + "Long Name Of A License " * 5 + '");\n'
+              "you may not use this file except in compliance with the License.", ["Apache-2.0"])]
+    out = licenses.scan(docs(spark, [t for t, _ in cases])).orderBy("doc_id").collect()
+    for (text, want), row in zip(cases, out, strict=True):
+        assert row.licenses == want, (text, row.sentence_ids)
+
+
+def plain_sentences(text):
+    """Known sentences of a text whose lines are whole: each line and each sentence of a line."""
+    out = []
+    for part in re.split(r"\r\n?|\n|(?<=[.!?;])(?<!\bv\.)[ \t]+", text):
+        words = re.sub(r"[^\w.]|_", " ", part.lower()).split()
+        norm = " ".join(words).strip(" .")
+        out += [k for k, v in licenses.SENTENCES.items() if v == norm]
+    return out
+
+
+def test_wrapped_notices_against_brute_force(spark):
+    """A notice broken anywhere at blanks, behind comment signs, has the sentences of its unwrapped form."""
+    rng = np.random.default_rng(4)
+    # A line that is a known sentence by itself is read so: sentences that hold another one are left out here.
+    names = [k for k, v in licenses.SENTENCES.items() if not k.startswith("spdx") and len(v.split()) > 6
+             and not any(w in v for w in licenses.SENTENCES.values() if w != v)]
+    texts, want = [], []
+    for _ in range(60):
+        chosen = [names[rng.integers(len(names))] for _ in range(rng.integers(1, 4))]
+        lines = []
+        for name in chosen:
+            words, line = (licenses.SENTENCES[name] + ".").split(), []
+            for w in words:
+                line.append(w)
+                if rng.random() < 0.2:
+                    lines.append(line)
+                    line = []
+            lines += [line] if line else []
+            lines.append([])
+        sign = rng.choice(["", "# ", " * ", "// "])
+        texts.append("\n".join(sign + " ".join(x) for x in lines))
+        want.append(chosen)
+    out = licenses.scan(docs(spark, texts)).orderBy("doc_id").collect()
+    for text, names_, row in zip(texts, want, out, strict=True):
+        assert re.findall("<([^>]*)>", row.sentence_ids) == names_, text
+        assert plain_sentences("\n".join(licenses.SENTENCES[n] + "." for n in names_)) == names_
