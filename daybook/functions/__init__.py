@@ -11,12 +11,9 @@ from daybook.functions.jsonfield import (
     field_of_text_sql,
     field_resolve_sql,
     json_string_field,
-    marked_parse_sql,
     parse_json_strict,
     parse_json_strict_sql,
-    strict_document_sql,
     times_named_sql,
-    wrapped_parse_sql,
 )
 from daybook.functions.numbers import (
     MAX_VOLUME,
@@ -40,16 +37,13 @@ __all__ = [
     "fixed_point_text",
     "fixed_point_text_sql",
     "json_string_field",
-    "marked_parse_sql",
     "outside_range",
     "outside_range_sql",
     "parse_json_strict",
     "parse_json_strict_sql",
-    "strict_document_sql",
     "strict_double",
     "strict_double_sql",
     "strict_timestamp",
     "strict_timestamp_sql",
     "times_named_sql",
-    "wrapped_parse_sql",
 ]
