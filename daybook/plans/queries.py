@@ -8,6 +8,7 @@ in different orders print the same value.
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.errors import PySparkException
@@ -182,14 +183,24 @@ def replicate_daily_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Rows of one staged transaction file, about.
 STAGED_ROWS = 25_000
+# Files of a staged export, or so, at most: a larger table makes larger files.
+STAGED_FILES = 32
 # The landed price page that lacks a coin, which ends the list (counted from 0), and the place of that coin.
 SHORT_PAGE, LOST_COIN = 3, 6
 # Rows of a micro-batch cut by row count.
 BATCH_ROWS = 3_000
+# Micro-batches cut by row count that are worked on together.
+BATCHES_AT_ONCE = 1_000
 # The price list before a symbol was added to it.
 LATE_SYMBOL = "SFL"
 
 
+def rows_a_file(spark: SparkSession, sf_dir: str, least: int, rows: float = 1.0) -> int:
+    """Rows of a staged file: ``least``, or a multiple that cuts this share of the events into STAGED_FILES files."""
+    n = T.table(spark, sf_dir, "events", spread_scan=False).count() * rows
+    return least * max(1, math.ceil(n / (least * STAGED_FILES)))
+
+
 def stage_events_csv(spark: SparkSession, sf_dir: str) -> str:
     """Write the 16-column events export as CSV under the shared folder; returns its path.
 
@@ -508,17 +519,20 @@ def row_count_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3: the export in micro-batches of BATCH_ROWS rows, across file borders: rows and first and last event of each."""
     configure(spark)
     source, out = scratch_path(spark, "events-rows"), scratch_path(spark, "row-batches")
-    # Files in the order of event_id, of a size that no batch border meets.
+    # Files in the order of event_id, of a size that no batch border meets; the names of their tasks keep that order.
     ordered = T.events_wide(spark, sf_dir).orderBy(F.col("ident").cast("bigint")).withColumn("event", F.col("ident"))
-    csv_writer(ordered.coalesce(1)).option("maxRecordsPerFile", 1_700).csv(source)
+    csv_writer(ordered).option("maxRecordsPerFile", rows_a_file(spark, sf_dir, 1_700)).csv(source)
+    rounds: list[str] = []
 
-    def count(batch: DataFrame, batch_id: int) -> None:
+    def count(batches: DataFrame, first_id: int) -> None:
         ident = F.col("event").cast("bigint")
-        batch.agg(F.count(F.lit(1)).alias("n_rows"), F.min(ident).alias("first_event"), F.max(ident).alias("last_event")).select(
-            F.lit(batch_id).cast("bigint").alias("batch_id"), "*").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        rounds.append(f"{out}/from={first_id}")
+        batches.groupBy("batch_id").agg(
+            F.count(F.lit(1)).alias("n_rows"), F.min(ident).alias("first_event"), F.max(ident).alias("last_event")).write.mode(
+            "overwrite").parquet(rounds[-1])
 
-    n = RowBatches(spark, source, scratch_path(spark, "row-work"), BATCH_ROWS).run(count)
-    return spark.read.parquet(*[f"{out}/batch={k}" for k in range(n)])
+    RowBatches(spark, source, scratch_path(spark, "row-work"), BATCH_ROWS, by_name=True).run(count, at_once=BATCHES_AT_ONCE)
+    return spark.read.parquet(*rounds)
 
 
 # A price list without one of the symbols in the data.

@@ -14,6 +14,9 @@ lets its function replace what it has written.
 Counting takes one pass over new files.  A batch reads only the files that hold
 its rows; the place of a record in its file comes from the counts of the file's splits,
 so no data is shuffled or sorted.
+
+A batch costs some Spark jobs whatever its rows, so many small ones are worked on in rounds: with
+``at_once``, consecutive batches are read, given to the function and noted together, each row with its batch's id.
 """
 
 from __future__ import annotations
@@ -47,13 +50,15 @@ class RowBatches:
     """Batches of ``rows_per_batch`` rows over the CSV files landing in ``source_dir``; state in ``work_dir``."""
 
     def __init__(self, spark: SparkSession, source_dir: str, work_dir: str, rows_per_batch: int,
-                 on_malformed: str = "fail", multi_line: bool | None = None):
+                 on_malformed: str = "fail", multi_line: bool | None = None, by_name: bool = False):
         if rows_per_batch < 1:
             raise ValueError("rows_per_batch must be at least 1")
         if on_malformed not in ON_MALFORMED:
             raise ValueError(f"on_malformed must be one of {ON_MALFORMED}")
         self.spark, self.uri, self.work_dir, self.size = spark, resolve_path(source_dir), work_dir, rows_per_batch
         self.on_malformed, self.multi_line = on_malformed, multi_line
+        # by_name: files that are new in one run come by path alone, as tasks that write side by side number them.
+        self.order = ["path"] if by_name else ["modificationTime", "path"]
 
     @property
     def files(self) -> DataFrame:
@@ -64,15 +69,16 @@ class RowBatches:
         log = _existing(self.spark, f"{self.work_dir}/row-batches", BATCHES_SCHEMA)
         return log.groupBy("batch_id").agg(F.max("first").alias("first"), F.max("last").alias("last"), F.bool_or("done").alias("done"))
 
-    def _records(self, files: str | list[str]) -> DataFrame:
-        """(record, file, block, n, place): place is the record's number in its file."""
-        records = csv_records(self.spark, files, self.multi_line)
+    def _records(self, held: DataFrame, names: list[str]) -> DataFrame:
+        """(record, row) of the files ``held`` (file, first), which are ``names``: row is the record's number through all files."""
+        records = csv_records(self.spark, names, self.multi_line)
         # n orders a split's records; its rank is n less the split's least, as they are consecutive there.
         splits = records.groupBy("file", "block").agg(F.min("n").alias("least"), F.count(F.lit(1)).alias("rows"))
         before = F.coalesce(F.sum("rows").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         # One row for each split of the batch's files.
-        starts = splits.select("file", "block", (before - F.col("least")).alias("shift"))
-        return records.join(F.broadcast(starts), ["file", "block"]).withColumn("place", F.col("n") + F.col("shift"))
+        starts = splits.withColumn("before", before).join(held, "file").select(
+            "file", "block", (F.col("first") + F.col("before") - F.col("least")).alias("shift"))
+        return records.join(F.broadcast(starts), ["file", "block"]).select("record", (F.col("n") + F.col("shift")).alias("row"))
 
     def find_files(self) -> int:
         """Number the rows of files that are not in the log yet; returns how many rows there are in all."""
@@ -88,39 +94,67 @@ class RowBatches:
         counts = csv_records(spark, names, self.multi_line).groupBy("file").agg(F.count(F.lit(1)).alias("n"))
         rows = new.join(counts.withColumnRenamed("file", "path"), "path", "left").select(
             "path", "modificationTime", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
-        order = Window.orderBy("modificationTime", "path").rowsBetween(Window.unboundedPreceding, -1)
+        order = Window.orderBy(*self.order).rowsBetween(Window.unboundedPreceding, -1)
         _append(rows.select(F.col("path").alias("file"), (F.lit(total) + F.coalesce(F.sum("n").over(order), F.lit(0))).cast("bigint").alias("first"), "n"),
                 f"{self.work_dir}/row-files")
         return int(self.files.agg(F.max(F.col("first") + F.col("n"))).first()[0])
 
-    def _note(self, batch_id: int, first: int, last: int, done: bool) -> None:
-        _append(self.spark.createDataFrame([(batch_id, first, last, done)], BATCHES_SCHEMA), f"{self.work_dir}/row-batches")
-
-    def rows(self, first: int, last: int) -> DataFrame:
-        """The raw rows numbered ``first`` ... ``last`` (exclusive)."""
-        held = self.files.where((F.col("first") < last) & (F.col("first") + F.col("n") > first))
-        # The files that a batch's rows lie in.
-        names = {r.file: r.first for r in held.select("file", F.col("first")).collect()}
-        header = csv_header(self.spark, sorted(names))
-        start = F.element_at(F.create_map(*[F.lit(v) for pair in names.items() for v in pair]), F.col("file"))
-        place = start + F.col("place")
-        records = self._records(sorted(names)).where((place >= first) & (place < last)).select("record")
-        raw = conform_raw(parse_records(records, header, CORRUPT), CORRUPT)
+    def _note(self, first_id: int, first: int, last: int, done: bool) -> None:
+        """Note the batches from ``first_id`` on that the rows ``first`` ... ``last`` (exclusive) make."""
+        at = F.lit(first) + F.col("id") * self.size
+        _append(self.spark.range(-(-(last - first) // self.size)).select(
+            (F.lit(first_id) + F.col("id")).alias("batch_id"), at.alias("first"), F.least(at + self.size, F.lit(last)).alias("last"),
+            F.lit(done).alias("done")), f"{self.work_dir}/row-batches")
+
+    def rows(self, first: int, last: int, first_id: int | None = None) -> DataFrame:
+        """The raw rows numbered ``first`` ... ``last`` (exclusive); with ``first_id``, the id of the first one's batch, also ``batch_id``."""
+        held = self.files.where((F.col("first") < last) & (F.col("first") + F.col("n") > first)).select("file", "first")
+        # The files that the rows lie in.
+        names = sorted(r.file for r in held.select("file").collect())
+        header = csv_header(self.spark, names)
+        number = "_row"
+        while number in {c.lower() for c in header}:
+            number += "_"
+        records = self._records(held, names).where((F.col("row") >= first) & (F.col("row") < last)).withColumnRenamed("row", number)
+        raw = conform_raw(parse_records(records, header, CORRUPT), CORRUPT, number)
+        if first_id is not None:
+            raw = raw.withColumn("batch_id", F.lit(first_id) + F.floor((F.col(number) - first) / self.size))
+        raw = raw.drop(number)
         return reject_malformed(raw) if self.on_malformed == "fail" else raw
 
-    def run(self, fn: BatchFn) -> int:
-        """Give every pending batch to ``fn`` (batch, batch_id); returns how many there were."""
-        total = self.find_files()
-        known = self.batches.orderBy("batch_id").collect()      # one row a batch
-        todo = [(r.batch_id, r.first, r.last) for r in known if not r.done]
-        at, number = (known[-1].last, known[-1].batch_id + 1) if known else (0, 0)
-        while at < total:
-            todo.append((number, at, min(at + self.size, total)))
-            at, number = at + self.size, number + 1
-        noted = {r.batch_id for r in known}
-        for batch_id, first, last in todo:
-            if batch_id not in noted:
-                self._note(batch_id, first, last, False)
-            fn(self.rows(first, last), batch_id)
-            self._note(batch_id, first, last, True)
-        return len(todo)
+    def _todo(self, total: int, at_once: int) -> list[tuple[int, int, int, bool]]:
+        """(first batch, first row, end, noted) of each round: the batches that are open, in order, then the new ones."""
+        log = self.batches
+        at, number = log.agg(F.coalesce(F.max("last"), F.lit(0)), F.coalesce(F.max("batch_id"), F.lit(-1)) + 1).first()
+        # One row a batch that was begun and not ended, which one round holds.
+        spans = [(r.batch_id, r.first, r.last, True) for r in log.where("NOT done").orderBy("batch_id").collect()]
+        if at < total:
+            spans.append((number, at, total, False))
+        rounds: list[tuple[int, int, int, bool]] = []
+        for first_id, first, last, noted in spans:
+            if rounds:
+                a_id, a, b, known = rounds[-1]
+                # Only a round's last batch may be a smaller one.
+                if known == noted and b == first and (b - a) == (first_id - a_id) * self.size and last - a <= at_once * self.size:
+                    rounds[-1] = (a_id, a, last, known)
+                    continue
+            step = at_once * self.size
+            rounds += [(first_id + k * at_once, x, min(x + step, last), noted) for k, x in enumerate(range(first, last, step))]
+        return rounds
+
+    def run(self, fn: BatchFn, at_once: int | None = None) -> int:
+        """Give every pending batch to ``fn`` (batch, batch_id); returns how many there were.
+
+        With ``at_once``, ``fn`` gets up to so many consecutive batches in a call: their rows, which have a column
+        ``batch_id``, and the first one's id.  What it writes under that id replaces what a failed call has written there.
+        """
+        if at_once is not None and at_once < 1:
+            raise ValueError("at_once must be at least 1")
+        n = 0
+        for first_id, first, last, noted in self._todo(self.find_files(), at_once or 1):
+            if not noted:
+                self._note(first_id, first, last, False)
+            fn(self.rows(first, last, None if at_once is None else first_id), first_id)
+            self._note(first_id, first, last, True)
+            n += -(-(last - first) // self.size)
+        return n

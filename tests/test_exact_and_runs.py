@@ -17,6 +17,7 @@ from daybook.operators import exact
 from daybook.operators.aggregate import daily_volume
 from daybook.operators.clean import clean
 from daybook.operators.prices import inline_prices
+from daybook.plans.queries import STAGED_FILES, rows_a_file
 from daybook.session import scratch_path, shared_dir
 from daybook.sinks.runs import read_runs, run_log, unread_versions, write_run
 from daybook.sources.files import read_price_pages, read_transactions
@@ -236,6 +237,47 @@ def test_row_batches_within_splits(spark, workdir):
     assert got == [list(range(a, min(a + 7, 60))) for a in range(0, 60, 7)]
 
 
+def test_many_batches_in_a_round(spark, workdir):
+    """One call of the function for many batches; a round that failed comes again with its rows and ids, alone."""
+    src, work = os.path.join(workdir, "src"), os.path.join(workdir, "work")
+    k = 0
+    for f, n in enumerate((7, 1, 0, 30, 12)):
+        write(src, f"f{f}.csv", [csv_row(event=str(k + i)) for i in range(n)])
+        k += n
+        os.utime(os.path.join(src, f"f{f}.csv"), (1_700_000_000 - f, 1_700_000_000 - f))      # their names, not these, give the order
+    calls: list[tuple[int, dict[int, list[int]]]] = []
+
+    def note(batches, first_id):
+        rows: dict[int, list[int]] = {}
+        for r in batches.collect():
+            rows.setdefault(r.batch_id, []).append(int(r.event))
+        calls.append((first_id, {b: sorted(v) for b, v in rows.items()}))
+
+    def fail(batches, first_id):
+        if first_id == 10:
+            raise RuntimeError("stopped")
+        note(batches, first_id)
+
+    whole = {b: list(range(4 * b, min(4 * b + 4, 50))) for b in range(13)}
+    with pytest.raises(RuntimeError, match="stopped"):
+        RowBatches(spark, src, work, 4, by_name=True).run(fail, at_once=10)
+    assert calls == [(0, {b: whole[b] for b in range(10)})]
+    write(src, "g.csv", [csv_row(event=str(50 + i)) for i in range(9)])
+    assert RowBatches(spark, src, work, 4, by_name=True).run(note, at_once=10) == 6
+    # The flushed batch of two rows stays as it was noted; the new rows make batches behind it.
+    assert calls[1:] == [(10, {b: whole[b] for b in range(10, 13)}), (13, {13: [50, 51, 52, 53], 14: [54, 55, 56, 57], 15: [58]})]
+    assert RowBatches(spark, src, work, 4, by_name=True).run(note, at_once=10) == 0
+
+
+def test_larger_exports_make_no_more_files(spark, workdir):
+    """Micro-batches of a fixed number of files do not grow in number with the table."""
+    small, large = os.path.join(workdir, "small"), os.path.join(workdir, "large")
+    for path, n in ((small, 100), (large, 2_000_000)):
+        spark.range(n).withColumnRenamed("id", "event_id").write.parquet(f"{path}/events.parquet")
+    assert rows_a_file(spark, small, 2_500) == 2_500
+    assert -(-2_000_000 // rows_a_file(spark, large, 2_500)) <= STAGED_FILES
+
+
 # --- price versions --------------------------------------------------------------------------------
 
 
