@@ -468,11 +468,11 @@ def daily_volume_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage_events_in_turns(spark: SparkSession, sf_dir: str):
     """Two calls of the function returned write the two halves of the export into one folder, one after the other."""
-    path = scratch_path(spark, "events-turns")
+    path, size = scratch_path(spark, "events-turns"), rows_a_file(spark, sf_dir, STAGED_ROWS // 10, 0.5)
 
     def land(half: int) -> str:
         rows = T.events_wide(spark, sf_dir).where(F.col("ident").cast("bigint") % 2 == half)
-        csv_writer(rows).mode("append").option("maxRecordsPerFile", STAGED_ROWS // 10).csv(path)
+        csv_writer(rows).mode("append").option("maxRecordsPerFile", size).csv(path)
         return path
 
     return land
