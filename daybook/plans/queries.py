@@ -204,10 +204,10 @@ def rows_a_file(spark: SparkSession, sf_dir: str, least: int, rows: float = 1.0)
 def stage_events_csv(spark: SparkSession, sf_dir: str) -> str:
     """Write the 16-column events export as CSV under the shared folder; returns its path.
 
-    One file per STAGED_ROWS or so rows, whatever the size of the table.
+    One file per STAGED_ROWS or so rows, or more of them in a table that would make more than STAGED_FILES files.
     """
     path = scratch_path(spark, "events-csv")
-    csv_writer(T.events_wide(spark, sf_dir)).option("maxRecordsPerFile", STAGED_ROWS).csv(path)
+    csv_writer(T.events_wide(spark, sf_dir)).option("maxRecordsPerFile", rows_a_file(spark, sf_dir, STAGED_ROWS)).csv(path)
     return path
 
 
