@@ -278,6 +278,22 @@ def test_larger_exports_make_no_more_files(spark, workdir):
     assert -(-2_000_000 // rows_a_file(spark, large, 2_500)) <= STAGED_FILES
 
 
+def test_staged_exports_hold_all_rows_in_few_files(spark, workdir, monkeypatch):
+    """Both exports that streams read: larger files instead of more of them, and not a row less."""
+    from daybook.plans import queries
+
+    monkeypatch.setattr(queries, "STAGED_ROWS", 20)
+    monkeypatch.setattr(queries, "STAGED_FILES", 4)
+    sf_dir, cores = os.path.join(workdir, "sf"), spark.sparkContext.defaultParallelism
+    spark.range(4000).select(F.col("id").alias("event_id"), F.lit("2024-01-01 00:00:00").cast("timestamp").alias("ts"), (F.col("id") % 7).alias("user_id"),
+                             F.lit("view").alias("event_type"), F.lit(1.5).alias("value")).coalesce(1).write.parquet(f"{sf_dir}/events.parquet")
+    land = queries.stage_events_in_turns(spark, sf_dir)
+    for path, turns in ((queries.stage_events_csv(spark, sf_dir), 1), ((land(0), land(1))[1], 2)):
+        files = [f for f in os.listdir(path.removeprefix("file:")) if f.endswith(".csv")]
+        assert len(files) <= turns * (4 + cores)
+        assert sorted(int(r.ident) for r in spark.read.option("header", True).csv(path).collect()) == list(range(4000))
+
+
 # --- price versions --------------------------------------------------------------------------------
 
 
