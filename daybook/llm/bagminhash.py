@@ -16,13 +16,15 @@ leader, not with each other, and each text at first only with one, the first of
 buckets' leaders; links of at least 0.8, verified exactly on the
 multisets, are joined into components.  Texts in buckets that still hold several
 components meet the first leaders of other components in another order, and at last
-those pairs between different components that are still open are compared.
-Members of one component are never paired, and a text is only paired at last if
-it can have a partner: of texts with weights n and m, of which c and d lie on
-shingles that any other text in question has, the overlap is at most min(c, d),
-so 0.8 takes 9 min(c, d) >= 4 (n + m), tested with room for rounding.  Heavily edited copies of a text, similar
-to nothing, drop out by this exact bound before they meet their thousand kin;
-a group of a million copies costs about a million comparisons.
+all texts of those buckets meet in blocks.  Texts of one family stand side by side
+in blocks of about ``BLOCK`` bytes; a text moves once for each block in which a text
+of another component shares a bucket with it, and a task compares the texts of two
+blocks, by their overlaps exactly.  Members of one component are never paired, and
+a text of which less than 0.8 lies on shingles that any other text in the two
+blocks has drops out by this exact bound.  So a group of a million copies costs
+about a million comparisons; of a group whose similarities lie on both sides of
+0.8 every pair has to be compared if no link is to be lost, but rows that move
+are fewer than these pairs by the number of texts in a block, and a task holds two blocks.
 
 Exact copies are one node from the start.  Null texts have no shingles and stay
 alone; empty and blank texts have none either and are linked to exact copies
@@ -50,7 +52,8 @@ SIMILARITY = 0.8
 ROWS, BANDS = 5, 26
 SLOTS = ROWS * BANDS
 CHUNK = 1 << 20           # text bytes whose signatures are made together
-PAIRS = (1, BANDS, BANDS)  # in each round with leaders: how many of them a text is compared with, at most
+PAIRS = (1, 2)            # in each round with leaders: how many of them a text is compared with, at most
+BLOCK = 1 << 20           # text bytes that are compared with as many others in one task, about
 SALT_ROWS = 200           # members compared with one leader in one task, about
 ROUNDING = 1e-9           # relative room for rounding in bounds on overlaps; the exact check follows
 
@@ -218,37 +221,119 @@ def _with_leaders(members: DataFrame, turn: int) -> DataFrame:
                         F.col("lead").alias("a"), F.col("node").alias("b"))
 
 
-def _weights(nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """(node, n, c): a text's weight, and its part on shingles that another of the nodes has as well."""
+def _in_blocks(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, comp, bands, text, block) of the members (band, node, comp): texts of one family side by side, cut by bytes.
 
-    def bagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            node, column = batch.column(0).to_numpy(), text_bytes(batch.column(1))
-            for x, y in chunks(np.asarray(pc.binary_length(column)) + 1):
-                row, shingle, count = bags(*shingles(column.slice(x, y - x)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(node[x + row]), pa.array(shingle.view(np.int64)), pa.array(count)], ["node", "shingle", "w"])
-
-    rows = materialise(texts.join(nodes, "node").select("node", "text")
-                       .mapInArrow(bagged, "node long, shingle long, w long"), "weights")
-    shared = rows.groupBy("shingle").agg(F.count("*").alias("k")).where("k > 1")
-    return (rows.join(shared, "shingle", "left").groupBy("node")
-            .agg(F.sum("w").alias("n"), F.coalesce(F.sum(F.when(F.col("k").isNotNull(), F.col("w"))), F.lit(0)).alias("c")))
+    Nodes are in the order of the least node they share a bucket with, then of their component.  No family is held
+    together for it: a shuffle by ranges sorts, and sums of the ranges' bytes turn places inside into places overall.
+    """
+    least = materialise(members.groupBy("band").agg(F.min("node").alias("least"), F.count("*").alias("n_rows")), "least")
+    nodes = (join_counted(members, least, "band").groupBy("node", "comp")
+             .agg(F.min("least").alias("least"), F.collect_set("band").alias("bands")))
+    nodes = materialise(nodes.join(texts, "node"), "members")
+    order = ["least", "comp", "node"]
+    rows = materialise(nodes.repartitionByRange(*order).withColumn("part", F.spark_partition_id())
+                       .withColumn("size", F.octet_length("text") + 1), "ordered")
+    before = F.sum("size").over(Window.partitionBy("part").orderBy(*order)) - F.col("size")
+    parts = rows.groupBy("part").agg(F.sum("size").alias("bytes"))
+    start = parts.select("part", (F.sum("bytes").over(Window.orderBy("part")) - F.col("bytes")).alias("start"))
+    placed = rows.withColumn("before", before).join(F.broadcast(start), "part")
+    block = F.floor((F.col("start") + F.col("before")) / F.lit(BLOCK)).alias("block")
+    return materialise(placed.select("node", "comp", "bands", "text", block), "blocks")
+
+
+def _block_pairs(placed: DataFrame) -> DataFrame:
+    """Rows (low, high, node, comp, first, bands, text): a node in each pair of blocks in which a text of another component is in one of its buckets."""
+    rows = materialise(placed.select("node", "comp", "block", F.explode("bands").alias("band")), "members")
+    spans = rows.groupBy("band", "block").agg(F.min("comp").alias("least"), F.max("comp").alias("most"))
+    found = spans.groupBy("band").agg(F.collect_list(F.struct("block", "least", "most")).alias("spans"))
+    other = F.filter("spans", lambda x: (x["least"] != F.col("comp")) | (x["most"] != F.col("comp")))
+    met = (rows.join(found, "band").select("node", F.sort_array(F.transform(other, lambda x: x["block"])).alias("blocks"))
+           .groupBy("node").agg(F.array_distinct(F.flatten(F.collect_set("blocks"))).alias("blocks")))
+    return (met.join(placed, "node").select("node", "comp", "bands", "text", "block", F.explode("blocks").alias("other"))
+            .select(F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "node", "comp",
+                    (F.col("block") <= F.col("other")).alias("first"), "bands", "text"))
+
+
+def _block_links(node: np.ndarray, comp: np.ndarray, first: np.ndarray, bands: list, column: pa.Array, same: bool,
+                 similarity: float) -> list[tuple[int, int]]:
+    """Links that join components, between the texts of two blocks (``first``: those of the first) or of one (``same``)."""
+    n = len(node)
+    parts = [(x, bags(*shingles(column.slice(x, y - x)))) for x, y in chunks(np.asarray(pc.binary_length(column)) + 1)]
+    row = np.concatenate([x + p[0] for x, p in parts])
+    _, code, texts = np.unique(np.concatenate([p[1] for _, p in parts]), return_inverse=True, return_counts=True)
+    count = np.concatenate([p[2] for _, p in parts])
+    total = np.bincount(row, weights=count, minlength=n)
+    # A shingle of one text only is in no overlap; a text has no partner if the others are too small a part of it.
+    shared = np.bincount(row, weights=np.where(texts[code] > 1, count, 0), minlength=n)
+    use = (texts[code] > 1) & (shared >= similarity * (1 - ROUNDING) * total)[row]
+    row, code, count = row[use], code[use], count[use]
+    cut = np.searchsorted(row, np.arange(n + 1))
+    kept = np.flatnonzero(np.diff(cut))
+    left = kept if same else kept[first[kept]]
+    right = kept if same else kept[~first[kept]]
+    at = cut[right]
+    size = cut[right + 1] - at
+    inside = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(at, size)
+    code_r, count_r = code[inside], count[inside]
+    starts = np.cumsum(size) - size
+    label = np.unique(comp, return_inverse=True)[1]
+    weight = np.zeros(len(texts), count.dtype)
+    sets: dict[int, frozenset] = {}
+    found = []
+    for a in left:
+        k = np.searchsorted(right, a, "right") if same else 0  # pairs inside a block once
+        if k == len(right) or (label[right[k:]] == label[a]).all():
+            continue
+        own = code[cut[a]:cut[a + 1]]
+        weight[own] = count[cut[a]:cut[a + 1]]
+        common = np.add.reduceat(np.minimum(weight[code_r[starts[k]:]], count_r[starts[k]:]), starts[k:] - starts[k])
+        weight[own] = 0
+        near = right[k:][common / (total[a] + total[right[k:]] - common) >= similarity]
+        for b in near[label[near] != label[a]]:
+            if label[a] == label[b]:
+                continue
+            for i in (a, b):
+                if i not in sets:
+                    sets[i] = frozenset(bands[i])
+            if not sets[a].isdisjoint(sets[b]):
+                found.append((int(node[a]), int(node[b])))
+                label[label == label[b]] = label[a]
+    return found
 
 
 def _possible(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of nodes in one bucket and different components that the bound on their overlap allows."""
-    least_share = similarity * (1 - ROUNDING)
-    need = similarity / (1 + similarity) * (1 - ROUNDING)
-    known = members.join(_weights(members.select("node").distinct(), texts), "node").where(F.col("c") >= least_share * F.col("n"))
-    least = known.groupBy("band").agg(F.min("n").alias("least"))
-    known = known.join(least, "band").where(F.col("c") >= need * (F.col("n") + F.col("least"))).drop("least")
-    known = materialise(_several(known), "possible")
-    other = known.select("band", *[F.col(c).alias(f"{c}_b") for c in ("node", "comp", "n", "c")])
-    return known.join(other, "band").where(
-        (F.col("node") < F.col("node_b")) & (F.col("comp") != F.col("comp_b"))
-        & (F.least("c", "c_b") >= need * (F.col("n") + F.col("n_b")))).select(
-        F.col("node").alias("x"), F.col("node_b").alias("y"), F.col("node").alias("a"), F.col("node_b").alias("b"))
+    """Links (a, b) between nodes in one bucket and different components, as many as join all components that have any.
+
+    Blocks of texts meet, not texts: a text moves once for each block that holds a possible partner, and a task compares two blocks.
+    """
+    rows = _block_pairs(_in_blocks(members, texts)).repartition("low", "high").sortWithinPartitions("low", "high", "node")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def links(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+            t = pa.Table.from_batches(parts).combine_chunks()
+            (low, high), (node, comp, first, bands_, text) = key, (t.column(k).combine_chunks() for k in range(2, 7))
+            found = _block_links(node.to_numpy(), comp.to_numpy(), first.to_numpy(zero_copy_only=False), bands_.to_pylist(),
+                                 text_bytes(text), low == high, similarity)
+            return pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()),
+                                               pa.array([f[1] for f in found], pa.int64())], ["a", "b"])
+
+        key, held = None, []
+        for batch in batches:
+            low, high = (batch.column(k).to_numpy() for k in range(2))
+            edges = np.flatnonzero((low[1:] != low[:-1]) | (high[1:] != high[:-1])) + 1
+            for x, y in zip([0, *edges], [*edges, len(low)], strict=True):
+                if x == y:
+                    continue
+                if key != (low[x], high[x]):
+                    if held:
+                        yield links(held)
+                    key, held = (low[x], high[x]), []
+                held.append(batch.slice(x, y - x))
+        if held:
+            yield links(held)
+
+    return rows.mapInArrow(compare, "a long, b long")
 
 
 def classes(docs: DataFrame, text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
@@ -269,18 +354,23 @@ def classes(docs: DataFrame, text_col: str = "text", similarity: float = SIMILAR
     labels = spark.createDataFrame([], "node long, comp long")
     for turn in range(len(PAIRS) + 1):
         members = materialise(_open_buckets(buckets, labels), "open")
-        pairs = _with_leaders(members, turn) if turn < len(PAIRS) else _possible(members, texts, similarity)
-        pairs = pairs.dropDuplicates(["x", "y"])
-        if done is not None:
-            pairs = pairs.join(done, ["x", "y"], "left_anti")
-        pairs = materialise(pairs, "pairs")
-        if not pairs.limit(1).count():
+        if turn < len(PAIRS):
+            pairs = _with_leaders(members, turn).dropDuplicates(["x", "y"])
+            if done is not None:
+                pairs = pairs.join(done, ["x", "y"], "left_anti")
+            pairs = materialise(pairs, "pairs")
+            if not pairs.limit(1).count():
+                continue
+            found = _verified(pairs.select("a", "b"), texts, similarity)
+            seen = pairs.select("x", "y")
+            done = seen if done is None else done.unionByName(seen)
+        elif members.limit(1).count():
+            found = _possible(members, texts, similarity)
+        else:
             continue
-        found = materialise(_verified(pairs.select("a", "b"), texts, similarity), "links")
+        found = materialise(found, "links")
         links = found if links is None else links.unionByName(found)
         labels = components(links)
-        seen = pairs.select("x", "y")
-        done = seen if done is None else done.unionByName(seen)
     return (nodes.select("key", "node").join(labels, "node", "left")
             .select("key", "node", F.coalesce("comp", "node").alias("comp")))
 

@@ -172,6 +172,36 @@ def test_a_large_group_makes_few_pairs(spark, monkeypatch):
     assert sum(pairs) < 601 * bagminhash.BANDS
 
 
+def test_a_group_around_the_limit_meets_in_blocks(spark, monkeypatch):
+    """Near copies similar by a little more or less than 0.8: no link is lost, and texts move by blocks, not by pairs."""
+    rng = random.Random(11)
+    base = prose(110, 31).split()
+    texts = []
+    for _ in range(160):
+        words = list(base)
+        for _ in range(rng.choice([1, 2, 2])):
+            at = rng.randrange(0, 100, 5)
+            words[at:at + 3] = [f"edit{rng.randrange(3)}"] * rng.randint(1, 5)
+        texts.append(" ".join(words))
+    texts = sorted(set(texts)) + [prose(60, 500 + k) for k in range(20)]
+    close = [(i, j) for i, a in enumerate(texts) for j, b in enumerate(texts[:i]) if similarity(a, b) >= 0.8]
+    comp = list(range(len(texts)))
+    for i, j in close:
+        comp = [min(comp[i], comp[j]) if c in (comp[i], comp[j]) else c for c in comp]
+    assert 25 < len(set(comp)) < len(texts) - 20  # some are linked, some are not
+    pairs, moved = [], []
+    real, block_pairs = bagminhash._verified, bagminhash._block_pairs
+    monkeypatch.setattr(bagminhash, "_verified", lambda p, t, s: (pairs.append(p.count()), real(p, t, s))[-1])
+    monkeypatch.setattr(bagminhash, "_block_pairs", lambda placed: (
+        moved.append((block_pairs(placed).count(), placed.select("block").distinct().count())), block_pairs(placed))[-1])
+    monkeypatch.setattr(bagminhash, "BLOCK", 16_000)
+    out = bagminhash.near_duplicates(docs(spark, texts)).collect()
+    assert {r.doc_id: r.class_id for r in out} == dict(enumerate(comp))
+    assert sum(pairs) <= 3 * len(texts)
+    [(rows, blocks)] = moved
+    assert blocks > 3 and rows <= len(texts) * blocks
+
+
 def test_the_overlap_bound_keeps_exact_ties(spark):
     """28 shingles inside 35: similarity 0.8, and the overlap equals the bound, 4/9 of 63."""
     words = prose(39, 21).split()
